@@ -1,0 +1,100 @@
+"""Small filesystem helpers on Hadoop's ``FileSystem`` (whatever the path's
+scheme is: local, HDFS, object stores), reached through the session.
+
+Only table *metadata* goes through here (commit records, file lists,
+deleting dead files); data is always read and written by Spark jobs.
+"""
+
+from __future__ import annotations
+
+from urllib.parse import unquote
+
+from pyspark.sql import SparkSession
+
+
+def _path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, p
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form (``file:/…``, ``hdfs://…``) used in manifests."""
+    fs, p = _path(spark, path)
+    return unquote(fs.makeQualified(p).toString())
+
+
+def normalize(uri: str) -> str:
+    """``_metadata.file_path`` and listings give URL-encoded URIs; manifests
+    keep the decoded form. ``file:///x`` and ``file:/x`` compare equal."""
+    s = unquote(uri)
+    if s.startswith("file:///"):
+        s = "file:/" + s[len("file:///"):]
+    return s
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return bool(fs.exists(p))
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` only if it does not exist yet.
+
+    Returns False when another writer got there first. Atomic on HDFS and
+    local disks; on object stores it relies on the store's conditional put.
+    """
+    fs, p = _path(spark, path)
+    if fs.exists(p):
+        return False
+    try:
+        out = fs.create(p, False)
+    except Exception as e:  # FileAlreadyExistsException from the JVM
+        if "AlreadyExists" in str(e) or "already exists" in str(e):
+            return False
+        raise
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        lines = []
+        while True:
+            line = reader.readLine()
+            if line is None:
+                break
+            lines.append(line)
+        return "\n".join(lines)
+    finally:
+        stream.close()
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Base names directly under ``path`` (empty if it does not exist)."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [s.getPath().getName() for s in fs.listStatus(p)]
+
+
+def delete(spark: SparkSession, path: str, recursive: bool = False) -> bool:
+    fs, p = _path(spark, path)
+    return bool(fs.delete(p, recursive))

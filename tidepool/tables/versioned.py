@@ -1,0 +1,639 @@
+"""Versioned tables on plain Parquet.
+
+Layout of a table at ``path``::
+
+    path/data/v<version>-<id>/part-*.parquet      data files, never edited
+    path/_manifest/<version, 20 digits>.json      one small commit record
+    path/_manifest/<version>-<id>.files.jsonl     live files of that version
+
+A commit record holds version, time, operation, parameters, schema, table
+properties, streaming progress (query id → last batch id) and the name of
+its file list. A version is created by writing its record only if absent,
+so two writers cannot both commit the same version (``ConcurrentWrite``).
+
+All data work is Spark jobs: writing files, finding the files a change
+touches (``_metadata.file_path``), rewriting them (copy-on-write: changed
+files are replaced, untouched files keep their path), per-file statistics,
+compaction. The driver only handles metadata (the file list).
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import decimal
+import json
+import math
+import re
+import time
+import uuid
+from collections.abc import Mapping, Sequence
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DateType, DecimalType, StructField, StructType,
+                               TimestampNTZType, TimestampType, _parse_datatype_string)
+
+from tidepool.tables import fs
+from tidepool.tables import rows as R
+from tidepool.tables.rows import DuplicateSourceKeys, SchemaMismatch  # noqa: F401  (re-export)
+
+MANIFEST = "_manifest"
+DATA = "data"
+_VERSION_FILE = re.compile(r"^(\d{20})\.json$")
+DEFAULT_RETENTION_HOURS = 168
+
+
+class TableError(Exception):
+    pass
+
+
+class ConcurrentWrite(TableError):
+    """Another writer committed the version this write was preparing."""
+
+
+class VersionNotFound(TableError):
+    pass
+
+
+class RetentionTooShort(TableError):
+    """``vacuum`` below the safety retention without ``enforce=False``."""
+
+
+# ---------------------------------------------------------------------------
+# Metadata
+# ---------------------------------------------------------------------------
+
+def _root(spark: SparkSession, path: str) -> str:
+    return fs.qualify(spark, path).rstrip("/")
+
+
+def _commit_file(root: str, version: int) -> str:
+    return f"{root}/{MANIFEST}/{version:020d}.json"
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    root = _root(spark, path)
+    out = []
+    for name in fs.list_names(spark, f"{root}/{MANIFEST}"):
+        m = _VERSION_FILE.match(name)
+        if m:
+            out.append(int(m.group(1)))
+    return sorted(out)
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    vs = versions(spark, path)
+    return vs[-1] if vs else None
+
+
+def is_table(spark: SparkSession, path: str) -> bool:
+    return latest_version(spark, path) is not None
+
+
+def load_commit(spark: SparkSession, path: str, version: int | None = None) -> dict:
+    root = _root(spark, path)
+    if version is None:
+        version = latest_version(spark, path)
+        if version is None:
+            raise VersionNotFound(f"no table at {path}")
+    p = _commit_file(root, version)
+    if not fs.exists(spark, p):
+        raise VersionNotFound(f"version {version} of {path} does not exist")
+    return json.loads(fs.read_text(spark, p))
+
+
+def load_files(spark: SparkSession, path: str, commit: dict) -> list[dict]:
+    root = _root(spark, path)
+    text = fs.read_text(spark, f"{root}/{MANIFEST}/{commit['files']}")
+    return [json.loads(line) for line in text.splitlines() if line.strip()]
+
+
+def schema_of(commit: dict) -> StructType:
+    return StructType.fromJson(json.loads(commit["schema"]))
+
+
+def _jsonable(v: Any) -> Any:
+    if isinstance(v, (dt.datetime, dt.date)):
+        return v.isoformat()
+    if isinstance(v, decimal.Decimal):
+        return str(v)
+    if isinstance(v, float) and (math.isnan(v) or math.isinf(v)):
+        return None
+    return v
+
+
+def _typed(v: Any, dtype) -> Any:
+    if v is None:
+        return None
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return dt.datetime.fromisoformat(v).replace(tzinfo=None)
+    if isinstance(dtype, DateType):
+        return dt.date.fromisoformat(v)
+    if isinstance(dtype, DecimalType):
+        return decimal.Decimal(v)
+    return v
+
+
+def _commit(spark: SparkSession, path: str, version: int, operation: str,
+            parameters: Mapping[str, Any], schema: StructType, files: list[dict],
+            previous: dict | None, txn: tuple[str, int] | None = None,
+            properties: Mapping[str, Any] | None = None,
+            metrics: Mapping[str, Any] | None = None) -> int:
+    root = _root(spark, path)
+    cid = uuid.uuid4().hex
+    files_name = f"{version:020d}-{cid}.files.jsonl"
+    fs.write_text(spark, f"{root}/{MANIFEST}/{files_name}",
+                  "\n".join(json.dumps(f, sort_keys=True) for f in files))
+    txns = dict(previous.get("txn", {})) if previous else {}
+    if txn is not None:
+        txns[txn[0]] = txn[1]
+    props = dict(previous.get("properties", {})) if previous else {}
+    props.update(properties or {})
+    record = {
+        "version": version,
+        "timestamp": int(time.time() * 1000),
+        "operation": operation,
+        "parameters": {k: str(v) for k, v in parameters.items()},
+        "schema": schema.json(),
+        "properties": props,
+        "txn": txns,
+        "files": files_name,
+        "metrics": {
+            "num_files": len(files),
+            "num_rows": int(sum(f.get("rows", 0) for f in files)),
+            "num_bytes": int(sum(f.get("bytes", 0) for f in files)),
+            **dict(metrics or {}),
+        },
+    }
+    if not fs.create_exclusive(spark, _commit_file(root, version), json.dumps(record)):
+        fs.delete(spark, f"{root}/{MANIFEST}/{files_name}")
+        raise ConcurrentWrite(f"version {version} of {path} was committed by another writer")
+    return version
+
+
+# ---------------------------------------------------------------------------
+# Data files
+# ---------------------------------------------------------------------------
+
+def _read_files(spark: SparkSession, files: Sequence[dict] | Sequence[str],
+                schema: StructType) -> DataFrame:
+    paths = [f if isinstance(f, str) else f["path"] for f in files]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def _write_files(spark: SparkSession, path: str, df: DataFrame, version: int,
+                 stats_columns: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> list[dict]:
+    """Write ``df`` as new files of ``version`` and describe them.
+
+    The description (rows, bytes, min/max of ``stats_columns``) comes from
+    one aggregate job over the new files grouped by ``_metadata.file_path``;
+    only the stats columns are read back (column pruning). Files a task
+    wrote without rows do not appear, so they never enter the manifest.
+    """
+    root = _root(spark, path)
+    out_dir = f"{root}/{DATA}/v{version:020d}-{uuid.uuid4().hex[:12]}"
+    out = df
+    if cluster_by:
+        # REBALANCE clusters rows by the columns for file skipping while AQE
+        # still splits a hot value over several tasks/files.
+        out = out.hint("rebalance", *cluster_by)
+    out.write.mode("errorifexists").parquet(out_dir)
+    written = spark.read.schema(df.schema).parquet(out_dir)
+    stats_columns = [c for c in stats_columns if c in df.columns]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(stats_columns):
+        aggs += [F.min(c).alias(f"_min{i}"), F.max(c).alias(f"_max{i}")]
+    desc = (written.groupBy(F.col("_metadata.file_path").alias("_p"),
+                            F.col("_metadata.file_size").alias("_b"))
+                   .agg(*aggs).collect())
+    files = []
+    for r in desc:
+        entry = {"path": fs.normalize(r["_p"]), "rows": int(r["_rows"]),
+                 "bytes": int(r["_b"]), "added_version": version}
+        if stats_columns:
+            entry["stats"] = {c: [_jsonable(r[f"_min{i}"]), _jsonable(r[f"_max{i}"])]
+                              for i, c in enumerate(stats_columns)}
+        files.append(entry)
+    return files
+
+
+def _snapshot(spark: SparkSession, path: str, version: int | None = None):
+    commit = load_commit(spark, path, version)
+    return commit, load_files(spark, path, commit), schema_of(commit)
+
+
+# ---------------------------------------------------------------------------
+# Reads (S4, T7, T8, T9, T19)
+# ---------------------------------------------------------------------------
+
+def resolve_version(spark: SparkSession, path: str, version: int | None = None,
+                    as_of: dt.datetime | str | None = None) -> int:
+    """Version number for ``version`` or for a timestamp (latest commit at
+    or before ``as_of``)."""
+    if version is not None:
+        return version
+    vs = versions(spark, path)
+    if not vs:
+        raise VersionNotFound(f"no table at {path}")
+    if as_of is None:
+        return vs[-1]
+    if isinstance(as_of, str):
+        as_of = dt.datetime.fromisoformat(as_of)
+    if as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=dt.timezone.utc)
+    cutoff = int(as_of.timestamp() * 1000)
+    best = None
+    for v in vs:
+        if load_commit(spark, path, v)["timestamp"] <= cutoff:
+            best = v
+        else:
+            break
+    if best is None:
+        raise VersionNotFound(f"{path} has no version at or before {as_of.isoformat()}")
+    return best
+
+
+_OPS = {"=": lambda lo, hi, v: lo <= v <= hi, "<": lambda lo, hi, v: lo < v,
+        "<=": lambda lo, hi, v: lo <= v, ">": lambda lo, hi, v: hi > v,
+        ">=": lambda lo, hi, v: hi >= v}
+
+
+def prune_files(files: Sequence[dict], where: Sequence[tuple[str, str, Any]],
+                schema: StructType) -> list[dict]:
+    """Drop files whose min/max prove that no row satisfies the
+    conjunction ``where`` (``(column, op, value)`` with op in = < <= > >=).
+    Files without stats for a column are kept."""
+    types = {f.name: f.dataType for f in schema.fields}
+    keep = []
+    for f in files:
+        stats = f.get("stats", {})
+        ok = True
+        for col, op, val in where:
+            if col not in stats or stats[col][0] is None:
+                continue
+            lo, hi = (_typed(x, types[col]) for x in stats[col])
+            if not _OPS[op](lo, hi, val):
+                ok = False
+                break
+        if ok:
+            keep.append(f)
+    return keep
+
+
+def _where_column(where: Sequence[tuple[str, str, Any]]) -> Column:
+    cond = F.lit(True)
+    for col, op, val in where:
+        c = F.col(col)
+        e = {"=": c == val, "<": c < val, "<=": c <= val, ">": c > val, ">=": c >= val}[op]
+        cond = cond & e
+    return cond
+
+
+def read(spark: SparkSession, path: str, version: int | None = None,
+         as_of: dt.datetime | str | None = None,
+         where: Sequence[tuple[str, str, Any]] | None = None) -> DataFrame:
+    """The table at its latest version, at ``version``, or as of a
+    timestamp. Files are read with the version's schema, so files written
+    before an added column read NULL there. ``where`` prunes files by stats,
+    then filters rows (pushed to the Parquet row groups)."""
+    v = resolve_version(spark, path, version, as_of)
+    commit, files, schema = _snapshot(spark, path, v)
+    if where:
+        files = prune_files(files, where, schema)
+    df = _read_files(spark, files, schema)
+    return df.filter(_where_column(where)) if where else df
+
+
+def register(spark: SparkSession, name: str, path: str, version: int | None = None) -> DataFrame:
+    """Expose a table (or one of its versions) to SQL by name."""
+    df = read(spark, path, version)
+    df.createOrReplaceTempView(name)
+    return df
+
+
+# ---------------------------------------------------------------------------
+# Writes (T1, T2, T12, T14, X4)
+# ---------------------------------------------------------------------------
+
+def create(spark: SparkSession, path: str, schema: StructType | str,
+           stats_columns: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> int:
+    """An empty table with a schema (version 0, no files)."""
+    if isinstance(schema, str):
+        schema = _parse_datatype_string(schema)
+    if is_table(spark, path):
+        raise TableError(f"table already exists at {path}")
+    return _commit(spark, path, 0, "CREATE TABLE", {}, schema, [], None,
+                   properties={"stats_columns": list(stats_columns), "cluster_by": list(cluster_by)})
+
+
+def write(df: DataFrame, path: str, mode: str = "append", *, merge_schema: bool = False,
+          overwrite_schema: bool = False, txn: tuple[str, int] | None = None,
+          stats_columns: Sequence[str] | None = None, cluster_by: Sequence[str] | None = None,
+          operation: str | None = None) -> int:
+    """Append to or overwrite a table; creates it if missing.
+
+    Appends are checked against the table schema (T12): an unknown column or
+    a changed type raises ``SchemaMismatch`` and nothing is written. With
+    ``merge_schema`` (T14) new columns widen the table. ``txn=(query_id,
+    batch_id)`` makes the write idempotent for streaming (X4/X5): a batch id
+    at or below the last one recorded for that query is skipped.
+    Returns the table version after the call.
+    """
+    if mode not in ("append", "overwrite"):
+        raise ValueError("mode must be 'append' or 'overwrite'")
+    spark = df.sparkSession
+    latest = latest_version(spark, path)
+    previous = load_commit(spark, path, latest) if latest is not None else None
+    if previous and txn is not None and previous.get("txn", {}).get(txn[0], -1) >= txn[1]:
+        return latest
+    props = dict(previous.get("properties", {})) if previous else {}
+    if stats_columns is not None:
+        props["stats_columns"] = list(stats_columns)
+    if cluster_by is not None:
+        props["cluster_by"] = list(cluster_by)
+    if previous is None:
+        schema, old_files = df.schema, []
+    else:
+        schema = schema_of(previous)
+        if not (mode == "overwrite" and overwrite_schema):
+            R.check_schema(schema, df.schema, allow_new_columns=merge_schema)
+            extra = [f for f in df.schema.fields if f.name not in schema.fieldNames()]
+            if extra:
+                schema = StructType(schema.fields + [StructField(f.name, f.dataType, True) for f in extra])
+        else:
+            schema = df.schema
+        old_files = load_files(spark, path, previous) if mode == "append" else []
+    version = 0 if latest is None else latest + 1
+    data = R.align(df, schema)
+    new_files = _write_files(spark, path, data, version, props.get("stats_columns", ()),
+                             props.get("cluster_by", ()))
+    op = operation or ("WRITE" if mode == "overwrite" or latest is None else "APPEND")
+    params = {"mode": mode}
+    if txn is not None:
+        params.update({"query_id": txn[0], "batch_id": txn[1]})
+    return _commit(spark, path, version, op, params, schema, old_files + new_files, previous,
+                   txn=txn, properties=props,
+                   metrics={"added_files": len(new_files),
+                            "removed_files": 0 if mode == "append" else
+                            len(load_files(spark, path, previous)) if previous else 0})
+
+
+# ---------------------------------------------------------------------------
+# Copy-on-write changes
+# ---------------------------------------------------------------------------
+
+def _file_paths(df: DataFrame) -> set[str]:
+    """Distinct source files of the rows of ``df`` (one row per file)."""
+    rows = df.select(F.col("_metadata.file_path").alias("_p")).distinct().collect()
+    return {fs.normalize(r["_p"]) for r in rows}
+
+
+def _rewrite(spark: SparkSession, path: str, commit: dict, files: list[dict], schema: StructType,
+             touched: set[str], transform, operation: str, parameters: dict) -> int:
+    if not touched:
+        return commit["version"]
+    keep = [f for f in files if f["path"] not in touched]
+    hit = [f for f in files if f["path"] in touched]
+    version = commit["version"] + 1
+    new_rows = transform(_read_files(spark, hit, schema))
+    props = commit.get("properties", {})
+    new_files = _write_files(spark, path, R.align(new_rows, schema), version,
+                             props.get("stats_columns", ()), props.get("cluster_by", ()))
+    return _commit(spark, path, version, operation, parameters, schema, keep + new_files, commit,
+                   metrics={"removed_files": len(hit), "added_files": len(new_files)})
+
+
+def update(spark: SparkSession, path: str, condition: Column | str,
+           assignments: Mapping[str, Column | str]) -> int:
+    """``UPDATE SET … WHERE cond``. Only files holding a matching row are
+    rewritten; a NULL condition does not match."""
+    commit, files, schema = _snapshot(spark, path)
+    cond = F.expr(condition) if isinstance(condition, str) else condition
+    df = _read_files(spark, files, schema)
+    touched = _file_paths(df.filter(F.coalesce(cond, F.lit(False)))) if files else set()
+    return _rewrite(spark, path, commit, files, schema, touched,
+                    lambda d: R.updated(d, cond, assignments), "UPDATE",
+                    {"predicate": str(condition),
+                     "set": {k: str(v) for k, v in assignments.items()}})
+
+
+def delete(spark: SparkSession, path: str, condition: Column | str) -> int:
+    """T4: ``DELETE WHERE cond``; rows with a NULL condition stay."""
+    commit, files, schema = _snapshot(spark, path)
+    cond = F.expr(condition) if isinstance(condition, str) else condition
+    df = _read_files(spark, files, schema)
+    touched = _file_paths(df.filter(F.coalesce(cond, F.lit(False)))) if files else set()
+    return _rewrite(spark, path, commit, files, schema, touched,
+                    lambda d: R.deleted(d, cond), "DELETE", {"predicate": str(condition)})
+
+
+def merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], *,
+          matched: str = "update_all", not_matched: str = "insert_all",
+          txn: tuple[str, int] | None = None) -> int:
+    """Upsert ``source`` into the table on ``keys`` in one commit.
+
+    ``matched``: ``update_all`` | ``delete`` | ``ignore``;
+    ``not_matched``: ``insert_all`` | ``ignore``. The source must be unique
+    on the keys (checked). Touched files are those holding a matched key
+    (a semi join of the table's key columns against the source keys); they
+    are rewritten through one full outer join with the source, and the
+    unmatched source rows are inserted in the same commit.
+    """
+    keys = list(keys)
+    commit, files, schema = _snapshot(spark, path)
+    if txn is not None and commit.get("txn", {}).get(txn[0], -1) >= txn[1]:
+        return commit["version"]
+    R.check_schema(schema, source.schema)
+    R.check_unique(source, keys)
+    target = _read_files(spark, files, schema)
+    src_keys = source.select(*keys).distinct()
+    touched = (_file_paths(target.select(*keys, "_metadata")
+                           .join(src_keys, keys, "left_semi")) if files else set())
+    upd, ins = matched == "update_all", not_matched == "insert_all"
+    delete_matched = matched == "delete"
+    version = commit["version"] + 1
+    keep = [f for f in files if f["path"] not in touched]
+    hit = [f for f in files if f["path"] in touched]
+    rewritten = R.merged(_read_files(spark, hit, schema), source, keys,
+                         update=upd, insert=ins, delete_matched=delete_matched)
+    if not hit and not ins:
+        return commit["version"]
+    props = commit.get("properties", {})
+    new_files = _write_files(spark, path, R.align(rewritten, schema), version,
+                             props.get("stats_columns", ()), props.get("cluster_by", ()))
+    params = {"keys": ",".join(keys), "matched": matched, "not_matched": not_matched}
+    return _commit(spark, path, version, "MERGE", params, schema, keep + new_files, commit,
+                   txn=txn, metrics={"removed_files": len(hit), "added_files": len(new_files)})
+
+
+# ---------------------------------------------------------------------------
+# Schema evolution
+# ---------------------------------------------------------------------------
+
+def add_columns(spark: SparkSession, path: str, columns: Mapping[str, str]) -> int:
+    """``ALTER TABLE ADD COLUMNS``: a new version with a wider schema
+    and the same files (no rewrite); existing rows read NULL."""
+    commit, files, schema = _snapshot(spark, path)
+    existing = set(schema.fieldNames())
+    dup = [c for c in columns if c in existing]
+    if dup:
+        raise SchemaMismatch(f"columns already exist: {dup}")
+    wider = StructType(schema.fields + [StructField(n, _parse_datatype_string(t), True)
+                                        for n, t in columns.items()])
+    return _commit(spark, path, commit["version"] + 1, "ADD COLUMNS",
+                   {"columns": ",".join(f"{n} {t}" for n, t in columns.items())},
+                   wider, files, commit)
+
+
+# ---------------------------------------------------------------------------
+# Metadata tables
+# ---------------------------------------------------------------------------
+
+def history(spark: SparkSession, path: str) -> DataFrame:
+    """One row per version, newest first, like ``DESCRIBE HISTORY``."""
+    rows = []
+    for v in versions(spark, path):
+        c = load_commit(spark, path, v)
+        rows.append((v, dt.datetime.fromtimestamp(c["timestamp"] / 1000, dt.timezone.utc)
+                     .replace(tzinfo=None), c["operation"], c["parameters"],
+                     int(c["metrics"]["num_files"]), int(c["metrics"]["num_rows"])))
+    schema = ("version long, timestamp timestamp_ntz, operation string, "
+              "operationParameters map<string,string>, num_files long, num_rows long")
+    return spark.createDataFrame(rows, schema).orderBy(F.col("version").desc())
+
+
+def snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """T11 ``.snapshots``: (snapshot_id, committed_at, operation, summary)."""
+    h = history(spark, path)
+    return h.select(F.col("version").alias("snapshot_id"), F.col("timestamp").alias("committed_at"),
+                    "operation",
+                    F.create_map(F.lit("total-records"), F.col("num_rows").cast("string"),
+                                 F.lit("total-data-files"), F.col("num_files").cast("string"))
+                    .alias("summary"))
+
+
+_FILES_SCHEMA = "path string, rows long, bytes long, added_version long"
+
+
+def files(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """T11 ``.files``: live data files of a version, read by Spark straight
+    from the version's file list (file_path, file_format, record_count,
+    file_size_in_bytes, added_version)."""
+    root = _root(spark, path)
+    commit = load_commit(spark, path, version)
+    df = spark.read.schema(_FILES_SCHEMA).json(f"{root}/{MANIFEST}/{commit['files']}")
+    return df.select(F.col("path").alias("file_path"), F.lit("PARQUET").alias("file_format"),
+                     F.col("rows").alias("record_count"),
+                     F.col("bytes").alias("file_size_in_bytes"), "added_version")
+
+
+def _listing(spark: SparkSession, path: str) -> DataFrame:
+    """Every Parquet file under ``path/data`` (path, length, mtime), listed
+    by Spark's file index; ``binaryFile`` never opens the files because the
+    ``content`` column is not selected."""
+    root = _root(spark, path)
+    return (spark.read.format("binaryFile")
+            .option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet")
+            .load(f"{root}/{DATA}")
+            .select("path", "length", "modificationTime"))
+
+
+def disk_report(spark: SparkSession, path: str) -> dict:
+    """Commit records, data files on disk vs live, bytes."""
+    root = _root(spark, path)
+    live = load_files(spark, path, load_commit(spark, path))
+    if fs.exists(spark, f"{root}/{DATA}"):
+        on_disk = _listing(spark, path).agg(F.count(F.lit(1)).alias("n"),
+                                            F.coalesce(F.sum("length"), F.lit(0)).alias("b")).first()
+        n_disk, b_disk = int(on_disk["n"]), int(on_disk["b"])
+    else:
+        n_disk, b_disk = 0, 0
+    return {"versions": len(versions(spark, path)), "data_files": n_disk, "data_bytes": b_disk,
+            "live_files": len(live), "live_bytes": int(sum(f["bytes"] for f in live))}
+
+
+# ---------------------------------------------------------------------------
+# Maintenance
+# ---------------------------------------------------------------------------
+
+def vacuum(spark: SparkSession, path: str, retention_hours: float = DEFAULT_RETENTION_HOURS,
+           enforce_retention: bool = True, dry_run: bool = False) -> list[str]:
+    """Delete data files that no version inside the retention
+    window uses. Below 168 h it refuses unless ``enforce_retention=False``.
+    Versions older than the window become unreadable. Records one VACUUM
+    commit (same files, D13). Returns the deleted (or, dry run, deletable)
+    paths."""
+    if enforce_retention and retention_hours < DEFAULT_RETENTION_HOURS:
+        raise RetentionTooShort(
+            f"retention {retention_hours} h is below {DEFAULT_RETENTION_HOURS} h; "
+            "pass enforce_retention=False to override")
+    now_ms = int(time.time() * 1000)
+    horizon = now_ms - int(retention_hours * 3600 * 1000)
+    latest = load_commit(spark, path)
+    keep = {f["path"] for f in load_files(spark, path, latest)}
+    for v in versions(spark, path):
+        c = load_commit(spark, path, v)
+        if c["timestamp"] >= horizon and v != latest["version"]:
+            keep |= {f["path"] for f in load_files(spark, path, c)}
+    root = _root(spark, path)
+    if not fs.exists(spark, f"{root}/{DATA}"):
+        return []
+    listed = (_listing(spark, path)
+              .select("path", F.unix_millis("modificationTime").alias("mtime")).collect())
+    # A file younger than the window may belong to a write still in flight.
+    dead = [p for p, mtime in ((fs.normalize(r["path"]), r["mtime"]) for r in listed)
+            if p not in keep and mtime <= horizon]
+    if dry_run:
+        return dead
+    for p in dead:
+        fs.delete(spark, p)
+    _commit(spark, path, latest["version"] + 1, "VACUUM",
+            {"retention_hours": retention_hours, "deleted_files": len(dead)},
+            schema_of(latest), load_files(spark, path, latest), latest)
+    return dead
+
+
+def compact(spark: SparkSession, path: str, target_file_bytes: int = 128 * 1024 * 1024,
+            small_file_bytes: int | None = None) -> int:
+    """T17 ``OPTIMIZE``: rewrite the small files of the current version into
+    about ``target_file_bytes`` each; same rows, fewer files. Uses
+    ``coalesce`` (merges input splits, no shuffle)."""
+    small_file_bytes = small_file_bytes or target_file_bytes // 2
+    commit, files, schema = _snapshot(spark, path)
+    small = [f for f in files if f["bytes"] < small_file_bytes]
+    if len(small) < 2:
+        return commit["version"]
+    total = sum(f["bytes"] for f in small)
+    n_out = max(1, math.ceil(total / target_file_bytes))
+    touched = {f["path"] for f in small}
+    return _rewrite(spark, path, commit, files, schema, touched,
+                    lambda d: d.coalesce(n_out), "OPTIMIZE",
+                    {"files_in": len(small), "files_out_target": n_out})
+
+
+def adopt(spark: SparkSession, parquet_dir: str, path: str,
+          stats_columns: Sequence[str] = ()) -> int:
+    """Make an existing Parquet directory a versioned table in place —
+    version 0 lists the existing files, nothing is rewritten."""
+    if is_table(spark, path):
+        raise TableError(f"table already exists at {path}")
+    df = spark.read.parquet(parquet_dir)
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(stats_columns):
+        aggs += [F.min(c).alias(f"_min{i}"), F.max(c).alias(f"_max{i}")]
+    desc = (df.groupBy(F.col("_metadata.file_path").alias("_p"),
+                       F.col("_metadata.file_size").alias("_b")).agg(*aggs).collect())
+    entries = []
+    for r in desc:
+        e = {"path": fs.normalize(r["_p"]), "rows": int(r["_rows"]), "bytes": int(r["_b"]),
+             "added_version": 0}
+        if stats_columns:
+            e["stats"] = {c: [_jsonable(r[f"_min{i}"]), _jsonable(r[f"_max{i}"])]
+                          for i, c in enumerate(stats_columns)}
+        entries.append(e)
+    return _commit(spark, path, 0, "CONVERT", {"source": parquet_dir}, df.schema, entries, None,
+                   properties={"stats_columns": list(stats_columns), "cluster_by": []})
