@@ -531,3 +531,125 @@ def append_orders(spark: SparkSession, d: str) -> DataFrame:
     batch = (o.filter(F.col("o_orderstatus") == "P")
               .withColumn("o_orderstatus", F.lit("O")))
     return table_rows.appended(o, batch)
+
+
+# ---------------------------------------------------------------------------
+# Streaming twins (X1-X7, X13): real Structured Streaming queries over the
+# driver tables as a file source, run to completion with availableNow into a
+# file sink in the shared checkpoint folder, then read back. Append mode
+# emits a window/session only once the watermark (max event time − 10 min)
+# has passed its end, so the twins keep exactly those.
+# ---------------------------------------------------------------------------
+
+def _stream_source(spark: SparkSession, d: str, name: str) -> DataFrame:
+    schema = read_table(spark, d, name).schema
+    # A file stream source needs a directory or a glob; the bracket glob
+    # matches exactly the one table file.
+    return spark.readStream.schema(schema).parquet(f"{d.rstrip('/')}/{name[:-1]}[{name[-1]}].parquet")
+
+
+def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.streaming.windows import run_to_files
+    base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:12]}")
+    q = run_to_files(df, f"{base}/out", f"{base}/checkpoint")
+    q.awaitTermination()
+    out = spark.read.schema(df.schema).parquet(f"{base}/out")
+    ts_cols = [f.name for f in df.schema.fields if f.dataType.typeName() == "timestamp"]
+    return out.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in ts_cols else F.col(c)
+                        for c in out.columns])
+
+
+_CLOSED = "(SELECT MAX(ts) FROM events) - INTERVAL '10 minutes'"
+
+
+@register("stream_tumbling_events", f"""
+SELECT * FROM ({ORACLE['tumbling_events']}) w WHERE window_end <= {_CLOSED}
+""")
+def stream_tumbling_events(spark: SparkSession, d: str) -> DataFrame:
+    from tidepool.streaming.events import to_event_time
+    from tidepool.streaming.windows import windowed_counts
+    ev = to_event_time(_stream_source(spark, d, "events"), "ts")
+    return _run_stream(spark, windowed_counts(ev, "ts", "5 minutes", ["user_id"]), "tumbling")
+
+
+@register("stream_sliding_events", f"""
+SELECT * FROM ({ORACLE['sliding_events']}) w WHERE window_end <= {_CLOSED}
+""")
+def stream_sliding_events(spark: SparkSession, d: str) -> DataFrame:
+    from tidepool.streaming.events import to_event_time
+    from tidepool.streaming.windows import windowed_counts
+    ev = to_event_time(_stream_source(spark, d, "events"), "ts")
+    return _run_stream(spark, windowed_counts(ev, "ts", "10 minutes", slide="5 minutes"), "sliding")
+
+
+@register("stream_session_windows", f"""
+SELECT * FROM ({ORACLE['session_windows']}) s WHERE session_end <= {_CLOSED}
+""")
+def stream_session_windows(spark: SparkSession, d: str) -> DataFrame:
+    from tidepool.streaming.events import to_event_time
+    from tidepool.streaming.windows import session_counts
+    ev = to_event_time(_stream_source(spark, d, "events"), "ts")
+    return _run_stream(spark, session_counts(ev, "ts", "2 hours", ["user_id"]), "sessions")
+
+
+@register("stream_json_props", ORACLE["json_props"])
+def stream_json_props(spark: SparkSession, d: str) -> DataFrame:
+    ev = _stream_source(spark, d, "events")
+    out = ev.select("event_id", F.from_json("props", "k INT").getField("k").alias("k"))
+    return _run_stream(spark, out, "json_props")
+
+
+@register("stream_error_counts", f"""
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
+         time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
+         user_id, COUNT(*) AS n
+  FROM events WHERE event_type = 'error' GROUP BY 1, 2, 3) w
+WHERE window_end <= {_CLOSED}
+""")
+def stream_error_counts(spark: SparkSession, d: str) -> DataFrame:
+    """M9 as a stream: hourly error counts per user (the alerting input)."""
+    from tidepool.streaming.events import to_event_time
+    from tidepool.streaming.windows import windowed_counts
+    ev = to_event_time(_stream_source(spark, d, "events"), "ts").filter(F.col("event_type") == "error")
+    return _run_stream(spark, windowed_counts(ev, "ts", "1 hour", ["user_id"]), "errors")
+
+
+@register("stream_ingest_orders", """
+SELECT o_orderkey AS order_id, o_orderdate AS order_ts, o_orderpriority AS product,
+       o_orderstatus AS region, o_totalprice AS amount,
+       CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS quantity,
+       ROUND(o_totalprice * CAST(substr(o_orderpriority, 1, 1) AS INTEGER), 2) AS total_amount
+FROM orders
+""")
+def stream_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
+    """M6 end to end: orders are published as JSON order events (one line
+    per order, several files), a Structured Streaming job decodes them
+    (X2) and appends each micro-batch to a versioned table through
+    ``foreachBatch`` with exactly-once batch ids (X4, X5); the result is the
+    table read back (X10) without the ingest time stamp."""
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.streaming.events import read_event_files
+    from tidepool.streaming.ingest import run_ingest
+    from tidepool.tables import versioned as T
+    base = scratch_path(spark, f"streams/ingest-{uuid.uuid4().hex[:12]}")
+    o = read_table(spark, d, "orders")
+    payload = F.to_json(F.struct(
+        F.col("o_orderkey").alias("order_id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"),
+        F.col("o_orderpriority").alias("product"),
+        F.col("o_orderstatus").alias("region"),
+        F.col("o_totalprice").alias("amount"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("quantity")))
+    o.select(payload.alias("value")).write.text(f"{base}/in")
+    q = run_ingest(spark, read_event_files(spark, f"{base}/in"), f"{base}/table",
+                   f"{base}/checkpoint", quarantine_path=f"{base}/quarantine", available_now=True)
+    q.awaitTermination()
+    t = T.read(spark, f"{base}/table")
+    return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
+                    "product", "region", "amount", "quantity", "total_amount")
