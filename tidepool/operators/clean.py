@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidepool.operators.partitioning import spread
+
 
 def normalize_code(c: str | Column) -> Column:
     """``upper(trim(x))`` — region codes arrive as ``eu`` or ``" APAC "``."""
@@ -95,7 +97,7 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
         raise ValueError("keep must be 'first' or 'last'")
     packed = F.struct(*[F.col(c) for c in order_by + rest])
     pick = F.min(packed) if keep == "first" else F.max(packed)
-    out = df.groupBy(*keys).agg(pick.alias("_row"))
+    out = spread(df).groupBy(*keys).agg(pick.alias("_row"))
     return out.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in df.columns])
 
 

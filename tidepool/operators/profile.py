@@ -1,8 +1,14 @@
 """Table profile (G12): the ``SUMMARIZE`` the reference names for DuckDB.
 
-One aggregate pass over the table, a handful of measures per column. Exact
-distinct counts are a shuffle of every distinct value; ``approx=True`` uses
-HyperLogLog sketches that merge on the map side instead.
+Long form, one row per column: rows, nulls, distinct values, min, max
+(min/max as strings so all column types fit one schema).
+
+* ``approx=True`` (default): one aggregate pass; distinct counts are
+  HyperLogLog sketches that merge on the map side.
+* ``approx=False``: exact distinct counts. Each column's distinct count is
+  its own single-distinct aggregate (keyed partial aggregate → shuffle of
+  distinct values only), instead of one multi-distinct aggregate whose
+  Expand multiplies every row by the number of columns.
 """
 
 from __future__ import annotations
@@ -11,33 +17,51 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import NumericType
 
+from tidepool.operators.partitioning import spread
 
-def summarize(df: DataFrame, columns: Sequence[str] | None = None,
-              approx: bool = True, rsd: float = 0.02) -> DataFrame:
-    """Long form: one row per column with rows, nulls, distinct, min, max
-    (min/max as strings so different column types fit one schema)."""
-    cols = list(columns or df.columns)
+_OUT = ("column_name", "nulls", "distinct_values", "min_value", "max_value", "rows")
+
+
+def _basic(df: DataFrame, cols: Sequence[str], distinct=None) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for c in cols:
-        aggs += [
-            F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nulls"),
-            (F.approx_count_distinct(c, rsd) if approx else F.count_distinct(c)).alias(f"{c}__distinct"),
-            F.min(c).cast("string").alias(f"{c}__min"),
-            F.max(c).cast("string").alias(f"{c}__max"),
-        ]
-    wide = df.agg(*aggs)
+        aggs += [F.count(F.when(F.col(c).isNull(), 1)).alias(f"{c}__nulls"),
+                 F.min(c).cast("string").alias(f"{c}__min"),
+                 F.max(c).cast("string").alias(f"{c}__max")]
+        if distinct is not None:
+            aggs.append(distinct(c).alias(f"{c}__distinct"))
+    return df.agg(*aggs)
+
+
+def _long(wide: DataFrame, cols: Sequence[str], with_distinct: bool) -> DataFrame:
+    d = "`{c}__distinct`" if with_distinct else "CAST(NULL AS BIGINT)"
     stack = ", ".join(
-        f"'{c}', `{c}__nulls`, `{c}__distinct`, `{c}__min`, `{c}__max`" for c in cols)
+        f"'{c}', `{c}__nulls`, {d.format(c=c)}, `{c}__min`, `{c}__max`" for c in cols)
     return wide.selectExpr(
         f"stack({len(cols)}, {stack}) AS (column_name, nulls, distinct_values, min_value, max_value)",
         "_rows AS rows")
 
 
+def summarize(df: DataFrame, columns: Sequence[str] | None = None,
+              approx: bool = True, rsd: float = 0.02) -> DataFrame:
+    cols = list(columns or df.columns)
+    if approx:
+        wide = _basic(df, cols, lambda c: F.approx_count_distinct(c, rsd))
+        return _long(wide, cols, True)
+    src = spread(df.select(*cols))
+    base = _long(_basic(src, cols), cols, False).drop("distinct_values")
+    counts = None
+    for c in cols:
+        one = src.agg(F.count_distinct(c).alias("distinct_values")) \
+                 .select(F.lit(c).alias("column_name"), "distinct_values")
+        counts = one if counts is None else counts.unionByName(one)
+    # both sides have one row per profiled column: a bounded broadcast
+    return base.join(F.broadcast(counts), "column_name").select(*_OUT)
+
+
 def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``df.summary()``-style count/mean/stddev/min/max for numeric columns."""
-    cols = list(columns or [f.name for f in df.schema.fields
-                            if isinstance(f.dataType, NumericType)
-                            and not isinstance(f.dataType, StringType)])
+    cols = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)])
     return df.select(*cols).summary("count", "mean", "stddev", "min", "max")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.operators.partitioning import spread
+
 
 def words(df: DataFrame, text_col: str, sep: str = " ", word_col: str = "word") -> DataFrame:
     """One row per token of the whole text: ``explode(split(lower(text), sep))``.
@@ -12,7 +14,8 @@ def words(df: DataFrame, text_col: str, sep: str = " ", word_col: str = "word")
     ``split`` takes a regex and keeps empty tokens (two separators in a row
     give ``""``), exactly like the reference; ``explode`` drops NULL texts.
     """
-    return df.select(F.explode(F.split(F.lower(F.col(text_col)), sep)).alias(word_col))
+    texts = spread(df.select(text_col))
+    return texts.select(F.explode(F.split(F.lower(F.col(text_col)), sep)).alias(word_col))
 
 
 def word_count(df: DataFrame, text_col: str, sep: str = " ") -> DataFrame:
