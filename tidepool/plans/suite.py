@@ -653,3 +653,266 @@ def stream_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
     t = T.read(spark, f"{base}/table")
     return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
                     "product", "region", "amount", "quantity", "total_amount")
+
+
+# ---------------------------------------------------------------------------
+# SQL surface: views, CTEs, functions, federated sources (S17, S18, F13, F14,
+# G15, P16), enrichment pipeline (M8), salted join (J8), features.
+# ---------------------------------------------------------------------------
+
+@register("region_sales_since", f"""
+SELECT r.r_name AS region,
+       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
+FROM {_GEO_SQL}
+WHERE o.o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'
+GROUP BY 1
+""")
+def region_sales_since(spark: SparkSession, d: str) -> DataFrame:
+    """G15 + P16: ``df[df.order_date >= '…'].groupby('region')['amount'].sum()``.
+    The date bound reaches the Parquet scan as a pushed filter."""
+    x = orders_with_region(spark, d).filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    return x.groupBy("region").agg(agg.money_sum("o_totalprice").alias("amount"))
+
+
+@register("view_over_filter", """
+SELECT o_orderpriority, COUNT(*) AS orders,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
+FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'
+GROUP BY 1
+""")
+def view_over_filter(spark: SparkSession, d: str) -> DataFrame:
+    """A temp view defined as a filter, then an aggregate over it."""
+    from tidepool.sources.catalog import create_view
+    read_table(spark, d, "orders").createOrReplaceTempView("orders_src_v")
+    create_view(spark, "open_recent_orders",
+                "SELECT * FROM orders_src_v WHERE o_orderstatus = 'O' "
+                "AND o_orderdate >= TIMESTAMP_NTZ '1999-01-01 00:00:00'")
+    return spark.sql("""
+        SELECT o_orderpriority, COUNT(*) AS orders,
+               CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
+        FROM open_recent_orders GROUP BY o_orderpriority""")
+
+
+@register("cte_segment_spend", """
+WITH spend AS (
+  SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s, COUNT(*) AS n
+  FROM orders GROUP BY o_custkey)
+SELECT c.c_mktsegment, COUNT(*) AS customers, CAST(SUM(spend.n) AS BIGINT) AS orders,
+       CAST(SUM(spend.s) AS DECIMAL(38,2)) AS spend
+FROM spend JOIN customer c ON spend.o_custkey = c.c_custkey
+GROUP BY 1
+""")
+def cte_segment_spend(spark: SparkSession, d: str) -> DataFrame:
+    """a ``WITH`` query in Spark SQL, aggregating before the join."""
+    read_table(spark, d, "orders").createOrReplaceTempView("orders_cte_src")
+    read_table(spark, d, "customer").createOrReplaceTempView("customer_cte_src")
+    return spark.sql("""
+        WITH spend AS (
+          SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s, COUNT(*) AS n
+          FROM orders_cte_src GROUP BY o_custkey)
+        SELECT c.c_mktsegment, COUNT(*) AS customers, CAST(SUM(spend.n) AS BIGINT) AS orders,
+               CAST(SUM(spend.s) AS DECIMAL(38,2)) AS spend
+        FROM spend JOIN customer_cte_src c ON spend.o_custkey = c.c_custkey
+        GROUP BY c.c_mktsegment""")
+
+
+@register("regex_dates_json", """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day,
+       regexp_extract(event_type, '^([a-z])', 1) AS type_initial,
+       COUNT(*) AS events,
+       CAST(SUM(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS k_total
+FROM events GROUP BY 1, 2
+""")
+def regex_dates_json(spark: SparkSession, d: str) -> DataFrame:
+    """a regex, a date function and a JSON path in one aggregate."""
+    ev = read_table(spark, d, "events")
+    return (ev.groupBy(F.to_date(F.date_trunc("day", "ts")).alias("day"),
+                       F.regexp_extract("event_type", r"^([a-z])", 1).alias("type_initial"))
+              .agg(F.count(F.lit(1)).alias("events"),
+                   F.sum(F.get_json_object("props", "$.k").cast("int")).cast("bigint").alias("k_total")))
+
+
+@register("doc_token_stats", """
+SELECT lang, COUNT(*) AS docs,
+       CAST(SUM(len(string_split(text, ' '))) AS BIGINT) AS tokens,
+       CAST(SUM(CASE WHEN list_contains(string_split(lower(text), ' '), 'the') THEN 1 ELSE 0 END) AS BIGINT)
+         AS docs_with_the
+FROM documents GROUP BY 1
+""")
+def doc_token_stats(spark: SparkSession, d: str) -> DataFrame:
+    """F13 arrays: ``size`` and ``array_contains`` over ``split`` of the whole
+    text, per language."""
+    docs = read_table(spark, d, "documents").select("lang", "text")
+    toks = F.split("text", " ")
+    return (docs.groupBy("lang")
+                .agg(F.count(F.lit(1)).alias("docs"),
+                     F.sum(F.size(toks)).cast("bigint").alias("tokens"),
+                     F.sum(F.array_contains(F.split(F.lower("text"), " "), "the").cast("int"))
+                      .cast("bigint").alias("docs_with_the")))
+
+
+@register("federated_sql", """
+SELECT c.c_mktsegment, r.r_name AS region, COUNT(*) AS orders,
+       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1, 2
+""")
+def federated_sql(spark: SparkSession, d: str) -> DataFrame:
+    """One SQL statement over three formats — orders from Parquet
+    (queried in place), customers from CSV and nations from JSON, both
+    exported by Spark into the shared folder first (the reference's
+    Parquet + CSV + JDBC join, with files standing in for the database)."""
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.sources import read_csv, write_csv
+    base = scratch_path(spark, f"federated/{uuid.uuid4().hex[:12]}")
+    write_csv(read_table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+              f"{base}/customer_csv")
+    (read_table(spark, d, "nation").join(read_table(spark, d, "region"),
+                                        F.col("n_regionkey") == F.col("r_regionkey"))
+     .select("n_nationkey", "r_name").write.json(f"{base}/nation_json"))
+    read_csv(spark, f"{base}/customer_csv",
+             schema="c_custkey bigint, c_nationkey int, c_mktsegment string").createOrReplaceTempView("fed_customer")
+    spark.read.schema("n_nationkey int, r_name string").json(f"{base}/nation_json") \
+        .createOrReplaceTempView("fed_nation")
+    return spark.sql(f"""
+        SELECT c.c_mktsegment, n.r_name AS region, COUNT(*) AS orders,
+               CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
+        FROM parquet.`{d.rstrip('/')}/orders.parquet` o
+          JOIN fed_customer c ON o.o_custkey = c.c_custkey
+          JOIN fed_nation n ON c.c_nationkey = n.n_nationkey
+        GROUP BY c.c_mktsegment, n.r_name""")
+
+
+@register("nightly_etl_events", """
+SELECT r.r_name AS region, COUNT(*) AS events,
+       CAST(SUM(CAST(e.value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_total
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY 1
+""")
+def nightly_etl_events(spark: SparkSession, d: str) -> DataFrame:
+    """M8: raw JSON logs (events exported as JSON lines) ⋈ customer
+    dimension → totals per region → Parquet, read back."""
+    import uuid
+
+    from tidepool.medallion import nightly_etl
+    from tidepool.session import scratch_path
+    base = scratch_path(spark, f"nightly/{uuid.uuid4().hex[:12]}")
+    read_table(spark, d, "events").select("user_id", "event_type", "value", "props") \
+        .write.json(f"{base}/logs")
+    c = read_table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    cust = c.join(geography(spark, d), c.c_nationkey == F.col("n_nationkey")).select("user_id", "region")
+    out = nightly_etl(spark, f"{base}/logs", "user_id bigint, event_type string, value double, props string",
+                      cust, "user_id", f"{base}/by_region", amount_col="value")
+    return out.withColumnRenamed("amount", "value_total")
+
+
+@register("salted_join_events", """
+SELECT c.c_mktsegment, COUNT(*) AS events,
+       CAST(SUM(CAST(e.value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_total
+FROM events e JOIN customer c ON e.user_id = c.c_custkey
+GROUP BY 1
+""")
+def salted_join_events(spark: SparkSession, d: str) -> DataFrame:
+    """Events ⋈ customer with every user key spread over 8 salts, for
+    when one user holds a large share of the events."""
+    ev = read_table(spark, d, "events").select("user_id", "value")
+    c = read_table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
+    j = joins.salted_join(ev, c, "user_id", salts=8)
+    return j.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("events"),
+                                         agg.money_sum("value").alias("value_total"))
+
+
+@register("user_features", """
+SELECT user_id,
+       COUNT(*) FILTER (WHERE event_type = 'click') AS click,
+       COUNT(*) FILTER (WHERE event_type = 'error') AS error,
+       COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchase,
+       COUNT(*) FILTER (WHERE event_type = 'signup') AS signup,
+       COUNT(*) FILTER (WHERE event_type = 'view') AS view,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS value_total,
+       COUNT(DISTINCT CAST(ts AS DATE)) AS active_days
+FROM events GROUP BY 1
+""")
+def user_features(spark: SparkSession, d: str) -> DataFrame:
+    """Per-user feature table (event-type counts via pivot, spend,
+    active days) — the input of ``tidepool.ml.assemble``."""
+    from tidepool.ml import user_feature_table
+    return user_feature_table(read_table(spark, d, "events"))
+
+
+@register("kmeans_embeddings")
+def kmeans_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    """K-means (k=10, fixed seed) over all embedding vectors; the
+    result is the size and mean label of each cluster. Iterative, so no SQL
+    twin."""
+    from tidepool.ml import kmeans
+    _, scored = kmeans(read_table(spark, d, "embeddings"), "embedding", k=10)
+    return scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"),
+                                         F.avg("label").alias("mean_label"))
+
+
+# ---------------------------------------------------------------------------
+# Versioned tables end to end (T1-T5, T7, T10): the orders table is written
+# as a versioned table in the shared folder, changed by an append, a
+# copy-on-write UPDATE and a DELETE, then read at a past or current version.
+# ---------------------------------------------------------------------------
+
+def _orders_table(spark: SparkSession, d: str) -> str:
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.tables import versioned as T
+    path = scratch_path(spark, f"tables/orders-{uuid.uuid4().hex[:12]}")
+    o = read_table(spark, d, "orders").select(*[c.strip() for c in _ORDER_COLS.split(",")])
+    T.write(o, path, "overwrite", stats_columns=["o_orderdate", "o_totalprice"])          # v0
+    T.write(o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("O")),
+            path, "append")                                                               # v1
+    T.update(spark, path, F.col("o_orderstatus") == "F",
+             {"o_totalprice": F.col("o_totalprice") * F.lit(1.1)})                        # v2
+    T.delete(spark, path, (F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 100000))  # v3
+    return path
+
+
+@register("versioned_time_travel", ORACLE["append_orders"])
+def versioned_time_travel(spark: SparkSession, d: str) -> DataFrame:
+    """After four commits, version 1 (the append) still reads as it was."""
+    from tidepool.tables import versioned as T
+    return T.read(spark, _orders_table(spark, d), version=1)
+
+
+@register("versioned_current", f"""
+WITH v1 AS ({ORACLE['append_orders']}),
+v2 AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus,
+         CASE WHEN o_orderstatus = 'F' THEN o_totalprice * CAST(1.1 AS DOUBLE) ELSE o_totalprice END
+           AS o_totalprice,
+         o_orderdate, o_orderpriority
+  FROM v1)
+SELECT * FROM v2 WHERE NOT coalesce(o_orderpriority = '5-LOW' AND o_totalprice < 100000, false)
+""")
+def versioned_current(spark: SparkSession, d: str) -> DataFrame:
+    """The current version after append, UPDATE and DELETE."""
+    from tidepool.tables import versioned as T
+    return T.read(spark, _orders_table(spark, d))
+
+
+@register("versioned_history", f"""
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, (SELECT COUNT(*) FROM orders) AS num_rows
+UNION ALL
+SELECT 1, 'APPEND', (SELECT COUNT(*) FROM ({ORACLE['append_orders']}) a)
+UNION ALL
+SELECT 2, 'UPDATE', (SELECT COUNT(*) FROM ({ORACLE['append_orders']}) a)
+UNION ALL
+SELECT 3, 'DELETE', (SELECT COUNT(*) FROM ({ORACLE['versioned_current']}) c)
+""")
+def versioned_history(spark: SparkSession, d: str) -> DataFrame:
+    """The commit history of that table (operation and row count per
+    version; timestamps are not compared)."""
+    from tidepool.tables import versioned as T
+    return T.history(spark, _orders_table(spark, d)).select("version", "operation", "num_rows")
