@@ -14,7 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from tidepool.session import build
     s = build(master="local[8]", app_name="tidepool-tests", shuffle_partitions=8,
-              extra={"spark.driver.memory": "8g"})
+              extra={"spark.driver.memory": "8g",
+                     "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tidepool-wh-")})
     yield s
     s.stop()
 

@@ -48,12 +48,21 @@ def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:
     """K4 ``INSERT INTO … VALUES`` through the V2 writer (K6): rows are
     typed by the table's own schema, then ``writeTo(name).append()``."""
     schema = spark.table(name).schema
-    spark.createDataFrame(list(rows), schema).writeTo(name).append()
+    append(spark.createDataFrame(list(rows), schema), name)
 
 
 def append(df: DataFrame, name: str) -> None:
-    """K6: ``df.writeTo(name).append()``."""
-    df.writeTo(name).append()
+    """K6: ``df.writeTo(name).append()`` on V2 catalogs (Iceberg-style);
+    session-catalog Parquet tables are V1, where the same append is
+    ``insertInto`` with the columns first put in the table's order."""
+    from pyspark.errors import AnalysisException
+    try:
+        df.writeTo(name).append()
+    except AnalysisException as e:
+        if "v1 table" not in str(e).lower():
+            raise
+        cols = df.sparkSession.table(name).columns
+        df.select(*cols).write.insertInto(name)
 
 
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
