@@ -102,3 +102,21 @@ def test_silver_has_no_python_udf(spark, layers):
     res = M.silver_frame(T.read(spark, paths["bronze"]))
     from tidepool.plans.inspect import uses_python
     assert not uses_python(res.silver)
+
+
+def test_region_summary_dict_agg_and_joins_golden(spark, layers):
+    from tidepool.operators import aggregates as agg
+    from tidepool.operators import joins
+    paths, _ = layers
+    s = T.read(spark, paths["silver"])
+    regions = {r.region: (r.revenue, r.orders) for r in agg.region_summary(s).collect()}
+    assert regions == {"US": (4684.0, 5), "APAC": (3446.98, 4), "EU": (2948.95, 4)}
+    d = agg.dict_agg(s, ["region"], {"total_amount": "sum", "order_id": "count"},
+                     {"sum(total_amount)": "revenue", "count(order_id)": "orders"})
+    assert {r.region: r.orders for r in d.collect()} == {"US": 5, "APAC": 4, "EU": 4}
+    b = T.read(spark, paths["bronze"]).withColumn("order_id", F.col("order_id").cast("bigint"))
+    gone = sorted(r.order_id for r in joins.anti(b, s, "order_id").collect())
+    assert gone == [1014, 1015, 1016]
+    status = joins.keep_status(b, s, "order_id").collect()
+    assert len(status) == 18
+    assert sorted(r.order_id for r in status if r.status == "FILTERED") == [1014, 1015, 1016]

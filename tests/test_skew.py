@@ -44,3 +44,19 @@ def test_broadcast_only_when_bounded(spark):
     assert joins.bounded(small, 10) and not joins.bounded(big, 10)
     assert "strategy=broadcast" in explain_text(joins.broadcast_if_bounded(small, 10), "extended")
     assert "strategy=broadcast" not in explain_text(joins.broadcast_if_bounded(big, 10), "extended")
+
+
+def test_bucketed_sessions_equal_builtin(spark):
+    import random
+    rnd = random.Random(7)
+    rows, t = [], 0
+    for i in range(4000):
+        k = 0 if i % 3 == 0 else rnd.randint(1, 40)
+        t += rnd.choice([1, 5, 30, 90, 200, 3000])  # bursts and long silences (seconds)
+        rows.append((k, t))
+    df = spark.createDataFrame(rows, "k int, s long").select(
+        "k", F.timestamp_seconds("s").alias("ts"))
+    for gap, bucket in (("10 minutes", None), ("1 hour", "30 minutes"), ("5 minutes", "7 minutes")):
+        a = sorted(tuple(r) for r in agg.sessions(df, "ts", gap, ["k"], bucket=bucket).collect())
+        b = sorted(tuple(r) for r in agg.sessions_builtin(df, "ts", gap, ["k"]).collect())
+        assert a == b, (gap, bucket)

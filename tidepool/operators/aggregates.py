@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MONEY = "decimal(38,2)"
@@ -111,15 +111,11 @@ def sliding(df: DataFrame, ts_col: str, width: str, slide: str, keys: Sequence[s
                     *[c for c in g.columns if c not in ("w", *keys)])
 
 
-def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
-             aggs: Sequence[Column] | None = None) -> DataFrame:
-    """X13 batch form: activity sessions that close after ``gap`` of silence.
-
-    ``session_window`` merges sessions inside each map partition before the
-    shuffle (see ``session.RECOMMENDED_CONF``), so a very active key is
-    shipped as a handful of partial sessions, not as its raw events.
-    The session end is the last event plus ``gap``.
-    """
+def sessions_builtin(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
+                     aggs: Sequence[Column] | None = None) -> DataFrame:
+    """X13 with Spark's ``session_window`` as is: simple, but every event of
+    a key is shuffled to one task (the partial aggregate keys on each
+    event's own window, so nothing combines before the shuffle)."""
     aggs = list(aggs) if aggs else [F.count(F.lit(1)).alias("n")]
     g = df.groupBy(*keys, F.session_window(ts_col, gap).alias("s")).agg(*aggs)
     return g.select(*keys, F.col("s.start").alias("session_start"),
@@ -127,6 +123,66 @@ def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
                     *[c for c in g.columns if c not in ("s", *keys)])
 
 
+def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
+             bucket: str | None = None) -> DataFrame:
+    """X13 batch form: per key, activity sessions that close after ``gap``
+    of silence — ``[first event, last event + gap)`` and the event count,
+    exactly as ``session_window`` defines them — without sending a key's
+    whole history to one task.
+
+    1. Events are cut into time buckets (default 24 × gap) and sessionized
+       per (key, bucket) with ``session_window``: a key holding a third of
+       all rows is spread over as many tasks as it has buckets.
+    2. A bucket-local session can only continue into a neighbouring bucket
+       if it starts within ``gap`` of its bucket's start or ends past its
+       bucket's end. All other sessions are final.
+    3. Only those edge sessions (at most two per key and bucket, so bounded
+       by the time span, not by the row count) are merged per key: ordered
+       by start, a new session begins where the start is not before the
+       running maximum end of the previous ones. Inner sessions pass
+       through the same window in partitions of their own.
+    """
+    keys = list(keys)
+    bucket = bucket or _scale_interval(gap, 24)
+    width_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {bucket})")
+    ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    b = df.select(*keys, F.col(ts_col).alias("_ts"), (ts_us - F.pmod(ts_us, width_us)).alias("_b0"))
+    # Start/end come from min/max aggregates, not from the session_window
+    # struct: a filter on the struct is a filter on a grouping column, which
+    # Catalyst pushes below the aggregate — onto the per-event windows that
+    # exist before sessions are merged — and silently splits sessions.
+    local = (b.groupBy(*keys, "_b0", F.session_window("_ts", gap).alias("s"))
+              .agg(F.count(F.lit(1)).alias("n"), F.min("_ts").alias("_first"),
+                   F.max("_ts").alias("_last"))
+              .select(*keys, "_b0", F.col("_first").alias("session_start"),
+                      (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("session_end"), "n"))
+    start_us = F.unix_micros(F.col("session_start").cast("timestamp"))
+    end_us = F.unix_micros(F.col("session_end").cast("timestamp"))
+    gap_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {gap})")
+    edge = (start_us < F.col("_b0") + gap_us) | (end_us > F.col("_b0") + width_us)
+    # One flow: edge sessions share the window partition (key, NULL) and are
+    # merged by a running max of their ends; every inner session is alone in
+    # its partition (key, its own start) and passes through unchanged. The
+    # final aggregate groups by (key, _mk, _sid), which the window's hash
+    # partitioning on (key, _mk) already satisfies: no third shuffle.
+    tagged = local.withColumn("_mk", F.when(edge, F.lit(None)).otherwise(start_us))
+    order = Window.partitionBy(*keys, "_mk").orderBy("session_start", "session_end")
+    prev_end = F.max("session_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    flagged = tagged.withColumn("_new", F.coalesce(F.col("session_start") >= prev_end, F.lit(True)))
+    numbered = flagged.withColumn("_sid", F.sum(F.col("_new").cast("int")).over(
+        order.rowsBetween(Window.unboundedPreceding, 0)))
+    return (numbered.groupBy(*keys, "_mk", "_sid")
+                    .agg(F.min("session_start").alias("session_start"),
+                         F.max("session_end").alias("session_end"), F.sum("n").alias("n"))
+                    .select(*keys, "session_start", "session_end", "n"))
+
+
+def _scale_interval(interval: str, factor: int) -> str:
+    """'2 hours' × 24 → '48 hours' (number followed by a unit)."""
+    num, unit = interval.split(None, 1)
+    return f"{int(float(num) * factor)} {unit}"
+
+
 def resample(df: DataFrame, ts_col: str, unit: str, aggs: Sequence[Column],
              fill: bool = True, step: str | None = None) -> DataFrame:
     """Bucket by ``date_trunc(unit)`` and aggregate; with ``fill`` every
