@@ -161,3 +161,22 @@ def test_streaming_txn_is_idempotent(spark, tmp):
     T.write(spark.range(3), path, "append", txn=("q1", 0))  # replay
     T.write(spark.range(3, 4), path, "append", txn=("q1", 1))
     assert T.read(spark, path).count() == 4
+
+
+def test_expire_versions_then_vacuum_orphans(spark, sales):
+    gone = T.expire_versions(spark, sales, older_than_hours=0, keep_last=1)
+    assert gone == [0, 1, 2, 3]
+    with pytest.raises(T.VersionNotFound):
+        T.read(spark, sales, version=0)
+    assert T.read(spark, sales).count() == 7
+    dead = T.vacuum(spark, sales, 0, enforce_retention=False)
+    assert dead and T.read(spark, sales).count() == 7
+
+
+def test_merge_with_nondeterministic_source_is_consistent(spark, tmp):
+    path = f"{tmp}/nd"
+    T.write(spark.range(0, 100).withColumn("v", F.lit(0.0)), path, "overwrite")
+    src = spark.range(50, 150).withColumn("v", F.rand(11))
+    T.merge(spark, path, src, ["id"])
+    out = T.read(spark, path)
+    assert out.count() == 150 and out.filter("id >= 50 AND v = 0.0").count() == 0

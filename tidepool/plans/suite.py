@@ -916,3 +916,42 @@ def versioned_history(spark: SparkSession, d: str) -> DataFrame:
     version; timestamps are not compared)."""
     from tidepool.tables import versioned as T
     return T.history(spark, _orders_table(spark, d)).select("version", "operation", "num_rows")
+
+
+@register("versioned_add_column", f"""
+SELECT {_ORDER_COLS},
+       CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(0.1 AS DOUBLE) END AS discount
+FROM orders
+""")
+def versioned_add_column(spark: SparkSession, d: str) -> DataFrame:
+    """``ADD COLUMNS discount`` (new version, same files, old rows read
+    NULL), then an UPDATE fills it for urgent orders."""
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.tables import versioned as T
+    path = scratch_path(spark, f"tables/orders-ac-{uuid.uuid4().hex[:12]}")
+    o = read_table(spark, d, "orders").select(*[c.strip() for c in _ORDER_COLS.split(",")])
+    T.write(o, path, "overwrite")
+    T.add_columns(spark, path, {"discount": "double"})
+    T.update(spark, path, F.col("o_orderpriority") == "1-URGENT", {"discount": F.lit(0.1)})
+    return T.read(spark, path)
+
+
+@register("versioned_merge", ORACLE["merge_accounts"])
+def versioned_merge(spark: SparkSession, d: str) -> DataFrame:
+    """T6 at file level: the account snapshot is a versioned table (clustered
+    by segment, so the merge touches only the files holding matched keys);
+    the change feed is merged in one commit and the new version read back."""
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.tables import versioned as T
+    path = scratch_path(spark, f"tables/accounts-{uuid.uuid4().hex[:12]}")
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    target = c.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE"))
+    source = (c.filter(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD", "MACHINERY"))
+               .withColumn("c_acctbal", F.col("c_acctbal") + F.lit(100.0)))
+    T.write(target, path, "overwrite", cluster_by=["c_mktsegment"], stats_columns=["c_custkey"])
+    T.merge(spark, path, source, ["c_custkey"])
+    return T.read(spark, path)

@@ -76,3 +76,13 @@ def run_to_files(df: DataFrame, out_path: str, checkpoint: str, fmt: str = "parq
            .option("path", out_path).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()
+
+
+def write_kafka(records: DataFrame, servers: str, topic: str, checkpoint: str,
+                processing_time: str = "5 seconds") -> StreamingQuery:
+    """K8: stream ``key``/``value`` records (e.g. :func:`alerts`) to a Kafka
+    topic, on clusters that ship the Kafka connector."""
+    return (records.writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", servers).option("topic", topic)
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=processing_time).start())

@@ -432,7 +432,7 @@ def delete(spark: SparkSession, path: str, condition: Column | str) -> int:
 
 def merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], *,
           matched: str = "update_all", not_matched: str = "insert_all",
-          txn: tuple[str, int] | None = None) -> int:
+          txn: tuple[str, int] | None = None, materialize_source: bool = True) -> int:
     """Upsert ``source`` into the table on ``keys`` in one commit.
 
     ``matched``: ``update_all`` | ``delete`` | ``ignore``;
@@ -441,12 +441,20 @@ def merge(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str]
     (a semi join of the table's key columns against the source keys); they
     are rewritten through one full outer join with the source, and the
     unmatched source rows are inserted in the same commit.
+
+    The source is read three times (key check, touched files, rewrite); with
+    ``materialize_source`` it is first checkpointed into the shared
+    checkpoint folder, so all three see the same rows even if the source is
+    nondeterministic, and an executor loss does not recompute it.
     """
     keys = list(keys)
     commit, files, schema = _snapshot(spark, path)
     if txn is not None and commit.get("txn", {}).get(txn[0], -1) >= txn[1]:
         return commit["version"]
     R.check_schema(schema, source.schema)
+    if materialize_source:
+        from tidepool.session import cut_lineage
+        source = cut_lineage(source)
     R.check_unique(source, keys)
     target = _read_files(spark, files, schema)
     src_keys = source.select(*keys).distinct()
@@ -597,6 +605,28 @@ def vacuum(spark: SparkSession, path: str, retention_hours: float = DEFAULT_RETE
     return dead
 
 
+def expire_versions(spark: SparkSession, path: str, older_than_hours: float = DEFAULT_RETENTION_HOURS,
+                    keep_last: int = 1) -> list[int]:
+    """T16 expire snapshots: drop the commit records (and file lists) of
+    versions older than the window, always keeping the newest ``keep_last``.
+    Expired versions can no longer be read; ``vacuum`` then removes the data
+    files only they used (orphans)."""
+    horizon = int(time.time() * 1000) - int(older_than_hours * 3600 * 1000)
+    vs = versions(spark, path)
+    protected = set(vs[-keep_last:]) if keep_last > 0 else set()
+    root = _root(spark, path)
+    gone = []
+    for v in vs:
+        if v in protected:
+            continue
+        c = load_commit(spark, path, v)
+        if c["timestamp"] < horizon:
+            fs.delete(spark, f"{root}/{MANIFEST}/{c['files']}")
+            fs.delete(spark, _commit_file(root, v))
+            gone.append(v)
+    return gone
+
+
 def compact(spark: SparkSession, path: str, target_file_bytes: int = 128 * 1024 * 1024,
             small_file_bytes: int | None = None) -> int:
     """T17 ``OPTIMIZE``: rewrite the small files of the current version into
