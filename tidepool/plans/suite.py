@@ -955,3 +955,51 @@ def versioned_merge(spark: SparkSession, d: str) -> DataFrame:
     T.write(target, path, "overwrite", cluster_by=["c_mktsegment"], stats_columns=["c_custkey"])
     T.merge(spark, path, source, ["c_custkey"])
     return T.read(spark, path)
+
+
+def _order_events(o: DataFrame) -> DataFrame:
+    """Orders as JSON order events (one line each), the stream payload."""
+    return o.select(F.to_json(F.struct(
+        F.col("o_orderkey").alias("order_id"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("order_ts"),
+        F.col("o_orderpriority").alias("product"),
+        F.col("o_orderstatus").alias("region"),
+        F.col("o_totalprice").alias("amount"),
+        F.substring("o_orderpriority", 1, 1).cast("int").alias("quantity"))).alias("value"))
+
+
+@register("stream_upsert_orders", """
+SELECT o_orderkey AS order_id,
+       CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL '1 day' ELSE o_orderdate END AS order_ts,
+       o_orderpriority AS product,
+       CASE WHEN o_orderstatus = 'O' THEN 'F' ELSE o_orderstatus END AS region,
+       o_totalprice AS amount,
+       CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS quantity,
+       ROUND(o_totalprice * CAST(substr(o_orderpriority, 1, 1) AS INTEGER), 2) AS total_amount
+FROM orders
+""")
+def stream_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Incremental MERGE from a stream. The order feed is published,
+    then a correction feed (open orders closed a day later); the stream
+    merges each micro-batch into a versioned table keyed by order id,
+    keeping the latest event per key, exactly once per batch."""
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.streaming.events import read_event_files
+    from tidepool.streaming.ingest import run_upsert
+    from tidepool.tables import versioned as T
+    base = scratch_path(spark, f"streams/upsert-{uuid.uuid4().hex[:12]}")
+    o = read_table(spark, d, "orders")
+    _order_events(o).write.text(f"{base}/in/a")
+    corrections = (o.filter(F.col("o_orderstatus") == "O")
+                    .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
+                    .withColumn("o_orderstatus", F.lit("F")))
+    _order_events(corrections).write.text(f"{base}/in/b")
+    src = read_event_files(spark, f"{base}/in/*")
+    q = run_upsert(spark, src, f"{base}/table", f"{base}/checkpoint", ["order_id"], ["order_ts"],
+                   available_now=True)
+    q.awaitTermination()
+    t = T.read(spark, f"{base}/table")
+    return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
+                    "product", "region", "amount", "quantity", "total_amount")
