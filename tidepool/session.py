@@ -1,9 +1,10 @@
 """Session set-up (R4, R5) and the shared scratch folder used to cut lineage.
 
 Everything here is plain ``SparkSession.builder`` configuration. On a cluster
-the submitter owns the session; :func:`tune` only fills in settings that are
-still unset, and :func:`checkpoint_dir` reads ``spark.checkpoint.dir`` from the
-session and only creates a local folder when none is configured (tests).
+the submitter owns the session; :func:`tune` sets the few runtime SQL
+settings the library relies on (:data:`REQUIRED_CONF`) and fills in other
+unset ones, and :func:`checkpoint_dir` reads ``spark.checkpoint.dir`` from
+the session and only creates a local folder when none is configured (tests).
 """
 
 from __future__ import annotations
@@ -28,6 +29,21 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Parquet footers carry min/max per row group; keep filter pushdown on.
     "spark.sql.parquet.filterPushdown": "true",
+    # Broadcast only what is measured: no planner-estimate broadcasts (an
+    # estimate from compressed file sizes is no bound); AQE converts a join
+    # to broadcast when the *materialised* side is under 32 MB. Explicit
+    # broadcasts go through joins.broadcast_if_bounded (a counted bound).
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+}
+
+# Settings the query suite relies on; applied to any session it runs in.
+REQUIRED_CONF: dict[str, str] = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
@@ -59,13 +75,16 @@ def build(
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply runtime-settable recommended settings that are still unset."""
+    """Apply :data:`REQUIRED_CONF` to a session built elsewhere (all are
+    runtime SQL settings), and the other recommended ones that are unset."""
     for k, v in RECOMMENDED_CONF.items():
         try:
             if spark.conf.get(k, None) is None:
                 spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave it
             pass
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
     return spark
 
 
