@@ -45,3 +45,67 @@ def kmeans(df: DataFrame, vector_col: str, k: int = 10, seed: int = 42, max_iter
     model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vector_col,
                    predictionCol="cluster").fit(data)
     return model, model.transform(data)
+
+
+def pca(df: DataFrame, vector_col: str, k: int = 3):
+    """Principal components of a vector (or ``array<float>``) column;
+    returns the model (``explainedVariance``) and the projected rows."""
+    from pyspark.ml.feature import PCA
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql.types import ArrayType
+    data = df
+    if isinstance(df.schema[vector_col].dataType, ArrayType):
+        data = df.withColumn(vector_col, array_to_vector(vector_col))
+    model = PCA(k=k, inputCol=vector_col, outputCol="pca").fit(data)
+    return model, model.transform(data)
+
+
+def implicit_als(interactions: DataFrame, user: str, item: str, strength: str,
+                 rank: int = 8, seed: int = 42, max_iter: int = 10):
+    """M10 recommendations from interactions (implicit-feedback ALS)."""
+    from pyspark.ml.recommendation import ALS
+    als = ALS(userCol=user, itemCol=item, ratingCol=strength, implicitPrefs=True, rank=rank,
+              seed=seed, maxIter=max_iter, coldStartStrategy="drop", nonnegative=True)
+    return als.fit(interactions)
+
+
+def classifier(kind: str = "tree", label: str = "label", features: str = "features", seed: int = 42):
+    """M10 supervised learners on an assembled feature vector:
+    ``logistic`` (regression), ``tree``, ``forest``, ``gbt``."""
+    from pyspark.ml import classification as C
+    if kind == "logistic":
+        return C.LogisticRegression(labelCol=label, featuresCol=features, maxIter=50)
+    if kind == "tree":
+        return C.DecisionTreeClassifier(labelCol=label, featuresCol=features, seed=seed, maxDepth=5)
+    if kind == "forest":
+        return C.RandomForestClassifier(labelCol=label, featuresCol=features, seed=seed, numTrees=20)
+    if kind == "gbt":
+        return C.GBTClassifier(labelCol=label, featuresCol=features, seed=seed, maxIter=20)
+    raise ValueError(f"unknown classifier {kind!r}")
+
+
+def document_features(documents: DataFrame) -> DataFrame:
+    """Per-document numeric features from the whole text (length, tokens,
+    lines, upper-case share, digit share) for the label models."""
+    t = F.col("text")
+    n = F.greatest(F.length(t), F.lit(1))
+    return documents.select(
+        "doc_id",
+        F.length(t).cast("double").alias("chars"),
+        F.size(F.split(t, " ")).cast("double").alias("tokens"),
+        F.size(F.split(t, "\n")).cast("double").alias("lines"),
+        (F.length(F.regexp_replace(t, "[^A-Z]", "")) / n).alias("upper_share"),
+        (F.length(F.regexp_replace(t, "[^0-9]", "")) / n).alias("digit_share"))
+
+
+DOC_FEATURES = ("chars", "tokens", "lines", "upper_share", "digit_share")
+
+
+def fit_label_model(documents: DataFrame, labels: DataFrame, label_col: str, kind: str = "tree"):
+    """Train ``kind`` on document features joined to a 0/1 label column;
+    returns (model, scored rows)."""
+    data = (document_features(documents).join(labels.select("doc_id", label_col), "doc_id")
+            .withColumnRenamed(label_col, "label"))
+    vec = assemble(data, list(DOC_FEATURES))
+    model = classifier(kind).fit(vec)
+    return model, model.transform(vec)

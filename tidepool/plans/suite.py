@@ -1003,3 +1003,26 @@ def stream_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
     t = T.read(spark, f"{base}/table")
     return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
                     "product", "region", "amount", "quantity", "total_amount")
+
+
+@register("pca_embeddings")
+def pca_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    """Explained variance of the first three principal components of
+    all embeddings (iterative fit, no SQL twin)."""
+    from tidepool.ml import pca
+    model, _ = pca(read_table(spark, d, "embeddings"), "embedding", k=3)
+    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(model.explainedVariance)],
+                                 "component int, explained_variance double")
+
+
+@register("quality_tree")
+def quality_tree(spark: SparkSession, d: str) -> DataFrame:
+    """Decision tree predicting the document quality label from
+    whole-text features; returns the confusion counts over labelled
+    documents (no SQL twin)."""
+    from tidepool.ml import fit_label_model
+    _, scored = fit_label_model(read_table(spark, d, "documents"), read_table(spark, d, "labels"),
+                                "quality", kind="tree")
+    return (scored.groupBy(F.col("label").cast("int").alias("label"),
+                           F.col("prediction").cast("int").alias("prediction"))
+                  .agg(F.count(F.lit(1)).alias("documents")))
