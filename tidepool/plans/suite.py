@@ -41,7 +41,7 @@ def geography(spark: SparkSession, d: str) -> DataFrame:
     """nation ⋈ region → (n_nationkey, region). 25 rows by definition of the
     schema, still broadcast only after the bound is checked."""
     n = read_table(spark, d, "nation")
-    r = read_table(spark, d, "region")
+    r = joins.broadcast_if_bounded(read_table(spark, d, "region"), 10_000)
     geo = (n.join(r, n.n_regionkey == r.r_regionkey)
             .select("n_nationkey", F.col("r_name").alias("region")))
     return joins.broadcast_if_bounded(geo, 10_000)
