@@ -56,7 +56,7 @@ def test_bucketed_sessions_equal_builtin(spark):
         rows.append((k, t))
     df = spark.createDataFrame(rows, "k int, s long").select(
         "k", F.timestamp_seconds("s").alias("ts"))
-    for gap, bucket in (("10 minutes", None), ("1 hour", "30 minutes"), ("5 minutes", "7 minutes")):
-        a = sorted(tuple(r) for r in agg.sessions(df, "ts", gap, ["k"], bucket=bucket).collect())
+    for gap, fanout in (("10 minutes", 1024), ("1 hour", 2), ("5 minutes", 3), ("90 seconds", 1)):
+        a = sorted(tuple(r) for r in agg.sessions(df, "ts", gap, ["k"], fanout=fanout).collect())
         b = sorted(tuple(r) for r in agg.sessions_builtin(df, "ts", gap, ["k"]).collect())
-        assert a == b, (gap, bucket)
+        assert a == b, (gap, fanout)

@@ -124,51 +124,57 @@ def sessions_builtin(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
 
 
 def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
-             bucket: str | None = None) -> DataFrame:
+             fanout: int = 1024) -> DataFrame:
     """X13 batch form: per key, activity sessions that close after ``gap``
     of silence — ``[first event, last event + gap)`` and the event count,
-    exactly as ``session_window`` defines them — without sending a key's
-    whole history to one task.
-
-    1. Events are cut into time buckets (default 24 × gap) and sessionized
-       per (key, bucket) with ``session_window``: a key holding a third of
-       all rows is spread over as many tasks as it has buckets.
-    2. A bucket-local session can only continue into a neighbouring bucket
-       if it starts within ``gap`` of its bucket's start or ends past its
-       bucket's end. All other sessions are final.
-    3. Only those edge sessions (at most two per key and bucket, so bounded
-       by the time span, not by the row count) are merged per key: ordered
-       by start, a new session begins where the start is not before the
-       running maximum end of the previous ones. Inner sessions pass
+    exactly as ``session_window`` defines them — with no task ever holding
+    more than a bounded slice of one key's history.
+
+    1. **Cells.** Time is cut into cells one ``gap`` wide. Two events of the
+       same cell are less than ``gap`` apart, so a cell always lies inside
+       one session and collapses to (first, last, count): a plain aggregate
+       with a map-side partial phase, so even a burst holding a third of
+       all rows is combined before any shuffle.
+    2. **Local merge.** Cells are merged in time order inside groups of
+       ``fanout`` consecutive cells per key: a new session starts where a
+       cell's first event is at least ``gap`` after the previous cell's
+       last one. A window partition holds at most ``fanout`` rows.
+    3. **Edge merge.** A local session can only continue into another group
+       if it starts within ``gap`` of its group's start or reaches the
+       group's end. Only those edge sessions (≤ 2 per key and group) are
+       merged per key, by the running maximum end; the other sessions pass
        through the same window in partitions of their own.
     """
     keys = list(keys)
-    bucket = bucket or _scale_interval(gap, 24)
-    width_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {bucket})")
+    gap_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {gap})")
     ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    b = df.select(*keys, F.col(ts_col).alias("_ts"), (ts_us - F.pmod(ts_us, width_us)).alias("_b0"))
-    # Start/end come from min/max aggregates, not from the session_window
-    # struct: a filter on the struct is a filter on a grouping column, which
-    # Catalyst pushes below the aggregate — onto the per-event windows that
-    # exist before sessions are merged — and silently splits sessions.
-    local = (b.groupBy(*keys, "_b0", F.session_window("_ts", gap).alias("s"))
-              .agg(F.count(F.lit(1)).alias("n"), F.min("_ts").alias("_first"),
-                   F.max("_ts").alias("_last"))
-              .select(*keys, "_b0", F.col("_first").alias("session_start"),
-                      (F.col("_last") + F.expr(f"INTERVAL {gap}")).alias("session_end"), "n"))
+    cells = (df.select(*keys, F.col(ts_col).alias("_ts"), F.floor(ts_us / gap_us).alias("_cell"))
+               .groupBy(*keys, "_cell")
+               .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
+                    F.count(F.lit(1)).alias("n"))
+               .withColumn("_grp", F.floor(F.col("_cell") / F.lit(fanout))))
+    in_grp = Window.partitionBy(*keys, "_grp").orderBy("_cell")
+    gap_i = F.expr(f"INTERVAL {gap}")
+    # session_window merges an event exactly ``gap`` after the last one
+    # (the session end is inclusive), so a new session needs a larger gap
+    starts = F.coalesce(F.col("_first") > F.lag("_last").over(in_grp) + gap_i, F.lit(True))
+    local = (cells.withColumn("_new", starts.cast("int"))
+                  .withColumn("_lsid", F.sum("_new").over(in_grp.rowsBetween(Window.unboundedPreceding, 0)))
+                  .groupBy(*keys, "_grp", "_lsid")
+                  .agg(F.min("_first").alias("session_start"),
+                       (F.max("_last") + gap_i).alias("session_end"), F.sum("n").alias("n")))
+    grp_us = gap_us * F.lit(fanout)
     start_us = F.unix_micros(F.col("session_start").cast("timestamp"))
     end_us = F.unix_micros(F.col("session_end").cast("timestamp"))
-    gap_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {gap})")
-    edge = (start_us < F.col("_b0") + gap_us) | (end_us > F.col("_b0") + width_us)
-    # One flow: edge sessions share the window partition (key, NULL) and are
-    # merged by a running max of their ends; every inner session is alone in
-    # its partition (key, its own start) and passes through unchanged. The
-    # final aggregate groups by (key, _mk, _sid), which the window's hash
-    # partitioning on (key, _mk) already satisfies: no third shuffle.
+    g0 = F.col("_grp") * grp_us
+    edge = (start_us <= g0 + gap_us) | (end_us >= g0 + grp_us)
+    # Edge sessions share the window partition (key, NULL); each inner
+    # session is alone in (key, its start). The final aggregate groups by
+    # (key, _mk, _sid), which the window's partitioning already satisfies.
     tagged = local.withColumn("_mk", F.when(edge, F.lit(None)).otherwise(start_us))
     order = Window.partitionBy(*keys, "_mk").orderBy("session_start", "session_end")
     prev_end = F.max("session_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    flagged = tagged.withColumn("_new", F.coalesce(F.col("session_start") >= prev_end, F.lit(True)))
+    flagged = tagged.withColumn("_new", F.coalesce(F.col("session_start") > prev_end, F.lit(True)))
     numbered = flagged.withColumn("_sid", F.sum(F.col("_new").cast("int")).over(
         order.rowsBetween(Window.unboundedPreceding, 0)))
     return (numbered.groupBy(*keys, "_mk", "_sid")
@@ -177,12 +183,6 @@ def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
                     .select(*keys, "session_start", "session_end", "n"))
 
 
-def _scale_interval(interval: str, factor: int) -> str:
-    """'2 hours' × 24 → '48 hours' (number followed by a unit)."""
-    num, unit = interval.split(None, 1)
-    return f"{int(float(num) * factor)} {unit}"
-
-
 def resample(df: DataFrame, ts_col: str, unit: str, aggs: Sequence[Column],
              fill: bool = True, step: str | None = None) -> DataFrame:
     """Bucket by ``date_trunc(unit)`` and aggregate; with ``fill`` every

@@ -325,7 +325,7 @@ def sliding_events(spark: SparkSession, d: str) -> DataFrame:
 WITH marked AS (
   SELECT user_id, ts,
          CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
-                OR ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL '2 hours'
+                OR ts > lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL '2 hours'
               THEN 1 ELSE 0 END AS new_session
   FROM events),
 numbered AS (
