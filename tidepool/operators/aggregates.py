@@ -148,11 +148,13 @@ def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
     keys = list(keys)
     gap_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {gap})")
     ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    cells = (df.select(*keys, F.col(ts_col).alias("_ts"), F.floor(ts_us / gap_us).alias("_cell"))
+    grp_us = gap_us * F.lit(fanout)
+    # cell and group ids are their start instants in µs (integer arithmetic)
+    cells = (df.select(*keys, F.col(ts_col).alias("_ts"), (ts_us - F.pmod(ts_us, gap_us)).alias("_cell"))
                .groupBy(*keys, "_cell")
                .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
                     F.count(F.lit(1)).alias("n"))
-               .withColumn("_grp", F.floor(F.col("_cell") / F.lit(fanout))))
+               .withColumn("_grp", F.col("_cell") - F.pmod(F.col("_cell"), grp_us)))
     in_grp = Window.partitionBy(*keys, "_grp").orderBy("_cell")
     gap_i = F.expr(f"INTERVAL {gap}")
     # session_window merges an event exactly ``gap`` after the last one
@@ -163,10 +165,9 @@ def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
                   .groupBy(*keys, "_grp", "_lsid")
                   .agg(F.min("_first").alias("session_start"),
                        (F.max("_last") + gap_i).alias("session_end"), F.sum("n").alias("n")))
-    grp_us = gap_us * F.lit(fanout)
     start_us = F.unix_micros(F.col("session_start").cast("timestamp"))
     end_us = F.unix_micros(F.col("session_end").cast("timestamp"))
-    g0 = F.col("_grp") * grp_us
+    g0 = F.col("_grp")
     edge = (start_us <= g0 + gap_us) | (end_us >= g0 + grp_us)
     # Edge sessions share the window partition (key, NULL); each inner
     # session is alone in (key, its start). The final aggregate groups by
