@@ -180,3 +180,15 @@ def test_merge_with_nondeterministic_source_is_consistent(spark, tmp):
     T.merge(spark, path, src, ["id"])
     out = T.read(spark, path)
     assert out.count() == 150 and out.filter("id >= 50 AND v = 0.0").count() == 0
+
+
+def test_merge_updates_every_matched_copy(spark):
+    from tidepool.tables import rows as R
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "d"), (None, "n")], "k int, v string")
+    source = spark.createDataFrame([(1, "X"), (3, "Y")], "k int, v string")
+    got = sorted((tuple(r) for r in R.merged(target, source, ["k"]).collect()), key=repr)
+    assert got == sorted([(1, "X"), (1, "X"), (1, "X"), (2, "d"), (None, "n"), (3, "Y")], key=repr)
+    ignore = sorted((tuple(r) for r in R.merged(target, source, ["k"], update=False, insert=False).collect()), key=repr)
+    assert ignore == sorted((tuple(r) for r in target.collect()), key=repr)
+    dele = sorted((tuple(r) for r in R.merged(target, source, ["k"], delete_matched=True).collect()), key=repr)
+    assert dele == sorted([(2, "d"), (None, "n"), (3, "Y")], key=repr)

@@ -80,34 +80,36 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update: bool = True, insert: bool = True, delete_matched: bool = False) -> DataFrame:
     """``MERGE … WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *``.
 
-    One full outer join on the keys with a presence flag per side:
-    matched → source row (or dropped with ``delete_matched``), target-only →
-    kept, source-only → inserted when ``insert``. The source must be unique
-    on the keys; :func:`check_unique` enforces that where it matters.
+    With the source unique on the keys (:func:`check_unique`), the result is
+    the union of
+
+    * target rows whose key is not in the source (left anti join),
+    * one source row per *matched target row* (target keys ⋈ source; with
+      ``update=False`` the matched target rows stay as they are, with
+      ``delete_matched`` they are dropped),
+    * source rows whose key is not in the target (left anti join; inserts).
+
+    Anti and inner joins, unlike a full outer join, let AQE split a key that
+    holds a large share of the target across tasks; every join side that is
+    only a key set is reduced to distinct keys first.
     """
     keys = list(keys)
     check_schema(target.schema, source.schema)
     src = align(source, target.schema)
-    t = target.withColumn("_in_t", F.lit(True))
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in src.columns]).withColumn("_in_s", F.lit(True))
-    cond = None
-    for k in keys:
-        e = F.col(k) == F.col(f"_s_{k}")
-        cond = e if cond is None else cond & e
-    j = t.join(s, cond, "full_outer")
-    in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
-    take_src = in_s & in_t if update else F.lit(False)
-    take_src = take_src | (in_s & ~in_t) if insert else take_src
-    cols = []
-    for c in target.columns:
-        if c in keys:
-            cols.append(F.coalesce(F.col(c), F.col(f"_s_{c}")).alias(c))
-        else:
-            cols.append(F.when(take_src, F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c))
-    keep = in_t | (in_s if insert else F.lit(False))
+    src_keys = src.select(*keys).distinct()
     if delete_matched:
-        keep = keep & ~(in_t & in_s)
-    return j.filter(keep).select(*cols)
+        parts = [target.join(src_keys, keys, "left_anti")]
+    elif update:
+        parts = [target.join(src_keys, keys, "left_anti"),
+                 target.select(*keys).join(src, keys, "inner").select(*target.columns)]
+    else:
+        parts = [target]
+    if insert:
+        parts.append(src.join(target.select(*keys).distinct(), keys, "left_anti"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def check_unique(source: DataFrame, keys: Sequence[str]) -> None:
