@@ -52,3 +52,13 @@ def test_to_pandas_guard(spark):
     assert isinstance(to_pandas(df, 10), pd.DataFrame)
     with pytest.raises(ValueError):
         to_pandas(df, 9)
+
+
+def test_query_result_as_csv_and_contains(spark, tmp):
+    # A query's result written as CSV with header; P15: substring test
+    from tidepool.sources import read_csv, write_csv
+    lines = spark.createDataFrame([("INFO start",), ("ERROR disk full",), ("ERROR timeout",)], ["line"])
+    errors = lines.filter(F.col("line").contains("ERROR"))
+    write_csv(errors, f"{tmp}/errors_csv")
+    back = read_csv(spark, f"{tmp}/errors_csv", schema="line string")
+    assert sorted(r.line for r in back.collect()) == ["ERROR disk full", "ERROR timeout"]

@@ -135,3 +135,14 @@ def test_dedup_within_watermark(spark, tmp):
     q = W.run_to_files(W.dedup_events(src, ["order_id"], "order_ts"), f"{tmp}/out", f"{tmp}/ckpt")
     q.awaitTermination()
     assert sorted(r.order_id for r in spark.read.parquet(f"{tmp}/out").collect()) == [1, 2]
+
+
+def test_processing_time_trigger_and_clean_stop(spark, tmp):
+    # A continuously running query (5 s trigger) is stopped cleanly
+    put(f"{tmp}/in", "a.json", LAB_EVENTS, 1_000_000)
+    src = E.read_events(spark, path=f"{tmp}/in")
+    q = I.run_ingest(spark, src, f"{tmp}/table", f"{tmp}/ckpt", processing_time="1 second")
+    q.processAllAvailable()
+    I.await_or_stop(q, timeout_s=1)
+    assert not q.isActive
+    assert T.read(spark, f"{tmp}/table").count() == 3
