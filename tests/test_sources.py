@@ -62,3 +62,25 @@ def test_query_result_as_csv_and_contains(spark, tmp):
     write_csv(errors, f"{tmp}/errors_csv")
     back = read_csv(spark, f"{tmp}/errors_csv", schema="line string")
     assert sorted(r.line for r in back.collect()) == ["ERROR disk full", "ERROR timeout"]
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp):
+    from tidepool.operators.partitioning import write_bucketed
+    from tidepool.plans.inspect import explain_text
+    o = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_totalprice")
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet").select("l_orderkey", "l_quantity")
+    write_bucketed(o, "b_orders", ["o_orderkey"], 8, path=f"{tmp}/b_orders")
+    write_bucketed(li, "b_lineitem", ["l_orderkey"], 8, path=f"{tmp}/b_lineitem")
+    j = spark.table("b_orders").join(spark.table("b_lineitem"),
+                                      F.col("o_orderkey") == F.col("l_orderkey"))
+    plan = explain_text(j, "simple")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert j.count() == o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).count()
+
+
+def test_scale_conf_sizes_partitions():
+    from tidepool.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)
+    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert c["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
+    assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "20"

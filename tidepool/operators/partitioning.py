@@ -24,3 +24,20 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     want = min_partitions or parallelism(df)
     have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df
+
+
+def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
+                   sort: bool = True, path: str | None = None) -> None:
+    """Persist ``df`` as a catalog table bucketed (and sorted) by ``keys``.
+
+    Two tables bucketed the same way on their join key join without any
+    exchange — each task reads bucket *i* of both sides — so a big-big join
+    repeated every day pays its shuffle once, at write time. ``path`` puts
+    the files in the shared storage instead of the warehouse.
+    """
+    w = df.write.mode("overwrite").bucketBy(buckets, *keys)
+    if sort:
+        w = w.sortBy(*keys)
+    if path:
+        w = w.option("path", path)
+    w.format("parquet").saveAsTable(table)

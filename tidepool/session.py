@@ -144,3 +144,28 @@ def local_test_session(cores: int = 8) -> SparkSession:
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
         },
     )
+
+
+def scale_conf(input_bytes: int, *, partition_bytes: int = 256 * 1024 * 1024,
+               shuffle_ratio: float = 0.5, max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+    """Settings for a job over ``input_bytes`` of (compressed) input.
+
+    * scans split into ~``partition_bytes`` tasks
+      (``spark.sql.files.maxPartitionBytes``);
+    * the first shuffle of each query starts with enough partitions that
+      each holds about ``partition_bytes`` when a ``shuffle_ratio`` share of
+      the input crosses it; AQE then coalesces small ones and splits skewed
+      ones, aiming at the same advisory size.
+
+    At 100 TB: 409,600 scan tasks of 256 MB and 200,000 initial shuffle
+    partitions (the cap; ~256 MB each), coalesced by AQE after each stage.
+    """
+    shuffle_parts = max(1, min(max_shuffle_partitions,
+                               int(input_bytes * shuffle_ratio // partition_bytes) or 1))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle_parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 4),
+    }
