@@ -1,10 +1,11 @@
 """Joins (J1-J8).
 
-Strategy is left to Catalyst and AQE (broadcast when the measured side is
-under ``spark.sql.autoBroadcastJoinThreshold``, else sort-merge, with AQE
-splitting skewed partitions). The only explicit broadcast in the library is
-:func:`broadcast_if_bounded`, which proves the row bound first and falls
-back to a normal (shuffled) join when the side is larger.
+Strategy is left to AQE: a join becomes a broadcast join only when the
+*materialised* side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+(planner estimates are switched off, see ``session.py``), otherwise it stays
+sort-merge, with skewed partitions split. The only explicit broadcast in the
+library is :func:`broadcast_if_bounded`, which proves a row bound first and
+falls back to a normal (shuffled) join when the side is larger.
 """
 
 from __future__ import annotations
@@ -19,13 +20,45 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
+_BOUND_CACHE: dict[tuple, bool] = {}
+
+
+def _fingerprint(df: DataFrame) -> tuple | None:
+    """Plan hash + (path, size, mtime) of every input file, or None when the
+    plan reads something other than files."""
+    from tidepool.tables import fs
+    try:
+        files = df.inputFiles()
+    except Exception:
+        return None
+    if not files:
+        return None
+    stats = []
+    for f in sorted(files):
+        st = fs.status(df.sparkSession, f)
+        if st is None:
+            return None
+        stats.append((f, *st))
+    return (df.semanticHash(), tuple(stats))
+
+
 def bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     Counts at most ``max_rows + 1`` rows, so the check costs a bounded scan
-    even when the side turns out to be huge.
+    even when the side turns out to be huge. The answer is remembered for the
+    same plan over the same unchanged files (size and modification time), so
+    a dimension is counted once per session, not once per query.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = _fingerprint(df)
+    if key is not None:
+        key = (key, max_rows)
+        if key in _BOUND_CACHE:
+            return _BOUND_CACHE[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _BOUND_CACHE[key] = ok
+    return ok
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

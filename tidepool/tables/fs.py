@@ -98,3 +98,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str, recursive: bool = False) -> bool:
     fs, p = _path(spark, path)
     return bool(fs.delete(p, recursive))
+
+
+def status(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """(length, modification time) of a file, or None if it is missing."""
+    fs, p = _path(spark, path)
+    try:
+        st = fs.getFileStatus(p)
+    except Exception:
+        return None
+    return int(st.getLen()), int(st.getModificationTime())
