@@ -42,8 +42,12 @@ def kmeans(df: DataFrame, vector_col: str, k: int = 10, seed: int = 42, max_iter
     data = df
     if isinstance(df.schema[vector_col].dataType, ArrayType):
         data = df.withColumn(vector_col, array_to_vector(vector_col))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vector_col,
-                   predictionCol="cluster").fit(data)
+    data = data.persist()  # iterative: every pass reads the cached vectors
+    try:
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=vector_col,
+                       predictionCol="cluster").fit(data)
+    finally:
+        data.unpersist()
     return model, model.transform(data)
 
 
@@ -56,7 +60,11 @@ def pca(df: DataFrame, vector_col: str, k: int = 3):
     data = df
     if isinstance(df.schema[vector_col].dataType, ArrayType):
         data = df.withColumn(vector_col, array_to_vector(vector_col))
-    model = PCA(k=k, inputCol=vector_col, outputCol="pca").fit(data)
+    data = data.persist()
+    try:
+        model = PCA(k=k, inputCol=vector_col, outputCol="pca").fit(data)
+    finally:
+        data.unpersist()
     return model, model.transform(data)
 
 
@@ -103,9 +111,18 @@ DOC_FEATURES = ("chars", "tokens", "lines", "upper_share", "digit_share")
 
 def fit_label_model(documents: DataFrame, labels: DataFrame, label_col: str, kind: str = "tree"):
     """Train ``kind`` on document features joined to a 0/1 label column;
-    returns (model, scored rows)."""
-    data = (document_features(documents).join(labels.select("doc_id", label_col), "doc_id")
+    returns (model, scored rows).
+
+    Only labelled documents are featurised (join first), and the assembled
+    vectors are checkpointed into the shared folder before fitting: the
+    learners make several passes, which then read the small vectors instead
+    of re-running the text features, and a lost executor does not send them
+    back to the raw documents."""
+    from tidepool.operators.partitioning import spread
+    from tidepool.session import cut_lineage
+    labelled = documents.join(labels.select("doc_id", label_col), "doc_id")
+    data = (document_features(spread(labelled)).join(labelled.select("doc_id", label_col), "doc_id")
             .withColumnRenamed(label_col, "label"))
-    vec = assemble(data, list(DOC_FEATURES))
+    vec = cut_lineage(assemble(data, list(DOC_FEATURES)).select("doc_id", "label", "features"))
     model = classifier(kind).fit(vec)
     return model, model.transform(vec)
