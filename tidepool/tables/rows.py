@@ -77,7 +77,8 @@ def appended(table: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           update: bool = True, insert: bool = True, delete_matched: bool = False) -> DataFrame:
+           update: bool = True, insert: bool = True, delete_matched: bool = False,
+           broadcast_source_rows: int = 1_000_000) -> DataFrame:
     """``MERGE … WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *``.
 
     With the source unique on the keys (:func:`check_unique`), the result is
@@ -91,11 +92,16 @@ def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
     Anti and inner joins, unlike a full outer join, let AQE split a key that
     holds a large share of the target across tasks; every join side that is
-    only a key set is reduced to distinct keys first.
+    only a key set is reduced to distinct keys first. A change feed small
+    enough to pass a counted bound (``broadcast_source_rows``) is broadcast,
+    so the big target is not shuffled for the first two parts at all.
     """
+    from tidepool.operators.joins import broadcast_if_bounded
     keys = list(keys)
     check_schema(target.schema, source.schema)
     src = align(source, target.schema)
+    if broadcast_source_rows:
+        src = broadcast_if_bounded(src, broadcast_source_rows)
     src_keys = src.select(*keys).distinct()
     if delete_matched:
         parts = [target.join(src_keys, keys, "left_anti")]
