@@ -60,3 +60,20 @@ def test_bucketed_sessions_equal_builtin(spark):
         a = sorted(tuple(r) for r in agg.sessions(df, "ts", gap, ["k"], fanout=fanout).collect())
         b = sorted(tuple(r) for r in agg.sessions_builtin(df, "ts", gap, ["k"]).collect())
         assert a == b, (gap, fanout)
+
+
+def test_dedup_matches_window_with_nulls_and_ties(spark):
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for i in range(3000):
+        k = 0 if i % 3 == 0 else rnd.randint(1, 200)
+        ts = None if rnd.random() < 0.1 else rnd.randint(0, 50)
+        x = None if rnd.random() < 0.2 else rnd.choice(["a", "b", None])
+        y = rnd.choice([None, 1.5, -2.0, 3.25])
+        rows.append((k, ts, x, y))
+    df = spark.createDataFrame(rows, "k int, ts int, x string, y double")
+    for keep_cols in (["ts"], ["ts", "y"]):
+        a = sorted((tuple(r) for r in clean.dedup(df, ["k"], keep_cols).collect()), key=repr)
+        b = sorted((tuple(r) for r in clean.dedup_window(df, ["k"], keep_cols).collect()), key=repr)
+        assert a == b, keep_cols
