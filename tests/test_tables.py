@@ -192,3 +192,14 @@ def test_merge_updates_every_matched_copy(spark):
     assert ignore == sorted((tuple(r) for r in target.collect()), key=repr)
     dele = sorted((tuple(r) for r in R.merged(target, source, ["k"], delete_matched=True).collect()), key=repr)
     assert dele == sorted([(2, "d"), (None, "n"), (3, "Y")], key=repr)
+
+
+def test_dml_prunes_files_by_stats(spark, tmp):
+    path = f"{tmp}/prune"
+    T.write(spark.range(0, 1000).withColumn("v", F.lit(0)).repartitionByRange(10, "id"), path,
+            "overwrite", stats_columns=["id"])
+    T.update(spark, path, "id >= 990", {"v": F.lit(1)}, prune=[("id", ">=", 990)])
+    T.delete(spark, path, "id < 5", prune=[("id", "<", 5)])
+    df = T.read(spark, path)
+    assert df.count() == 995 and df.filter("v = 1").count() == 10
+    assert T.files(spark, path).count() == 10

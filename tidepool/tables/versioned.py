@@ -406,26 +406,38 @@ def _rewrite(spark: SparkSession, path: str, commit: dict, files: list[dict], sc
                    metrics={"removed_files": len(hit), "added_files": len(new_files)})
 
 
+def _candidates(files: list[dict], schema: StructType,
+                prune: Sequence[tuple[str, str, Any]] | None) -> list[dict]:
+    return prune_files(files, prune, schema) if prune else files
+
+
 def update(spark: SparkSession, path: str, condition: Column | str,
-           assignments: Mapping[str, Column | str]) -> int:
+           assignments: Mapping[str, Column | str],
+           prune: Sequence[tuple[str, str, Any]] | None = None) -> int:
     """``UPDATE SET … WHERE cond``. Only files holding a matching row are
-    rewritten; a NULL condition does not match."""
+    rewritten; a NULL condition does not match. ``prune`` (conjunction of
+    ``(column, op, value)`` implied by ``cond``) skips, by the files' min/max
+    statistics, files that cannot hold a match, so they are not even scanned."""
     commit, files, schema = _snapshot(spark, path)
     cond = F.expr(condition) if isinstance(condition, str) else condition
-    df = _read_files(spark, files, schema)
-    touched = _file_paths(df.filter(F.coalesce(cond, F.lit(False)))) if files else set()
+    scan = _candidates(files, schema, prune)
+    df = _read_files(spark, scan, schema)
+    touched = _file_paths(df.filter(F.coalesce(cond, F.lit(False)))) if scan else set()
     return _rewrite(spark, path, commit, files, schema, touched,
                     lambda d: R.updated(d, cond, assignments), "UPDATE",
                     {"predicate": str(condition),
                      "set": {k: str(v) for k, v in assignments.items()}})
 
 
-def delete(spark: SparkSession, path: str, condition: Column | str) -> int:
-    """T4: ``DELETE WHERE cond``; rows with a NULL condition stay."""
+def delete(spark: SparkSession, path: str, condition: Column | str,
+           prune: Sequence[tuple[str, str, Any]] | None = None) -> int:
+    """T4: ``DELETE WHERE cond``; rows with a NULL condition stay. ``prune``
+    as in :func:`update`."""
     commit, files, schema = _snapshot(spark, path)
     cond = F.expr(condition) if isinstance(condition, str) else condition
-    df = _read_files(spark, files, schema)
-    touched = _file_paths(df.filter(F.coalesce(cond, F.lit(False)))) if files else set()
+    scan = _candidates(files, schema, prune)
+    df = _read_files(spark, scan, schema)
+    touched = _file_paths(df.filter(F.coalesce(cond, F.lit(False)))) if scan else set()
     return _rewrite(spark, path, commit, files, schema, touched,
                     lambda d: R.deleted(d, cond), "DELETE", {"predicate": str(condition)})
 
