@@ -84,3 +84,15 @@ def test_scale_conf_sizes_partitions():
     assert c["spark.sql.shuffle.partitions"] == "200000"
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
     assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "20"
+
+
+def test_read_text_lines_and_whole(spark, tmp):
+    # Text lines (one row per line) and whole files (one row per file)
+    from tidepool.sources import read_text
+    import os
+    os.makedirs(f"{tmp}/logs", exist_ok=True)
+    with open(f"{tmp}/logs/a.txt", "w") as f:
+        f.write("INFO up\nERROR down\nERROR again\n")
+    lines = read_text(spark, f"{tmp}/logs")
+    assert lines.filter(F.col("value").contains("ERROR")).count() == 2
+    assert read_text(spark, f"{tmp}/logs", whole_text=True).count() == 1

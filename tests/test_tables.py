@@ -203,3 +203,16 @@ def test_dml_prunes_files_by_stats(spark, tmp):
     df = T.read(spark, path)
     assert df.count() == 995 and df.filter("v = 1").count() == 10
     assert T.files(spark, path).count() == 10
+
+
+def test_create_then_insert_and_snapshots(spark, tmp):
+    # CREATE gives an empty version 0, the first INSERT version 1
+    path = f"{tmp}/created"
+    T.create(spark, path, SALES_SCHEMA)
+    assert T.read(spark, path).count() == 0
+    T.write(spark.createDataFrame(SALES_V0, SALES_SCHEMA), path, "append")
+    snaps = T.snapshots(spark, path).orderBy("snapshot_id").collect()
+    assert [s.operation for s in snaps] == ["CREATE TABLE", "APPEND"]
+    assert snaps[1].summary["total-records"] == "6"
+    with pytest.raises(T.TableError):
+        T.create(spark, path, SALES_SCHEMA)
