@@ -83,7 +83,7 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str,
 
 def read_text(spark: SparkSession, path: str, whole_text: bool = False) -> DataFrame:
     """Text lines (``value`` column), or one row per file."""
-    return spark.read.option("wholetext", whole_text).text(path)
+    return spark.read.text(path, wholetext=whole_text)
 
 
 def read_orc(spark: SparkSession, path: str) -> DataFrame:
