@@ -73,6 +73,7 @@ class SilverResult:
     silver: DataFrame
     rejected: DataFrame
     rule_counts: DataFrame
+    tagged: DataFrame
 
 
 def silver_frame(bronze_df: DataFrame) -> SilverResult:
@@ -82,15 +83,24 @@ def silver_frame(bronze_df: DataFrame) -> SilverResult:
     are broken by the other columns (D4)."""
     res = clean.apply_rules(typed(bronze_df), rules())
     deduped = clean.dedup(res.valid, ["order_id"], ["order_ts"])
-    return SilverResult(derive(deduped), res.rejected, res.counts)
+    return SilverResult(derive(deduped), res.rejected, res.counts, res.tagged)
 
 
 def silver(spark: SparkSession, bronze_path: str, silver_path: str,
            quarantine_path: str | None = None) -> int:
+    """Writes Silver (and the quarantine). Both come from one tagged pass
+    over Bronze, which is persisted (memory, then disk) while the two writes
+    run, so Bronze is parsed once; a lost block is recomputed from Bronze."""
+    from pyspark import StorageLevel
     res = silver_frame(T.read(spark, bronze_path))
-    if quarantine_path:
+    if not quarantine_path:
+        return T.write(res.silver, silver_path, "overwrite", overwrite_schema=True)
+    res.tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
         T.write(res.rejected, quarantine_path, "overwrite", overwrite_schema=True)
-    return T.write(res.silver, silver_path, "overwrite", overwrite_schema=True)
+        return T.write(res.silver, silver_path, "overwrite", overwrite_schema=True)
+    finally:
+        res.tagged.unpersist()
 
 
 def gold(spark: SparkSession, silver_path: str, daily_path: str, product_path: str) -> tuple[int, int]:
