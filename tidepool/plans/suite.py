@@ -1026,3 +1026,28 @@ def quality_tree(spark: SparkSession, d: str) -> DataFrame:
     return (scored.groupBy(F.col("label").cast("int").alias("label"),
                            F.col("prediction").cast("int").alias("prediction"))
                   .agg(F.count(F.lit(1)).alias("documents")))
+
+
+@register("stream_region_summary", """
+SELECT o_orderstatus AS region, COUNT(*) AS orders,
+       CAST(SUM(CAST(ROUND(o_totalprice * CAST(substr(o_orderpriority, 1, 1) AS INTEGER), 2)
+                     AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS revenue
+FROM orders GROUP BY 1
+""")
+def stream_region_summary(spark: SparkSession, d: str) -> DataFrame:
+    """X10 + G4: the streamed order table, read as a batch table while the
+    stream owns it, summarised per region (orders, revenue)."""
+    import uuid
+
+    from tidepool.session import scratch_path
+    from tidepool.streaming.events import read_event_files
+    from tidepool.streaming.ingest import run_ingest
+    from tidepool.tables import versioned as T
+    base = scratch_path(spark, f"streams/region-{uuid.uuid4().hex[:12]}")
+    _order_events(read_table(spark, d, "orders")).write.text(f"{base}/in")
+    q = run_ingest(spark, read_event_files(spark, f"{base}/in"), f"{base}/table",
+                   f"{base}/checkpoint", available_now=True)
+    q.awaitTermination()
+    t = T.read(spark, f"{base}/table")
+    return t.groupBy("region").agg(F.count(F.lit(1)).alias("orders"),
+                                   agg.money_sum("total_amount").alias("revenue"))
