@@ -29,6 +29,11 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Parquet footers carry min/max per row group; keep filter pushdown on.
     "spark.sql.parquet.filterPushdown": "true",
+    # Streaming state (windows, sessions, dedup keys) in RocksDB on local
+    # disk instead of the executor heap; only changes are checkpointed.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Broadcast only what is measured: no planner-estimate broadcasts (an
     # estimate from compressed file sizes is no bound); AQE converts a join
     # to broadcast when the *materialised* side is under 32 MB. Explicit
