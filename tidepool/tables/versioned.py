@@ -245,12 +245,8 @@ def resolve_version(spark: SparkSession, path: str, version: int | None = None,
     if as_of.tzinfo is None:
         as_of = as_of.replace(tzinfo=dt.timezone.utc)
     cutoff = int(as_of.timestamp() * 1000)
-    best = None
-    for v in vs:
-        if load_commit(spark, path, v)["timestamp"] <= cutoff:
-            best = v
-        else:
-            break
+    best = (commits(spark, path).filter(F.col("timestamp") <= cutoff)
+            .agg(F.max("version").alias("v")).first()["v"])
     if best is None:
         raise VersionNotFound(f"{path} has no version at or before {as_of.isoformat()}")
     return best
@@ -512,17 +508,30 @@ def add_columns(spark: SparkSession, path: str, columns: Mapping[str, str]) -> i
 # Metadata tables
 # ---------------------------------------------------------------------------
 
+_COMMIT_SCHEMA = ("version long, timestamp long, operation string, "
+                  "parameters map<string,string>, "
+                  "metrics struct<num_files: long, num_rows: long, num_bytes: long>")
+
+
+def commits(spark: SparkSession, path: str) -> DataFrame:
+    """All commit records of the table as a DataFrame, read by one Spark
+    JSON scan over the record files (no driver loop over their contents)."""
+    vs = versions(spark, path)
+    if not vs:
+        raise VersionNotFound(f"no table at {path}")
+    root = _root(spark, path)
+    return spark.read.schema(_COMMIT_SCHEMA).json([_commit_file(root, v) for v in vs])
+
+
 def history(spark: SparkSession, path: str) -> DataFrame:
     """One row per version, newest first, like ``DESCRIBE HISTORY``."""
-    rows = []
-    for v in versions(spark, path):
-        c = load_commit(spark, path, v)
-        rows.append((v, dt.datetime.fromtimestamp(c["timestamp"] / 1000, dt.timezone.utc)
-                     .replace(tzinfo=None), c["operation"], c["parameters"],
-                     int(c["metrics"]["num_files"]), int(c["metrics"]["num_rows"])))
-    schema = ("version long, timestamp timestamp_ntz, operation string, "
-              "operationParameters map<string,string>, num_files long, num_rows long")
-    return spark.createDataFrame(rows, schema).orderBy(F.col("version").desc())
+    c = commits(spark, path)
+    return (c.select("version",
+                     F.timestamp_millis("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                     "operation", F.col("parameters").alias("operationParameters"),
+                     F.col("metrics.num_files").alias("num_files"),
+                     F.col("metrics.num_rows").alias("num_rows"))
+             .orderBy(F.col("version").desc()))
 
 
 def snapshots(spark: SparkSession, path: str) -> DataFrame:
