@@ -374,10 +374,10 @@ FROM orders GROUP BY 1
 @register("pivot_status", _PIVOT_ORACLE)
 def pivot_status(spark: SparkSession, d: str) -> DataFrame:
     """G13 in SQL: Spark's ``PIVOT`` clause over the file."""
-    read_table(spark, d, "orders").createOrReplaceTempView("orders_pivot_src")
     return spark.sql("""
-        SELECT * FROM (SELECT o_orderpriority, o_orderstatus FROM orders_pivot_src)
-        PIVOT (COUNT(1) FOR o_orderstatus IN ('F' AS F, 'O' AS O, 'P' AS P))""")
+        SELECT * FROM (SELECT o_orderpriority, o_orderstatus FROM {orders})
+        PIVOT (COUNT(1) FOR o_orderstatus IN ('F' AS F, 'O' AS O, 'P' AS P))""",
+                     orders=read_table(spark, d, "orders"))
 
 
 @register("pivot_status_df", _PIVOT_ORACLE)
@@ -682,15 +682,18 @@ GROUP BY 1
 """)
 def view_over_filter(spark: SparkSession, d: str) -> DataFrame:
     """A temp view defined as a filter, then an aggregate over it."""
+    import uuid
+
     from tidepool.sources.catalog import create_view
-    read_table(spark, d, "orders").createOrReplaceTempView("orders_src_v")
-    create_view(spark, "open_recent_orders",
-                "SELECT * FROM orders_src_v WHERE o_orderstatus = 'O' "
+    tag = uuid.uuid4().hex[:12]
+    read_table(spark, d, "orders").createOrReplaceTempView(f"orders_src_{tag}")
+    create_view(spark, f"open_recent_orders_{tag}",
+                f"SELECT * FROM orders_src_{tag} WHERE o_orderstatus = 'O' "
                 "AND o_orderdate >= TIMESTAMP_NTZ '1999-01-01 00:00:00'")
-    return spark.sql("""
+    return spark.sql(f"""
         SELECT o_orderpriority, COUNT(*) AS orders,
                CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
-        FROM open_recent_orders GROUP BY o_orderpriority""")
+        FROM open_recent_orders_{tag} GROUP BY o_orderpriority""")
 
 
 @register("cte_segment_spend", """
@@ -704,16 +707,15 @@ GROUP BY 1
 """)
 def cte_segment_spend(spark: SparkSession, d: str) -> DataFrame:
     """a ``WITH`` query in Spark SQL, aggregating before the join."""
-    read_table(spark, d, "orders").createOrReplaceTempView("orders_cte_src")
-    read_table(spark, d, "customer").createOrReplaceTempView("customer_cte_src")
     return spark.sql("""
         WITH spend AS (
           SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s, COUNT(*) AS n
-          FROM orders_cte_src GROUP BY o_custkey)
+          FROM {orders} GROUP BY o_custkey)
         SELECT c.c_mktsegment, COUNT(*) AS customers, CAST(SUM(spend.n) AS BIGINT) AS orders,
                CAST(SUM(spend.s) AS DECIMAL(38,2)) AS spend
-        FROM spend JOIN customer_cte_src c ON spend.o_custkey = c.c_custkey
-        GROUP BY c.c_mktsegment""")
+        FROM spend JOIN {customer} c ON spend.o_custkey = c.c_custkey
+        GROUP BY c.c_mktsegment""", orders=read_table(spark, d, "orders"),
+                     customer=read_table(spark, d, "customer"))
 
 
 @register("regex_dates_json", """
@@ -774,17 +776,17 @@ def federated_sql(spark: SparkSession, d: str) -> DataFrame:
     (read_table(spark, d, "nation").join(read_table(spark, d, "region"),
                                         F.col("n_regionkey") == F.col("r_regionkey"))
      .select("n_nationkey", "r_name").write.json(f"{base}/nation_json"))
-    read_csv(spark, f"{base}/customer_csv",
-             schema="c_custkey bigint, c_nationkey int, c_mktsegment string").createOrReplaceTempView("fed_customer")
-    spark.read.schema("n_nationkey int, r_name string").json(f"{base}/nation_json") \
-        .createOrReplaceTempView("fed_nation")
-    return spark.sql(f"""
+    customers = read_csv(spark, f"{base}/customer_csv",
+                         schema="c_custkey bigint, c_nationkey int, c_mktsegment string")
+    nations = spark.read.schema("n_nationkey int, r_name string").json(f"{base}/nation_json")
+    orders_path = f"{d.rstrip('/')}/orders.parquet"
+    return spark.sql("""
         SELECT c.c_mktsegment, n.r_name AS region, COUNT(*) AS orders,
                CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
-        FROM parquet.`{d.rstrip('/')}/orders.parquet` o
-          JOIN fed_customer c ON o.o_custkey = c.c_custkey
-          JOIN fed_nation n ON c.c_nationkey = n.n_nationkey
-        GROUP BY c.c_mktsegment, n.r_name""")
+        FROM parquet.`""" + orders_path + """` o
+          JOIN {customers} c ON o.o_custkey = c.c_custkey
+          JOIN {nations} n ON c.c_nationkey = n.n_nationkey
+        GROUP BY c.c_mktsegment, n.r_name""", customers=customers, nations=nations)
 
 
 @register("nightly_etl_events", """
