@@ -24,6 +24,7 @@ def test_random_changes_match_model(spark, tmp, seed):
     model = spark.createDataFrame(start, SCHEMA)
     T.write(model.repartition(4), path, "overwrite", stats_columns=["id", "v"])
     snapshots = [rows_of(model)]
+    by_version = {0: snapshots[0]}
     for _ in range(6):
         op = rnd.choice(["append", "update", "delete", "merge"])
         if op == "append":
@@ -47,9 +48,11 @@ def test_random_changes_match_model(spark, tmp, seed):
         model = spark.createDataFrame(model.collect(), SCHEMA)  # keep the model's plan short
         assert rows_of(T.read(spark, path)) == rows_of(model), op
         snapshots.append(rows_of(model))
+        by_version[T.latest_version(spark, path)] = snapshots[-1]
     latest = T.latest_version(spark, path)
     assert latest + 1 <= len(snapshots)  # a change matching nothing commits nothing
     # every version still reads as it was when it was written
     hist = {r.version: r.operation for r in T.history(spark, path).collect()}
     assert hist[0] == "WRITE"
-    assert rows_of(T.read(spark, path, version=0)) == snapshots[0]
+    for v, expected in by_version.items():
+        assert rows_of(T.read(spark, path, version=v)) == expected, v
