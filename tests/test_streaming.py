@@ -146,3 +146,22 @@ def test_processing_time_trigger_and_clean_stop(spark, tmp):
     I.await_or_stop(q, timeout_s=1)
     assert not q.isActive
     assert T.read(spark, f"{tmp}/table").count() == 3
+
+
+def test_stream_stream_interval_join(spark, tmp):
+    # Each order event joined to payment events of the same order within
+    # 10 minutes, both sides streams with watermarks (state is evicted)
+    put(f"{tmp}/orders", "1.json", [event(1, "2026-04-01 10:00:00"), event(2, "2026-04-01 10:05:00")], 1_000_000)
+    put(f"{tmp}/pays", "1.json", [event(1, "2026-04-01 10:04:00"), event(2, "2026-04-01 10:30:00"),
+                                  event(1, "2026-04-01 10:09:59")], 1_000_000)
+    left = E.parse_orders(E.read_events(spark, path=f"{tmp}/orders")).select(
+        "order_id", F.col("order_ts").alias("ordered_at"))
+    right = E.parse_orders(E.read_events(spark, path=f"{tmp}/pays")).select(
+        F.col("order_id").alias("pay_id"), F.col("order_ts").alias("paid_at"))
+    right = right.withColumnRenamed("pay_id", "order_id")
+    j = W.interval_join(left, right, "order_id", "ordered_at", "paid_at", "10 minutes")
+    out = j.select(F.col("l.order_id").alias("order_id"), "ordered_at", "paid_at")
+    q = W.run_to_files(out, f"{tmp}/out", f"{tmp}/ckpt")
+    q.awaitTermination()
+    got = sorted((r.order_id, str(r.paid_at)) for r in spark.read.parquet(f"{tmp}/out").collect())
+    assert got == [(1, "2026-04-01 10:04:00"), (1, "2026-04-01 10:09:59")]
