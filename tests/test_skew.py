@@ -107,3 +107,15 @@ def test_aqe_splits_a_hot_join_key(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_resample_fills_gaps(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01 00:10:00", 1.0), ("2024-01-01 00:50:00", 2.0),
+         ("2024-01-01 03:05:00", 4.0), ("2024-01-01 04:59:59", 8.0)], "ts string, v double") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out = agg.resample(df, "ts", "hour", [F.count(F.lit(1)).alias("n"), F.sum("v").alias("s")])
+    got = sorted((str(r.bucket), r.n, r.s) for r in out.collect())
+    assert got == [("2024-01-01 00:00:00", 2, 3.0), ("2024-01-01 01:00:00", None, None),
+                   ("2024-01-01 02:00:00", None, None), ("2024-01-01 03:00:00", 1, 4.0),
+                   ("2024-01-01 04:00:00", 1, 8.0)]

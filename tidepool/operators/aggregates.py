@@ -189,18 +189,30 @@ def resample(df: DataFrame, ts_col: str, unit: str, aggs: Sequence[Column],
     """Bucket by ``date_trunc(unit)`` and aggregate; with ``fill`` every
     empty bucket between the first and last one appears with NULL measures.
 
-    The grid comes from ``sequence(min, max, step)`` over the one-row bounds;
-    its size is the time span divided by the step (independent of the row
-    count), and it is joined to the aggregate, which is one row per bucket.
+    The empty buckets are derived from the aggregate itself: each bucket
+    emits the run of missing buckets up to the next non-empty one
+    (``lead`` + ``sequence``). So the data is scanned and aggregated once
+    (both branches share the aggregate's exchange), and the ordered pass
+    sees one row per bucket — bounded by the time span over the step, not by
+    the row count.
     """
     bucket = F.date_trunc(unit, F.col(ts_col)).cast("timestamp_ntz").alias("bucket")
     agg = df.groupBy(bucket).agg(*aggs)
     if not fill:
         return agg
-    step = step or f"1 {unit}"
-    bounds = agg.agg(F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
-    grid = bounds.select(F.explode(F.sequence("lo", "hi", F.expr(f"INTERVAL {step}"))).alias("bucket"))
-    return grid.join(agg, on="bucket", how="left")
+    step = F.expr(f"INTERVAL {step or '1 ' + unit}")
+    measures = [c for c in agg.columns if c != "bucket"]
+    # One branch, one scan: each bucket row, in bucket order (one ordered
+    # partition of span/step rows at most), emits itself at position 0 and
+    # the empty buckets up to the next row after it, with NULL measures.
+    with_next = agg.withColumn("_next", F.lead("bucket").over(Window.orderBy("bucket")))
+    nxt = F.col("_next")
+    gaps = F.when(nxt > F.col("bucket") + step,
+                  F.sequence(F.col("bucket") + step, nxt - step, step))
+    buckets = F.concat(F.array(F.col("bucket")), F.coalesce(gaps, F.array().cast("array<timestamp_ntz>")))
+    exploded = with_next.select(F.posexplode(buckets).alias("_pos", "_b"), *measures)
+    return exploded.select(F.col("_b").alias("bucket"),
+                           *[F.when(F.col("_pos") == 0, F.col(m)).alias(m) for m in measures])
 
 
 # --- Reshaping ---------------------------------------------------------------
