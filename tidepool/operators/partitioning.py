@@ -21,8 +21,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Decided at plan time from the split count; no job runs."""
     if df.isStreaming:
         return df
-    want = min_partitions or parallelism(df)
-    have = df.rdd.getNumPartitions()
+    try:
+        want = min_partitions or parallelism(df)
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
+        return df
     return df.repartition(want) if have < want else df
 
 
