@@ -745,12 +745,14 @@ def doc_token_stats(spark: SparkSession, d: str) -> DataFrame:
     """F13 arrays: ``size`` and ``array_contains`` over ``split`` of the whole
     text, per language."""
     docs = read_table(spark, d, "documents").select("lang", "text")
-    toks = F.split("text", " ")
-    return (docs.groupBy("lang")
+    # one split per text: lower-casing never adds or removes a space, so the
+    # lower-cased tokens count the same as the original ones
+    toks = docs.select("lang", F.split(F.lower("text"), " ").alias("toks"))
+    return (toks.groupBy("lang")
                 .agg(F.count(F.lit(1)).alias("docs"),
-                     F.sum(F.size(toks)).cast("bigint").alias("tokens"),
-                     F.sum(F.array_contains(F.split(F.lower("text"), " "), "the").cast("int"))
-                      .cast("bigint").alias("docs_with_the")))
+                     F.sum(F.size("toks")).cast("bigint").alias("tokens"),
+                     F.sum(F.array_contains("toks", "the").cast("int")).cast("bigint")
+                      .alias("docs_with_the")))
 
 
 @register("federated_sql", """
