@@ -100,8 +100,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Order: the context's checkpoint dir, then ``spark.checkpoint.dir`` from
-    the session; only when both are unset (local tests) a temp folder is
-    made and registered, once per application.
+    the session; only when both are unset *and* the master is local (tests)
+    a temp folder is made and registered, once per application. On a
+    cluster an unset folder is an error, never a driver-local directory.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -114,6 +115,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:
             configured = None
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            # a folder on the driver's disk is invisible to executors
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a folder on shared "
+                "storage (HDFS or an object store) that all executors can reach")
         app = sc.applicationId
         configured = _LOCAL_SCRATCH.get(app)
         if configured is None:
