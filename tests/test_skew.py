@@ -119,3 +119,11 @@ def test_resample_fills_gaps(spark):
     assert got == [("2024-01-01 00:00:00", 2, 3.0), ("2024-01-01 01:00:00", None, None),
                    ("2024-01-01 02:00:00", None, None), ("2024-01-01 03:00:00", 1, 4.0),
                    ("2024-01-01 04:00:00", 1, 8.0)]
+
+
+def test_sessions_ignore_null_times_like_builtin(spark):
+    df = spark.createDataFrame([(1, 0), (1, None), (2, None), (1, 300)], "k int, s long") \
+        .select("k", F.timestamp_seconds("s").alias("ts"))
+    a = sorted(tuple(r) for r in agg.sessions(df, "ts", "10 minutes", ["k"]).collect())
+    b = sorted(tuple(r) for r in agg.sessions_builtin(df, "ts", "10 minutes", ["k"]).collect())
+    assert a == b and len(a) == 1

@@ -150,7 +150,9 @@ def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
     ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
     grp_us = gap_us * F.lit(fanout)
     # cell and group ids are their start instants in µs (integer arithmetic)
-    cells = (df.select(*keys, F.col(ts_col).alias("_ts"), (ts_us - F.pmod(ts_us, gap_us)).alias("_cell"))
+    # rows without a time belong to no session (as in session_window)
+    cells = (df.filter(F.col(ts_col).isNotNull())
+               .select(*keys, F.col(ts_col).alias("_ts"), (ts_us - F.pmod(ts_us, gap_us)).alias("_cell"))
                .groupBy(*keys, "_cell")
                .agg(F.min("_ts").alias("_first"), F.max("_ts").alias("_last"),
                     F.count(F.lit(1)).alias("n"))
