@@ -20,6 +20,7 @@ from tidepool.tables import versioned as T
 
 # Bronze keeps every field as text, exactly as received (D2): typing happens
 # in Silver, where a bad value is rejected by a rule instead of failing a cast.
+# The raw order columns, in file order.
 RAW_COLUMNS = ("order_id", "order_ts", "product", "region", "amount", "quantity")
 BRONZE_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS])
 

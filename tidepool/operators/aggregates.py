@@ -43,7 +43,10 @@ def count_by(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-# --- Gold tables over the Silver contract (FIXTURES §1.3) -------------------
+# --- Gold tables over the Silver contract ------------------------------------
+# Gold column names of the reference.
+#   daily revenue:   order_date, region, total_revenue, order_count, avg_order_value
+#   product summary: product, total_units_sold, total_revenue, avg_unit_price, order_count
 
 def daily_revenue(silver: DataFrame) -> DataFrame:
     """Revenue, orders and average order value per (order_date, region)."""

@@ -14,11 +14,11 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType,
 
 from tidepool.operators.clean import parse_timestamp
 
-# The Kafka record as Spark's Kafka source produces it.
+# The Kafka record as Spark's Kafka source produces it.
 KAFKA_ENVELOPE = ("key binary, value binary, topic string, partition int, offset bigint, "
                   "timestamp timestamp, timestampType int")
 
-# Payload of one order event (FIXTURES §1.4).
+# Payload fields of one order event, in the reference's order.
 ORDER_EVENT_SCHEMA = StructType([
     StructField("order_id", LongType(), True),
     StructField("order_ts", StringType(), True),
