@@ -120,3 +120,14 @@ def test_region_summary_dict_agg_and_joins_golden(spark, layers):
     status = joins.keep_status(b, s, "order_id").collect()
     assert len(status) == 18
     assert sorted(r.order_id for r in status if r.status == "FILTERED") == [1014, 1015, 1016]
+
+
+def test_schema_inference_vs_explicit_bronze_schema(spark, tmp):
+    # Inference types the raw CSV on its own (order_id int, order_ts
+    # timestamp); Bronze therefore reads all-string and Silver casts to the
+    # documented contract (order_id bigint).
+    raw = land(spark, RAW_ORDERS, f"{tmp}/raw_infer")
+    inferred = dict(M.read_csv(spark, raw, infer_schema=True).dtypes)
+    assert inferred["order_id"] == "int" and inferred["order_ts"] == "timestamp"
+    explicit = dict(M.read_csv(spark, raw, schema=M.BRONZE_SCHEMA).dtypes)
+    assert set(explicit.values()) == {"string"}
