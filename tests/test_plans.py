@@ -50,3 +50,12 @@ def test_no_cross_or_nested_loop_joins(spark):
             continue  # these run jobs while being built; covered elsewhere
         p = plan(fn(spark, SF01))
         assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
+
+
+def test_filters_reach_the_scan_through_joins_and_views(spark):
+    joined = formatted(suite.region_sales_since(spark, SF01))
+    assert "GreaterThanOrEqual(o_orderdate,1998-01-01T00:00)" in joined
+    viewed = formatted(suite.view_over_filter(spark, SF01))
+    assert "EqualTo(o_orderstatus,O)" in viewed
+    assert "GreaterThanOrEqual(o_orderdate,1999-01-01T00:00)" in viewed
+    assert "ReadSchema: struct<o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>" in viewed
