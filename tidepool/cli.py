@@ -49,6 +49,14 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session(args)
     from tidepool.tables import versioned as T
+    try:
+        return _run(spark, args, T)
+    except (T.TableError, T.SchemaMismatch) as e:
+        print(f"tidepool {args.cmd}: {e}", file=sys.stderr)
+        return 2
+
+
+def _run(spark, args, T) -> int:
     if args.cmd == "medallion":
         from tidepool import medallion as M
         paths = M.run(spark, args.raw, args.root)
