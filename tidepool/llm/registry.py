@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import quality_rules
+from tidepool.llm import quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": token_counts.op2_token_counts,
     "op4_quality_rules": quality_rules.op4_quality_rules,
 }
 

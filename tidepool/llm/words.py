@@ -70,27 +70,24 @@ class Words:
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit hash of every word's bytes (A-Z lower-cased on request)."""
-        data = LOWER[self.data] if lower else self.data
-        padded = np.concatenate([data, np.zeros(8, np.uint8)])
-        eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
-        size = self.end - self.start
-        h = mix(size.astype(np.uint64) + _STEP)
-        at, left, which = self.start.copy(), size.copy(), None
-        while len(at):
-            part = eight[at]
-            short = left < 8
-            part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
-            if which is None:
-                h = mix((h ^ part) * _STEP)
-                which = np.flatnonzero(left > 8)
-            else:
-                h[which] = mix((h[which] ^ part) * _STEP)
-                more = left > 8
-                which, at, left = which[more], at[more], left[more]
-                at, left = at + 8, left - 8
-                continue
-            at, left = at[which] + 8, left[which] - 8
-        return h
+        return hash_spans(LOWER[self.data] if lower else self.data, self.start, self.end)
+
+
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every span, eight bytes at a time."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    size = end - start
+    h = mix(size.astype(np.uint64) + _STEP)
+    which, at, left = np.arange(len(start)), start, size
+    while len(which):
+        part = eight[at]
+        short = np.flatnonzero(left < 8)
+        part[short] &= (np.uint64(1) << (left[short].astype(np.uint64) * np.uint64(8))) - np.uint64(1)
+        h[which] = mix((h[which] ^ part) * _STEP)
+        more = left > 8
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    return h
 
 
 def windows(h: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
