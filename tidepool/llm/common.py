@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import Any
+
+from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +30,11 @@ def columns(df: DataFrame, **kinds: str) -> DataFrame:
     """Only the named columns, cast to ``kinds``; other columns of the input
     (whatever their names) never reach an operator."""
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()])
+
+
+def tree(parts: RDD, add: Callable[[Any, Any], Any]) -> Any:
+    """All values joined by ``add``, pairwise in a tree on the executors; the
+    driver gets the few last ones. None without values."""
+    def either(a: Any, b: Any) -> Any:
+        return b if a is None else a if b is None else add(a, b)
+    return parts.treeAggregate(None, either, either, depth=3)

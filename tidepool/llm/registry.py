@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import quality_rules, token_counts
+from tidepool.llm import ngram_join, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": token_counts.op2_token_counts,
+    "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_quality_rules": quality_rules.op4_quality_rules,
 }
 
