@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import best_fit, line_dedup, ngram_join, quality_rules, token_counts
+from tidepool.llm import best_fit, html_text, language_id, line_dedup, ngram_join, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_text": html_text.op1_html_text,
     "op2_token_counts": token_counts.op2_token_counts,
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_best_fit": best_fit.op5_best_fit,
+    "op7_language_id": language_id.op7_language_id,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
