@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import best_fit, html_text, language_id, line_dedup, ngram_join, quality_rules, token_counts
+from tidepool.llm import best_fit, html_text, language_id, line_dedup, lz_fingerprint, ngram_join, quality_rules, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1_html_text,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_best_fit": best_fit.op5_best_fit,
     "op7_language_id": language_id.op7_language_id,
+    "op8_lz_fingerprint": lz_fingerprint.op8_lz_fingerprint,
     "op9_line_dedup": line_dedup.op9_line_dedup,
 }
 
