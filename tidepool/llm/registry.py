@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import best_fit, html_text, language_id, line_dedup, lz_fingerprint, ngram_join, quality_rules, token_counts
+from tidepool.llm import (best_fit, html_text, language_id, line_dedup, lz_fingerprint, ngram_join, quality_rules,
+                          token_counts, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1_html_text,
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": language_id.op7_language_id,
     "op8_lz_fingerprint": lz_fingerprint.op8_lz_fingerprint,
     "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
