@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidepool.llm import (best_fit, html_text, language_id, line_dedup, lz_fingerprint, ngram_join, quality_rules,
-                          token_counts, toxicity)
+                          token_counts, toxicity, viterbi_pieces)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1_html_text,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_join": ngram_join.op3_ngram_join,
     "op4_quality_rules": quality_rules.op4_quality_rules,
     "op5_best_fit": best_fit.op5_best_fit,
+    "op6_viterbi_pieces": viterbi_pieces.op6_viterbi_pieces,
     "op7_language_id": language_id.op7_language_id,
     "op8_lz_fingerprint": lz_fingerprint.op8_lz_fingerprint,
     "op9_line_dedup": line_dedup.op9_line_dedup,
