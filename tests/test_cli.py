@@ -23,9 +23,13 @@ def test_ingest_once_then_history(spark, tmp):
     r = run("ingest", "--events", f"{tmp}/in", "--table", f"{tmp}/t", "--checkpoint", f"{tmp}/c",
             "--quarantine", f"{tmp}/q", "--once")
     assert r.returncode == 0, r.stderr[-2000:]
-    from tidepool.tables import versioned as T
-    assert T.read(spark, f"{tmp}/t").count() == 3
-    assert T.read(spark, f"{tmp}/q").count() == 1
-    h = run("history", "--table", f"{tmp}/t")
+    from tidepool.streaming.ingest import read_ingested
+    from tidepool.tables import snapshots as T
+    assert read_ingested(spark, f"{tmp}/t").count() == 3
+    assert read_ingested(spark, f"{tmp}/q").count() == 1
+    assert "rejected: 1" in r.stdout
+    T.write(spark.range(3), f"{tmp}/s")
+    T.write(spark.range(3), f"{tmp}/s", "append")
+    h = run("history", "--table", f"{tmp}/s")
     assert h.returncode == 0, h.stderr[-2000:]
-    assert "WRITE" in h.stdout  # the first micro-batch creates the table
+    assert "APPEND" in h.stdout and "2 versions" in h.stdout

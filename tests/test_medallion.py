@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from fixtures import EXTRA_ORDERS, RAW_ORDERS
 from tidepool import medallion as M
 from tidepool.sources import write_csv
-from tidepool.tables import versioned as T
 
 
 def land(spark, rows, path):
@@ -23,7 +22,7 @@ def layers(spark, tmp):
 
 def test_bronze_keeps_rows_as_received(spark, layers):
     paths, _ = layers
-    b = T.read(spark, paths["bronze"])
+    b = spark.read.parquet(paths["bronze"])
     assert b.count() == 18
     regions = {r.region for r in b.select("region").collect()}
     assert " APAC " in regions  # D1: whitespace survives the landing CSV
@@ -32,7 +31,7 @@ def test_bronze_keeps_rows_as_received(spark, layers):
 
 def test_silver_contract_and_counts(spark, layers):
     paths, _ = layers
-    s = T.read(spark, paths["silver"])
+    s = spark.read.parquet(paths["silver"])
     assert s.count() == 13
     assert dict(s.dtypes) == {
         "order_id": "bigint", "order_ts": "timestamp", "product": "string", "region": "string",
@@ -41,14 +40,14 @@ def test_silver_contract_and_counts(spark, layers):
     assert sorted(r.region for r in s.select("region").distinct().collect()) == ["APAC", "EU", "US"]
     r1005 = s.filter("order_id = 1005").first()
     assert str(r1005.order_ts) == "2026-04-02 13:20:00"  # earliest duplicate wins
-    rej = T.read(spark, paths["quarantine"])
+    rej = spark.read.parquet(paths["quarantine"])
     assert sorted(r._rejected_by for r in rej.collect()) == ["invalid_amount", "invalid_quantity", "null_product"]
 
 
 def test_gold_daily_revenue_golden(spark, layers):
     paths, _ = layers
-    rows = {(str(r.order_date), r.region): (r.total_revenue, r.order_count, r.avg_order_value)
-            for r in T.read(spark, paths["gold_daily_revenue"]).collect()}
+    rows = {(str(r.order_date), r.region): (float(r.total_revenue), r.order_count, float(r.avg_order_value))
+            for r in spark.read.parquet(paths["gold_daily_revenue"]).collect()}
     assert len(rows) == 10
     expect = {
         ("2026-04-01", "APAC"): (449.0, 1, 449.0), ("2026-04-01", "EU"): (999.99, 1, 999.99),
@@ -63,8 +62,8 @@ def test_gold_daily_revenue_golden(spark, layers):
 
 def test_gold_product_summary_golden(spark, layers):
     paths, _ = layers
-    rows = {r.product: (r.total_units_sold, r.total_revenue, r.avg_unit_price, r.order_count)
-            for r in T.read(spark, paths["gold_product_summary"]).collect()}
+    rows = {r.product: (r.total_units_sold, float(r.total_revenue), float(r.avg_unit_price), r.order_count)
+            for r in spark.read.parquet(paths["gold_product_summary"]).collect()}
     expect = {"laptop": (4, 4596.99, 1149.25, 4), "phone": (5, 3396.99, 674.37, 4),
               "tablet": (4, 1986.0, 485.67, 3), "headphones": (5, 1099.95, 224.99, 2)}
     assert set(rows) == set(expect)
@@ -79,9 +78,9 @@ def test_reconcile_and_rerun_is_idempotent(spark, layers, tmp):
         spark, {"bronze": paths["bronze"], "silver": paths["silver"],
                 "gold": paths["gold_daily_revenue"]}, raw).collect()}
     assert counts == {"raw": 18, "bronze": 18, "silver": 13, "gold": 10}
-    before = sorted(tuple(r) for r in T.read(spark, paths["silver"]).collect())
+    before = sorted(tuple(r) for r in spark.read.parquet(paths["silver"]).collect())
     M.run(spark, raw, os.path.dirname(paths["silver"]))
-    after = sorted(tuple(r) for r in T.read(spark, paths["silver"]).collect())
+    after = sorted(tuple(r) for r in spark.read.parquet(paths["silver"]).collect())
     assert before == after
 
 
@@ -99,7 +98,7 @@ def test_extra_bad_rows_are_rejected_before_dedup(spark, tmp):
 
 def test_silver_has_no_python_udf(spark, layers):
     paths, _ = layers
-    res = M.silver_frame(T.read(spark, paths["bronze"]))
+    res = M.silver_frame(spark.read.parquet(paths["bronze"]))
     from tidepool.plans.inspect import uses_python
     assert not uses_python(res.silver)
 
@@ -108,13 +107,13 @@ def test_region_summary_dict_agg_and_joins_golden(spark, layers):
     from tidepool.operators import aggregates as agg
     from tidepool.operators import joins
     paths, _ = layers
-    s = T.read(spark, paths["silver"])
-    regions = {r.region: (r.revenue, r.orders) for r in agg.region_summary(s).collect()}
+    s = spark.read.parquet(paths["silver"])
+    regions = {r.region: (float(r.revenue), r.orders) for r in agg.region_summary(s).collect()}
     assert regions == {"US": (4684.0, 5), "APAC": (3446.98, 4), "EU": (2948.95, 4)}
     d = agg.dict_agg(s, ["region"], {"total_amount": "sum", "order_id": "count"},
                      {"sum(total_amount)": "revenue", "count(order_id)": "orders"})
     assert {r.region: r.orders for r in d.collect()} == {"US": 5, "APAC": 4, "EU": 4}
-    b = T.read(spark, paths["bronze"]).withColumn("order_id", F.col("order_id").cast("bigint"))
+    b = spark.read.parquet(paths["bronze"]).withColumn("order_id", F.col("order_id").cast("bigint"))
     gone = sorted(r.order_id for r in joins.anti(b, s, "order_id").collect())
     assert gone == [1014, 1015, 1016]
     status = joins.keep_status(b, s, "order_id").collect()

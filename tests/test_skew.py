@@ -15,13 +15,20 @@ def hot(spark, n=30_000):
         (F.lit("2024-01-01").cast("timestamp") + F.make_interval(mins=F.col("id").cast("int"))).alias("ts"))
 
 
+def aggregate_form(df, keys, order_by):
+    """W1 as ``min(struct)`` per key, an independent form of the same answer."""
+    rest = [c for c in df.columns if c not in keys and c not in order_by]
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order_by, *rest)).alias("_row"))
+    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def test_dedup_hot_key(spark):
     df = hot(spark)
     out = clean.dedup(df, ["k"], ["ts"]).collect()
     assert len(out) == 20_001
     assert [r.v for r in out if r.k == 0] == [0]
-    assert sorted(tuple(r) for r in out) == sorted(tuple(r) for r in clean.dedup_window(df, ["k"], ["ts"]).collect())
-    assert "partial_min" in explain_text(clean.dedup(df, ["k"], ["ts"]))
+    assert sorted(tuple(r) for r in out) == sorted(tuple(r) for r in aggregate_form(df, ["k"], ["ts"]).collect())
+    assert "WindowGroupLimit" in explain_text(clean.dedup(df, ["k"], ["ts"]))
 
 
 def test_salted_join_hot_key(spark):
@@ -38,12 +45,39 @@ def test_sessions_hot_key(spark):
     assert len(s) == 1 and s[0].n == 10_000
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert joins.bounded(small, 10) and not joins.bounded(big, 10)
-    assert "strategy=broadcast" in explain_text(joins.broadcast_if_bounded(small, 10), "extended")
-    assert "strategy=broadcast" not in explain_text(joins.broadcast_if_bounded(big, 10), "extended")
+def test_no_broadcast_hint_in_joins(spark):
+    """Broadcasts are AQE's decision, by materialised bytes."""
+    a, b = spark.range(100).withColumnRenamed("id", "k"), spark.range(10).withColumnRenamed("id", "k")
+    assert "strategy=broadcast" not in explain_text(joins.enrich(a, b, "k"), "extended")
+
+
+def test_sessions_equal_builtin_in_any_time_zone(spark):
+    df = spark.createDataFrame([(1, 0), (1, 3 * 3600), (1, 20 * 3600), (2, 7200), (2, 14400)], "k int, s long") \
+        .select("k", F.timestamp_seconds("s").alias("ts"))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            a = sorted(tuple(r) for r in agg.sessions(df, "ts", "2 hours", ["k"]).collect())
+            b = sorted(tuple(r) for r in agg.sessions_builtin(df, "ts", "2 hours", ["k"]).collect())
+            assert a == b and len(a) == 4, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_resample_across_days(spark):
+    df = spark.createDataFrame([("2024-01-01 22:10:00",), ("2024-01-03 01:50:00",), ("2024-01-03 01:55:00",)], "ts string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    out = sorted((str(r.bucket), r.n) for r in agg.resample(df, "ts", "hour", [F.count(F.lit(1)).alias("n")]).collect())
+    assert len(out) == 28 and out[0] == ("2024-01-01 22:00:00", 1) and out[-1] == ("2024-01-03 01:00:00", 2)
+    assert all(n is None for _, n in out[1:-1])
+
+
+def test_profile_counts_all_null_columns(spark):
+    from tidepool.operators import profile
+    df = spark.createDataFrame([(1, None), (2, None), (2, None)], "a int, b string")
+    got = {r.column_name: (r.nulls, r.distinct_values, r.rows) for r in profile.summarize(df, approx=False).collect()}
+    assert got == {"a": (0, 2, 3), "b": (3, 0, 3)}
 
 
 def test_bucketed_sessions_equal_builtin(spark):
@@ -75,7 +109,7 @@ def test_dedup_matches_window_with_nulls_and_ties(spark):
     df = spark.createDataFrame(rows, "k int, ts int, x string, y double")
     for keep_cols in (["ts"], ["ts", "y"]):
         a = sorted((tuple(r) for r in clean.dedup(df, ["k"], keep_cols).collect()), key=repr)
-        b = sorted((tuple(r) for r in clean.dedup_window(df, ["k"], keep_cols).collect()), key=repr)
+        b = sorted((tuple(r) for r in aggregate_form(df, ["k"], keep_cols).collect()), key=repr)
         assert a == b, keep_cols
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidepool.streaming import events as E
 from tidepool.streaming import ingest as I
 from tidepool.streaming import windows as W
-from tidepool.tables import versioned as T
+from tidepool.tables import snapshots as T
 
 # The three example events of the streaming lab.
 LAB_EVENTS = [
@@ -45,16 +45,16 @@ def test_ingest_one_version_per_batch_and_restart(spark, tmp):
     put(f"{tmp}/in", "a.json", LAB_EVENTS[:1], 1_000_000)
     put(f"{tmp}/in", "b.json", LAB_EVENTS[1:], 1_000_100)
     ingest(spark, tmp)
-    t = T.read(spark, f"{tmp}/table")
+    t = I.read_ingested(spark, f"{tmp}/table")
     assert sorted(r.order_id for r in t.collect()) == [2000, 2001, 2002]
-    assert T.latest_version(spark, f"{tmp}/table") == 1  # one version per micro-batch
+    assert spark.read.parquet(f"{tmp}/table").select("batch").distinct().count() == 2  # a folder per micro-batch
     totals = {r.order_id: r.total_amount for r in t.collect()}
     assert totals == {2000: 440.43, 2001: 6925.9, 2002: 3886.36}
     ingest(spark, tmp)  # restart, nothing new
-    assert T.read(spark, f"{tmp}/table").count() == 3
+    assert I.read_ingested(spark, f"{tmp}/table").count() == 3
     put(f"{tmp}/in", "c.json", [event(2003, "2026-04-01 10:03:00")], 1_000_200)
     ingest(spark, tmp)
-    assert sorted(r.order_id for r in T.read(spark, f"{tmp}/table").collect()) == [2000, 2001, 2002, 2003]
+    assert sorted(r.order_id for r in I.read_ingested(spark, f"{tmp}/table").collect()) == [2000, 2001, 2002, 2003]
 
 
 def test_bad_records_go_to_quarantine(spark, tmp):
@@ -63,8 +63,8 @@ def test_bad_records_go_to_quarantine(spark, tmp):
            json.dumps(event(3001, "yesterday"))]                                  # bad time
     put(f"{tmp}/in", "a.json", LAB_EVENTS + bad, 1_000_000)
     ingest(spark, tmp)
-    assert T.read(spark, f"{tmp}/table").count() == 3
-    q = T.read(spark, f"{tmp}/quarantine")
+    assert I.read_ingested(spark, f"{tmp}/table").count() == 3
+    q = I.read_ingested(spark, f"{tmp}/quarantine")
     assert q.count() == 3 and q.filter(F.col("_raw").isNull()).count() == 0
 
 
@@ -72,7 +72,7 @@ def test_stream_equals_batch_projection(spark, tmp):
     put(f"{tmp}/in", "a.json", LAB_EVENTS, 1_000_000)
     ingest(spark, tmp)
     cols = ["order_id", "order_ts", "product", "region", "amount", "quantity", "total_amount"]
-    streamed = sorted(tuple(r) for r in T.read(spark, f"{tmp}/table").select(*cols).collect())
+    streamed = sorted(tuple(r) for r in I.read_ingested(spark, f"{tmp}/table").select(*cols).collect())
     lines = spark.read.text(f"{tmp}/in")
     batch = E.parse_orders(lines.select(F.col("value").cast("binary").alias("value")))
     assert sorted(tuple(r) for r in batch.select(*cols).collect()) == streamed
@@ -110,7 +110,25 @@ def test_streaming_upsert_keeps_latest_per_key(spark, tmp):
     got = {r.order_id: r.amount for r in T.read(spark, f"{tmp}/acc").collect()}
     assert got == {1: 9.0, 2: 7.0, 3: 1.0}
     ops = [r.operation for r in T.history(spark, f"{tmp}/acc").orderBy("version").collect()]
-    assert ops == ["WRITE", "MERGE", "MERGE"]
+    assert ops == ["CREATE", "MERGE", "MERGE"]
+
+
+def test_upsert_ignores_late_events_and_keeps_bad_ones(spark, tmp):
+    put(f"{tmp}/in", "1.json", [event(1, "2026-01-02 10:00:00", 5.0)], 1_000_000)
+    put(f"{tmp}/in", "2.json", [event(1, "2026-01-01 10:00:00", 1.0), event("no id", "2026-01-01 10:00:00"), "{broken"], 1_000_100)
+    src = E.read_events(spark, path=f"{tmp}/in", max_per_trigger=1)
+    q = I.run_upsert(spark, src, f"{tmp}/acc", f"{tmp}/ckpt", ["order_id"], ["order_ts"], available_now=True)
+    q.awaitTermination()
+    assert [(r.order_id, r.amount) for r in T.read(spark, f"{tmp}/acc").collect()] == [(1, 5.0)]
+    assert I.read_ingested(spark, I.rejected_path(f"{tmp}/acc")).count() == 2
+
+
+def test_ingest_loses_no_event_by_default(spark, tmp):
+    put(f"{tmp}/in", "a.json", LAB_EVENTS + ["{broken"], 1_000_000)
+    q = I.run_ingest(spark, E.read_events(spark, path=f"{tmp}/in"), f"{tmp}/table", f"{tmp}/ckpt", available_now=True)
+    q.awaitTermination()
+    assert I.read_ingested(spark, f"{tmp}/table").count() == 3
+    assert I.read_ingested(spark, f"{tmp}/table_rejected").count() == 1
 
 
 def test_alerts_are_kafka_shaped(spark):
@@ -145,7 +163,7 @@ def test_processing_time_trigger_and_clean_stop(spark, tmp):
     q.processAllAvailable()
     I.await_or_stop(q, timeout_s=1)
     assert not q.isActive
-    assert T.read(spark, f"{tmp}/table").count() == 3
+    assert I.read_ingested(spark, f"{tmp}/table").count() == 3
 
 
 def test_stream_stream_interval_join(spark, tmp):

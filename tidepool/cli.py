@@ -2,9 +2,7 @@
 
     python -m tidepool medallion --raw DIR --root DIR
     python -m tidepool ingest --events DIR --table DIR --checkpoint DIR [--once]
-    python -m tidepool history --table DIR
-    python -m tidepool vacuum --table DIR [--retention-hours 168] [--force]
-    python -m tidepool compact --table DIR
+    python -m tidepool history --table DIR [--limit N]
 
 On a cluster run them through ``spark-submit`` (the session comes from the
 submitter); ``--master`` is only for local runs.
@@ -28,27 +26,22 @@ def main(argv: list[str] | None = None) -> int:
     m = sub.add_parser("medallion", help="raw CSV → bronze → silver → gold, then layer counts")
     m.add_argument("--raw", required=True)
     m.add_argument("--root", required=True)
-    i = sub.add_parser("ingest", help="order events → versioned table (exactly once)")
+    i = sub.add_parser("ingest", help="order events → Parquet table and quarantine (exactly once)")
     i.add_argument("--events", required=True, help="directory of JSON-lines files")
     i.add_argument("--kafka-servers", default=None)
     i.add_argument("--topic", default="orders")
     i.add_argument("--table", required=True)
     i.add_argument("--checkpoint", required=True)
-    i.add_argument("--quarantine", default=None)
+    i.add_argument("--quarantine", default=None, help="invalid events (default: TABLE_rejected)")
     i.add_argument("--trigger", default="5 seconds")
     i.add_argument("--once", action="store_true", help="process what is there, then stop")
-    h = sub.add_parser("history", help="versions of a table")
+    h = sub.add_parser("history", help="versions of a snapshot table")
     h.add_argument("--table", required=True)
-    v = sub.add_parser("vacuum", help="delete files no retained version uses")
-    v.add_argument("--table", required=True)
-    v.add_argument("--retention-hours", type=float, default=168)
-    v.add_argument("--force", action="store_true", help="allow retention below 168 h")
-    c = sub.add_parser("compact", help="rewrite small files into larger ones")
-    c.add_argument("--table", required=True)
+    h.add_argument("--limit", type=int, default=None, help="show only the newest N versions")
     args = p.parse_args(argv)
 
     spark = _session(args)
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     try:
         return _run(spark, args, T)
     except (T.TableError, T.SchemaMismatch) as e:
@@ -57,25 +50,26 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _run(spark, args, T) -> int:
+    from pyspark.sql import functions as F
     if args.cmd == "medallion":
         from tidepool import medallion as M
         paths = M.run(spark, args.raw, args.root)
         M.reconcile(spark, {k: v for k, v in paths.items() if k != "quarantine"}, args.raw).show()
     elif args.cmd == "ingest":
         from tidepool.streaming.events import read_events
-        from tidepool.streaming.ingest import await_or_stop, run_ingest
+        from tidepool.streaming.ingest import await_or_stop, read_ingested, rejected_path, run_ingest
         src = read_events(spark, path=args.events, kafka_servers=args.kafka_servers, topic=args.topic)
         q = run_ingest(spark, src, args.table, args.checkpoint, quarantine_path=args.quarantine,
                        processing_time=args.trigger, available_now=args.once)
         await_or_stop(q)
-        T.history(spark, args.table).select("version", "timestamp", "operation", "num_rows").show(20, False)
+        rejected = rejected_path(args.table, args.quarantine)
+        print(f"rows in the table: {read_ingested(spark, args.table).count()}, "
+              f"rejected: {read_ingested(spark, rejected).count()}")
     elif args.cmd == "history":
-        T.history(spark, args.table).show(50, truncate=False)
-    elif args.cmd == "vacuum":
-        gone = T.vacuum(spark, args.table, args.retention_hours, enforce_retention=not args.force)
-        print(f"deleted {len(gone)} files")
-    elif args.cmd == "compact":
-        print(f"version {T.compact(spark, args.table)}")
+        log = T.history(spark, args.table).orderBy(F.col("version").desc())
+        n = log.count()
+        log.show(args.limit or n, truncate=False)
+        print(f"{n} versions")
     return 0
 
 

@@ -1,6 +1,6 @@
 """Bronze → Silver → Gold.
 
-Each layer is written as a versioned table and the next layer re-reads it
+Each layer is written as Parquet and the next layer re-reads it
 from storage, so lineage never spans layers: a lost executor recomputes at
 most one layer, and every layer is a restart point.
 """
@@ -16,7 +16,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidepool.operators import aggregates as agg
 from tidepool.operators import clean, joins
 from tidepool.sources import read_csv, read_json
-from tidepool.tables import versioned as T
 
 # Bronze keeps every field as text, exactly as received (D2): typing happens
 # in Silver, where a bad value is rejected by a rule instead of failing a cast.
@@ -39,9 +38,13 @@ def bronze_frame(raw: DataFrame) -> DataFrame:
                .withColumn("_source_file", F.col("_metadata.file_path")))
 
 
-def bronze(spark: SparkSession, raw_dir: str, bronze_path: str) -> int:
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def bronze(spark: SparkSession, raw_dir: str, bronze_path: str) -> None:
     raw = read_csv(spark, raw_dir, schema=BRONZE_SCHEMA, header=True, keep_whitespace=True)
-    return T.write(bronze_frame(raw), bronze_path, "overwrite", overwrite_schema=True)
+    _write(bronze_frame(raw), bronze_path)
 
 
 def typed(bronze_df: DataFrame) -> DataFrame:
@@ -88,27 +91,25 @@ def silver_frame(bronze_df: DataFrame) -> SilverResult:
 
 
 def silver(spark: SparkSession, bronze_path: str, silver_path: str,
-           quarantine_path: str | None = None) -> int:
-    """Writes Silver (and the quarantine). Both come from one tagged pass
+           quarantine_path: str | None = None) -> None:
+    """Writes Silver and the quarantine (``<silver>_rejected`` unless named). Both come from one tagged pass
     over Bronze, which is persisted (memory, then disk) while the two writes
     run, so Bronze is parsed once; a lost block is recomputed from Bronze."""
     from pyspark import StorageLevel
-    res = silver_frame(T.read(spark, bronze_path))
-    if not quarantine_path:
-        return T.write(res.silver, silver_path, "overwrite", overwrite_schema=True)
+    res = silver_frame(spark.read.parquet(bronze_path))
     res.tagged.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        T.write(res.rejected, quarantine_path, "overwrite", overwrite_schema=True)
-        return T.write(res.silver, silver_path, "overwrite", overwrite_schema=True)
+        _write(res.rejected, quarantine_path or f"{silver_path.rstrip('/')}_rejected")
+        _write(res.silver, silver_path)
     finally:
         res.tagged.unpersist()
 
 
-def gold(spark: SparkSession, silver_path: str, daily_path: str, product_path: str) -> tuple[int, int]:
+def gold(spark: SparkSession, silver_path: str, daily_path: str, product_path: str) -> None:
     """M4: the two Gold tables, unsorted on disk."""
-    s = T.read(spark, silver_path)
-    return (T.write(agg.daily_revenue(s), daily_path, "overwrite", overwrite_schema=True),
-            T.write(agg.product_summary(s), product_path, "overwrite", overwrite_schema=True))
+    s = spark.read.parquet(silver_path)
+    _write(agg.daily_revenue(s), daily_path)
+    _write(agg.product_summary(s), product_path)
 
 
 def reconcile(spark: SparkSession, layers: dict[str, str], raw_dir: str | None = None) -> DataFrame:
@@ -118,7 +119,7 @@ def reconcile(spark: SparkSession, layers: dict[str, str], raw_dir: str | None =
         raw = read_csv(spark, raw_dir, schema=BRONZE_SCHEMA, header=True)
         parts.append(raw.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("raw").alias("layer"), "rows"))
     for name, path in layers.items():
-        parts.append(T.read(spark, path).agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
                      .select(F.lit(name).alias("layer"), "rows"))
     out = parts[0]
     for p in parts[1:]:

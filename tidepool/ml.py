@@ -21,6 +21,8 @@ def user_feature_table(events: DataFrame, types: Sequence[str] = EVENT_TYPES) ->
     days. Conditional counts keep it one hash aggregate (a pivot would need
     the same, plus its own distinct pass when values are not given)."""
     counts = [F.count(F.when(F.col("event_type") == t, 1)).alias(t) for t in types]
+    rest = F.col("event_type").isNull() | ~F.col("event_type").isin(*types)
+    counts.append(F.count(F.when(rest, 1)).alias("other"))  # no event vanishes
     return (events.groupBy("user_id")
                   .agg(*counts, money_sum("value").alias("value_total"),
                        F.count_distinct(F.to_date("ts")).alias("active_days")))
@@ -110,19 +112,15 @@ DOC_FEATURES = ("chars", "tokens", "lines", "upper_share", "digit_share")
 
 
 def fit_label_model(documents: DataFrame, labels: DataFrame, label_col: str, kind: str = "tree"):
-    """Train ``kind`` on document features joined to a 0/1 label column;
-    returns (model, scored rows).
-
-    Only labelled documents are featurised (join first), and the assembled
-    vectors are checkpointed into the shared folder before fitting: the
-    learners make several passes, which then read the small vectors instead
-    of re-running the text features, and a lost executor does not send them
-    back to the raw documents."""
-    from tidepool.operators.partitioning import spread
+    """Train ``kind`` on the features of the labelled documents; returns (model,
+    every document scored).
+
+    The assembled vectors of all documents are checkpointed into the shared
+    folder first: the learners make several passes, which then read the small
+    vectors instead of re-running the text features, and a lost executor does
+    not send them back to the raw documents."""
     from tidepool.session import cut_lineage
-    labelled = documents.join(labels.select("doc_id", label_col), "doc_id")
-    data = (document_features(spread(labelled)).join(labelled.select("doc_id", label_col), "doc_id")
-            .withColumnRenamed(label_col, "label"))
-    vec = cut_lineage(assemble(data, list(DOC_FEATURES)).select("doc_id", "label", "features"))
-    model = classifier(kind).fit(vec)
+    vec = cut_lineage(assemble(document_features(documents), list(DOC_FEATURES)).select("doc_id", "features"))
+    known = vec.join(labels.select("doc_id", F.col(label_col).cast("double").alias("label")), "doc_id")
+    model = classifier(kind).fit(known)
     return model, model.transform(vec)

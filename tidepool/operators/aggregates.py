@@ -23,6 +23,14 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(col.cast("decimal(18,2)")).cast(MONEY)
 
 
+def money_avg(c: str) -> Column:
+    """Average of two-decimal money values, rounded half up to cents, from
+    the exact sum (null without values)."""
+    n = F.count(c)
+    cents = avg_cents(F.sum(F.col(c).cast("decimal(18,2)")), F.when(n > 0, n))
+    return (cents.cast("decimal(38,2)") / 100).cast("decimal(38,2)")
+
+
 def avg_cents(total: Column, n: Column) -> Column:
     """Average of a money total in whole cents, rounded half-up with integer
     arithmetic only: exact, and identical on every engine (a double average
@@ -51,17 +59,17 @@ def count_by(df: DataFrame, *keys: str, name: str = "count") -> DataFrame:
 def daily_revenue(silver: DataFrame) -> DataFrame:
     """Revenue, orders and average order value per (order_date, region)."""
     return (silver.groupBy("order_date", "region")
-                  .agg(F.sum("total_amount").alias("total_revenue"),
+                  .agg(money_sum("total_amount").alias("total_revenue"),
                        F.count("order_id").alias("order_count"),
-                       F.round(F.avg("total_amount"), 2).alias("avg_order_value")))
+                       money_avg("total_amount").alias("avg_order_value")))
 
 
 def product_summary(silver: DataFrame) -> DataFrame:
     """Units, revenue, average unit price and orders per product."""
     return (silver.groupBy("product")
                   .agg(F.sum("quantity").alias("total_units_sold"),
-                       F.sum("total_amount").alias("total_revenue"),
-                       F.round(F.avg("amount"), 2).alias("avg_unit_price"),
+                       money_sum("total_amount").alias("total_revenue"),
+                       money_avg("amount").alias("avg_unit_price"),
                        F.count("order_id").alias("order_count")))
 
 
@@ -69,7 +77,7 @@ def region_summary(df: DataFrame, amount_col: str = "total_amount") -> DataFrame
     """Orders and rounded revenue per region."""
     return (df.groupBy("region")
               .agg(F.count(F.lit(1)).alias("orders"),
-                   F.round(F.sum(amount_col), 2).alias("revenue")))
+                   money_sum(amount_col).alias("revenue")))
 
 
 def monthly_revenue(df: DataFrame, ts_col: str, amount_col: str,
@@ -149,7 +157,8 @@ def sessions(df: DataFrame, ts_col: str, gap: str, keys: Sequence[str],
        through the same window in partitions of their own.
     """
     keys = list(keys)
-    gap_us = F.expr(f"unix_micros(TIMESTAMP'1970-01-01 00:00:00' + INTERVAL {gap})")
+    # the gap's length, counted from the epoch itself: no session time zone in it
+    gap_us = F.expr(f"unix_micros(timestamp_micros(0) + INTERVAL {gap})")
     ts_us = F.unix_micros(F.col(ts_col).cast("timestamp"))
     grp_us = gap_us * F.lit(fanout)
     # cell and group ids are their start instants in µs (integer arithmetic)
@@ -198,8 +207,9 @@ def resample(df: DataFrame, ts_col: str, unit: str, aggs: Sequence[Column],
     emits the run of missing buckets up to the next non-empty one
     (``lead`` + ``sequence``). So the data is scanned and aggregated once
     (both branches share the aggregate's exchange), and the ordered pass
-    sees one row per bucket — bounded by the time span over the step, not by
-    the row count.
+    sees one row per bucket. The next bucket is looked up per day, and across
+    days among one row per day, so no task orders more than a day's buckets or
+    one row per day.
     """
     bucket = F.date_trunc(unit, F.col(ts_col)).cast("timestamp_ntz").alias("bucket")
     agg = df.groupBy(bucket).agg(*aggs)
@@ -207,11 +217,14 @@ def resample(df: DataFrame, ts_col: str, unit: str, aggs: Sequence[Column],
         return agg
     step = F.expr(f"INTERVAL {step or '1 ' + unit}")
     measures = [c for c in agg.columns if c != "bucket"]
-    # One branch, one scan: each bucket row, in bucket order (one ordered
-    # partition of span/step rows at most), emits itself at position 0 and
-    # the empty buckets up to the next row after it, with NULL measures.
-    with_next = agg.withColumn("_next", F.lead("bucket").over(Window.orderBy("bucket")))
-    nxt = F.col("_next")
+    # each bucket row emits itself at position 0 and the empty buckets up to
+    # the next row after it, with NULL measures
+    by_day = agg.withColumn("_day", F.to_date("bucket"))
+    days = by_day.groupBy("_day").agg(F.min("bucket").alias("_first"))
+    days = days.select("_day", F.lead("_first").over(Window.orderBy("_day")).alias("_after"))
+    with_next = (by_day.withColumn("_next", F.lead("bucket").over(Window.partitionBy("_day").orderBy("bucket")))
+                 .join(days, "_day"))
+    nxt = F.coalesce("_next", "_after")
     gaps = F.when(nxt > F.col("bucket") + step,
                   F.sequence(F.col("bucket") + step, nxt - step, step))
     buckets = F.concat(F.array(F.col("bucket")), F.coalesce(gaps, F.array().cast("array<timestamp_ntz>")))

@@ -12,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.partitioning import spread
-
 
 def normalize_code(c: str | Column) -> Column:
     """``upper(trim(x))`` — region codes arrive as ``eu`` or ``" APAC "``."""
@@ -81,32 +79,19 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule], tag_col: str = "_rejected_
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
           keep: str = "first") -> DataFrame:
-    """One row per key — the first (or last) by ``order_by``.
+    """One row per key — the first (or last) by ``order_by``:
+    ``row_number() = 1``.
 
     Ties are broken by all remaining columns (D4), so the result is
-    deterministic. Expressed as ``min(struct(order…, rest…))`` per key rather
-    than ``row_number()`` over a window: an aggregate combines on the map
-    side, so a key that holds a third of the table is reduced to one row per
-    input partition *before* the shuffle, where the window form would sort
-    that whole key inside a single task.
+    deterministic. The filter on the rank becomes a partial WindowGroupLimit
+    before the shuffle, so a key that holds a third of the table crosses it as
+    one row for each input task.
     """
     keys = list(keys)
     order_by = [c for c in order_by if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     if keep not in ("first", "last"):
         raise ValueError("keep must be 'first' or 'last'")
-    packed = F.struct(*[F.col(c) for c in order_by + rest])
-    pick = F.min(packed) if keep == "first" else F.max(packed)
-    out = spread(df).groupBy(*keys).agg(pick.alias("_row"))
-    return out.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in df.columns])
-
-
-def dedup_window(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """W1 in the reference's own form (``row_number() = 1``), kept for
-    comparison and for callers who need a non-ascending order. Ties are
-    broken by the remaining columns as in :func:`dedup`."""
-    rest = [c for c in df.columns if c not in keys and c not in order_by]
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c) for c in list(order_by) + rest])
-    return (df.withColumn("_rn", F.row_number().over(w))
-              .filter(F.col("_rn") == 1)
-              .drop("_rn"))
+    order = [F.col(c).asc() if keep == "first" else F.col(c).desc() for c in order_by + rest]
+    w = Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))
+    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")

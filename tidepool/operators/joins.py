@@ -3,9 +3,8 @@
 Strategy is left to AQE: a join becomes a broadcast join only when the
 *materialised* side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``
 (planner estimates are switched off, see ``session.py``), otherwise it stays
-sort-merge, with skewed partitions split. The only explicit broadcast in the
-library is :func:`broadcast_if_bounded`, which proves a row bound first and
-falls back to a normal (shuffled) join when the side is larger.
+sort-merge, with skewed partitions split. No join here hints a broadcast and
+none runs a job while the query is built.
 """
 
 from __future__ import annotations
@@ -15,57 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Dimension sides we are willing to ship to every executor. 1M short rows is
-# a few tens of MB; above that the shuffle join is the safer plan.
-DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
-
-
-_BOUND_CACHE: dict[tuple, bool] = {}
-
-
-def _fingerprint(df: DataFrame) -> tuple | None:
-    """Plan hash + (path, size, mtime) of every input file, or None when the
-    plan reads something other than files."""
-    from tidepool.tables import fs
-    try:
-        files = df.inputFiles()
-    except Exception:
-        return None
-    if not files:
-        return None
-    stats = []
-    for f in sorted(files):
-        st = fs.status(df.sparkSession, f)
-        if st is None:
-            return None
-        stats.append((f, *st))
-    return (df.semanticHash(), tuple(stats))
-
-
-def bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Counts at most ``max_rows + 1`` rows, so the check costs a bounded scan
-    even when the side turns out to be huge. The answer is remembered for the
-    same plan over the same unchanged files (size and modification time), so
-    a dimension is counted once per session, not once per query.
-    """
-    key = _fingerprint(df)
-    if key is not None:
-        key = (key, max_rows)
-        if key in _BOUND_CACHE:
-            return _BOUND_CACHE[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _BOUND_CACHE[key] = ok
-    return ok
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a proven size bound; otherwise unchanged."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
-
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
@@ -84,11 +32,6 @@ def anti(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFr
     return left.join(distinct_keys(right, ks), on=ks, how="left_anti")
 
 
-def semi(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    ks = _keys(keys)
-    return left.join(distinct_keys(right, ks), on=ks, how="left_semi")
-
-
 def keep_status(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
                 status_col: str = "status", kept: str = "KEPT",
                 filtered: str = "FILTERED") -> DataFrame:
@@ -105,25 +48,42 @@ def keep_status(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
 
 
 def enrich(fact: DataFrame, dim: DataFrame, on: str | Sequence[str] | Column,
-           how: str = "inner", max_broadcast_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Fact ⋈ dimension; the dimension is broadcast only if bounded."""
-    return fact.join(broadcast_if_bounded(dim, max_broadcast_rows), on=on, how=how)
+           how: str = "inner") -> DataFrame:
+    """Fact ⋈ dimension."""
+    return fact.join(dim, on=on, how=how)
+
+
+def hot_keys(df: DataFrame, keys: str | Sequence[str], share: int = 1000) -> list[tuple]:
+    """Keys that hold more than one ``share``-th of the rows: fewer than
+    ``share`` by arithmetic, whatever the data. One aggregate with map-side
+    combine; only these keys reach the driver."""
+    ks = _keys(keys)
+    counts = df.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
+    total = df.count()
+    return [tuple(r[k] for k in ks) for r in counts.where(F.col("_n") * share > total).collect()]
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: str | Sequence[str],
                 salts: int = 16, how: str = "inner", seed: int = 7) -> DataFrame:
-    """Equi-join that spreads every key of ``big`` over ``salts`` tasks.
+    """Equi-join that spreads every hot key of ``big`` over ``salts`` tasks.
 
-    ``big`` rows get a random salt in ``[0, salts)``; ``small`` rows are
-    replicated once per salt (``small`` grows by ``salts``×, so use it for
-    the side without the hot key). AQE's skew-join split covers sort-merge
-    joins automatically; this is the explicit form for plans AQE cannot
-    split (e.g. a hot key on the build side of an outer join).
+    Rows of ``big`` with a hot key (:func:`hot_keys`) get a random salt in
+    ``[0, salts)``; only the rows of ``small`` with those keys are replicated
+    once per salt, all others stay single. AQE's skew-join split covers
+    sort-merge joins automatically; this is the explicit form for plans AQE
+    cannot split (e.g. a hot key on the build side of an outer join).
     Only inner and left joins keep their meaning under salting.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"salted join does not preserve {how!r} semantics")
     ks = _keys(keys)
-    b = big.withColumn("_salt", (F.rand(seed) * salts).cast("int"))
-    s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    hot = F.lit(False)
+    for key in hot_keys(big, ks):
+        same = F.lit(True)
+        for k, v in zip(ks, key):
+            same = same & F.col(k).eqNullSafe(F.lit(v))
+        hot = hot | same
+    b = big.withColumn("_salt", F.when(hot, (F.rand(seed) * salts).cast("int")).otherwise(F.lit(0)))
+    copies = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    s = small.withColumn("_salt", F.explode(copies))
     return b.join(s, on=ks + ["_salt"], how=how).drop("_salt")

@@ -1,34 +1,10 @@
-"""Partitioning controls (R3, J8 helpers).
-
-On a lake, a scan already yields many splits (one per ~128 MB), so none of
-this fires; it matters for inputs stored as a few huge unsplittable units
-(one Parquet row group per file), where all the per-row work before the
-first shuffle would otherwise run in one task.
-"""
+"""Bucketed tables (R3, J8): a layout for joins without any exchange."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def parallelism(df: DataFrame) -> int:
-    return df.sparkSession.sparkContext.defaultParallelism
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over ``min_partitions`` tasks (default: the
-    cluster's parallelism) when the plan has fewer partitions than that.
-    Decided at plan time from the split count; no job runs."""
-    if df.isStreaming:
-        return df
-    try:
-        want = min_partitions or parallelism(df)
-        have = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def write_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int,
                    sort: bool = True, path: str | None = None) -> None:
     """Persist ``df`` as a catalog table bucketed (and sorted) by ``keys``.

@@ -5,10 +5,9 @@ Long form, one row per column: rows, nulls, distinct values, min, max
 
 * ``approx=True`` (default): one aggregate pass; distinct counts are
   HyperLogLog sketches that merge on the map side.
-* ``approx=False``: exact distinct counts. Each column's distinct count is
-  its own single-distinct aggregate (keyed partial aggregate → shuffle of
-  distinct values only), instead of one multi-distinct aggregate whose
-  Expand multiplies every row by the number of columns.
+* ``approx=False``: exact distinct counts in a second scan: the columns are
+  unpivoted to (column, value as text) and counted as one keyed distinct, with
+  map-side combine, so only distinct values cross the shuffle.
 """
 
 from __future__ import annotations
@@ -17,9 +16,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
-
-from tidepool.operators.partitioning import spread
 
 _OUT = ("column_name", "nulls", "distinct_values", "min_value", "max_value", "rows")
 
@@ -50,18 +46,10 @@ def summarize(df: DataFrame, columns: Sequence[str] | None = None,
     if approx:
         wide = _basic(df, cols, lambda c: F.approx_count_distinct(c, rsd))
         return _long(wide, cols, True)
-    src = spread(df.select(*cols))
-    base = _long(_basic(src, cols), cols, False).drop("distinct_values")
-    counts = None
-    for c in cols:
-        one = src.agg(F.count_distinct(c).alias("distinct_values")) \
-                 .select(F.lit(c).alias("column_name"), "distinct_values")
-        counts = one if counts is None else counts.unionByName(one)
-    # both sides have one row per profiled column: a bounded broadcast
-    return base.join(F.broadcast(counts), "column_name").select(*_OUT)
-
-
-def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """``df.summary()``-style count/mean/stddev/min/max for numeric columns."""
-    cols = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)])
-    return df.select(*cols).summary("count", "mean", "stddev", "min", "max")
+    base = _long(_basic(df, cols), cols, False).drop("distinct_values")
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v"))
+                                          for c in cols])).alias("p")).select("p.*")
+    counts = (pairs.where("v IS NOT NULL").distinct()
+              .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values")))
+    return (base.join(counts, "column_name", "left")
+            .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0).cast("bigint"))).select(*_OUT))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.operators import aggregates as agg
@@ -38,23 +38,33 @@ def register(name: str, oracle: str | None = None):
 # ---------------------------------------------------------------------------
 
 def geography(spark: SparkSession, d: str) -> DataFrame:
-    """nation ⋈ region → (n_nationkey, region). 25 rows by definition of the
-    schema, still broadcast only after the bound is checked."""
+    """nation ⋈ region → (n_nationkey, region)."""
     n = read_table(spark, d, "nation")
-    r = joins.broadcast_if_bounded(read_table(spark, d, "region"), 10_000)
-    geo = (n.join(r, n.n_regionkey == r.r_regionkey)
-            .select("n_nationkey", F.col("r_name").alias("region")))
-    return joins.broadcast_if_bounded(geo, 10_000)
+    r = read_table(spark, d, "region")
+    return (n.join(r, n.n_regionkey == r.r_regionkey)
+             .select("n_nationkey", F.col("r_name").alias("region")))
 
 
-def orders_with_region(spark: SparkSession, d: str) -> DataFrame:
-    """orders ⋈ customer ⋈ (nation ⋈ region): the Silver stand-in.
-    The customer join is a shuffle join on the customer key (both sides grow
-    with the data); the geography side is a checked broadcast."""
-    o = read_table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+def customer_region(spark: SparkSession, d: str) -> DataFrame:
+    """(c_custkey, region)."""
     c = read_table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    cg = c.join(geography(spark, d), c.c_nationkey == F.col("n_nationkey")).select("c_custkey", "region")
-    return o.join(cg, o.o_custkey == cg.c_custkey).drop("c_custkey")
+    return c.join(geography(spark, d), c.c_nationkey == F.col("n_nationkey")).select("c_custkey", "region")
+
+
+def regional(spark: SparkSession, d: str, by: dict[str, Column] | None = None,
+             orders: DataFrame | None = None) -> DataFrame:
+    """orders ⋈ customer ⋈ (nation ⋈ region), summed per region and ``by``:
+    region, by..., revenue, orders. Orders are summed per customer (and ``by``)
+    first, with map-side combine: a customer with a third of all orders meets the
+    customer table as one row per ``by`` value."""
+    o = read_table(spark, d, "orders") if orders is None else orders
+    names = list(by or {})
+    per = (o.select("o_custkey", "o_totalprice", *[c.alias(n) for n, c in (by or {}).items()])
+            .groupBy("o_custkey", *names)
+            .agg(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("s"), F.count(F.lit(1)).alias("n")))
+    return (per.join(customer_region(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+               .groupBy("region", *names)
+               .agg(F.sum("s").cast(agg.MONEY).alias("revenue"), F.sum("n").alias("orders")))
 
 
 _GEO_SQL = """orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -76,10 +86,9 @@ FROM {_GEO_SQL}
 GROUP BY 1, 2
 """)
 def gold_daily_revenue(spark: SparkSession, d: str) -> DataFrame:
-    x = orders_with_region(spark, d)
-    g = (x.groupBy(F.to_date("o_orderdate").alias("order_date"), "region")
-          .agg(agg.money_sum("o_totalprice").alias("total_revenue"),
-               F.count("o_orderkey").alias("order_count")))
+    g = (regional(spark, d, {"order_date": F.to_date("o_orderdate")})
+         .select("order_date", "region", F.col("revenue").alias("total_revenue"),
+                 F.col("orders").alias("order_count")))
     return g.withColumn("avg_order_cents",
                         agg.avg_cents(F.col("total_revenue"), F.col("order_count")))
 
@@ -100,17 +109,18 @@ def gold_product_summary(spark: SparkSession, d: str) -> DataFrame:
     meet the part table; the result is already partitioned by part key, so
     the join adds no second shuffle of the fact side."""
     li = read_table(spark, d, "lineitem")
+    unit = F.try_divide("l_extendedprice", "l_quantity")  # null without units
     per_part = (li.groupBy("l_partkey")
                   .agg(F.sum("l_quantity").alias("qty"),
                        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("rev"),
-                       F.sum(F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_sum"),
+                       F.sum(unit).alias("unit_sum"), F.count(unit).alias("units"),
                        F.count("l_orderkey").alias("lines")))
     p = read_table(spark, d, "part").select("p_partkey", "p_brand")
     j = per_part.join(p, per_part.l_partkey == p.p_partkey)
     return (j.groupBy(F.col("p_brand").alias("product"))
              .agg(F.sum("qty").cast("bigint").alias("total_units_sold"),
                   F.sum("rev").cast(agg.MONEY).alias("total_revenue"),
-                  F.round(F.sum("unit_sum") / F.sum("lines")).cast("bigint").alias("avg_unit_price"),
+                  F.round(F.try_divide(F.sum("unit_sum"), F.sum("units"))).cast("bigint").alias("avg_unit_price"),
                   F.sum("lines").alias("order_count")))
 
 
@@ -121,10 +131,7 @@ FROM {_GEO_SQL}
 GROUP BY 1
 """)
 def region_summary(spark: SparkSession, d: str) -> DataFrame:
-    x = orders_with_region(spark, d)
-    return (x.groupBy("region")
-             .agg(F.count(F.lit(1)).alias("orders"),
-                  agg.money_sum("o_totalprice").alias("revenue")))
+    return regional(spark, d)
 
 
 @register("monthly_revenue", f"""
@@ -136,7 +143,7 @@ FROM {_GEO_SQL}
 GROUP BY 1, 2, 3
 """)
 def monthly_revenue(spark: SparkSession, d: str) -> DataFrame:
-    return agg.monthly_revenue(orders_with_region(spark, d), "o_orderdate", "o_totalprice", ["region"])
+    return regional(spark, d, {"order_year": F.year("o_orderdate"), "order_month": F.month("o_orderdate")})
 
 
 @register("customer_spend", """
@@ -538,7 +545,8 @@ def append_orders(spark: SparkSession, d: str) -> DataFrame:
 # driver tables as a file source, run to completion with availableNow into a
 # file sink in the shared checkpoint folder, then read back. Append mode
 # emits a window/session only once the watermark (max event time − 10 min)
-# has passed its end, so the twins keep exactly those.
+# has passed its end; when a finished input ends, the windows still open are
+# counted by the batch form and added, so the result is whole.
 # ---------------------------------------------------------------------------
 
 def _stream_source(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -562,37 +570,39 @@ def _run_stream(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
                         for c in out.columns])
 
 
-_CLOSED = "(SELECT MAX(ts) FROM events) - INTERVAL '10 minutes'"
+def _with_open(closed: DataFrame, batch: DataFrame, events: DataFrame, end: str) -> DataFrame:
+    """What the stream emitted, and of the batch form the windows that end
+    behind the stream's last watermark (latest event − 10 minutes)."""
+    last = events.agg(F.max("ts")).first()[0]
+    still = batch.filter(F.col(end) > F.lit(last).cast("timestamp_ntz") - F.expr("INTERVAL 10 MINUTES"))
+    return closed.unionByName(still.select(closed.columns))
 
 
-@register("stream_tumbling_events", f"""
-SELECT * FROM ({ORACLE['tumbling_events']}) w WHERE window_end <= {_CLOSED}
-""")
+@register("stream_tumbling_events", ORACLE["tumbling_events"])
 def stream_tumbling_events(spark: SparkSession, d: str) -> DataFrame:
     from tidepool.streaming.events import to_event_time
     from tidepool.streaming.windows import windowed_counts
     ev = to_event_time(_stream_source(spark, d, "events"), "ts")
-    return _run_stream(spark, windowed_counts(ev, "ts", "5 minutes", ["user_id"]), "tumbling")
+    closed = _run_stream(spark, windowed_counts(ev, "ts", "5 minutes", ["user_id"]), "tumbling")
+    return _with_open(closed, QUERIES["tumbling_events"](spark, d), read_table(spark, d, "events"), "window_end")
 
 
-@register("stream_sliding_events", f"""
-SELECT * FROM ({ORACLE['sliding_events']}) w WHERE window_end <= {_CLOSED}
-""")
+@register("stream_sliding_events", ORACLE["sliding_events"])
 def stream_sliding_events(spark: SparkSession, d: str) -> DataFrame:
     from tidepool.streaming.events import to_event_time
     from tidepool.streaming.windows import windowed_counts
     ev = to_event_time(_stream_source(spark, d, "events"), "ts")
-    return _run_stream(spark, windowed_counts(ev, "ts", "10 minutes", slide="5 minutes"), "sliding")
+    closed = _run_stream(spark, windowed_counts(ev, "ts", "10 minutes", slide="5 minutes"), "sliding")
+    return _with_open(closed, QUERIES["sliding_events"](spark, d), read_table(spark, d, "events"), "window_end")
 
 
-@register("stream_session_windows", f"""
-SELECT * FROM ({ORACLE['session_windows']}) s WHERE session_end <= {_CLOSED}
-""")
+@register("stream_session_windows", ORACLE["session_windows"])
 def stream_session_windows(spark: SparkSession, d: str) -> DataFrame:
     from tidepool.streaming.events import to_event_time
     from tidepool.streaming.windows import session_counts
     ev = to_event_time(_stream_source(spark, d, "events"), "ts")
-    return _run_stream(spark, session_counts(ev, "ts", "2 hours", ["user_id"]), "sessions")
+    closed = _run_stream(spark, session_counts(ev, "ts", "2 hours", ["user_id"]), "sessions")
+    return _with_open(closed, QUERIES["session_windows"](spark, d), read_table(spark, d, "events"), "session_end")
 
 
 @register("stream_json_props", ORACLE["json_props"])
@@ -602,20 +612,24 @@ def stream_json_props(spark: SparkSession, d: str) -> DataFrame:
     return _run_stream(spark, out, "json_props")
 
 
-@register("stream_error_counts", f"""
+@register("stream_error_counts", """
 SELECT * FROM (
   SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start,
          time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' AS window_end,
          user_id, COUNT(*) AS n
   FROM events WHERE event_type = 'error' GROUP BY 1, 2, 3) w
-WHERE window_end <= {_CLOSED}
 """)
 def stream_error_counts(spark: SparkSession, d: str) -> DataFrame:
     """M9 as a stream: hourly error counts per user (the alerting input)."""
     from tidepool.streaming.events import to_event_time
     from tidepool.streaming.windows import windowed_counts
     ev = to_event_time(_stream_source(spark, d, "events"), "ts").filter(F.col("event_type") == "error")
-    return _run_stream(spark, windowed_counts(ev, "ts", "1 hour", ["user_id"]), "errors")
+    closed = _run_stream(spark, windowed_counts(ev, "ts", "1 hour", ["user_id"]), "errors")
+    errors = read_table(spark, d, "events").filter("event_type = 'error'")
+    batch = agg.tumbling(errors, "ts", "1 hour", ["user_id"])
+    batch = batch.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c.startswith("window_") else c
+                           for c in batch.columns])
+    return _with_open(closed, batch, errors, "window_end")
 
 
 @register("stream_ingest_orders", """
@@ -628,15 +642,14 @@ FROM orders
 def stream_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
     """M6 end to end: orders are published as JSON order events (one line
     per order, several files), a Structured Streaming job decodes them
-    (X2) and appends each micro-batch to a versioned table through
-    ``foreachBatch`` with exactly-once batch ids (X4, X5); the result is the
+    (X2) and appends each micro-batch to a Parquet table through
+    ``foreachBatch`` with one folder per batch id (X4, X5); the result is the
     table read back (X10) without the ingest time stamp."""
     import uuid
 
     from tidepool.session import scratch_path
     from tidepool.streaming.events import read_event_files
-    from tidepool.streaming.ingest import run_ingest
-    from tidepool.tables import versioned as T
+    from tidepool.streaming.ingest import read_ingested, run_ingest
     base = scratch_path(spark, f"streams/ingest-{uuid.uuid4().hex[:12]}")
     o = read_table(spark, d, "orders")
     payload = F.to_json(F.struct(
@@ -648,9 +661,9 @@ def stream_ingest_orders(spark: SparkSession, d: str) -> DataFrame:
         F.substring("o_orderpriority", 1, 1).cast("int").alias("quantity")))
     o.select(payload.alias("value")).write.text(f"{base}/in")
     q = run_ingest(spark, read_event_files(spark, f"{base}/in"), f"{base}/table",
-                   f"{base}/checkpoint", quarantine_path=f"{base}/quarantine", available_now=True)
+                   f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
-    t = T.read(spark, f"{base}/table")
+    t = read_ingested(spark, f"{base}/table")
     return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
                     "product", "region", "amount", "quantity", "total_amount")
 
@@ -670,8 +683,8 @@ GROUP BY 1
 def region_sales_since(spark: SparkSession, d: str) -> DataFrame:
     """G15 + P16: ``df[df.order_date >= '…'].groupby('region')['amount'].sum()``.
     The date bound reaches the Parquet scan as a pushed filter."""
-    x = orders_with_region(spark, d).filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    return x.groupBy("region").agg(agg.money_sum("o_totalprice").alias("amount"))
+    o = read_table(spark, d, "orders").filter(F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    return regional(spark, d, orders=o).select("region", F.col("revenue").alias("amount"))
 
 
 @register("view_over_filter", """
@@ -783,9 +796,10 @@ def federated_sql(spark: SparkSession, d: str) -> DataFrame:
     nations = spark.read.schema("n_nationkey int, r_name string").json(f"{base}/nation_json")
     orders_path = f"{d.rstrip('/')}/orders.parquet"
     return spark.sql("""
-        SELECT c.c_mktsegment, n.r_name AS region, COUNT(*) AS orders,
-               CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS amount
-        FROM parquet.`""" + orders_path + """` o
+        SELECT c.c_mktsegment, n.r_name AS region, SUM(o.n) AS orders,
+               CAST(SUM(o.s) AS DECIMAL(38,2)) AS amount
+        FROM (SELECT o_custkey, COUNT(*) AS n, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS s
+              FROM parquet.`""" + orders_path + """` GROUP BY o_custkey) o
           JOIN {customers} c ON o.o_custkey = c.c_custkey
           JOIN {nations} n ON c.c_nationkey = n.n_nationkey
         GROUP BY c.c_mktsegment, n.r_name""", customers=customers, nations=nations)
@@ -823,7 +837,7 @@ FROM events e JOIN customer c ON e.user_id = c.c_custkey
 GROUP BY 1
 """)
 def salted_join_events(spark: SparkSession, d: str) -> DataFrame:
-    """Events ⋈ customer with every user key spread over 8 salts, for
+    """Events ⋈ customer with the hot users' keys spread over 8 salts, for
     when one user holds a large share of the events."""
     ev = read_table(spark, d, "events").select("user_id", "value")
     c = read_table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_mktsegment")
@@ -834,6 +848,8 @@ def salted_join_events(spark: SparkSession, d: str) -> DataFrame:
 
 @register("user_features", """
 SELECT user_id,
+       COUNT(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN
+                        ('click', 'error', 'purchase', 'signup', 'view')) AS other,
        COUNT(*) FILTER (WHERE event_type = 'click') AS click,
        COUNT(*) FILTER (WHERE event_type = 'error') AS error,
        COUNT(*) FILTER (WHERE event_type = 'purchase') AS purchase,
@@ -850,49 +866,53 @@ def user_features(spark: SparkSession, d: str) -> DataFrame:
     return user_feature_table(read_table(spark, d, "events"))
 
 
-@register("kmeans_embeddings")
+@register("kmeans_embeddings", """
+SELECT COUNT(*) AS vectors, CAST(10 AS BIGINT) AS clusters, true AS tighter_than_one_cluster
+FROM embeddings
+""")
 def kmeans_embeddings(spark: SparkSession, d: str) -> DataFrame:
-    """K-means (k=10, fixed seed) over all embedding vectors; the
-    result is the size and mean label of each cluster. Iterative, so no SQL
-    twin."""
+    """K-means (k=10, fixed seed) over all embedding vectors. The fit
+    itself is iterative; what must hold of it is compared: every vector gets a
+    cluster, no cluster is empty, and the cost is below that of one cluster."""
     from tidepool.ml import kmeans
-    _, scored = kmeans(read_table(spark, d, "embeddings"), "embedding", k=10)
-    return scored.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"),
-                                         F.avg("label").alias("mean_label"))
+    vectors = read_table(spark, d, "embeddings")
+    model, scored = kmeans(vectors, "embedding", k=10)
+    spread = _total_variance(vectors, "embedding") * (vectors.count() - 1)
+    return scored.agg(F.count("cluster").alias("vectors"), F.count_distinct("cluster").alias("clusters"),
+                      F.lit(bool(model.summary.trainingCost < spread)).alias("tighter_than_one_cluster"))
+
+
+def _total_variance(df: DataFrame, column: str) -> float:
+    """Sum over dimensions of the sample variance of an ``array`` column."""
+    parts = df.select(F.posexplode(column).alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("v"))
+    return parts.agg(F.sum("v")).first()[0]
 
 
 # ---------------------------------------------------------------------------
-# Versioned tables end to end (T1-T5, T7, T10): the orders table is written
-# as a versioned table in the shared folder, changed by an append, a
-# copy-on-write UPDATE and a DELETE, then read at a past or current version.
+# Snapshot tables end to end (T1-T5, T7, T10): the orders table is written
+# as a table of whole versions in the shared folder, changed by an append, an
+# UPDATE and a DELETE, then read at a past or current version.
 # ---------------------------------------------------------------------------
 
 def _orders_table(spark: SparkSession, d: str) -> str:
-    """The orders table as a versioned table clustered by status, with
-    min/max statistics: the status UPDATE then rewrites only the files of
-    that status and skips the others by their statistics, without a scan."""
+    """The orders table with four versions."""
     import uuid
 
     from tidepool.session import scratch_path
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     path = scratch_path(spark, f"tables/orders-{uuid.uuid4().hex[:12]}")
     o = read_table(spark, d, "orders").select(*[c.strip() for c in _ORDER_COLS.split(",")])
-    T.write(o, path, "overwrite", cluster_by=["o_orderstatus"],
-            stats_columns=["o_orderstatus", "o_orderdate", "o_totalprice"])               # v0
-    T.write(o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("O")),
-            path, "append")                                                               # v1
-    T.update(spark, path, F.col("o_orderstatus") == "F",
-             {"o_totalprice": F.col("o_totalprice") * F.lit(1.1)},
-             prune=[("o_orderstatus", "=", "F")])                                         # v2
-    T.delete(spark, path, (F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 100000),
-             prune=[("o_totalprice", "<", 100000)])                                      # v3
+    T.write(o, path)                                                                      # v0
+    T.write(o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("O")), path, "append")  # v1
+    T.update(spark, path, F.col("o_orderstatus") == "F", {"o_totalprice": F.col("o_totalprice") * F.lit(1.1)})  # v2
+    T.delete(spark, path, (F.col("o_orderpriority") == "5-LOW") & (F.col("o_totalprice") < 100000))  # v3
     return path
 
 
 @register("versioned_time_travel", ORACLE["append_orders"])
 def versioned_time_travel(spark: SparkSession, d: str) -> DataFrame:
     """After four commits, version 1 (the append) still reads as it was."""
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     return T.read(spark, _orders_table(spark, d), version=1)
 
 
@@ -908,7 +928,7 @@ SELECT * FROM v2 WHERE NOT coalesce(o_orderpriority = '5-LOW' AND o_totalprice <
 """)
 def versioned_current(spark: SparkSession, d: str) -> DataFrame:
     """The current version after append, UPDATE and DELETE."""
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     return T.read(spark, _orders_table(spark, d))
 
 
@@ -924,7 +944,7 @@ SELECT 3, 'DELETE', (SELECT COUNT(*) FROM ({ORACLE['versioned_current']}) c)
 def versioned_history(spark: SparkSession, d: str) -> DataFrame:
     """The commit history of that table (operation and row count per
     version; timestamps are not compared)."""
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     return T.history(spark, _orders_table(spark, d)).select("version", "operation", "num_rows")
 
 
@@ -934,12 +954,12 @@ SELECT {_ORDER_COLS},
 FROM orders
 """)
 def versioned_add_column(spark: SparkSession, d: str) -> DataFrame:
-    """``ADD COLUMNS discount`` (new version, same files, old rows read
-    NULL), then an UPDATE fills it for urgent orders."""
+    """``ADD COLUMNS discount`` (a new version, null in every row), then
+    an UPDATE fills it for urgent orders."""
     import uuid
 
     from tidepool.session import scratch_path
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     path = scratch_path(spark, f"tables/orders-ac-{uuid.uuid4().hex[:12]}")
     o = read_table(spark, d, "orders").select(*[c.strip() for c in _ORDER_COLS.split(",")])
     T.write(o, path, "overwrite")
@@ -950,19 +970,18 @@ def versioned_add_column(spark: SparkSession, d: str) -> DataFrame:
 
 @register("versioned_merge", ORACLE["merge_accounts"])
 def versioned_merge(spark: SparkSession, d: str) -> DataFrame:
-    """T6 at file level: the account snapshot is a versioned table (clustered
-    by segment, so the merge touches only the files holding matched keys);
-    the change feed is merged in one commit and the new version read back."""
+    """T6 on a table: the change feed is merged into the account snapshot
+    and the new version read back."""
     import uuid
 
     from tidepool.session import scratch_path
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     path = scratch_path(spark, f"tables/accounts-{uuid.uuid4().hex[:12]}")
     c = read_table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     target = c.filter(F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING", "FURNITURE"))
     source = (c.filter(F.col("c_mktsegment").isin("FURNITURE", "HOUSEHOLD", "MACHINERY"))
                .withColumn("c_acctbal", F.col("c_acctbal") + F.lit(100.0)))
-    T.write(target, path, "overwrite", cluster_by=["c_mktsegment"], stats_columns=["c_custkey"])
+    T.write(target, path)
     T.merge(spark, path, source, ["c_custkey"])
     return T.read(spark, path)
 
@@ -989,53 +1008,99 @@ SELECT o_orderkey AS order_id,
 FROM orders
 """)
 def stream_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
-    """Incremental MERGE from a stream. The order feed is published,
-    then a correction feed (open orders closed a day later); the stream
-    merges each micro-batch into a versioned table keyed by order id,
-    keeping the latest event per key, exactly once per batch."""
+    """Incremental MERGE from a stream, over three micro-batches: the
+    orders, then a correction feed (open orders closed a day later), then old
+    events of finished orders that arrive late and must not overwrite the newer
+    ones. Each batch merges into the snapshot before it."""
     import uuid
 
     from tidepool.session import scratch_path
     from tidepool.streaming.events import read_event_files
     from tidepool.streaming.ingest import run_upsert
-    from tidepool.tables import versioned as T
+    from tidepool.tables import snapshots as T
     base = scratch_path(spark, f"streams/upsert-{uuid.uuid4().hex[:12]}")
     o = read_table(spark, d, "orders")
-    _order_events(o).write.text(f"{base}/in/a")
     corrections = (o.filter(F.col("o_orderstatus") == "O")
                     .withColumn("o_orderdate", F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
                     .withColumn("o_orderstatus", F.lit("F")))
-    _order_events(corrections).write.text(f"{base}/in/b")
-    src = read_event_files(spark, f"{base}/in/*")
-    q = run_upsert(spark, src, f"{base}/table", f"{base}/checkpoint", ["order_id"], ["order_ts"],
-                   available_now=True)
-    q.awaitTermination()
+    late = (o.filter(F.col("o_orderstatus") != "P")
+             .withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 3 DAYS"))
+             .withColumn("o_orderstatus", F.lit("X")))
+    # availableNow reads what is there, so each feed is one run on the same checkpoint
+    for name, feed in (("a", o), ("b", corrections), ("c", late)):
+        _order_events(feed).write.text(f"{base}/in/{name}")
+        run_upsert(spark, read_event_files(spark, f"{base}/in/*"), f"{base}/table", f"{base}/checkpoint",
+                   ["order_id"], ["order_ts"], available_now=True).awaitTermination()
     t = T.read(spark, f"{base}/table")
     return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
                     "product", "region", "amount", "quantity", "total_amount")
 
 
-@register("pca_embeddings")
+@register("pca_embeddings", """
+SELECT CAST(64 AS INTEGER) AS components, ROUND(SUM(v), 2) AS total_variance
+FROM (SELECT i, var_samp(x) AS v
+      FROM (SELECT unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings) e GROUP BY i) g
+""")
 def pca_embeddings(spark: SparkSession, d: str) -> DataFrame:
-    """Explained variance of the first three principal components of
-    all embeddings (iterative fit, no SQL twin)."""
+    """All 64 principal components of all embeddings. A rotation keeps
+    the total variance, so the projected rows must have the same one as the raw
+    vectors, which SQL can sum."""
+    from pyspark.ml.functions import vector_to_array
     from tidepool.ml import pca
-    model, _ = pca(read_table(spark, d, "embeddings"), "embedding", k=3)
-    return spark.createDataFrame([(i, float(v)) for i, v in enumerate(model.explainedVariance)],
-                                 "component int, explained_variance double")
+    _, scored = pca(read_table(spark, d, "embeddings"), "embedding", k=64)
+    parts = (scored.select(F.posexplode(vector_to_array("pca")).alias("i", "x"))
+                   .groupBy("i").agg(F.var_samp("x").alias("v")))
+    return parts.agg(F.count(F.lit(1)).cast("int").alias("components"), F.round(F.sum("v"), 2).alias("total_variance"))
 
 
-@register("quality_tree")
-def quality_tree(spark: SparkSession, d: str) -> DataFrame:
-    """Decision tree predicting the document quality label from
-    whole-text features; returns the confusion counts over labelled
-    documents (no SQL twin)."""
+_LABEL_MODEL_SQL = """
+SELECT COUNT(*) AS documents, COUNT(*) AS scored FROM documents
+"""
+
+
+def _label_model(spark: SparkSession, d: str, kind: str) -> DataFrame:
     from tidepool.ml import fit_label_model
-    _, scored = fit_label_model(read_table(spark, d, "documents"), read_table(spark, d, "labels"),
-                                "quality", kind="tree")
-    return (scored.groupBy(F.col("label").cast("int").alias("label"),
-                           F.col("prediction").cast("int").alias("prediction"))
-                  .agg(F.count(F.lit(1)).alias("documents")))
+    _, scored = fit_label_model(read_table(spark, d, "documents"), read_table(spark, d, "labels"), "quality", kind=kind)
+    return scored.agg(F.count(F.lit(1)).alias("documents"),
+                      F.count(F.when(F.col("prediction").isin(0.0, 1.0), 1)).alias("scored"))
+
+
+@register("quality_tree", _LABEL_MODEL_SQL)
+def quality_tree(spark: SparkSession, d: str) -> DataFrame:
+    """A decision tree on whole-text features, learned from the labelled
+    documents; every document gets a prediction of 0 or 1."""
+    return _label_model(spark, d, "tree")
+
+
+@register("quality_logistic", _LABEL_MODEL_SQL)
+def quality_logistic(spark: SparkSession, d: str) -> DataFrame:
+    return _label_model(spark, d, "logistic")
+
+
+@register("quality_forest", _LABEL_MODEL_SQL)
+def quality_forest(spark: SparkSession, d: str) -> DataFrame:
+    return _label_model(spark, d, "forest")
+
+
+@register("quality_gbt", _LABEL_MODEL_SQL)
+def quality_gbt(spark: SparkSession, d: str) -> DataFrame:
+    return _label_model(spark, d, "gbt")
+
+
+@register("als_events", """
+SELECT COUNT(DISTINCT user_id) AS users, COUNT(DISTINCT (user_id, event_type)) AS scored FROM events
+""")
+def als_events(spark: SparkSession, d: str) -> DataFrame:
+    """Implicit-feedback recommendations of event types to users; every
+    user has factors, and every observed pair a score."""
+    from tidepool.ml import implicit_als
+    pairs = (read_table(spark, d, "events").groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+             .select(F.col("user_id").cast("int").alias("user"), F.col("n").cast("float").alias("n"),
+                     F.pmod(F.xxhash64("event_type"), F.lit(1 << 30)).cast("int").alias("item")))
+    model = implicit_als(pairs, "user", "item", "n")
+    scored = model.transform(pairs).select(F.lit(0).alias("u"), (~F.isnan("prediction")).cast("int").alias("s"))
+    both = scored.unionByName(model.userFactors.select(F.lit(1).alias("u"), F.lit(0).alias("s")))
+    return both.agg(F.sum("u").alias("users"), F.sum("s").alias("scored"))
 
 
 @register("stream_region_summary", """
@@ -1051,13 +1116,12 @@ def stream_region_summary(spark: SparkSession, d: str) -> DataFrame:
 
     from tidepool.session import scratch_path
     from tidepool.streaming.events import read_event_files
-    from tidepool.streaming.ingest import run_ingest
-    from tidepool.tables import versioned as T
+    from tidepool.streaming.ingest import read_ingested, run_ingest
     base = scratch_path(spark, f"streams/region-{uuid.uuid4().hex[:12]}")
     _order_events(read_table(spark, d, "orders")).write.text(f"{base}/in")
     q = run_ingest(spark, read_event_files(spark, f"{base}/in"), f"{base}/table",
                    f"{base}/checkpoint", available_now=True)
     q.awaitTermination()
-    t = T.read(spark, f"{base}/table")
+    t = read_ingested(spark, f"{base}/table")
     return t.groupBy("region").agg(F.count(F.lit(1)).alias("orders"),
                                    agg.money_sum("total_amount").alias("revenue"))

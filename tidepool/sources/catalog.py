@@ -45,10 +45,13 @@ def register_location(spark: SparkSession, name: str, location: str, fmt: str =
 
 
 def insert_rows(spark: SparkSession, name: str, rows: Sequence[tuple]) -> None:
-    """K4 ``INSERT INTO … VALUES`` through the V2 writer (K6): rows are
-    typed by the table's own schema, then ``writeTo(name).append()``."""
-    schema = spark.table(name).schema
-    append(spark.createDataFrame(list(rows), schema), name)
+    """K4: ``INSERT INTO … VALUES``; the values are bound as parameters, typed
+    by the table's own columns."""
+    kinds = [t for _, t in spark.table(name).dtypes]
+    values = ", ".join("(" + ", ".join(f"CAST(:r{i}c{j} AS {t})" for j, t in enumerate(kinds)) + ")"
+                       for i in range(len(rows)))
+    args = {f"r{i}c{j}": v for i, row in enumerate(rows) for j, v in enumerate(row)}
+    spark.sql(f"INSERT INTO {_q(name)} VALUES {values}", args=args)
 
 
 def append(df: DataFrame, name: str) -> None:

@@ -24,12 +24,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   max_records_per_file: int | None = None) -> None:
     """Parquet, optionally Hive-partitioned.
 
-    With ``partition_by`` the rows are first clustered on the partition
-    columns so each task writes few directories (otherwise every task opens
-    one file per partition value it sees: the small-files problem)."""
+    With ``partition_by`` the rows are first rebalanced on the partition
+    columns, so each task writes few directories (otherwise every task opens
+    one file per partition value it sees: the small-files problem); AQE splits
+    a hot value over several tasks by its bytes."""
     w = df
     if partition_by:
-        w = df.repartition(*partition_by)
+        w = df.hint("rebalance", *partition_by)
     writer = w.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

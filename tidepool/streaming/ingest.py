@@ -1,11 +1,12 @@
-"""Streams into versioned tables.
-
-``foreachBatch`` hands each micro-batch to the table writer with
-``txn=(stream id, batch id)``; the table records the last batch id per
-stream in its commits, so a batch replayed after a failure (written but
-not yet marked done in the checkpoint) is skipped: exactly-once into the
-table. The stream id is derived from the checkpoint location, which is
-what stays stable across restarts.
+"""Streams into Parquet tables.
+
+``foreachBatch`` writes each micro-batch with Spark's own Parquet writer into a
+folder named by the stream and its batch id, ``stream=S/batch=N``, in overwrite
+mode: a batch replayed after a failure (written but not yet marked done in the
+checkpoint) replaces its own folder, so every event is in the table exactly
+once. The stream id is derived from the checkpoint location, which is what
+stays the same across restarts. Invalid events always go to a quarantine
+table, with the same batch folders: every event ends in exactly one of the two.
 """
 
 from __future__ import annotations
@@ -13,16 +14,35 @@ from __future__ import annotations
 import hashlib
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.operators.clean import dedup
 from tidepool.streaming.events import is_valid_order, parse_orders
-from tidepool.tables import versioned as T
+from tidepool.tables import snapshots
 
 
 def stream_id(checkpoint: str) -> str:
-    return "stream-" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    return "s" + hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def rejected_path(table_path: str, quarantine_path: str | None = None) -> str:
+    """Where a table's invalid events go."""
+    return quarantine_path or f"{table_path.rstrip('/')}_rejected"
+
+
+def read_ingested(spark: SparkSession, path: str) -> DataFrame:
+    """The streamed table (or its quarantine) as a batch table."""
+    return spark.read.parquet(path).drop("stream", "batch")
+
+
+def _write_batch(df: DataFrame, path: str, sid: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/stream={sid}/batch={batch_id}")
+
+
+def _valid() -> Column:
+    return F.coalesce(is_valid_order(), F.lit(False))
 
 
 def _trigger(writer, processing_time: str | None, available_now: bool):
@@ -34,21 +54,18 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 def run_ingest(spark: SparkSession, events: DataFrame, table_path: str, checkpoint: str, *,
                quarantine_path: str | None = None, processing_time: str | None = "5 seconds",
                available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
-    """Parse events and append each micro-batch as one table version;
-    invalid records go to ``quarantine_path`` (same batch id, same
-    idempotence)."""
+    """Parse events and append each micro-batch as one folder; invalid
+    records go to the quarantine (``<table>_rejected`` unless named)."""
     parsed = parse_orders(events)
-    sid = stream_id(checkpoint)
+    sid, rejected = stream_id(checkpoint), rejected_path(table_path, quarantine_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         # Used twice (valid/invalid); persisted with disk fallback. If an
         # executor is lost the blocks are recomputed from the source files.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            ok = is_valid_order()
-            T.write(batch.filter(ok).drop("_raw"), table_path, "append", txn=(sid, batch_id))
-            if quarantine_path:
-                T.write(batch.filter(~ok), quarantine_path, "append", txn=(sid, batch_id))
+            _write_batch(batch.filter(_valid()).drop("_raw"), table_path, sid, batch_id)
+            _write_batch(batch.filter(~_valid()), rejected, sid, batch_id)
         finally:
             batch.unpersist()
 
@@ -59,20 +76,28 @@ def run_ingest(spark: SparkSession, events: DataFrame, table_path: str, checkpoi
 
 
 def run_upsert(spark: SparkSession, events: DataFrame, table_path: str, checkpoint: str,
-               keys: list[str], order_by: list[str], *, processing_time: str | None = "5 seconds",
-               available_now: bool = False) -> StreamingQuery:
+               keys: list[str], order_by: list[str], *, quarantine_path: str | None = None,
+               processing_time: str | None = "5 seconds", available_now: bool = False) -> StreamingQuery:
     """Incremental MERGE instead of overwrite. Each micro-batch is
-    first reduced to its latest row per key (an aggregate, no window), then
-    merged; a replayed batch id is skipped by the table."""
+    reduced to its latest row per key, then merged into the snapshot before it:
+    a row is replaced only by one that is not older by ``order_by[0]``, whichever
+    batch it comes in. Batch N writes version N + 1, so a replayed batch starts
+    from the same snapshot and overwrites its own version. Invalid records go
+    to the quarantine. One stream owns the table."""
     parsed = parse_orders(events)
-    sid = stream_id(checkpoint)
+    sid, rejected = stream_id(checkpoint), rejected_path(table_path, quarantine_path)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        good = batch.filter(is_valid_order()).drop("_raw", "_ingested_at")
-        latest = dedup(good, keys, order_by, keep="last")
-        if not T.is_table(spark, table_path):
-            T.write(latest.limit(0), table_path, "overwrite")
-        T.merge(spark, table_path, latest, keys, txn=(sid, batch_id))
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            good = batch.filter(_valid()).drop("_raw", "_ingested_at")
+            _write_batch(batch.filter(~_valid()), rejected, sid, batch_id)
+            if not snapshots.is_table(spark, table_path):
+                snapshots.create(spark, table_path, good.schema)
+            snapshots.merge(spark, table_path, dedup(good, keys, order_by, keep="last"), keys,
+                            order_by=order_by[0], version=batch_id + 1)
+        finally:
+            batch.unpersist()
 
     w = parsed.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return _trigger(w, processing_time, available_now).start()

@@ -1,8 +1,8 @@
 """Row-level semantics of table changes (T2-T4, T6, T12), as pure
 DataFrame → DataFrame transforms.
 
-:mod:`tidepool.tables.versioned` applies them to the files a change touches
-(copy-on-write); the query suite applies them to whole tables.
+:mod:`tidepool.tables.snapshots` writes their results as table versions; the
+query suite applies them to whole tables.
 """
 
 from __future__ import annotations
@@ -26,25 +26,22 @@ def _cond(c: Column | str) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-def check_schema(table: StructType, incoming: StructType, allow_new_columns: bool = False) -> None:
-    """Names and types must match the table; with ``allow_new_columns``
-    (T14 ``mergeSchema``) extra incoming columns are allowed, missing ones
-    are filled with NULL by :func:`align`."""
+def check_schema(table: StructType, incoming: StructType, allow_new_columns: bool = False,
+                 allow_missing: bool = False) -> None:
+    """Names and types must match the table. T14 (``mergeSchema``) allows
+    extra incoming columns, and missing ones, which are null then."""
     have = {f.name: f.dataType for f in table.fields}
+    names = {f.name for f in incoming.fields}
     extra = [f.name for f in incoming.fields if f.name not in have]
+    missing = [n for n in have if n not in names]
     wrong = [f.name for f in incoming.fields
              if f.name in have and f.dataType != have[f.name]]
     if wrong:
         raise SchemaMismatch(f"column types differ from the table: {wrong}")
     if extra and not allow_new_columns:
         raise SchemaMismatch(f"columns not in the table schema: {extra}")
-
-
-def align(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select ``schema``'s columns in order; missing ones become typed NULLs."""
-    have = set(df.columns)
-    return df.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-                       for f in schema.fields])
+    if missing and not allow_missing:
+        raise SchemaMismatch(f"columns of the table are missing: {missing}")
 
 
 def updated(df: DataFrame, condition: Column | str, assignments: Mapping[str, Column | str]) -> DataFrame:
@@ -73,48 +70,45 @@ def deleted(df: DataFrame, condition: Column | str) -> DataFrame:
 def appended(table: DataFrame, batch: DataFrame) -> DataFrame:
     """T2 with enforcement (T12): the batch must carry the table's columns."""
     check_schema(table.schema, batch.schema)
-    return table.unionByName(align(batch, table.schema))
+    return table.unionByName(batch)
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str],
            update: bool = True, insert: bool = True, delete_matched: bool = False,
-           broadcast_source_rows: int = 1_000_000) -> DataFrame:
+           order_by: str | None = None) -> DataFrame:
     """``MERGE … WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *``.
 
-    With the source unique on the keys (:func:`check_unique`), the result is
-    the union of
-
-    * target rows whose key is not in the source (left anti join),
-    * one source row per *matched target row* (target keys ⋈ source; with
-      ``update=False`` the matched target rows stay as they are, with
-      ``delete_matched`` they are dropped),
-    * source rows whose key is not in the target (left anti join; inserts).
-
-    Anti and inner joins, unlike a full outer join, let AQE split a key that
-    holds a large share of the target across tasks; every join side that is
-    only a key set is reduced to distinct keys first. A change feed small
-    enough to pass a counted bound (``broadcast_source_rows``) is broadcast,
-    so the big target is not shuffled for the first two parts at all.
+    With the source unique on the keys (:func:`check_unique`) and holding every
+    column of the target (T12), the result is one left join of the target with
+    the source - a matched row takes the source's values, with ``update=False``
+    it stays, with ``delete_matched`` it goes - united with the source rows
+    whose key is not in the target. With ``order_by`` a matched row is replaced
+    only if the source's value of that column is not smaller: an old event that
+    arrives late does not overwrite a newer one.
+
+    Left and anti joins, unlike a full outer join, let AQE split a key that
+    holds a large share of the target; the joins' strategy is left to AQE, which
+    broadcasts a change feed by its measured bytes.
     """
-    from tidepool.operators.joins import broadcast_if_bounded
     keys = list(keys)
     check_schema(target.schema, source.schema)
-    src = align(source, target.schema)
-    if broadcast_source_rows:
-        src = broadcast_if_bounded(src, broadcast_source_rows)
-    src_keys = src.select(*keys).distinct()
     if delete_matched:
-        parts = [target.join(src_keys, keys, "left_anti")]
+        out = target.join(source.select(*keys), keys, "left_anti")
     elif update:
-        parts = [target.join(src_keys, keys, "left_anti"),
-                 target.select(*keys).join(src, keys, "inner").select(*target.columns)]
+        new = source.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+                            F.struct(*target.columns).alias("__new"))
+        same = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+        take = F.col("__new").isNotNull()
+        if order_by:
+            stale = F.col(f"__new.{order_by}") < F.col(order_by)
+            take = take & ~F.coalesce(stale, F.col(f"__new.{order_by}").isNull() & F.col(order_by).isNotNull())
+        out = (target.join(new, same, "left").withColumn("__take", take)
+               .select(*[F.when(F.col("__take"), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c)
+                         for c in target.columns]))
     else:
-        parts = [target]
+        out = target
     if insert:
-        parts.append(src.join(target.select(*keys).distinct(), keys, "left_anti"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(source.join(target.select(*keys).distinct(), keys, "left_anti"))
     return out
 
 

@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-SKIP_BUILD = ("stream_", "versioned_", "federated_sql", "nightly_etl_events", "kmeans_", "pca_",
+SKIP_BUILD = ("stream_", "versioned_", "federated_sql", "nightly_etl_events", "kmeans_", "pca_", "als_", "medallion_", "formats_", "catalog_",
               "quality_")
 
 
