@@ -81,7 +81,7 @@ def test_bucketed_tables_join_without_exchange(spark, tmp):
 def test_scale_conf_sizes_partitions():
     from tidepool.session import scale_conf
     c = scale_conf(100 * 1024 ** 4)
-    assert c["spark.sql.shuffle.partitions"] == "200000"
+    assert c["spark.sql.shuffle.partitions"] == "204800"
     assert c["spark.sql.files.maxPartitionBytes"] == str(256 * 1024 * 1024)
     assert scale_conf(10 * 1024 ** 3)["spark.sql.shuffle.partitions"] == "20"
 

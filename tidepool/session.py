@@ -37,7 +37,7 @@ RECOMMENDED_CONF: dict[str, str] = {
     # Broadcast only what is measured: no planner-estimate broadcasts (an
     # estimate from compressed file sizes is no bound); AQE converts a join
     # to broadcast when the *materialised* side is under 32 MB. Explicit
-    # broadcasts go through joins.broadcast_if_bounded (a counted bound).
+    # broadcasts are not used.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
@@ -158,7 +158,7 @@ def local_test_session(cores: int = 8) -> SparkSession:
 
 
 def scale_conf(input_bytes: int, *, partition_bytes: int = 256 * 1024 * 1024,
-               shuffle_ratio: float = 0.5, max_shuffle_partitions: int = 200_000) -> dict[str, str]:
+               shuffle_ratio: float = 0.5) -> dict[str, str]:
     """Settings for a job over ``input_bytes`` of (compressed) input.
 
     * scans split into ~``partition_bytes`` tasks
@@ -168,11 +168,10 @@ def scale_conf(input_bytes: int, *, partition_bytes: int = 256 * 1024 * 1024,
       the input crosses it; AQE then coalesces small ones and splits skewed
       ones, aiming at the same advisory size.
 
-    At 100 TB: 409,600 scan tasks of 256 MB and 200,000 initial shuffle
-    partitions (the cap; ~256 MB each), coalesced by AQE after each stage.
+    At 100 TB: 409,600 scan tasks of 256 MB and 204,800 initial shuffle
+    partitions of the same size, coalesced by AQE after each stage.
     """
-    shuffle_parts = max(1, min(max_shuffle_partitions,
-                               int(input_bytes * shuffle_ratio // partition_bytes) or 1))
+    shuffle_parts = max(1, int(input_bytes * shuffle_ratio // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(shuffle_parts),

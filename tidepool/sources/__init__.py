@@ -7,10 +7,8 @@ from tidepool.sources.files import (  # noqa: F401
     read_partitioned,
     read_table,
     read_text,
-    register_views,
     sql_on_files,
     table_path,
-    with_source_file,
 )
 from tidepool.sources.sinks import (  # noqa: F401
     to_pandas,

@@ -31,14 +31,6 @@ def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base_dir, name))
 
 
-def register_views(
-    spark: SparkSession, base_dir: str, names: Iterable[str] = TABLES
-) -> None:
-    """Every table as a temp view so ``spark.sql`` can name it."""
-    for n in names:
-        read_table(spark, base_dir, n).createOrReplaceTempView(n)
-
-
 def sql_on_files(spark: SparkSession, pattern: str, fmt: str = "parquet",
                  select: str = "*", where: str | None = None) -> DataFrame:
     """SQL straight over files, glob allowed (``parquet.`dir/*.parquet```).
@@ -112,9 +104,3 @@ def read_partitioned(spark: SparkSession, path: str,
     if basePath:
         r = r.option("basePath", basePath)
     return r.parquet(path)
-
-
-def with_source_file(df: DataFrame, name: str = "_source_file") -> DataFrame:
-    """The real input file of every row (D3), from the hidden metadata column."""
-    from pyspark.sql import functions as F
-    return df.withColumn(name, F.col("_metadata.file_path"))
