@@ -21,9 +21,15 @@ Plan:
    document of the shingle's list) among those in another component. Links
    are verified on the whole sets and joined into components. When the
    rounds bring nothing new, the remaining pairs *between different
-   components* are emitted in full, filtered by size, match count and the
-   bound their prefixes leave, and verified: no link between components is
-   missed, so the components are exact.
+   components* are emitted, filtered by size, match count and the bound their
+   prefixes leave, and verified: no link between components is missed, so the
+   components are exact.
+5. A document x that was compared with a pivot p and does not link to it needs
+   no second look at what it has in common with p: a partner z that shares
+   none of x's other shingles has ``|x & z| <= |x & p|``, too few unless z is
+   small. So x meets z over a shingle of p only if z is that small (or z's
+   prefix ends too early to show the others); this keeps the badly changed
+   members of a large group from meeting all others.
 
 Shingles are 64-bit hashes of the whole shingle; two different shingles of
 one candidate pair agree with probability 2^-64.
@@ -41,7 +47,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,11 +58,15 @@ from tidepool.session import cut_lineage
 SHINGLE = 5
 PCT = 75
 #: Cells of the frequency sketch (4 bytes each), fixed at every input size.
-CELLS = 1 << 21
+CELLS = 1 << 20
 #: Largest number of required prefix matches.
 MOST = 4
-#: Bits of the filter that picks the texts to verify (fixed, 1 MB).
-FILTER_BITS = 1 << 23
+#: Rows of a document's open lists above which it gets a comparison of its own
+#: before the last step (speed only).
+COSTLY = 1000
+#: Hash slots of the filter that picks the texts to verify: the bound of what
+#: it broadcasts (4 bytes each).
+SLOTS = 1 << 20
 
 
 def least_overlap(n, pct: int = PCT):
@@ -121,94 +130,100 @@ def _sketch(parts: DataFrame) -> np.ndarray:
 
 # --- pass 2: prefixes ---------------------------------------------------------
 
-def prefix(s: np.ndarray, cells: np.ndarray, noise: float) -> tuple[np.ndarray, int]:
-    """(the first shingles of the set in the global order, required matches)."""
+def in_order(s: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the set in the global order, its shingles' estimates)."""
     est = cells[(s & np.uint64(CELLS - 1)).astype(np.int64)]
     order = np.lexsort((s, est))
+    return s[order], est[order]
+
+
+def prefix(s: np.ndarray, cells: np.ndarray, noise: float) -> tuple[np.ndarray, int, int]:
+    """(the first shingles of the set in the global order, required matches,
+    the last one's estimate)."""
+    s, est = in_order(s, cells)
     base = len(s) - least_overlap(len(s))
-    excess = np.maximum(est[order[:base + MOST]] - noise, 0.0)
+    excess = np.maximum(est[:base + MOST] - noise, 0.0)
     longest = min(MOST, len(s) - base)
     # index rows, plus partners that reach m matches (at most sum/m), each
     # of which costs about as much as 8 index rows to verify
     cost = [base + m + 8.0 * excess[:base + m].sum() / m for m in range(1, longest + 1)]
     m = int(np.argmin(cost)) + 1
-    return s[order[:base + m]], m
+    return s[:base + m], m, int(est[base + m - 1])
 
 
 def _second_pass(cells_at, noise: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = cells_at.value
         for batch in batches:
-            ids, size, d1, d2, least, parts, offs = [], [], [], [], [], [], [0]
+            ids, size, d1, d2, least, last, parts, offs = [], [], [], [], [], [], [], [0]
             for i, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
                 if i is None or len(s) == 0:
                     continue
-                p, m = prefix(s, cells, noise)
+                p, m, e = prefix(s, cells, noise)
                 a, b = _digest(s)
-                ids.append(i), size.append(len(s)), d1.append(a), d2.append(b), least.append(m)
+                ids.append(i), size.append(len(s)), d1.append(a), d2.append(b), least.append(m), last.append(e)
                 parts.append(p), offs.append(offs[-1] + len(p))
             flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat))
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in (ids, size, d1, d2, least)), lists],
-                ["doc_id", "size", "d1", "d2", "least", "tokens"])
+                [*(pa.array(x, pa.int64()) for x in (ids, size, d1, d2, least, last)), lists],
+                ["doc_id", "size", "d1", "d2", "least", "last", "tokens"])
     return run
 
 
 # --- verification ---------------------------------------------------------------
 
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = list(shingle_sets(batch.column("text")))
-        digests = [_digest(s) for s in sets]
-        offs = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
-             pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["doc_id", "d1", "d2", "tokens"])
-
-
-def _slots(ids: np.ndarray) -> np.ndarray:
-    return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(FILTER_BITS)).astype(np.int64)
-
-
-def maybe_in(ids: DataFrame) -> Column:
-    """A test on ``doc_id`` that is true for every id of ``ids`` and for few
-    others: a bitmap of hashed ids, of fixed size, joined in a tree and
-    broadcast. It only spares exact joins most of their rows."""
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_BITS, bool)
+def _sets(cells_at, noise: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Whole sets in the global order, with estimates and prefix lengths."""
         for batch in batches:
-            bits[_slots(batch.column("doc_id").to_numpy())] = True
-        if bits.any():
-            yield pa.RecordBatch.from_pydict({"bits": [np.packbits(bits).tobytes()]})
+            sets = list(shingle_sets(batch.column("text")))
+            digests = [_digest(s) for s in sets]
+            p = [len(prefix(s, cells_at.value, noise)[0]) if len(s) else 0 for s in sets]
+            ordered = [in_order(s, cells_at.value) for s in sets]
+            offs = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
+            flat = np.concatenate([s for s, _ in ordered]).view(np.int64) if sets else np.zeros(0, np.int64)
+            est = np.concatenate([e for _, e in ordered]) if sets else np.zeros(0, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
+                 pa.array(p, pa.int32()), pa.ListArray.from_arrays(offs, pa.array(flat)),
+                 pa.ListArray.from_arrays(offs, pa.array(est.astype(np.int32)))],
+                ["doc_id", "d1", "d2", "p", "tokens", "est"])
+    return run
 
-    rows = ids.select("doc_id").where("doc_id IS NOT NULL").mapInArrow(fill, "bits binary").rdd
-    packed = common.tree(rows.map(lambda r: np.frombuffer(r.bits, np.uint8)), np.bitwise_or)
-    marked = ids.sparkSession.sparkContext.broadcast(
-        np.zeros(FILTER_BITS // 8, np.uint8) if packed is None else packed)
 
-    @F.pandas_udf("boolean")
-    def test(doc_id: pd.Series) -> pd.Series:
-        at = _slots(doc_id.to_numpy())
-        return pd.Series((marked.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
-    return test(F.coalesce(F.col("doc_id"), F.lit(-1)))
+def near_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``rows`` whose ``doc_id`` may be one of ``ids`` (``left_semi``) or surely
+    is none of them (``left_anti``): a broadcast of the ids' hash slots, at most
+    ``SLOTS`` numbers. It only spares exact joins most of their rows."""
+    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(SLOTS)).cast("int")
+    slots = ids.select(slot.alias("__slot")).distinct()
+    return rows.join(F.broadcast(slots), slot == F.col("__slot"), how)
 
 
-def _verified(texts: DataFrame, spare: DataFrame | None, pairs: DataFrame) -> DataFrame:
-    """The pairs (x, y) whose whole sets reach the threshold."""
+def _verified(texts: DataFrame, spare: DataFrame | None, pairs: DataFrame, sets_of) -> DataFrame:
+    """The pairs (x, y) compared on their whole sets: x, y, linked, and for a
+    pair that does not link what x has besides y: the size that a partner
+    without any of it may have at most (``limit``), its part of x's prefix
+    (``others``) and its largest estimate (``reach``)."""
     ids = cut_lineage(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct())
     # the fixed-size filter spares the shuffle most texts; the join decides
-    some = texts.where(maybe_in(ids)).join(ids, "doc_id", "left_semi")
-    sets = some.mapInArrow(_sets, "doc_id long, d1 long, d2 long, tokens array<long>")
+    some = near_ids(texts, ids, "left_semi").join(ids, "doc_id", "left_semi")
+    sets = some.mapInArrow(sets_of, "doc_id long, d1 long, d2 long, p int, tokens array<long>, est array<int>")
     if spare is not None:
         sets = sets.join(spare, ["doc_id", "d1", "d2"], "left_anti")
-    sets = cut_lineage(sets.select("doc_id", "tokens"))
-    both = (pairs.join(sets.select(F.col("doc_id").alias("x"), F.col("tokens").alias("tx")), "x")
-            .join(sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("ty")), "y"))
-    common_n = F.size(F.array_intersect("tx", "ty"))
-    return (both.select("x", "y", common_n.alias("both"), F.size("tx").alias("nx"), F.size("ty").alias("ny"))
-            .where(f"100 * both >= {PCT} * (nx + ny - both)").select("x", "y").distinct())
+    sets = cut_lineage(sets.select("doc_id", "p", "tokens", "est").dropDuplicates(["doc_id"]))
+    both = (pairs.join(sets.toDF("x", "p", "tx", "ex"), "x")
+            .join(sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("ty")), "y")
+            .withColumn("both", F.size(F.array_intersect("tx", "ty")))
+            .withColumn("linked", F.expr(f"100 * both >= {PCT} * (size(tx) + size(ty) - both)"))
+            .withColumn("others", F.when(~F.col("linked"), F.array_except("tx", "ty"))))
+    last = "cast(array_position(tx, element_at(others, -1)) as int)"
+    return cut_lineage(both.select(
+        "x", "y", "both", "linked",
+        F.expr(f"both * {100 + PCT} div {PCT} - size(tx)").alias("limit"),
+        F.expr("array_intersect(slice(tx, 1, p), others)").alias("others"),
+        F.expr(f"CASE WHEN size(others) > 0 THEN element_at(ex, {last}) ELSE -1 END").alias("reach")))
 
 
 def _possible(matches: Column, sx: Column, mx: Column, sy: Column, my: Column) -> Column:
@@ -226,48 +241,89 @@ def _possible(matches: Column, sx: Column, mx: Column, sy: Column, my: Column) -
 
 
 def _rounds(texts: DataFrame, spare: DataFrame | None, shared: DataFrame, sizes: DataFrame,
-            rounds: int) -> DataFrame:
+            rounds: int, sets_of) -> DataFrame:
     """(doc_id, comp) of every document of the index."""
     comp = sizes.select("doc_id", F.col("doc_id").alias("comp"))
     links = tried = None
     bound = [F.col(c) for c in ("count", "sx", "mx", "sy", "my")]
     for turn in range(rounds):
-        left, pivots = _open_lists(shared, comp, turn)
-        pairs = (left.join(pivots, "token").where("comp <> pcomp")
+        pairs = (_open_lists(shared, comp, turn).where("comp <> pcomp")
                  .groupBy(F.col("doc_id").alias("x"), F.col("pivot").alias("y")).count())
         # lists of other pivots may hold more matches: here the bound is a guess
         best = (_sized(pairs, sizes).where(_possible(*bound))
                 .groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y")))
         if tried is not None:
-            best = best.join(tried, ["x", "y"], "left_anti")
+            best = best.join(tried.select("x", "y"), ["x", "y"], "left_anti")
         best = cut_lineage(best)
         if best.isEmpty():
             break
-        tried = best if tried is None else tried.union(best)
-        links, comp = _extend(links, cut_lineage(_verified(texts, spare, best)), sizes)
-        # lists inside one component stay there: later rounds need only the others
-        shared = cut_lineage(_open_lists(shared, comp, turn)[0].select("token", "doc_id"))
-    left = _open_lists(shared, comp, 0)[0].join(sizes, "doc_id")
+        seen = _verified(texts, spare, best, sets_of)
+        tried = seen if tried is None else tried.union(seen)
+        links, comp = _extend(links, seen.where("linked").select("x", "y"), sizes)
+    tried, links, comp = _costly(texts, spare, shared, sizes, sets_of, tried, links, comp)
+    left = _open_lists(shared, comp, 0).select("token", "doc_id", "comp").join(sizes, "doc_id")
+    if tried is None:
+        left = left.withColumn("limit", F.lit(None).cast("long")).withColumn("reach", F.lit(None).cast("int"))
+        left = left.withColumn("ruled", F.lit(False))
+    else:  # each document's nearest pivot that it does not link to
+        rule = (tried.where("NOT linked").groupBy(F.col("x").alias("doc_id"))
+                .agg(F.max_by(F.struct("limit", "others", "reach"), F.struct("both", "y")).alias("r")))
+        left = (left.join(rule, "doc_id", "left")
+                .withColumn("ruled", F.col("r").isNotNull())
+                .withColumn("limit", F.expr("CASE WHEN NOT array_contains(r.others, token) AND r.reach < last "
+                                            "THEN r.limit END"))
+                .withColumn("reach", F.col("r.reach")).drop("r"))
     a, b = (left.select("token", *[F.col(c).alias(n + side) for c, n in
-                                   (("doc_id", ""), ("comp", "c"), ("size", "s"), ("least", "m"))])
+                                   (("doc_id", ""), ("comp", "c"), ("size", "s"), ("least", "m"), ("last", "w"),
+                                    ("limit", "l"), ("reach", "r"), ("ruled", "u"))])
             for side in "xy")
     # the shorter one first (ties by id): each pair once, and never inside a component
     rest = (a.join(b, "token")
-            .where(f"cx <> cy AND (sx < sy OR sx = sy AND x < y) AND 100 * sx >= {PCT} * sy")
-            .groupBy("x", "y").agg(F.count("*").alias("count"),
+            .where(f"cx <> cy AND (sx < sy OR sx = sy AND x < y) AND 100 * sx >= {PCT} * sy "
+                   "AND (lx IS NULL OR sy <= lx OR rx >= wy) AND (ly IS NULL OR sx <= ly OR ry >= wx)")
+            .groupBy("x", "y").agg(F.count("*").alias("count"), F.first(F.col("ux") | F.col("uy")).alias("ruled"),
                                    *[F.first(c).alias(c) for c in ("sx", "mx", "sy", "my")])
-            .where(_possible(*bound)).select("x", "y"))
+            # a ruled document's matches are not all counted
+            .where(F.col("ruled") | _possible(*bound)).select("x", "y"))
     if tried is not None:
-        turned = tried.select(F.col("y").alias("x"), F.col("x").alias("y"))
-        rest = rest.join(tried.union(turned), ["x", "y"], "left_anti")
+        done = tried.select("x", "y")
+        rest = rest.join(done.union(done.select("y", "x")), ["x", "y"], "left_anti")
     rest = cut_lineage(rest)
     if not rest.isEmpty():
-        _, comp = _extend(links, cut_lineage(_verified(texts, spare, rest)), sizes)
+        _, comp = _extend(links, _verified(texts, spare, rest, sets_of).where("linked").select("x", "y"), sizes)
     return comp
 
 
-def _open_lists(shared: DataFrame, comp: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Index rows of shingles whose list still spans components, and each
+def _costly(texts: DataFrame, spare: DataFrame | None, shared: DataFrame, sizes: DataFrame, sets_of,
+            tried: DataFrame | None, links: DataFrame | None, comp: DataFrame) -> tuple:
+    """Documents whose open lists hold more than ``COSTLY`` rows are compared
+    with the pivot they share most with - pivots are now the documents with most
+    links - so that the last step need not meet all of those rows."""
+    degree = (sizes.select("doc_id", F.lit(0).cast("long").alias("degree")) if links is None else
+              links.select(F.explode(F.array("x", "y")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree")))
+    open_ = _open_lists(shared, comp, 0).select("token", "doc_id", "comp")
+    lists = (open_.join(degree, "doc_id", "left").groupBy("token")
+             .agg(F.count("*").alias("n"),
+                  F.max_by(F.struct(F.col("doc_id").alias("pivot"), F.col("comp").alias("pcomp")),
+                           F.struct(F.coalesce("degree", F.lit(0)), F.col("doc_id"))).alias("p"))
+             .select("token", "n", "p.pivot", "p.pcomp"))
+    met = cut_lineage(open_.join(lists, "token"))
+    heavy = met.groupBy("doc_id").agg(F.sum("n").alias("rows")).where(F.col("rows") > COSTLY).select("doc_id")
+    pairs = (met.where("comp <> pcomp").join(heavy, "doc_id", "left_semi")
+             .groupBy(F.col("doc_id").alias("x"), F.col("pivot").alias("y")).count())
+    best = pairs.groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
+    if tried is not None:
+        best = best.join(tried.select("x", "y"), ["x", "y"], "left_anti")
+    best = cut_lineage(best)
+    if best.isEmpty():
+        return tried, links, comp
+    seen = _verified(texts, spare, best, sets_of)
+    tried = seen if tried is None else tried.union(seen)
+    return (tried, *_extend(links, seen.where("linked").select("x", "y"), sizes))
+
+
+def _open_lists(shared: DataFrame, comp: DataFrame, turn: int) -> DataFrame:
+    """Index rows of shingles whose list still spans components, with each
     list's pivot: the smallest document, in a later round the largest, then
     one by hash."""
     tagged = shared.join(comp, "doc_id")
@@ -276,7 +332,7 @@ def _open_lists(shared: DataFrame, comp: DataFrame, turn: int) -> tuple[DataFram
              F.min_by(one, F.xxhash64("doc_id", F.lit(turn))))[min(turn, 2)]
     lists = (tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), pivot.alias("p"))
              .where("lo < hi").select("token", "p.pivot", "p.pcomp"))
-    return tagged.join(lists.select("token"), "token", "left_semi"), lists
+    return tagged.join(lists, "token")
 
 
 def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -315,19 +371,19 @@ def join(docs: DataFrame, rounds: int = 3) -> DataFrame:
     cells = spark.sparkContext.broadcast(sketch)
     noise = float(sketch.mean() + 3 * np.sqrt(sketch.mean()) + 1)
     full = texts.mapInArrow(_second_pass(cells, noise),
-                            "doc_id long, size long, d1 long, d2 long, least long, tokens array<long>")
+                            "doc_id long, size long, d1 long, d2 long, least long, last long, tokens array<long>")
     if spare is not None:
         full = full.join(spare, ["doc_id", "d1", "d2"], "left_anti")
     # one document per set, then its prefix
     reps = (full.groupBy("d1", "d2", "size")
-            .agg(F.min_by(F.struct("doc_id", "least", "tokens"), "doc_id").alias("r"))
-            .select("r.doc_id", "size", "r.least", "r.tokens"))
-    index = reps.select("doc_id", "size", "least", F.explode("tokens").alias("token"))
+            .agg(F.min_by(F.struct("doc_id", "least", "last", "tokens"), "doc_id").alias("r"))
+            .select("r.doc_id", "size", "r.least", "r.last", "r.tokens"))
+    index = reps.select("doc_id", F.explode("tokens").alias("token"), "size", "least", "last")
     lists = (index.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
              .where("low < high").select("token"))
     shared = cut_lineage(index.join(lists, "token", "left_semi"))
-    sizes = cut_lineage(shared.select("doc_id", "size", "least").distinct())
-    comp = _rounds(texts, spare, shared.select("token", "doc_id"), sizes, rounds)
+    sizes = cut_lineage(shared.select("doc_id", "size", "least", "last").distinct())
+    comp = _rounds(texts, spare, shared.select("token", "doc_id"), sizes, rounds, _sets(cells, noise))
 
     sets = ["d1", "d2", "n_shingles"]
     by_set = (chosen.groupBy(*sets).agg(F.min("doc_id").alias("rep"))
@@ -347,13 +403,14 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = cut_lineage(join(docs))
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone, repeated = cut_lineage(gone), cut_lineage(repeated)
+    gone = cut_lineage(gone)
     # only rows that may be concerned are shuffled; the joins decide
-    test = maybe_in(gone.union(repeated))
-    tagged = docs.withColumn("__maybe", F.col("doc_id").isNotNull() & test)
-    sure = tagged.where("NOT __maybe").drop("__maybe")
-    rest = tagged.where("__maybe").drop("__maybe").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return sure.unionByName(rest)
+    concerned = cut_lineage(gone.union(repeated))
+    named = docs.where("doc_id IS NOT NULL")
+    sure = near_ids(named, concerned, "left_anti").unionByName(docs.where("doc_id IS NULL"))
+    rest = near_ids(named, concerned, "left_semi")
+    rest = rest.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return sure.unionByName(rest.select(*docs.columns))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
