@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
 from typing import Any
 
@@ -15,10 +18,33 @@ BATCH_ROWS = "1000"
 BATCH_BYTES = str(16 << 20)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once an application, so that their
+    Python workers can import it wherever the driver was started from."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    at = os.path.join(tempfile.mkdtemp(prefix="tidepool-code-"), "tidepool.zip")
+    with zipfile.ZipFile(at, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(at)  # Spark serves the file itself
+    _SHIPPED.add(app)
+
+
 def prepare(spark: SparkSession) -> None:
-    """Runtime settings the Arrow stages rely on."""
+    """The package on the executors, and settings the Arrow stages rely on."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    # joins turn into broadcasts only for a materialised side of this size
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "4MB")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -205,7 +205,9 @@ def decode_batch(column: pa.ListArray, path: str | None = None) -> pa.Array:
 
 
 def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the piece ids of every text as a new column."""
+    """``docs`` with the piece ids of every text as a new column (or anew)."""
+    docs = docs.drop(ids)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.append_column(ids, encode_batch(batch.column(text), path))
@@ -213,7 +215,9 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", ids: st
 
 
 def decode(docs: DataFrame, path: str | None = None, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with the text of every list of piece ids as a new column."""
+    """``docs`` with the text of every list of piece ids as a new column (or anew)."""
+    docs = docs.drop(text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.append_column(text, decode_batch(batch.column(ids), path))
