@@ -136,6 +136,34 @@ def test_ngram_join_chain_and_group(spark):
     assert got == brute_components(rows)
 
 
+def test_ngram_join_families(spark):
+    """Groups of copies of copies, with few and many edits, shared edits and
+    different lengths: some members link to no pivot, but to each other."""
+    import random
+    rows = []
+    for family in range(10):
+        pick = random.Random(family)
+        docs = [[f"f{family}w{i}" for i in range(60 + 15 * family)]]
+        for k in range(35):
+            words = list(docs[0] if pick.random() < 0.5 else pick.choice(docs))
+            for _ in range(pick.randrange(1, 7)):
+                at = pick.randrange(len(words))
+                kind = pick.random()
+                if kind < 0.6:
+                    words[at] = f"f{family}e{pick.randrange(400)}"
+                elif kind < 0.8 and len(words) > 30:
+                    del words[at:at + pick.randrange(1, 6)]
+                else:
+                    words[at:at] = [f"f{family}n{pick.randrange(400)}" for _ in range(pick.randrange(1, 6))]
+            docs.append(words)
+        order = list(range(len(docs)))
+        pick.shuffle(order)
+        rows += [(family * 1000 + i, " ".join(docs[j])) for i, j in enumerate(order)]
+    for rounds in (3, 1):
+        found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"), rounds).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def brute_quality(text):
