@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from tidepool.llm import common
 from tidepool.llm.words import hash_spans, text_buffer
 
-LABELLED = 24000
-UNLABELLED = 8000
+LABELLED = 12000
+UNLABELLED = 4000
 CELLS = 1 << 20
 PREFIXES = (4, 5)
 LEXICONS, PATTERNS, CLEAN = 12, 12, 4
