@@ -30,7 +30,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -150,16 +149,20 @@ def fingerprint(docs: DataFrame) -> DataFrame:
     lows = _lower_ends(texts.select("doc_id").where("doc_id IS NOT NULL"), RANGES * parts)
     n = max(1, len(lows))
 
-    @F.pandas_udf("array<int>")
-    def ranges(doc_id: pd.Series) -> pd.Series:
-        """An id's range and, for the first id of a range, the range before it."""
-        at = np.searchsorted(lows, doc_id.to_numpy(), side="right") - 1
-        first = lows[at] == doc_id.to_numpy()
-        return pd.Series([[a, (a - 1) % n] if f else [a] for a, f in zip(at.tolist(), first.tolist())])
-
-    known = (texts.where("doc_id IS NOT NULL").withColumn("own", ranges("doc_id"))
-             .select("doc_id", "text", F.posexplode("own").alias("copy", "part"))
-             .select("part", (F.col("copy") == 1).alias("peek"), "doc_id", "text"))
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Every row with its id's range; the first id of a range once more, as
+        a peek, with the range before it."""
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            at = np.searchsorted(lows, ids, side="right") - 1
+            first = np.flatnonzero(lows[at] == ids)
+            for rows, part, peek in ((batch, at, False), (batch.take(pa.array(first)), (at[first] - 1) % n, True)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part.astype(np.int32)), pa.array(np.full(len(part), peek)), *rows.columns],
+                    ["part", "peek", "doc_id", "text"])
+
+    known = (texts.where("doc_id IS NOT NULL")
+             .mapInArrow(place, "part int, peek boolean, doc_id long, text string"))
     alone = texts.where("doc_id IS NULL").select(
         F.expr(f"cast(pmod(xxhash64(text), {n}) as int)").alias("part"), F.lit(False).alias("peek"), "doc_id", "text")
     rows = known.unionByName(alone) if len(lows) else alone
