@@ -7,11 +7,12 @@ Chunks of two lines or more that occur again anywhere are removed, after
 their bytes have been compared with the first occurrence, which stays (the
 smallest ``doc_id``, then the earliest place).
 
-Plan: chunk rows are grouped by a 64-bit hash with map-side counting; only
-repeated hashes are joined back (a sort-merge join that AQE splits for a hot
-chunk) and compared as bytes with the first one's text; documents get the
-list of their removed chunks through a join on their key. The texts cross
-two shuffles and no group is ever collected.
+Plan: chunks are first grouped by a 64-bit hash alone, with map-side counting;
+only documents that hold a repeated one send these chunks' bytes to a
+comparison with the first one's; the confirmed chunk numbers go back to the
+documents. The texts are shuffled by document, once where no other columns hang
+on them; every join is a sort-merge join between plain exchanges, which AQE
+splits for a hot chunk, and no group is ever collected.
 
 Defined cases: a null text stays null, an empty one empty; a document all of
 whose chunks are repeats becomes an empty text but stays a row; chunks with
@@ -27,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidepool.llm import common
+from tidepool.session import cut_lineage
 
 WINDOW = 2
 #: A chunk ends where rolling hash % 1000003 % 8 < 3.
@@ -34,60 +36,71 @@ END_OF_8 = 3
 MIN_LINES = 2
 MIN_CHARS = 40
 
-_HASHES = r"transform(__lines, x -> cast(conv(substr(md5(x), 1, 8), 16, 10) as bigint))"
-_ENDS = (f"filter(sequence(0, size(__lines) - 1), i -> i = size(__lines) - 1 OR "
-         f"((if(i > 0, __hash[i - 1], 0L) * 31 + __hash[i]) % 1000003) % 8 < {END_OF_8})")
-_CHUNKS = ("transform(__ends, (e, k) -> named_struct('pos', k, 'lines', "
-           "slice(__lines, if(k > 0, __ends[k - 1] + 2, 1), e - if(k > 0, __ends[k - 1], -1))))")
-
-
-def _chunked(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__key`` (a hash of id and text) and ``__chunks``."""
-    return (docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
-            .withColumn("__lines", F.split(F.col("text"), "\n", -1))
-            .withColumn("__hash", F.expr(_HASHES))
-            .withColumn("__ends", F.expr(_ENDS))
-            .withColumn("__chunks", F.expr(_CHUNKS))
-            .drop("__lines", "__hash", "__ends"))
-
-
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, __key, gone): the chunk numbers to remove of each document."""
-    own = common.columns(docs, doc_id="long", text="string")
-    rows = (_chunked(own).select("doc_id", "__key", F.explode("__chunks").alias("c"))
-            .where(f"size(c.lines) >= {MIN_LINES}")
-            .select("doc_id", "__key", F.col("c.pos").alias("pos"), F.array_join("c.lines", "\n").alias("chunk"))
-            .where(F.length(F.regexp_replace("chunk", r"[\x20\x09-\x0D]", "")) >= MIN_CHARS)
-            .withColumn("h", F.xxhash64("chunk")))
+# The chunks of a text: array<struct<pos, lines>>. Every step is bound to a
+# lambda variable (a one-element transform), so that it is computed once a text
+# and never inside the lambdas that read it.
+_HASHES = "transform(ls, x -> cast(conv(substr(md5(x), 1, 8), 16, 10) as bigint))"
+_ENDS = (f"filter(sequence(0, size(ls) - 1), i -> i = size(ls) - 1 OR "
+         f"((if(i > 0, hs[i - 1], 0L) * 31 + hs[i]) % 1000003) % 8 < {END_OF_8})")
+_PARTS = ("transform(es, (e, k) -> named_struct('pos', k, 'lines', "
+          "slice(ls, if(k > 0, es[k - 1] + 2, 1), e - if(k > 0, es[k - 1], -1))))")
+_CHUNKS = (f"flatten(flatten(flatten(transform(array(split(text, '\n', -1)), ls -> transform(array({_HASHES}), hs -> "
+           f"transform(array({_ENDS}), es -> {_PARTS}))))))")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a hash of id and text."""
+    return docs.withColumn("__key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")))
+
+
+def repeats(keyed: DataFrame) -> DataFrame:
+    """(__id, __k, __gone): the chunk numbers to remove of each document."""
+    chunk = F.array_join("c.lines", "\n")
+    rows = cut_lineage(keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__key",
+                                    F.explode(F.expr(_CHUNKS)).alias("c"))
+                       .where(f"size(c.lines) >= {MIN_LINES}")
+                       .where(F.length(F.translate(chunk, " \t\n\x0b\x0c\r", "")) >= MIN_CHARS)
+                       .select("doc_id", "__key", F.col("c.pos").alias("pos"), F.xxhash64(chunk).alias("h")))
     at = F.struct("doc_id", "__key", "pos")
-    again = (rows.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-             .where("first <> last").select("h", "first"))
-    found = rows.join(again, "h").withColumn("is_first", at.eqNullSafe(F.col("first")))
-    kept = found.where("is_first").select("h", F.col("chunk").alias("bytes")).dropDuplicates(["h"])
-    gone = found.where("NOT is_first").join(kept, "h").where("chunk = bytes")
-    return gone.groupBy("doc_id", "__key").agg(F.collect_set("pos").alias("gone"))
+    again = cut_lineage(rows.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last"))
+                        .where("first <> last").select("h", "first"))
+    # per document: its chunks with a repeated hash, and which of them come first
+    held = (rows.join(again, "h").groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"))
+            .agg(F.collect_set("pos").alias("__held"),
+                 F.collect_set(F.when(at.eqNullSafe(F.col("first")), F.col("pos"))).alias("__first")))
+    found = (keyed.join(held, _same(), "inner")
+             .select("__id", "__k", "__first", F.explode(F.expr(f"filter({_CHUNKS}, c -> array_contains(__held, c.pos))"))
+                     .alias("c"))
+             .select("__id", "__k", F.col("c.pos").alias("pos"), chunk.alias("chunk"),
+                     F.expr("array_contains(__first, c.pos)").alias("is_first")))
+    kept = cut_lineage(found.where("is_first").select(F.xxhash64("chunk").alias("h"), F.col("chunk").alias("bytes"))
+                       .dropDuplicates(["h"]))
+    gone = (found.where("NOT is_first").withColumn("h", F.xxhash64("chunk"))
+            .join(kept, "h").where("chunk = bytes"))
+    return gone.groupBy("__id", "__k").agg(F.collect_set("pos").alias("__gone"))
+
+
+def _same():
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__k"))
 
 
 def dedup(docs: DataFrame, counts: bool = False) -> DataFrame:
-    """``docs`` without repeated chunks; with ``counts`` also n_lines,
-    n_chunks and n_removed of every document."""
-    gone = repeats(docs).withColumnRenamed("doc_id", "__id").withColumnRenamed("__key", "__k")
-    full = _chunked(docs)
-    full = full.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-                     & (F.col("__key") == F.col("__k")), "left")
-    left = F.expr("array_join(flatten(transform(filter(__chunks, c -> NOT array_contains(gone, c.pos)), "
+    """``docs`` without repeated chunks; with ``counts`` also n_lines
+    and n_removed (chunks) of every document."""
+    keyed = _keyed(docs)
+    full = keyed.join(repeats(keyed), _same(), "left")
+    left = F.expr(f"array_join(flatten(transform(filter({_CHUNKS}, c -> NOT array_contains(__gone, c.pos)), "
                   "c -> c.lines)), '\n')")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(left)
+    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)
     if counts:
-        full = (full.withColumn("n_lines", F.expr("coalesce(cast(size(flatten(transform(__chunks, c -> c.lines))) as long), 0L)"))
-                .withColumn("n_chunks", F.expr("coalesce(cast(size(__chunks) as long), 0L)"))
-                .withColumn("n_removed", F.expr("coalesce(cast(size(gone) as long), 0L)")))
+        full = (full.withColumn("n_lines", F.expr("cast(coalesce(length(text) - length(replace(text, '\n', '')) + 1, 0) as long)"))
+                .withColumn("n_removed", F.expr("coalesce(cast(size(__gone) as long), 0L)")))
     full = full.withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        full = full.withColumn("n_chars", F.when(F.col("gone").isNull(), F.col("n_chars"))
+        full = full.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars"))
                                .otherwise(F.length("text").cast(kind)))
-    extra = ["n_lines", "n_chunks", "n_removed"] if counts else []
+    extra = ["n_lines", "n_removed"] if counts else []
     return full.select(*[F.col(f"`{c}`") for c in docs.columns], *extra)
 
 
@@ -109,7 +122,7 @@ c AS (SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*
 r AS (SELECT *, n >= {MIN_LINES} AND length(regexp_replace(chunk, '[\x20\x09-\x0D]', '', 'g')) >= {MIN_CHARS}
              AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) > 1 AS gone FROM c),
 t AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
-             sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, sum(gone::INT)::BIGINT AS n_removed FROM r GROUP BY doc_id)
-SELECT doc_id, t.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks,
+             sum(n)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_removed FROM r GROUP BY doc_id)
+SELECT doc_id, t.text, coalesce(n_lines, 0) AS n_lines,
        coalesce(n_removed, 0) AS n_removed
 FROM d LEFT JOIN t USING (doc_id)"""
