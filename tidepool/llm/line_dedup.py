@@ -68,11 +68,13 @@ def repeats(keyed: DataFrame) -> DataFrame:
     held = (rows.join(again, "h").groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"))
             .agg(F.collect_set("pos").alias("__held"),
                  F.collect_set(F.when(at.eqNullSafe(F.col("first")), F.col("pos"))).alias("__first")))
+    # read twice below, so written once
     found = (keyed.join(held, _same(), "inner")
              .select("__id", "__k", "__first", F.explode(F.expr(f"filter({_CHUNKS}, c -> array_contains(__held, c.pos))"))
                      .alias("c"))
              .select("__id", "__k", F.col("c.pos").alias("pos"), chunk.alias("chunk"),
                      F.expr("array_contains(__first, c.pos)").alias("is_first")))
+    found = cut_lineage(found)
     kept = cut_lineage(found.where("is_first").select(F.xxhash64("chunk").alias("h"), F.col("chunk").alias("bytes"))
                        .dropDuplicates(["h"]))
     gone = (found.where("NOT is_first").withColumn("h", F.xxhash64("chunk"))
