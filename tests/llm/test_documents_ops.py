@@ -164,6 +164,24 @@ def test_ngram_join_families(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
 
 
+def test_ngram_join_two_pivots(spark):
+    """x and y link to each other only; x was compared in vain with one of a
+    group P, y with one of a group Q, and all that their prefixes share lies in
+    P or in Q."""
+    def words(name, n):
+        return [f"{name}{i}" for i in range(n)]
+    f, bulk, g, big = words("f", 8), words("b", 79), words("g", 8), words("big", 45)
+    rows = [(500, " ".join(f + bulk + g[:-1] + words("x", 9))), (501, " ".join(words("y", 9) + f[1:] + bulk + g))]
+    for i in range(20):
+        at = 100 if i % 2 else 900
+        rows.append((at + i, " ".join(f + bulk + ["sep"] + big + [f"p{i}"])))
+        rows.append((at + 50 + i, " ".join([f"q{i}"] + big + ["gap"] + bulk + g)))
+    want = brute_components(rows)
+    assert want[501][1] == 500
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def brute_quality(text):

@@ -29,7 +29,10 @@ Plan:
    none of x's other shingles has ``|x & z| <= |x & p|``, too few unless z is
    small. So x meets z over a shingle of p only if z is that small (or z's
    prefix ends too early to show the others); this keeps the badly changed
-   members of a large group from meeting all others.
+   members of a large group from meeting all others. When both have such a rule
+   and the same pivot, one shingle outside the pivot satisfies both; with two
+   pivots no single shingle need do so, and only one document's rule is applied
+   (of the one with fewer shingles besides its pivot).
 
 Shingles are 64-bit hashes of the whole shingle; two different shingles of
 one candidate pair agree with probability 2^-64.
@@ -263,24 +266,31 @@ def _rounds(texts: DataFrame, spare: DataFrame | None, shared: DataFrame, sizes:
     tried, links, comp = _costly(texts, spare, shared, sizes, sets_of, tried, links, comp)
     left = _open_lists(shared, comp, 0).select("token", "doc_id", "comp").join(sizes, "doc_id")
     if tried is None:
-        left = left.withColumn("limit", F.lit(None).cast("long")).withColumn("reach", F.lit(None).cast("int"))
-        left = left.withColumn("ruled", F.lit(False))
+        left = left.select("*", *[F.lit(None).cast(k).alias(c) for c, k in
+                                  (("limit", "long"), ("reach", "int"), ("pivot", "long"), ("besides", "int"))],
+                           F.lit(False).alias("ruled"), F.lit(False).alias("other"))
     else:  # each document's nearest pivot that it does not link to
         rule = (tried.where("NOT linked").groupBy(F.col("x").alias("doc_id"))
-                .agg(F.max_by(F.struct("limit", "others", "reach"), F.struct("both", "y")).alias("r")))
+                .agg(F.max_by(F.struct("limit", "others", "reach", F.col("y").alias("pivot")), F.struct("both", "y"))
+                     .alias("r")))
         left = (left.join(rule, "doc_id", "left")
                 .withColumn("ruled", F.col("r").isNotNull())
-                .withColumn("limit", F.expr("CASE WHEN NOT array_contains(r.others, token) AND r.reach < last "
-                                            "THEN r.limit END"))
-                .withColumn("reach", F.col("r.reach")).drop("r"))
+                .withColumn("limit", F.expr("CASE WHEN r.reach < last THEN r.limit END"))
+                .withColumn("other", F.expr("coalesce(array_contains(r.others, token), false)"))
+                .select("*", "r.reach", "r.pivot", F.size("r.others").alias("besides")).drop("r"))
     a, b = (left.select("token", *[F.col(c).alias(n + side) for c, n in
                                    (("doc_id", ""), ("comp", "c"), ("size", "s"), ("least", "m"), ("last", "w"),
-                                    ("limit", "l"), ("reach", "r"), ("ruled", "u"))])
+                                    ("limit", "l"), ("reach", "r"), ("pivot", "p"), ("besides", "n"),
+                                    ("other", "o"), ("ruled", "u"))])
             for side in "xy")
+    # does the document's rule hold for this partner, and is it the one applied?
+    holds_x, holds_y = "(lx IS NOT NULL AND sy > lx AND rx < wy)", "(ly IS NOT NULL AND sx > ly AND ry < wx)"
+    first_x = "(nx < ny OR nx = ny AND x < y)"
     # the shorter one first (ties by id): each pair once, and never inside a component
     rest = (a.join(b, "token")
             .where(f"cx <> cy AND (sx < sy OR sx = sy AND x < y) AND 100 * sx >= {PCT} * sy "
-                   "AND (lx IS NULL OR sy <= lx OR rx >= wy) AND (ly IS NULL OR sx <= ly OR ry >= wx)")
+                   f"AND (NOT {holds_x} OR ox OR {holds_y} AND px <> py AND NOT {first_x}) "
+                   f"AND (NOT {holds_y} OR oy OR {holds_x} AND px <> py AND {first_x})")
             .groupBy("x", "y").agg(F.count("*").alias("count"), F.first(F.col("ux") | F.col("uy")).alias("ruled"),
                                    *[F.first(c).alias(c) for c in ("sx", "mx", "sy", "my")])
             # a ruled document's matches are not all counted
