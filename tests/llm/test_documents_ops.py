@@ -400,6 +400,18 @@ def test_lz_fingerprint_edge(spark, docs):
     assert lz_fingerprint.fingerprint(one).first().near_next == 1.0
 
 
+def test_lz_fingerprint_long_unrelated_texts():
+    """Two texts of 120,000 words with no word in common are unlike, equal ones alike."""
+    import random
+    pick = random.Random(8)
+    a, b = (" ".join(f"{side}{pick.randrange(20000)}" for _ in range(120000)) for side in "ab")
+    known = lz_fingerprint._Tokens()
+    marks = [lz_fingerprint.signature(lz_fingerprint.phrases(t, known)) for t in (a, b, "")]
+    assert lz_fingerprint.likeness(marks[0], marks[1]) <= 1 / lz_fingerprint.HASHES
+    assert lz_fingerprint.likeness(marks[0], marks[0]) == lz_fingerprint.likeness(marks[2], marks[2]) == 1
+    assert lz_fingerprint.likeness(marks[0], marks[2]) == 0
+
+
 # --- op 9 ---------------------------------------------------------------------
 
 def test_line_dedup_edge(spark, docs):

@@ -4,7 +4,8 @@ A text is parsed like LZ78 into dictionary phrases: the longest known phrase
 plus one more token is a new phrase (tokens: words; a word beyond
 ``LONG_WORD`` characters, as in scripts without blanks, is read character by
 character). The set of phrase hashes is the document's shape to a compressor;
-its fingerprint is a signature of ``HASHES`` minimum hashes (16 bits each), written in hex.
+its fingerprint is a signature of ``HASHES`` minimum hashes (the low 16 bits of
+each: unequal minima agree with probability 2^-16 at every length), written in hex.
 Likeness is the share of equal minima: an estimate of the Jaccard likeness of
 the phrase sets. Equal texts have equal fingerprints.
 
@@ -40,6 +41,8 @@ from tidepool.llm.words import mix
 
 HASHES = 64
 LONG_WORD = 64
+#: The fingerprint of an empty set.
+NOTHING = "ffff" * HASHES
 #: Ranges of ids for each shuffle partition.
 RANGES = 4
 
@@ -83,13 +86,16 @@ def phrases(text: str, known: _Tokens) -> np.ndarray:
 def signature(found: np.ndarray) -> str:
     """Minimum hashes as hex; of no phrase: all ones."""
     if not len(found):
-        return "ffff" * HASHES
-    low = (mix(found)[:, None] * _A + _B).min(axis=0) >> np.uint64(48)
+        return NOTHING
+    # the high bits of a minimum near 0 as the set grows, the low ones do not
+    low = (mix(found)[:, None] * _A + _B).min(axis=0) & np.uint64(0xFFFF)
     return low.astype(">u2").tobytes().hex()
 
 
 def likeness(a: str, b: str) -> float:
     """Share of equal minima of two fingerprints."""
+    if a != b and NOTHING in (a, b):
+        return 0.0
     x, y = (np.frombuffer(bytes.fromhex(s), ">u2") for s in (a, b))
     return float((x == y).mean())
 
