@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import (best_fit, html_text, language_id, line_dedup, lz_fingerprint, ngram_join, quality_rules,
+from tidepool.llm import (best_fit, html_text, importance_sample, language_id, line_dedup, lz_fingerprint, ngram_join, quality_rules,
                           token_counts, toxicity, viterbi_pieces)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,9 +20,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lz_fingerprint": lz_fingerprint.op8_lz_fingerprint,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op13_importance_sample": importance_sample.op13_importance_sample,
 }
 
 ORACLE: dict[str, str] = {
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op9_line_dedup": line_dedup.OP9_SQL,
+    "op13_importance_sample": importance_sample.OP13_SQL,
 }
