@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import (best_fit, html_text, importance_sample, language_id, line_dedup, lz_fingerprint, ngram_join,
-                          pivot_codes, quality_rules, token_counts, toxicity, viterbi_pieces)
+from tidepool.llm import (best_fit, html_text, importance_sample, language_id, line_dedup, lz_fingerprint,
+                          minhash_dedup, ngram_join, pivot_codes, quality_rules, token_counts, toxicity, viterbi_pieces)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_text": html_text.op1_html_text,
@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lz_fingerprint": lz_fingerprint.op8_lz_fingerprint,
     "op9_line_dedup": line_dedup.op9_line_dedup,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_minhash_dedup": minhash_dedup.op11_minhash_dedup,
     "op12_pivot_codes": pivot_codes.op12_pivot_codes,
     "op13_importance_sample": importance_sample.op13_importance_sample,
 }
