@@ -10,18 +10,23 @@ its whole sequence as one). Two documents link when
    signature of one byte per minimum. Two documents that link share a band but
    for a chance of at most ``(1 - 0.8^ROWS)^BANDS`` (1.3e-7).
 2. Equal sets become one node, so copies never meet.
-3. Pairs of a band are never all emitted. Each node is compared with one pivot
-   (the smallest node of a band, of those the one it shares most bands with); the
-   links give components, and most bands then hold one component only.
-4. The members of a band that still spans components are all compared with that
-   band's most frequent pivot p. For two of them, x and z, that says enough: if
-   they link, then either they share a shingle *outside p*, or both are small:
-   ``|x & z| <= min(|x & p|, |z & p|)``, so ``|z| <= 2.25 |x & p| - |x|`` and the same
-   with x and z changed over. So x and z meet only over a shared shingle
-   outside p - there x needs at least ``ceil(0.8 |x|) - |x & p|`` of them, and a
-   prefix of them, rarest first, is enough to find one (prefix filter) - or over
-   their sizes. This is exact, and keeps the hundreds of changed copies of one
-   text, which share little besides that text, from meeting each other.
+3. Pairs of a band are never all emitted. In each of ``MEETINGS`` rounds every node
+   is compared with one pivot (a band's first node by a hash that changes with the
+   round, of those the one it shares most bands with); the links give components,
+   and most bands then hold one component only.
+4. The members of a band that still spans components are all compared with one
+   pivot, the node with most links in the component with most members, and
+   described by what they lack of it and have besides it. Shingles that more than half of a pivot's members
+   lack or have besides are flipped, so that the reference becomes the members'
+   common text P, and a member x keeps the set D(x) of its own differences from
+   P, m(x) of them missing shingles. As
+   ``|x & z| = |P| - m(x) - m(z) + |D(x) & D(z)|``, x and z link exactly when
+   ``180 |D(x) & D(z)| >= a(x) + a(z) - 180 |P|`` with ``a(x) = 80 |x| + 180 m(x)``.
+   Where the right side is 0 or less for some pair, they link, and each of the two
+   links in the same way to the member with the smallest ``a``: that one's links
+   stand for them. All other links share a difference, and are met over one in a
+   prefix of the differences, rarest first (prefix filter). So the hundreds of
+   changed copies of one text, which share little besides it, never meet.
 5. The pairs left are first compared by signature (at least ``AGREE`` equal
    minima; two that link have fewer with a chance of 1e-11), then on the whole sets.
 
@@ -53,6 +58,8 @@ BANDS = 40
 ROWS = 5
 #: Equal minima (of BANDS * ROWS) below which a pair is not compared further.
 AGREE = 120
+#: Rounds in which every node of an open band meets one pivot (speed only).
+MEETINGS = 3
 #: Shingles hashed at a time, so that a hash's values stay in the CPU cache.
 CHUNK = 1 << 16
 
@@ -137,25 +144,27 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole sets of both texts of every pair: common shingles, and those that
-    only x has."""
+    """Whole sets of both texts of every pair: common shingles, those that only x
+    has, and those that only y has."""
     for batch in batches:
         y = batch.column("y").to_numpy()
         some, at, which = np.unique(y, return_index=True, return_inverse=True)
         ys = shingles(batch.column("yt").take(pa.array(at)))
         yd = [digest(s)[0] for s in ys]
-        keep, sx, sy, both, others = [], [], [], [], []
+        keep, sx, sy, both, besides, lacks = [], [], [], [], [], []
         want_x, want_y = batch.column("xd").to_numpy(), batch.column("yd").to_numpy()
         for i, (s, j) in enumerate(zip(shingles(batch.column("xt")), which.tolist())):
             # a repeated doc_id brings other texts along: they name other sets
             if digest(s)[0] != want_x[i] or yd[j] != want_y[i]:
                 continue
             mine = s[np.isin(s, ys[j], assume_unique=True, invert=True)]
-            keep.append(i), sx.append(len(s)), sy.append(len(ys[j])), both.append(len(s) - len(mine)), others.append(mine)
+            keep.append(i), sx.append(len(s)), sy.append(len(ys[j])), both.append(len(s) - len(mine)), besides.append(mine)
+            lacks.append(ys[j][np.isin(ys[j], s, assume_unique=True, invert=True)])
         keep = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [batch.column("x").take(keep), batch.column("y").take(keep),
-             *(pa.array(c, pa.int64()) for c in (sx, sy, both)), _lists(others)], ["x", "y", "sx", "sy", "both", "others"])
+             *(pa.array(c, pa.int64()) for c in (sx, sy, both)), _lists(besides), _lists(lacks)],
+            ["x", "y", "sx", "sy", "both", "besides", "lacks"])
 
 
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +176,14 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """x, y, sx, sy, both, linked and x's shingles outside y, of node pairs (x, y)."""
+    """x, y, sx, sy, both, linked, and what x has besides y and lacks of it, of node
+    pairs (x, y)."""
     name = nodes.select("node", "doc_id", "d1")
     named = (pairs.select("x", "y").join(name.toDF("x", "xid", "xd"), "x").join(name.toDF("y", "yid", "yd"), "y"))
     rows = (named.join(texts.select(F.col("doc_id").alias("xid"), F.col("text").alias("xt")), "xid")
             .join(texts.select(F.col("doc_id").alias("yid"), F.col("text").alias("yt")), "yid"))
     found = rows.select("x", "y", "xd", "yd", "xt", "yt").mapInArrow(
-        _overlap, "x long, y long, sx long, sy long, both long, others array<long>")
+        _overlap, "x long, y long, sx long, sy long, both long, besides array<long>, lacks array<long>")
     return cut_lineage(found.withColumn("linked", F.expr(f"100 * both >= {PCT} * (sx + sy - both)")))
 
 
@@ -197,72 +207,95 @@ def _open(shared: DataFrame, comp: DataFrame) -> DataFrame:
     return cut_lineage(tagged.join(lists, "band", "left_semi"))
 
 
-def _left_pairs(met: DataFrame, comp: DataFrame) -> DataFrame:
-    """(x, y) of members of different components that may link though each was
-    compared with the same pivot: the argument of point 4. ``met`` holds x, the
-    pivot y, sx, both and others."""
-    rows = cut_lineage(
-        met.select("x", F.col("y").alias("p"), F.col("sx").alias("n"), "both", "others")
-        .join(comp.toDF("x", "cx"), "x").join(comp.toDF("p", "cp"), "p", "left")
-        .withColumn("out", ~F.col("cx").eqNullSafe(F.col("cp")))
-        .withColumn("limit", F.expr(f"both * {100 + PCT} div {PCT} - n"))
-        # shingles outside p that any partner shares, and the prefix that finds one
-        .withColumn("length", F.expr(f"size(others) - greatest(({PCT} * n + 99) div 100 - both, 1) + 1")))
-    slim = rows.select("x", "p", "n", "limit", "cx", "out")
-    tokens = rows.select("x", "p", "n", "cx", "out", "length", F.explode("others").alias("t"))
-    lists = (tokens.groupBy("p", "t").agg(F.count(F.lit(1)).alias("rows"), F.min("cx").alias("lo"), F.max("cx").alias("hi"),
-                                          F.max("out").alias("any")))
-    place = F.row_number().over(Window.partitionBy("x", "p").orderBy("rows", "t"))
-    index = cut_lineage(tokens.join(lists, ["p", "t"]).withColumn("place", place)
-                        .where("place <= length AND any AND lo < hi").select("x", "p", "t", "n", "cx", "out"))
-
-    def side(df: DataFrame, s: str, *also: str) -> DataFrame:
-        return df.select("p", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "n", "cx", "out", *also)],
-                         *(["t"] if "t" in df.columns else []), *(["bin"] if "bin" in df.columns else []))
-    # two members outside the pivot's component meet once
-    once = f"cx_a <> cx_b AND (NOT out_b OR x_a < x_b) AND 100 * least(n_a, n_b) >= {PCT} * greatest(n_a, n_b)"
-    over_tokens = (side(index.where("out"), "a").join(side(index, "b"), ["p", "t"]).where(once).select("x_a", "x_b"))
-    width = float(np.log(1.05))
-    bin_of = F.floor(F.log(F.col("n").cast("double")) / width)
-    low, high = F.expr(f"({PCT} * n + 99) div 100"), F.expr(f"least(limit, 100 * n div {PCT})")
-    small = (slim.where("out").where(low <= high)
-             .withColumn("bin", F.explode(F.sequence(F.floor(F.log(low.cast("double")) / width),
-                                                     F.floor(F.log(high.cast("double")) / width)))))
-    over_sizes = (side(small, "a", "limit").join(side(slim.withColumn("bin", bin_of), "b", "limit"), ["p", "bin"])
-                  .where(f"cx_a <> cx_b AND n_b <= limit_a AND n_a <= limit_b "
-                         f"AND 100 * least(n_a, n_b) >= {PCT} * greatest(n_a, n_b)").select("x_a", "x_b"))
-    both = over_tokens.union(over_sizes).toDF("a", "b")
-    return both.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct()
+def _differences(met: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Point 4 for the lists that span components: (list, x, t) of every member's
+    differences, and per member its size n, number of differences d, the least
+    member y and the differences (times 180) that any partner ``needs`` to share
+    with it. ``met`` holds list (the pivot), x, n, size (the pivot's), besides and
+    lacks; a list's pivot is no member of it."""
+    rows = met.join(comp.toDF("x", "cx"), "x")
+    lists = (rows.groupBy("list").agg(F.count(F.lit(1)).alias("k"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
+             .where("lo < hi").select("list", "k"))
+    rows = cut_lineage(rows.join(lists, "list"))
+    one = F.expr("explode(concat(transform(besides, t -> struct(t AS t, false AS inside)), "
+                 "transform(lacks, t -> struct(t AS t, true AS inside))))")
+    apart = rows.select("list", "x", "k", one.alias("d")).select("list", "x", "k", "d.t", "d.inside")
+    flips = cut_lineage(apart.groupBy("list", "k", "t", "inside").agg(F.count(F.lit(1)).alias("c")).where("2 * c > k")
+                        .select("list", "t", "inside"))
+    added = (rows.select("list", "x").join(flips, "list").join(apart.select("list", "x", "t"), ["list", "x", "t"], "left_anti")
+             .select("list", "x", "t", (~F.col("inside")).alias("inside")))
+    apart = cut_lineage(apart.drop("k").join(flips.select("list", "t"), ["list", "t"], "left_anti")
+                        .select("list", "x", "t", "inside").unionByName(added))
+
+    grown = flips.groupBy("list").agg(F.sum(F.when(F.col("inside"), -1).otherwise(1)).alias("grown"))
+    own = apart.groupBy("list", "x").agg(F.count(F.lit(1)).alias("d"), F.sum(F.col("inside").cast("int")).alias("m"))
+    sized = (rows.select("list", "x", "n", "size").join(grown, "list", "left").join(own, ["list", "x"], "left")
+             .select("list", "x", "n", F.coalesce("d", F.lit(0)).alias("d"),
+                     (F.col("size") + F.coalesce("grown", F.lit(0))).alias("p"),
+                     (F.col("n") * PCT + F.coalesce("m", F.lit(0)) * (100 + PCT)).alias("a")))
+    least = sized.groupBy("list").agg(F.min("a").alias("low"), F.min_by("x", F.struct("a", "x")).alias("y"))
+    return apart.drop("inside"), cut_lineage(sized.join(least, "list").withColumn("needs", F.expr(f"a + low - p * {100 + PCT}")))
+
+
+def _left_pairs(apart: DataFrame, sized: DataFrame, comp: DataFrame) -> DataFrame:
+    """(x, y) of members of one list and different components that share a
+    difference which any two that link share."""
+    sized = sized.join(comp.toDF("x", "cx"), "x")
+    both = apart.join(sized.select("list", "x", "n", "cx", "d", "needs"), ["list", "x"])
+    seen = (both.groupBy("list", "t").agg(F.count(F.lit(1)).alias("c"), F.min("cx").alias("lo"), F.max("cx").alias("hi")))
+    place = F.row_number().over(Window.partitionBy("list", "x").orderBy("c", "t"))
+    first = F.expr(f"d - greatest(ceil(needs / {float(100 + PCT)}), 1) + 1")
+    index = cut_lineage(both.join(seen, ["list", "t"]).withColumn("place", place)
+                        .where((F.col("place") <= first) & F.expr("lo < hi")).select("list", "t", "x", "n", "cx"))
+    a, b = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "n", "cx")]) for s in "ab")
+    return (a.join(b, ["list", "t"])
+            .where(f"x_a < x_b AND cx_a <> cx_b AND 100 * least(n_a, n_b) >= {PCT} * greatest(n_a, n_b)")
+            .select(F.col("x_a").alias("x"), F.col("x_b").alias("y")).distinct())
 
 
 def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame | None:
     """(node, comp) of every node of the band lists."""
     members = cut_lineage(shared.select("node").distinct())
-    low = shared.groupBy("band").agg(F.min("node").alias("y"))
-    met = (shared.join(low, "band").where("node <> y").groupBy(F.col("node").alias("x"), "y").agg(F.count(F.lit(1)).alias("c"))
-           .groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y")))
-    home = _compared(texts, nodes, cut_lineage(met))
-    links = home.where("linked").select("x", "y")
-    comp = _components(links, members)
-    rows = _open(shared, comp)
-    if rows.isEmpty():
-        return comp
-
-    at_home = (rows.join(home.select(F.col("x").alias("node"), F.col("y").alias("home")).distinct(), "node", "left")
-               .select("band", "node", F.coalesce("home", "node").alias("home")))
-    pivots = (at_home.groupBy("band", "home").agg(F.count(F.lit(1)).alias("c"))
-              .groupBy("band").agg(F.max_by("home", F.struct("c", -F.col("home"))).alias("y")))
-    wanted = cut_lineage(at_home.join(pivots, "band").where("node <> y")
-                         .groupBy(F.col("node").alias("x"), "y").agg(F.max(F.col("home") == F.col("y")).alias("known")))
-    more = wanted.where("NOT known").select("x", "y")
+    comp, rows, done, links = members.withColumn("comp", F.col("node")), shared, None, None
+    for turn in range(MEETINGS):
+        low = rows.groupBy("band").agg(F.min_by("node", F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("y"))
+        met = rows.join(low, "band").where("node <> y").groupBy(F.col("node").alias("x"), "y").agg(F.count(F.lit(1)).alias("c"))
+        if done is not None:
+            met = met.join(done.select("x", "y"), ["x", "y"], "left_anti")
+        met = cut_lineage(met.groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y")))
+        found = _compared(texts if turn == 0 else _concerned(texts, nodes, met), nodes, met)
+        done = found if done is None else done.unionByName(found)
+        links = done.where("linked").select("x", "y")
+        comp = _components(links, members)
+        rows = _open(shared, comp)
+        if rows.isEmpty():
+            return comp
+
+    # each open band's pivot: of the component with most members in the band, the
+    # node with most links (a component without links is one node)
+    degree = (links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+              .join(comp, "node").groupBy("comp").agg(F.max_by("node", F.struct("c", -F.col("node"))).alias("hub")))
+    pivots = cut_lineage(rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
+                         .groupBy("band").agg(F.max_by("comp", F.struct("c", -F.col("comp"))).alias("comp"))
+                         .join(degree, "comp", "left").select("band", F.coalesce("hub", "comp").alias("y")))
+    wanted = (rows.select("band", F.col("node").alias("x")).join(pivots, "band").where("x <> y").select("x", "y").distinct()
+              .join(done.select("x", "y", F.lit(True).alias("known")), ["x", "y"], "left"))
+    more = cut_lineage(wanted.where("known IS NULL").select("x", "y"))
     away = _compared(_concerned(texts, nodes, more), nodes, more)
     links = links.union(away.where("linked").select("x", "y"))
     comp = _components(links, members)
 
-    # only pairs (member, pivot) of bands that still span components
+    # a list: the members, in bands that still span components, of all bands of a pivot
     still = _open(shared, comp).select("band", F.col("node").alias("x")).join(pivots, "band").select("x", "y").distinct()
-    done = home.unionByName(away)
-    pairs = _left_pairs(done.join(still, ["x", "y"], "left_semi"), comp)
+    done = done.unionByName(away)
+    met = (done.join(still, ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
+           .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
+    apart, sized = _differences(met, comp)
+    # enough in common whatever they share of their differences
+    sure = sized.where("needs <= 0 AND x <> y").select("x", "y")
+    links = links.union(sure)
+    comp = _components(links, members)
+    pairs = _left_pairs(apart, sized, comp)
     tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     pairs = cut_lineage(pairs.join(tried, ["x", "y"], "left_anti"))
     sign = nodes.select("node", "sign")
