@@ -25,7 +25,7 @@ its whole sequence as one). Two documents link when
    Where the right side is 0 or less for some pair, they link, and each of the two
    links in the same way to the member with the smallest ``a``: that one's links
    stand for them. All other links share a difference, and are met over one in a
-   prefix of the differences, rarest first (prefix filter). So the hundreds of
+   prefix of the differences, rarest first (prefix and position filter). So the hundreds of
    changed copies of one text, which share little besides it, never meet.
 5. The pairs left are first compared by signature (at least ``AGREE`` equal
    minima; two that link have fewer with a chance of 1e-11), then on the whole sets.
@@ -241,15 +241,21 @@ def _left_pairs(apart: DataFrame, sized: DataFrame, comp: DataFrame) -> DataFram
     """(x, y) of members of one list and different components that share a
     difference which any two that link share."""
     sized = sized.join(comp.toDF("x", "cx"), "x")
-    both = apart.join(sized.select("list", "x", "n", "cx", "d", "needs"), ["list", "x"])
+    both = apart.join(sized.select("list", "x", "n", "cx", "d", "a", "p", "needs"), ["list", "x"])
     seen = (both.groupBy("list", "t").agg(F.count(F.lit(1)).alias("c"), F.min("cx").alias("lo"), F.max("cx").alias("hi")))
     place = F.row_number().over(Window.partitionBy("list", "x").orderBy("c", "t"))
-    first = F.expr(f"d - greatest(ceil(needs / {float(100 + PCT)}), 1) + 1")
+    # a partner z has at least as many differences as it must share, which gives
+    # a(z) >= a(x) - (100 - PCT) |z|
+    far = f"2 * a - {(100 - PCT) * 100 / PCT} * n - p * {float(100 + PCT)}"
+    first = F.expr(f"d - greatest(ceil(greatest(needs, {far}) / {float(100 + PCT)}), 1) + 1")
     index = cut_lineage(both.join(seen, ["list", "t"]).withColumn("place", place)
-                        .where((F.col("place") <= first) & F.expr("lo < hi")).select("list", "t", "x", "n", "cx"))
-    a, b = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "n", "cx")]) for s in "ab")
-    return (a.join(b, ["list", "t"])
-            .where(f"x_a < x_b AND cx_a <> cx_b AND 100 * least(n_a, n_b) >= {PCT} * greatest(n_a, n_b)")
+                        .where((F.col("place") <= first) & F.expr("lo < hi"))
+                        .select("list", "t", "x", "n", "cx", "a", "p", (F.col("d") - F.col("place") + 1).alias("rest")))
+    one, two = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "n", "cx", "a", "p", "rest")]) for s in "ab")
+    # at the first shared difference, in their order, no more than the rest of both can be shared
+    return (one.join(two, ["list", "t"])
+            .where(f"x_a < x_b AND cx_a <> cx_b AND 100 * least(n_a, n_b) >= {PCT} * greatest(n_a, n_b) "
+                   f"AND a_a + a_b - p_a * {100 + PCT} <= least(rest_a, rest_b) * {100 + PCT}")
             .select(F.col("x_a").alias("x"), F.col("x_b").alias("y")).distinct())
 
 
