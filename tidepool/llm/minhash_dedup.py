@@ -59,7 +59,7 @@ ROWS = 5
 #: Equal minima (of BANDS * ROWS) below which a pair is not compared further.
 AGREE = 120
 #: Rounds in which every node of an open band meets one pivot (speed only).
-MEETINGS = 3
+MEETINGS = 1
 #: Shingles hashed at a time, so that a hash's values stay in the CPU cache.
 CHUNK = 1 << 16
 
@@ -288,18 +288,14 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame
               .join(done.select("x", "y", F.lit(True).alias("known")), ["x", "y"], "left"))
     more = cut_lineage(wanted.where("known IS NULL").select("x", "y"))
     away = _compared(_concerned(texts, nodes, more), nodes, more)
-    links = links.union(away.where("linked").select("x", "y"))
-    comp = _components(links, members)
-
-    # a list: the members, in bands that still span components, of all bands of a pivot
-    still = _open(shared, comp).select("band", F.col("node").alias("x")).join(pivots, "band").select("x", "y").distinct()
+    # a list: the members of all open bands of a pivot
     done = done.unionByName(away)
-    met = (done.join(still, ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
+    met = (done.join(wanted.select("x", "y"), ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
            .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
     apart, sized = _differences(met, comp)
     # enough in common whatever they share of their differences
     sure = sized.where("needs <= 0 AND x <> y").select("x", "y")
-    links = links.union(sure)
+    links = links.union(away.where("linked").select("x", "y")).union(sure)
     comp = _components(links, members)
     pairs = _left_pairs(apart, sized, comp)
     tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
