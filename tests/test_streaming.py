@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidepool.streaming import events as E
 from tidepool.streaming import ingest as I
 from tidepool.streaming import windows as W
-from tidepool.tables import snapshots as T
+from tidepool.tables import keyed
 
 # The three example events of the streaming lab.
 LAB_EVENTS = [
@@ -107,10 +107,10 @@ def test_streaming_upsert_keeps_latest_per_key(spark, tmp):
     src = E.read_events(spark, path=f"{tmp}/in", max_per_trigger=1)
     q = I.run_upsert(spark, src, f"{tmp}/acc", f"{tmp}/ckpt", ["order_id"], ["order_ts"], available_now=True)
     q.awaitTermination()
-    got = {r.order_id: r.amount for r in T.read(spark, f"{tmp}/acc").collect()}
-    assert got == {1: 9.0, 2: 7.0, 3: 1.0}
-    ops = [r.operation for r in T.history(spark, f"{tmp}/acc").orderBy("version").collect()]
-    assert ops == ["CREATE", "MERGE", "MERGE"]
+    table = keyed.open_table(spark, f"{tmp}/acc")
+    assert {r.order_id: r.amount for r in table.read().collect()} == {1: 9.0, 2: 7.0, 3: 1.0}
+    assert {r.order_id: r.amount for r in table.read(batch=1).collect()} == {1: 5.0, 2: 7.0}
+    assert [r.operation for r in table.history().orderBy("batch").collect()] == ["MERGE", "MERGE"]
 
 
 def test_upsert_ignores_late_events_and_keeps_bad_ones(spark, tmp):
@@ -119,7 +119,7 @@ def test_upsert_ignores_late_events_and_keeps_bad_ones(spark, tmp):
     src = E.read_events(spark, path=f"{tmp}/in", max_per_trigger=1)
     q = I.run_upsert(spark, src, f"{tmp}/acc", f"{tmp}/ckpt", ["order_id"], ["order_ts"], available_now=True)
     q.awaitTermination()
-    assert [(r.order_id, r.amount) for r in T.read(spark, f"{tmp}/acc").collect()] == [(1, 5.0)]
+    assert [(r.order_id, r.amount) for r in keyed.open_table(spark, f"{tmp}/acc").read().collect()] == [(1, 5.0)]
     assert I.read_ingested(spark, I.rejected_path(f"{tmp}/acc")).count() == 2
 
 

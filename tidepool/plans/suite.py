@@ -1011,13 +1011,13 @@ def stream_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
     """Incremental MERGE from a stream, over three micro-batches: the
     orders, then a correction feed (open orders closed a day later), then old
     events of finished orders that arrive late and must not overwrite the newer
-    ones. Each batch merges into the snapshot before it."""
+    ones. Each batch rewrites the key buckets it has rows of."""
     import uuid
 
     from tidepool.session import scratch_path
     from tidepool.streaming.events import read_event_files
     from tidepool.streaming.ingest import run_upsert
-    from tidepool.tables import snapshots as T
+    from tidepool.tables import keyed
     base = scratch_path(spark, f"streams/upsert-{uuid.uuid4().hex[:12]}")
     o = read_table(spark, d, "orders")
     corrections = (o.filter(F.col("o_orderstatus") == "O")
@@ -1030,8 +1030,8 @@ def stream_upsert_orders(spark: SparkSession, d: str) -> DataFrame:
     for name, feed in (("a", o), ("b", corrections), ("c", late)):
         _order_events(feed).write.text(f"{base}/in/{name}")
         run_upsert(spark, read_event_files(spark, f"{base}/in/*"), f"{base}/table", f"{base}/checkpoint",
-                   ["order_id"], ["order_ts"], available_now=True).awaitTermination()
-    t = T.read(spark, f"{base}/table")
+                   ["order_id"], ["order_ts"], buckets=8, available_now=True).awaitTermination()
+    t = keyed.open_table(spark, f"{base}/table").read()
     return t.select("order_id", F.col("order_ts").cast("timestamp_ntz").alias("order_ts"),
                     "product", "region", "amount", "quantity", "total_amount")
 

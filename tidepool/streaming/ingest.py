@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidepool.operators.clean import dedup
 from tidepool.streaming.events import is_valid_order, parse_orders
-from tidepool.tables import snapshots
+from tidepool.tables import keyed
 
 
 def stream_id(checkpoint: str) -> str:
@@ -76,14 +76,15 @@ def run_ingest(spark: SparkSession, events: DataFrame, table_path: str, checkpoi
 
 
 def run_upsert(spark: SparkSession, events: DataFrame, table_path: str, checkpoint: str,
-               keys: list[str], order_by: list[str], *, quarantine_path: str | None = None,
+               keys: list[str], order_by: list[str], *, buckets: int = 64, quarantine_path: str | None = None,
                processing_time: str | None = "5 seconds", available_now: bool = False) -> StreamingQuery:
     """Incremental MERGE instead of overwrite. Each micro-batch is
-    reduced to its latest row per key, then merged into the snapshot before it:
-    a row is replaced only by one that is not older by ``order_by[0]``, whichever
-    batch it comes in. Batch N writes version N + 1, so a replayed batch starts
-    from the same snapshot and overwrites its own version. Invalid records go
-    to the quarantine. One stream owns the table."""
+    reduced to its latest row per key, then merged into a table of key buckets
+    (:mod:`tidepool.tables.keyed`), of which it rewrites only those it has a key
+    of; a row is replaced only by one that is not older by ``order_by[0]``, whichever
+    batch it comes in. Micro-batch N is change N + 1: replayed, it starts from the
+    same state and replaces its own change. Invalid records go to the quarantine.
+    One stream owns the table."""
     parsed = parse_orders(events)
     sid, rejected = stream_id(checkpoint), rejected_path(table_path, quarantine_path)
 
@@ -92,10 +93,9 @@ def run_upsert(spark: SparkSession, events: DataFrame, table_path: str, checkpoi
         try:
             good = batch.filter(_valid()).drop("_raw", "_ingested_at")
             _write_batch(batch.filter(~_valid()), rejected, sid, batch_id)
-            if not snapshots.is_table(spark, table_path):
-                snapshots.create(spark, table_path, good.schema)
-            snapshots.merge(spark, table_path, dedup(good, keys, order_by, keep="last"), keys,
-                            order_by=order_by[0], version=batch_id + 1)
+            table = (keyed.open_table(spark, table_path) if keyed.exists(spark, table_path)
+                     else keyed.create(spark, table_path, good.schema, keys, buckets))
+            table.merge(dedup(good, keys, order_by, keep="last"), order_by=order_by[0], batch=batch_id + 1)
         finally:
             batch.unpersist()
 
