@@ -124,3 +124,37 @@ def fit_label_model(documents: DataFrame, labels: DataFrame, label_col: str, kin
     known = vec.join(labels.select("doc_id", F.col(label_col).cast("double").alias("label")), "doc_id")
     model = classifier(kind).fit(known)
     return model, model.transform(vec)
+
+
+def least_squares(df: DataFrame, target: str, inputs: Sequence[str]) -> DataFrame:
+    """Ordinary least squares with an intercept: ``term``, ``estimate`` and
+    ``std_error``. One aggregate computes means and covariances (the Gram matrix,
+    centred, so that large means cost no digits); it is mergeable, so every task
+    sends one row, and the driver solves a system as large as the inputs are
+    many. Rows with a null or NaN in any used column are left out; inputs that
+    depend on each other, or fewer rows than terms, raise ValueError."""
+    import numpy as np
+    names = list(inputs)
+    cols = {c: F.col(c).cast("double") for c in [*names, target]}
+    used = df.select(*[v.alias(f"c{i}") for i, v in enumerate(cols.values())]).dropna()
+    k = len(names)
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    row = used.agg(F.count(F.lit(1)).alias("n"), *[F.avg(f"c{i}").alias(f"m{i}") for i in range(k + 1)],
+                   *[F.covar_samp(f"c{i}", f"c{j}").alias(f"s{i}_{j}") for i, j in pairs]).first()
+    if row.n <= k + 1:
+        raise ValueError(f"{row.n} rows cannot determine {k + 1} terms")
+    gram = np.zeros((k + 1, k + 1))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = row[f"s{i}_{j}"]
+    mean = np.array([row[f"m{i}"] for i in range(k + 1)])
+    scale = np.sqrt(np.diag(gram)[:k])
+    if not scale.all() or np.linalg.matrix_rank(gram[:k, :k] / np.outer(scale, scale)) < k:
+        raise ValueError("the inputs are constant or depend on each other")
+    inverse = np.linalg.inv(gram[:k, :k])
+    slope = inverse @ gram[:k, k]
+    left = max(gram[k, k] - slope @ gram[:k, k], 0.0) * (row.n - 1) / (row.n - k - 1)
+    error = np.sqrt(left * np.diag(inverse) / (row.n - 1))
+    at_zero = np.sqrt(left * (1 / row.n + mean[:k] @ inverse @ mean[:k] / (row.n - 1)))
+    out = [("intercept", float(mean[k] - slope @ mean[:k]), float(at_zero))]
+    out += [(c, float(b), float(e)) for c, b, e in zip(names, slope, error)]
+    return df.sparkSession.createDataFrame(out, "term string, estimate double, std_error double")
