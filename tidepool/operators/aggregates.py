@@ -247,3 +247,29 @@ def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str],
             variable: str = "measure", value: str = "value") -> DataFrame:
     """Wide → long, a narrow per-row expansion (no shuffle)."""
     return df.unpivot(list(ids), list(values), variable, value)
+
+
+def sliding_panes(df: DataFrame, ts_col: str, width_s: int, slide_s: int, keys: Sequence[str] = ()) -> DataFrame:
+    """``window_start``, keys and n of every sliding window that holds a row,
+    from panes: rows are counted once per pane of one slide (map-side combine; no
+    row is ever copied), and a window adds up its ``width / slide`` panes. After the
+    first aggregate the work depends on the time span and the keys only. ``width_s``
+    must be a multiple of ``slide_s``; rows without a time are left out."""
+    if width_s % slide_s:
+        raise ValueError("the width must be a multiple of the slide")
+    keys = list(keys)
+    at = F.floor(F.unix_timestamp(F.col(ts_col).cast("timestamp")) / slide_s)
+    panes = (df.where(F.col(ts_col).isNotNull()).groupBy(*keys, at.alias("__pane"))
+             .agg(F.count(F.lit(1)).alias("__n")))
+    behind = width_s // slide_s - 1
+    # every window that a pane belongs to exists as a row: the panes themselves and
+    # the zero panes before them
+    spans = panes.groupBy(*keys).agg(F.min("__pane").alias("__lo"), F.max("__pane").alias("__hi"))
+    every = spans.select(*keys, F.explode(F.sequence(F.col("__lo") - behind, F.col("__hi"))).alias("__pane"))
+    same = every["__pane"] == panes["__pane"]
+    for k in keys:
+        same = same & every[k].eqNullSafe(panes[k])
+    dense = every.join(panes, same, "left").select(*[every[k] for k in keys], every["__pane"], F.coalesce("__n", F.lit(0)).alias("__n"))
+    w = Window.partitionBy(*keys).orderBy("__pane").rangeBetween(0, behind)
+    return (dense.withColumn("n", F.sum("__n").over(w)).where("n > 0")
+            .select(F.timestamp_seconds(F.col("__pane") * slide_s).alias("window_start"), *keys, "n"))

@@ -53,3 +53,39 @@ def summarize(df: DataFrame, columns: Sequence[str] | None = None,
               .groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values")))
     return (base.join(counts, "column_name", "left")
             .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0).cast("bigint"))).select(*_OUT))
+
+
+#: Rank error that a KLL sketch with k = 400 keeps with a probability of 99 %
+#: (its size, a few kilobytes a column, does not grow with the rows).
+KLL_K = 400
+RANK_ERROR = 0.01
+
+
+def distribution(df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """column_name, n (values neither null nor NaN), mean, deviation and a
+    quantile per entry of ``quantiles`` (``q25`` for 0.25 ...) of numeric columns. One
+    aggregate: each task keeps a KLL sketch per column and sends that; sketches are
+    merged. A quantile's rank is off by ``RANK_ERROR`` at most (see there)."""
+    from pyspark.sql.functions import kll_sketch_agg_double, kll_sketch_get_quantile_double
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.col(f"`{c}`").cast("double")
+        v = F.when(~F.isnan(v), v)
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"m{i}"), F.stddev_samp(v).alias(f"s{i}"),
+                 kll_sketch_agg_double(v, F.lit(KLL_K)).alias(f"k{i}")]
+    one = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n"), F.col(f"m{i}").alias("mean"),
+                              F.col(f"s{i}").alias("deviation"),
+                              *[F.when(F.col(f"n{i}") > 0, kll_sketch_get_quantile_double(F.col(f"k{i}"), F.lit(float(q))))
+                                .alias(f"q{round(q * 100)}") for q in quantiles])
+                     for i, c in enumerate(columns)])
+    return one.select(F.inline(rows))
+
+
+def frequent(df: DataFrame, column: str, share: float = 0.01) -> DataFrame:
+    """Value and n of every value that holds at least ``share`` of the rows;
+    exact: at most 1/share values qualify, found from the per-value counts (with
+    map-side combine) without sorting them."""
+    counts = df.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    total = df.agg(F.count(F.lit(1)).alias("__all"))
+    return counts.join(F.broadcast(total), F.col("n") >= F.col("__all") * F.lit(share)).select("value", "n")

@@ -180,3 +180,98 @@ def stream_journeys(spark: SparkSession, d: str) -> DataFrame:
         run_to_files(out, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     got = spark.read.parquet(f"{base}/out")
     return got.select("key", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("started", "ended")], "reached")
+
+
+@register("asof_purchases", """
+WITH p AS (SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events
+           WHERE event_type = 'purchase' AND user_id IS NOT NULL AND ts IS NOT NULL GROUP BY ALL)
+SELECT e.event_id, e.user_id, e.ts, p.ts AS last_ts, p.value AS last_value
+FROM events e ASOF LEFT JOIN p ON e.user_id = p.user_id AND e.ts > p.ts
+""")
+def asof_purchases(spark: SparkSession, d: str) -> DataFrame:
+    """Of every event its user's last purchase strictly before it: a
+    point-in-time feature that never looks ahead."""
+    from tidepool.operators.asof import asof_join
+    e = read_table(spark, d, "events")
+    return asof_join(e.select("event_id", "user_id", "ts"),
+                     e.where("event_type = 'purchase'").select("event_id", "user_id", "ts", "value"),
+                     "user_id", "ts", ["value"], tie="event_id")
+
+
+_PROFILED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("profile_quantiles", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, COUNT({c}) AS n, ROUND(AVG({c}), 4) AS mean, ROUND(STDDEV_SAMP({c}), 4) AS deviation,
+       true AS q25_in_bound, true AS q50_in_bound, true AS q75_in_bound FROM lineitem""" for c in _PROFILED))
+def profile_quantiles(spark: SparkSession, d: str) -> DataFrame:
+    """Mean, deviation and quartiles; each quartile's true rank is counted
+    over the whole table and must lie within the sketch's stated error."""
+    from tidepool.operators.profile import RANK_ERROR, distribution
+    items = read_table(spark, d, "lineitem").select(*_PROFILED)
+    found = distribution(items, _PROFILED).select("*", F.array("q25", "q50", "q75").alias("q"))
+    long = items.unpivot([], list(_PROFILED), "column_name", "v").where("v IS NOT NULL")
+    marks = F.broadcast(found.select("column_name", "q"))  # one row a column
+    counts = long.join(marks, "column_name").groupBy("column_name").agg(
+        *[F.count(F.when(F.col("v") < F.col("q")[i], 1)).alias(f"below{i}") for i in range(3)],
+        *[F.count(F.when(F.col("v") <= F.col("q")[i], 1)).alias(f"upto{i}") for i in range(3)])
+    within = [((F.col(f"below{i}") <= F.col("n") * (p + RANK_ERROR)) & (F.col(f"upto{i}") >= F.col("n") * (p - RANK_ERROR)))
+              .alias(f"q{int(p * 100)}_in_bound") for i, p in enumerate((0.25, 0.5, 0.75))]
+    return found.join(counts, "column_name").select("column_name", "n", F.round("mean", 4).alias("mean"),
+                                                    F.round("deviation", 4).alias("deviation"), *within)
+
+
+@register("frequent_parts", """
+SELECT l_quantity AS value, COUNT(*) AS n FROM lineitem GROUP BY 1 HAVING COUNT(*) >= 0.02 * (SELECT COUNT(*) FROM lineitem)
+""")
+def frequent_parts(spark: SparkSession, d: str) -> DataFrame:
+    """The quantities that hold at least 2 % of all line items."""
+    from tidepool.operators.profile import frequent
+    return frequent(read_table(spark, d, "lineitem").select("l_quantity"), "l_quantity", 0.02)
+
+
+@register("sliding_panes_events", """
+SELECT to_timestamp((floor(epoch(ts) / 300) - k) * 300)::TIMESTAMP AS window_start, event_type, COUNT(*) AS n
+FROM events, range(288) r(k) WHERE ts IS NOT NULL GROUP BY ALL
+""")
+def sliding_panes_events(spark: SparkSession, d: str) -> DataFrame:
+    """Counts per event type over 24 hours, every 5 minutes, from panes."""
+    from tidepool.operators.aggregates import sliding_panes
+    out = sliding_panes(read_table(spark, d, "events").select("ts", "event_type"), "ts", 86400, 300, ["event_type"])
+    return out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@register("reconcile_orders", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'lost' ELSE 'changed' END AS status
+FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 101 = 0
+UNION ALL SELECT o_orderkey + 1000000000, 'added' FROM orders WHERE o_orderkey % 103 = 0
+""")
+def reconcile_orders(spark: SparkSession, d: str) -> DataFrame:
+    """A copy of the orders with rows lost, changed and added is compared by
+    content; exactly those keys are listed."""
+    from tidepool.operators.reconcile import differences
+    o = read_table(spark, d, "orders")
+    copy = (o.where("o_orderkey % 97 <> 0")
+            .withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 101 == 0, None).otherwise(F.col("o_orderstatus")))
+            .unionByName(o.where("o_orderkey % 103 = 0").withColumn("o_orderkey", F.col("o_orderkey") + 1000000000)))
+    return differences(o, copy, ["o_orderkey"])
+
+
+@register("variant_props", """
+WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 0 THEN substr(props, 1, length(props) - 1)
+                                 WHEN event_id % 10 = 1 THEN '{"k": "text", "more": [1, 2]}' ELSE props END AS props FROM events)
+SELECT event_id, event_id % 10 = 0 AND props IS NOT NULL AS malformed,
+       CASE WHEN event_id % 10 > 1 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CASE WHEN event_id % 10 = 1 THEN 2 END AS second
+FROM e
+""")
+def variant_props(spark: SparkSession, d: str) -> DataFrame:
+    """event properties whose fields drift: some are cut off (kept, and
+    marked as malformed), some hold another type and a new field."""
+    from tidepool.operators import variant
+    e = read_table(spark, d, "events").select("event_id", "props")
+    n = F.col("event_id") % 10
+    drifted = e.withColumn("props", F.when(n == 0, F.expr("substr(props, 1, length(props) - 1)"))
+                           .when(n == 1, F.lit('{"k": "text", "more": [1, 2]}')).otherwise(F.col("props")))
+    got = variant.fields(variant.parse(drifted, "props"), {"k": ("$.k", "int"), "second": ("$.more[1]", "int")})
+    return got.select("event_id", "malformed", "k", "second")
