@@ -49,6 +49,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm import common, components
+from tidepool.llm.ngram_join import near_ids
 from tidepool.llm.words import Words, mix, text_buffer, windows
 from tidepool.session import cut_lineage
 
@@ -188,10 +189,11 @@ def _compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame
 
 
 def _concerned(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in ``pairs``."""
+    """The texts of the documents in ``pairs``, and perhaps some others: a filter of
+    bounded size, before any text is shuffled. The joins on the ids decide."""
     ids = (pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-           .join(nodes.select("node", "doc_id"), "node").select("doc_id").distinct())
-    return texts.join(ids, "doc_id", "left_semi")
+           .join(nodes.select("node", "doc_id"), "node").select("doc_id"))
+    return near_ids(texts, ids, "left_semi")
 
 
 def _components(links: DataFrame, members: DataFrame) -> DataFrame:
@@ -269,7 +271,7 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame
         if done is not None:
             met = met.join(done.select("x", "y"), ["x", "y"], "left_anti")
         met = cut_lineage(met.groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y")))
-        found = _compared(texts if turn == 0 else _concerned(texts, nodes, met), nodes, met)
+        found = _compared(_concerned(texts, nodes, met), nodes, met)
         done = found if done is None else done.unionByName(found)
         links = done.where("linked").select("x", "y")
         comp = _components(links, members)
