@@ -1,5 +1,5 @@
 """Plan properties the design relies on."""
-from tidepool.plans import suite, surface  # noqa: F401
+from tidepool.plans import extended, suite, surface  # noqa: F401  (extended and surface add their queries to suite)
 from tidepool.plans.inspect import explain_text, uses_python
 from conftest import SF01
 
@@ -45,7 +45,7 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
 
 # these run jobs while being built; covered by their answers
 RUNS = ("stream_", "versioned_", "federated_sql", "nightly_etl_events", "kmeans_", "pca_", "quality_", "als_",
-        "medallion_", "formats_", "catalog_")
+        "medallion_", "formats_", "catalog_", "ranked_", "keyed_", "asof_", "reconcile_", "price_regression", "frequent_")
 
 
 def test_no_python_in_suite(spark):

@@ -85,7 +85,7 @@ def distribution(df: DataFrame, columns: Sequence[str], quantiles: Sequence[floa
 def frequent(df: DataFrame, column: str, share: float = 0.01) -> DataFrame:
     """Value and n of every value that holds at least ``share`` of the rows;
     exact: at most 1/share values qualify, found from the per-value counts (with
-    map-side combine) without sorting them."""
-    counts = df.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    total = df.agg(F.count(F.lit(1)).alias("__all"))
-    return counts.join(F.broadcast(total), F.col("n") >= F.col("__all") * F.lit(share)).select("value", "n")
+    map-side combine) without sorting them. The rows are counted at once."""
+    least = df.count() * share
+    return (df.groupBy(F.col(f"`{column}`").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") >= F.lit(least)))
