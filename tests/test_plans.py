@@ -45,7 +45,8 @@ def test_dedup_limits_each_key_before_the_shuffle(spark):
 
 # these run jobs while being built; covered by their answers
 RUNS = ("stream_", "versioned_", "federated_sql", "nightly_etl_events", "kmeans_", "pca_", "quality_", "als_",
-        "medallion_", "formats_", "catalog_", "ranked_", "keyed_", "asof_", "reconcile_", "price_regression", "frequent_")
+        "medallion_", "formats_", "catalog_", "ranked_", "keyed_", "asof_", "reconcile_", "price_regression",
+        "frequent_")
 
 
 def test_no_python_in_suite(spark):

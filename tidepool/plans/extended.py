@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tidepool.operators import ranking
 from tidepool.plans.suite import register
+from tidepool.plans.surface import _SILVER_SQL, _raw_orders
 from tidepool.session import scratch_path
 from tidepool.sources import read_table
+from tidepool.sources.sinks import write_csv
 
 
 def _fresh(spark: SparkSession, kind: str) -> str:
@@ -275,3 +277,97 @@ def variant_props(spark: SparkSession, d: str) -> DataFrame:
                            .when(n == 1, F.lit('{"k": "text", "more": [1, 2]}')).otherwise(F.col("props")))
     got = variant.fields(variant.parse(drifted, "props"), {"k": ("$.k", "int"), "second": ("$.more[1]", "int")})
     return got.select("event_id", "malformed", "k", "second")
+
+
+def _versions(spark: SparkSession, d: str) -> tuple[str, DataFrame]:
+    """A snapshot table of two versions of the customers: all, then half of them."""
+    from tidepool.tables import snapshots as T
+    path = _fresh(spark, "versions")
+    base = read_table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    T.write(base, path)
+    T.write(base.where("c_custkey % 2 = 0"), path)
+    return path, base
+
+
+@register("versioned_as_of", "SELECT c_custkey, c_acctbal FROM customer")
+def versioned_as_of(spark: SparkSession, d: str) -> DataFrame:
+    """The table as of the time its first version was written."""
+    from tidepool.tables import snapshots as T
+    path, _ = _versions(spark, d)
+    first = T.history(spark, path).where("version = 0").selectExpr("CAST(timestamp AS string) AS t").first().t
+    return T.read(spark, path, as_of=first)
+
+
+@register("versioned_rejects_columns", """
+SELECT c_custkey, c_acctbal, true AS rejected FROM customer WHERE c_custkey % 2 = 0
+""")
+def versioned_rejects_columns(spark: SparkSession, d: str) -> DataFrame:
+    """An append with a column the table lacks is refused; the table stays."""
+    from tidepool.tables import snapshots as T
+    path, base = _versions(spark, d)
+    try:
+        T.write(base.withColumn("extra", F.lit(1)), path, "append")
+        rejected = False
+    except T.SchemaMismatch:
+        rejected = True
+    return T.read(spark, path).withColumn("rejected", F.lit(rejected))
+
+
+@register("versioned_merge_schema", """
+SELECT c_custkey, c_acctbal, CAST(NULL AS VARCHAR) AS note FROM customer WHERE c_custkey % 2 = 0
+UNION ALL SELECT c_custkey, NULL, 'added' FROM customer WHERE c_custkey % 2 = 1
+""")
+def versioned_merge_schema(spark: SparkSession, d: str) -> DataFrame:
+    """An append that brings a new column and lacks another."""
+    from tidepool.tables import snapshots as T
+    path, base = _versions(spark, d)
+    T.write(base.where("c_custkey % 2 = 1").select("c_custkey", F.lit("added").alias("note")), path, "append", merge_schema=True)
+    return T.read(spark, path)
+
+
+@register("versioned_expired", """
+SELECT CAST(1 AS BIGINT) AS version, 'WRITE' AS operation, COUNT(*) AS num_rows FROM customer WHERE c_custkey % 2 = 0
+""")
+def versioned_expired(spark: SparkSession, d: str) -> DataFrame:
+    """The history after all but the newest version have expired."""
+    from tidepool.tables import snapshots as T
+    path, _ = _versions(spark, d)
+    T.expire(spark, path, 1)
+    return T.history(spark, path).drop("timestamp")
+
+
+@register("catalog_registered", """
+SELECT c_nationkey, COUNT(*) AS customers, true AS listed, true AS dropped FROM customer GROUP BY 1
+""")
+def catalog_registered(spark: SparkSession, d: str) -> DataFrame:
+    """Files that exist already become a named table of a new
+    database, are listed and queried; dropping the name leaves the files."""
+    from tidepool.sources import catalog
+    base, db = _fresh(spark, "registered"), f"tidepool_{uuid.uuid4().hex[:12]}"
+    read_table(spark, d, "customer").select("c_custkey", "c_nationkey").write.parquet(f"{base}/customers")
+    catalog.create_database(spark, db, f"{base}/db")
+    catalog.register_location(spark, f"{db}.customers", f"{base}/customers")
+    listed = catalog.list_tables(spark, db).where("tableName = 'customers'").count() == 1
+    rows = spark.table(f"{db}.customers").count()
+    catalog.drop_table(spark, f"{db}.customers")
+    dropped = catalog.list_tables(spark, db).count() == 0
+    left = spark.read.parquet(f"{base}/customers")
+    return (left.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
+            .withColumn("listed", F.lit(listed and rows == left.count())).withColumn("dropped", F.lit(dropped)))
+
+
+@register("medallion_rerun", f"SELECT COUNT(*) AS silver_rows, CAST(0 AS BIGINT) AS differing FROM ({_SILVER_SQL}) s")
+def medallion_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """M5: the whole chain run twice over the same raw files: rows of Silver, and
+    keys whose Silver rows differ between the runs."""
+    from tidepool import medallion
+    from tidepool.operators.reconcile import differences
+    from tidepool.session import cut_lineage
+    base = _fresh(spark, "rerun")
+    write_csv(_raw_orders(spark, d), f"{base}/raw")
+    paths = medallion.run(spark, f"{base}/raw", f"{base}/lake")
+    first = cut_lineage(spark.read.parquet(paths["silver"]))  # the second run overwrites the files
+    medallion.run(spark, f"{base}/raw", f"{base}/lake")
+    again = spark.read.parquet(paths["silver"])
+    differing = cut_lineage(differences(first, again, ["order_id"]))
+    return again.agg(F.count(F.lit(1)).alias("silver_rows")).withColumn("differing", F.lit(differing.count()).cast("long"))
