@@ -371,3 +371,55 @@ def medallion_rerun(spark: SparkSession, d: str) -> DataFrame:
     again = spark.read.parquet(paths["silver"])
     differing = cut_lineage(differences(first, again, ["order_id"]))
     return again.agg(F.count(F.lit(1)).alias("silver_rows")).withColumn("differing", F.lit(differing.count()).cast("long"))
+
+
+@register("kmeans_nearest", """
+SELECT COUNT(*) AS vectors, CAST(0 AS BIGINT) AS not_nearest, CAST(8 AS BIGINT) AS clusters, true AS tighter_than_one
+FROM embeddings
+""")
+def kmeans_nearest(spark: SparkSession, d: str) -> DataFrame:
+    """K-means proves its fit: every vector lies in the cluster of its nearest
+    centre, every cluster is used, and the squared distances to the centres are
+    smaller in sum than those to the mean of all (the vectors given here hardly
+    cluster, so no margin is asked for)."""
+    from tidepool.ml import kmeans
+    model, scored = kmeans(read_table(spark, d, "embeddings"), "embedding", k=8)
+    v = F.col("v")
+
+    def to(centre) -> F.Column:
+        gaps = F.zip_with(v, F.array(*[F.lit(float(c)) for c in centre]), lambda a, b: (a - b) * (a - b))
+        return F.aggregate(gaps, F.lit(0.0), lambda s, g: s + g)
+    from pyspark.ml.functions import vector_to_array
+    rows = scored.select("cluster", vector_to_array("embedding").alias("v"))
+    mean = rows.select(*[F.avg(F.col("v")[i]).alias(f"m{i}") for i in range(len(model.clusterCenters()[0]))]).first()
+    far = rows.select("cluster", F.array(*[to(c) for c in model.clusterCenters()]).alias("to"), to(list(mean)).alias("whole"))
+    own = F.element_at("to", F.col("cluster") + 1)
+    return far.agg(F.count(F.lit(1)).alias("vectors"),
+                   F.count(F.when(own > F.array_min("to") + 1e-9, 1)).alias("not_nearest"),
+                   F.count_distinct("cluster").alias("clusters"),
+                   (F.sum(own) < F.sum("whole")).alias("tighter_than_one"))
+
+
+@register("pca_axes", """
+SELECT CAST(i AS INTEGER) AS component, true AS unit_length, true AS orthogonal, true AS falling, true AS variance_explained
+FROM range(1, 6) r(i)
+""")
+def pca_axes(spark: SparkSession, d: str) -> DataFrame:
+    """The first five principal components prove their fit: unit length,
+    orthogonal, with falling variance, and the projections' variances are the
+    shares of the total that the model states."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    from tidepool.ml import pca
+    e = read_table(spark, d, "embeddings")
+    model, scored = pca(e, "embedding", k=5)
+    axes = model.pc.toArray()
+    stated = model.explainedVariance.toArray()
+    total = e.select(F.posexplode("embedding").alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("v")).agg(F.sum("v")).first()[0]
+    got = scored.select(vector_to_array("pca").alias("p")).agg(*[F.var_samp(F.col("p")[i]).alias(f"v{i}") for i in range(5)]).first()
+    gram = axes.T @ axes
+    out = [(i + 1, bool(abs(gram[i, i] - 1) < 1e-6), bool(np.abs(np.delete(gram[i], i)).max() < 1e-6),
+            i == 0 or bool(stated[i] <= stated[i - 1] + 1e-12), bool(abs(got[i] / total - stated[i]) < 1e-6)) for i in range(5)]
+    return spark.createDataFrame(out, "component int, unit_length boolean, orthogonal boolean, falling boolean, "
+                                      "variance_explained boolean")
