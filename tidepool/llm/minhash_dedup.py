@@ -45,11 +45,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import common, components
-from tidepool.llm.ngram_join import near_ids
+from tidepool.llm import common, near_pairs
 from tidepool.llm.words import Words, mix, text_buffer, windows
 from tidepool.session import cut_lineage
 
@@ -122,12 +121,6 @@ def band_keys(low: np.ndarray) -> np.ndarray:
     return acc
 
 
-def _lists(rows: list[np.ndarray]) -> pa.ListArray:
-    offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32))
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-    return pa.ListArray.from_arrays(offsets, pa.array(flat.view(np.int64)))
-
-
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sets = shingles(batch.column("text"))
@@ -140,34 +133,10 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             signs.append(b"" if m is None else (mix(m) & np.uint64(255)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-             *(pa.array([d[i] for d in named], pa.int64()) for i in (0, 1)), _lists(keys), pa.array(signs, pa.binary())],
+             *(pa.array([d[i] for d in named], pa.int64()) for i in (0, 1)), near_pairs.as_lists(keys), pa.array(signs, pa.binary())],
             ["doc_id", "n_shingles", "d1", "d2", "bands", "sign"])
 
 
-def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole sets of both texts of every pair: common shingles, those that only x
-    has, and those that only y has."""
-    for batch in batches:
-        y = batch.column("y").to_numpy()
-        some, at, which = np.unique(y, return_index=True, return_inverse=True)
-        ys = shingles(batch.column("yt").take(pa.array(at)))
-        yd = [digest(s)[0] for s in ys]
-        keep, sx, sy, both, besides, lacks = [], [], [], [], [], []
-        want_x, want_y = batch.column("xd").to_numpy(), batch.column("yd").to_numpy()
-        for i, (s, j) in enumerate(zip(shingles(batch.column("xt")), which.tolist())):
-            # a repeated doc_id brings other texts along: they name other sets
-            if digest(s)[0] != want_x[i] or yd[j] != want_y[i]:
-                continue
-            mine = s[np.isin(s, ys[j], assume_unique=True, invert=True)]
-            keep.append(i), sx.append(len(s)), sy.append(len(ys[j])), both.append(len(s) - len(mine)), besides.append(mine)
-            lacks.append(ys[j][np.isin(ys[j], s, assume_unique=True, invert=True)])
-        keep = pa.array(keep, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("x").take(keep), batch.column("y").take(keep),
-             *(pa.array(c, pa.int64()) for c in (sx, sy, both)), _lists(besides), _lists(lacks)],
-            ["x", "y", "sx", "sy", "both", "besides", "lacks"])
-
-
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose signatures agree in at least AGREE places."""
     for batch in batches:
@@ -177,29 +146,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """x, y, sx, sy, both, linked, and what x has besides y and lacks of it, of node
-    pairs (x, y)."""
-    name = nodes.select("node", "doc_id", "d1")
-    named = (pairs.select("x", "y").join(name.toDF("x", "xid", "xd"), "x").join(name.toDF("y", "yid", "yd"), "y"))
-    rows = (named.join(texts.select(F.col("doc_id").alias("xid"), F.col("text").alias("xt")), "xid")
-            .join(texts.select(F.col("doc_id").alias("yid"), F.col("text").alias("yt")), "yid"))
-    found = rows.select("x", "y", "xd", "yd", "xt", "yt").mapInArrow(
-        _overlap, "x long, y long, sx long, sy long, both long, besides array<long>, lacks array<long>")
-    return cut_lineage(found.withColumn("linked", F.expr(f"100 * both >= {PCT} * (sx + sy - both)")))
-
-
-def _concerned(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in ``pairs``, and perhaps some others: a filter of
-    bounded size, before any text is shuffled. The joins on the ids decide."""
-    ids = (pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-           .join(nodes.select("node", "doc_id"), "node").select("doc_id"))
-    return near_ids(texts, ids, "left_semi")
-
-
-def _components(links: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, comp) of every member; comp is the smallest node."""
-    named = components.connected(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return cut_lineage(members.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
+    return near_pairs.compared(texts, nodes, pairs, shingles, digest, PCT)
 
 
 def _open(shared: DataFrame, comp: DataFrame) -> DataFrame:
@@ -209,58 +156,6 @@ def _open(shared: DataFrame, comp: DataFrame) -> DataFrame:
     return cut_lineage(tagged.join(lists, "band", "left_semi"))
 
 
-def _differences(met: DataFrame, comp: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Point 4 for the lists that span components: (list, x, t) of every member's
-    differences, and per member its size n, number of differences d, the least
-    member y and the differences (times 180) that any partner ``needs`` to share
-    with it. ``met`` holds list (the pivot), x, n, size (the pivot's), besides and
-    lacks; a list's pivot is no member of it."""
-    rows = met.join(comp.toDF("x", "cx"), "x")
-    lists = (rows.groupBy("list").agg(F.count(F.lit(1)).alias("k"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
-             .where("lo < hi").select("list", "k"))
-    rows = cut_lineage(rows.join(lists, "list"))
-    one = F.expr("explode(concat(transform(besides, t -> struct(t AS t, false AS inside)), "
-                 "transform(lacks, t -> struct(t AS t, true AS inside))))")
-    apart = rows.select("list", "x", "k", one.alias("d")).select("list", "x", "k", "d.t", "d.inside")
-    flips = cut_lineage(apart.groupBy("list", "k", "t", "inside").agg(F.count(F.lit(1)).alias("c")).where("2 * c > k")
-                        .select("list", "t", "inside"))
-    added = (rows.select("list", "x").join(flips, "list").join(apart.select("list", "x", "t"), ["list", "x", "t"], "left_anti")
-             .select("list", "x", "t", (~F.col("inside")).alias("inside")))
-    apart = cut_lineage(apart.drop("k").join(flips.select("list", "t"), ["list", "t"], "left_anti")
-                        .select("list", "x", "t", "inside").unionByName(added))
-
-    grown = flips.groupBy("list").agg(F.sum(F.when(F.col("inside"), -1).otherwise(1)).alias("grown"))
-    own = apart.groupBy("list", "x").agg(F.count(F.lit(1)).alias("d"), F.sum(F.col("inside").cast("int")).alias("m"))
-    sized = (rows.select("list", "x", "n", "size").join(grown, "list", "left").join(own, ["list", "x"], "left")
-             .select("list", "x", "n", F.coalesce("d", F.lit(0)).alias("d"),
-                     (F.col("size") + F.coalesce("grown", F.lit(0))).alias("p"),
-                     (F.col("n") * PCT + F.coalesce("m", F.lit(0)) * (100 + PCT)).alias("a")))
-    least = sized.groupBy("list").agg(F.min("a").alias("low"), F.min_by("x", F.struct("a", "x")).alias("y"))
-    return apart.drop("inside"), cut_lineage(sized.join(least, "list").withColumn("needs", F.expr(f"a + low - p * {100 + PCT}")))
-
-
-def _left_pairs(apart: DataFrame, sized: DataFrame, comp: DataFrame) -> DataFrame:
-    """(x, y) of members of one list and different components that share a
-    difference which any two that link share."""
-    sized = sized.join(comp.toDF("x", "cx"), "x")
-    both = apart.join(sized.select("list", "x", "n", "cx", "d", "a", "p", "needs"), ["list", "x"])
-    seen = (both.groupBy("list", "t").agg(F.count(F.lit(1)).alias("c"), F.min("cx").alias("lo"), F.max("cx").alias("hi")))
-    place = F.row_number().over(Window.partitionBy("list", "x").orderBy("c", "t"))
-    # a partner z has at least as many differences as it must share, which gives
-    # a(z) >= a(x) - (100 - PCT) |z|
-    far = f"2 * a - {(100 - PCT) * 100 / PCT} * n - p * {float(100 + PCT)}"
-    first = F.expr(f"d - greatest(ceil(greatest(needs, {far}) / {float(100 + PCT)}), 1) + 1")
-    index = cut_lineage(both.join(seen, ["list", "t"]).withColumn("place", place)
-                        .where((F.col("place") <= first) & F.expr("lo < hi"))
-                        .select("list", "t", "x", "n", "cx", "a", "p", (F.col("d") - F.col("place") + 1).alias("rest")))
-    one, two = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "n", "cx", "a", "p", "rest")]) for s in "ab")
-    # at the first shared difference, in their order, no more than the rest of both can be shared
-    return (one.join(two, ["list", "t"])
-            .where(f"x_a < x_b AND cx_a <> cx_b AND 100 * least(n_a, n_b) >= {PCT} * greatest(n_a, n_b) "
-                   f"AND a_a + a_b - p_a * {100 + PCT} <= least(rest_a, rest_b) * {100 + PCT}")
-            .select(F.col("x_a").alias("x"), F.col("x_b").alias("y")).distinct())
-
-
 def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame | None:
     """(node, comp) of every node of the band lists."""
     members = cut_lineage(shared.select("node").distinct())
@@ -271,10 +166,10 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame
         if done is not None:
             met = met.join(done.select("x", "y"), ["x", "y"], "left_anti")
         met = cut_lineage(met.groupBy("x").agg(F.max_by("y", F.struct("c", -F.col("y"))).alias("y")))
-        found = _compared(_concerned(texts, nodes, met), nodes, met)
+        found = _compared(texts, nodes, met)
         done = found if done is None else done.unionByName(found)
         links = done.where("linked").select("x", "y")
-        comp = _components(links, members)
+        comp = near_pairs.component_of(links, members)
         rows = _open(shared, comp)
         if rows.isEmpty():
             return comp
@@ -289,17 +184,17 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame
     wanted = (rows.select("band", F.col("node").alias("x")).join(pivots, "band").where("x <> y").select("x", "y").distinct()
               .join(done.select("x", "y", F.lit(True).alias("known")), ["x", "y"], "left"))
     more = cut_lineage(wanted.where("known IS NULL").select("x", "y"))
-    away = _compared(_concerned(texts, nodes, more), nodes, more)
+    away = _compared(texts, nodes, more)
     # a list: the members of all open bands of a pivot
     done = done.unionByName(away)
     met = (done.join(wanted.select("x", "y"), ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
            .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
-    apart, sized = _differences(met, comp)
+    apart, sized = near_pairs.differences(met, comp, PCT)
     # enough in common whatever they share of their differences
     sure = sized.where("needs <= 0 AND x <> y").select("x", "y")
     links = links.union(away.where("linked").select("x", "y")).union(sure)
-    comp = _components(links, members)
-    pairs = _left_pairs(apart, sized, comp)
+    comp = near_pairs.component_of(links, members)
+    pairs = near_pairs.left_pairs(apart, sized, comp, PCT)
     tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     pairs = cut_lineage(pairs.join(tried, ["x", "y"], "left_anti"))
     sign = nodes.select("node", "sign")
@@ -307,8 +202,8 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame
                        .mapInArrow(_agreeing, "x long, y long"))
     if near.isEmpty():
         return comp
-    last = _compared(_concerned(texts, nodes, near), nodes, near)
-    return _components(links.union(last.where("linked").select("x", "y")), members)
+    last = _compared(texts, nodes, near)
+    return near_pairs.component_of(links.union(last.where("linked").select("x", "y")), members)
 
 
 def dedup(docs: DataFrame) -> DataFrame:

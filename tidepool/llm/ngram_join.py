@@ -15,33 +15,31 @@ Plan:
    ``n - ceil(0.75 n) + m`` hold at least ``m`` shared ones. ``m`` (1 to
    ``MOST``) is chosen per document by estimated cost: a longer prefix means
    more index rows, but a partner must then match ``min(m_x, m_y)`` times.
-3. Equal sets are collapsed first, so copies never meet in the index.
-4. Near copies come in large groups, whose pairs are never all emitted: in
-   each round every document meets only its best pivot (the smallest
-   document of the shingle's list) among those in another component. Links
-   are verified on the whole sets and joined into components. When the
-   rounds bring nothing new, the remaining pairs *between different
-   components* are emitted, filtered by size, match count and the bound their
-   prefixes leave, and verified: no link between components is missed, so the
-   components are exact.
-5. A document x that was compared with a pivot p and does not link to it needs
-   no second look at what it has in common with p: a partner z that shares
-   none of x's other shingles has ``|x & z| <= |x & p|``, too few unless z is
-   small. So x meets z over a shingle of p only if z is that small (or z's
-   prefix ends too early to show the others); this keeps the badly changed
-   members of a large group from meeting all others. When both have such a rule
-   and the same pivot, one shingle outside the pivot satisfies both; with two
-   pivots no single shingle need do so, and only one document's rule is applied
-   (of the one with fewer shingles besides its pivot).
+3. Equal sets are collapsed into one node first, so copies never meet in the index.
+4. Near copies come in large groups, whose pairs are never all emitted: in a
+   first round every node meets only its best pivot (of every shingle's list one, by hash).
+   Links are verified on the whole sets and joined into components; most lists then
+   hold one component only.
+5. A list that still spans components and has at most ``FEW`` members emits the pairs
+   between components (a bounded number per index row). A longer one is met through
+   one pivot, the node with most links in the component with most members in the
+   list: all members of a pivot's lists are compared with it and described by their
+   differences from the members' common text, and two of them are met only over a
+   difference that any two that link must share (``near_pairs.differences``,
+   ``near_pairs.left_pairs``). So a group's badly changed members never meet all
+   others, and no pair that links is missed.
+6. All pairs left are verified on the whole sets if they share the required
+   ``min(m_x, m_y)`` prefix shingles and these, with what their prefixes leave, can
+   reach the threshold.
 
 Shingles are 64-bit hashes of the whole shingle; two different shingles of
 one candidate pair agree with probability 2^-64.
 
 Defined cases: null or empty texts have an empty set and link with nothing;
-equal rows link (same set); of rows that repeat a ``doc_id`` with other words
-the largest set stands for it, and all of them get its component; a null
-``doc_id`` is its own component (null) and links with nothing; an empty table
-gives an empty result.
+equal rows link (same set); rows that repeat a ``doc_id`` with another text are
+documents of their own (each with its own component, named by the smallest
+``doc_id`` in it); rows without a ``doc_id`` have a null component and link with
+nothing; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -54,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import common, components
+from tidepool.llm import common, near_pairs
 from tidepool.llm.words import Words, mix, text_buffer, windows
 from tidepool.session import cut_lineage
 
@@ -64,12 +62,8 @@ PCT = 75
 CELLS = 1 << 20
 #: Largest number of required prefix matches.
 MOST = 4
-#: Rows of a document's open lists above which it gets a comparison of its own
-#: before the last step (speed only).
-COSTLY = 1000
-#: Hash slots of the filter that picks the texts to verify: the bound of what
-#: it broadcasts (4 bytes each).
-SLOTS = 1 << 20
+#: Members of an open list up to which its pairs are emitted (speed only).
+FEW = 8
 
 
 def least_overlap(n, pct: int = PCT):
@@ -107,7 +101,7 @@ def _digest(s: np.ndarray) -> tuple[int, int]:
 
 def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cells = np.zeros(CELLS, np.int32)
-    names = ["doc_id", "n_shingles", "d1", "d2", "cells"]
+    names = ["doc_id", "key", "n_shingles", "d1", "d2", "cells"]
     for batch in batches:
         rows = []
         sets = list(shingle_sets(batch.column("text")))
@@ -118,10 +112,10 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cells += np.bincount(at.astype(np.int64), minlength=CELLS).astype(np.int32)
         n, d1, d2 = (pa.array([r[i] for r in rows], pa.int64()) for i in range(3))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), n, d1, d2, pa.nulls(len(rows), pa.binary())], names)
+            [batch.column("doc_id"), batch.column("key"), n, d1, d2, pa.nulls(len(rows), pa.binary())], names)
     if cells.any():  # one row per task besides its documents
         yield pa.RecordBatch.from_arrays(
-            [pa.array([0], pa.int64())] * 4 + [pa.array([zlib.compress(cells.tobytes(), 1)], pa.binary())], names)
+            [pa.array([0], pa.int64())] * 5 + [pa.array([zlib.compress(cells.tobytes(), 1)], pa.binary())], names)
 
 
 def _sketch(parts: DataFrame) -> np.ndarray:
@@ -156,77 +150,24 @@ def prefix(s: np.ndarray, cells: np.ndarray, noise: float) -> tuple[np.ndarray,
 
 def _second_pass(cells_at, noise: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = cells_at.value
         for batch in batches:
-            ids, size, d1, d2, least, last, parts, offs = [], [], [], [], [], [], [], [0]
-            for i, s in zip(batch.column("doc_id").to_pylist(), shingle_sets(batch.column("text"))):
-                if i is None or len(s) == 0:
+            size, d1, d2, least, tokens = [], [], [], [], []
+            for s in shingle_sets(batch.column("text")):
+                if len(s) == 0:
                     continue
-                p, m, e = prefix(s, cells, noise)
+                p, m, _ = prefix(s, cells_at.value, noise)
                 a, b = _digest(s)
-                ids.append(i), size.append(len(s)), d1.append(a), d2.append(b), least.append(m), last.append(e)
-                parts.append(p), offs.append(offs[-1] + len(p))
-            flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(flat))
+                size.append(len(s)), d1.append(a), d2.append(b), least.append(m), tokens.append(p)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(x, pa.int64()) for x in (ids, size, d1, d2, least, last)), lists],
-                ["doc_id", "size", "d1", "d2", "least", "last", "tokens"])
+                [*(pa.array(x, pa.int64()) for x in (size, d1, d2, least)), near_pairs.as_lists(tokens)],
+                ["n_shingles", "d1", "d2", "least", "tokens"])
     return run
 
 
-# --- verification ---------------------------------------------------------------
+# --- candidates and verification ------------------------------------------------
 
-def _sets(cells_at, noise: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Whole sets in the global order, with estimates and prefix lengths."""
-        for batch in batches:
-            sets = list(shingle_sets(batch.column("text")))
-            digests = [_digest(s) for s in sets]
-            p = [len(prefix(s, cells_at.value, noise)[0]) if len(s) else 0 for s in sets]
-            ordered = [in_order(s, cells_at.value) for s in sets]
-            offs = pa.array(np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32))
-            flat = np.concatenate([s for s, _ in ordered]).view(np.int64) if sets else np.zeros(0, np.int64)
-            est = np.concatenate([e for _, e in ordered]) if sets else np.zeros(0, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)),
-                 pa.array(p, pa.int32()), pa.ListArray.from_arrays(offs, pa.array(flat)),
-                 pa.ListArray.from_arrays(offs, pa.array(est.astype(np.int32)))],
-                ["doc_id", "d1", "d2", "p", "tokens", "est"])
-    return run
-
-
-def near_ids(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """``rows`` whose ``doc_id`` may be one of ``ids`` (``left_semi``) or surely
-    is none of them (``left_anti``): a broadcast of the ids' hash slots, at most
-    ``SLOTS`` numbers. It only spares exact joins most of their rows."""
-    slot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(SLOTS)).cast("int")
-    slots = ids.select(slot.alias("__slot")).distinct()
-    return rows.join(F.broadcast(slots), slot == F.col("__slot"), how)
-
-
-def _verified(texts: DataFrame, spare: DataFrame | None, pairs: DataFrame, sets_of) -> DataFrame:
-    """The pairs (x, y) compared on their whole sets: x, y, linked, and for a
-    pair that does not link what x has besides y: the size that a partner
-    without any of it may have at most (``limit``), its part of x's prefix
-    (``others``) and its largest estimate (``reach``)."""
-    ids = cut_lineage(pairs.select(F.col("x").alias("doc_id")).union(pairs.select("y")).distinct())
-    # the fixed-size filter spares the shuffle most texts; the join decides
-    some = near_ids(texts, ids, "left_semi").join(ids, "doc_id", "left_semi")
-    sets = some.mapInArrow(sets_of, "doc_id long, d1 long, d2 long, p int, tokens array<long>, est array<int>")
-    if spare is not None:
-        sets = sets.join(spare, ["doc_id", "d1", "d2"], "left_anti")
-    sets = cut_lineage(sets.select("doc_id", "p", "tokens", "est").dropDuplicates(["doc_id"]))
-    both = (pairs.join(sets.toDF("x", "p", "tx", "ex"), "x")
-            .join(sets.select(F.col("doc_id").alias("y"), F.col("tokens").alias("ty")), "y")
-            .withColumn("both", F.size(F.array_intersect("tx", "ty")))
-            .withColumn("linked", F.expr(f"100 * both >= {PCT} * (size(tx) + size(ty) - both)"))
-            .withColumn("others", F.when(~F.col("linked"), F.array_except("tx", "ty"))))
-    last = "cast(array_position(tx, element_at(others, -1)) as int)"
-    return cut_lineage(both.select(
-        "x", "y", "both", "linked",
-        F.expr(f"both * {100 + PCT} div {PCT} - size(tx)").alias("limit"),
-        F.expr("array_intersect(slice(tx, 1, p), others)").alias("others"),
-        F.expr(f"CASE WHEN size(others) > 0 THEN element_at(ex, {last}) ELSE -1 END").alias("reach")))
+def _compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    return near_pairs.compared(texts, nodes, pairs, shingle_sets, _digest, PCT)
 
 
 def _possible(matches: Column, sx: Column, mx: Column, sy: Column, my: Column) -> Column:
@@ -243,184 +184,151 @@ def _possible(matches: Column, sx: Column, mx: Column, sy: Column, my: Column) -
             & (F.least(sx, sy) * 100 >= F.greatest(sx, sy) * PCT))
 
 
-def _rounds(texts: DataFrame, spare: DataFrame | None, shared: DataFrame, sizes: DataFrame,
-            rounds: int, sets_of) -> DataFrame:
-    """(doc_id, comp) of every document of the index."""
-    comp = sizes.select("doc_id", F.col("doc_id").alias("comp"))
-    links = tried = None
-    bound = [F.col(c) for c in ("count", "sx", "mx", "sy", "my")]
-    for turn in range(rounds):
-        pairs = (_open_lists(shared, comp, turn).where("comp <> pcomp")
-                 .groupBy(F.col("doc_id").alias("x"), F.col("pivot").alias("y")).count())
-        # lists of other pivots may hold more matches: here the bound is a guess
-        best = (_sized(pairs, sizes).where(_possible(*bound))
-                .groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y")))
-        if tried is not None:
-            best = best.join(tried.select("x", "y"), ["x", "y"], "left_anti")
-        best = cut_lineage(best)
-        if best.isEmpty():
-            break
-        seen = _verified(texts, spare, best, sets_of)
-        tried = seen if tried is None else tried.union(seen)
-        links, comp = _extend(links, seen.where("linked").select("x", "y"), sizes)
-    tried, links, comp = _costly(texts, spare, shared, sizes, sets_of, tried, links, comp)
-    left = _open_lists(shared, comp, 0).select("token", "doc_id", "comp").join(sizes, "doc_id")
-    if tried is None:
-        left = left.select("*", *[F.lit(None).cast(k).alias(c) for c, k in
-                                  (("limit", "long"), ("reach", "int"), ("pivot", "long"), ("besides", "int"))],
-                           F.lit(False).alias("ruled"), F.lit(False).alias("other"))
-    else:  # each document's nearest pivot that it does not link to
-        rule = (tried.where("NOT linked").groupBy(F.col("x").alias("doc_id"))
-                .agg(F.max_by(F.struct("limit", "others", "reach", F.col("y").alias("pivot")), F.struct("both", "y"))
-                     .alias("r")))
-        left = (left.join(rule, "doc_id", "left")
-                .withColumn("ruled", F.col("r").isNotNull())
-                .withColumn("limit", F.expr("CASE WHEN r.reach < last THEN r.limit END"))
-                .withColumn("other", F.expr("coalesce(array_contains(r.others, token), false)"))
-                .select("*", "r.reach", "r.pivot", F.size("r.others").alias("besides")).drop("r"))
-    a, b = (left.select("token", *[F.col(c).alias(n + side) for c, n in
-                                   (("doc_id", ""), ("comp", "c"), ("size", "s"), ("least", "m"), ("last", "w"),
-                                    ("limit", "l"), ("reach", "r"), ("pivot", "p"), ("besides", "n"),
-                                    ("other", "o"), ("ruled", "u"))])
-            for side in "xy")
-    # does the document's rule hold for this partner, and is it the one applied?
-    holds_x, holds_y = "(lx IS NOT NULL AND sy > lx AND rx < wy)", "(ly IS NOT NULL AND sx > ly AND ry < wx)"
-    first_x = "(nx < ny OR nx = ny AND x < y)"
-    # the shorter one first (ties by id): each pair once, and never inside a component
-    rest = (a.join(b, "token")
-            .where(f"cx <> cy AND (sx < sy OR sx = sy AND x < y) AND 100 * sx >= {PCT} * sy "
-                   f"AND (NOT {holds_x} OR ox OR {holds_y} AND px <> py AND NOT {first_x}) "
-                   f"AND (NOT {holds_y} OR oy OR {holds_x} AND px <> py AND {first_x})")
-            .groupBy("x", "y").agg(F.count("*").alias("count"), F.first(F.col("ux") | F.col("uy")).alias("ruled"),
-                                   *[F.first(c).alias(c) for c in ("sx", "mx", "sy", "my")])
-            # a ruled document's matches are not all counted
-            .where(F.col("ruled") | _possible(*bound)).select("x", "y"))
-    if tried is not None:
-        done = tried.select("x", "y")
-        rest = rest.join(done.union(done.select("y", "x")), ["x", "y"], "left_anti")
-    rest = cut_lineage(rest)
-    if not rest.isEmpty():
-        _, comp = _extend(links, _verified(texts, spare, rest, sets_of).where("linked").select("x", "y"), sizes)
-    return comp
-
-
-def _costly(texts: DataFrame, spare: DataFrame | None, shared: DataFrame, sizes: DataFrame, sets_of,
-            tried: DataFrame | None, links: DataFrame | None, comp: DataFrame) -> tuple:
-    """Documents whose open lists hold more than ``COSTLY`` rows are compared
-    with the pivot they share most with - pivots are now the documents with most
-    links - so that the last step need not meet all of those rows."""
-    degree = (sizes.select("doc_id", F.lit(0).cast("long").alias("degree")) if links is None else
-              links.select(F.explode(F.array("x", "y")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("degree")))
-    open_ = _open_lists(shared, comp, 0).select("token", "doc_id", "comp")
-    lists = (open_.join(degree, "doc_id", "left").groupBy("token")
-             .agg(F.count("*").alias("n"),
-                  F.max_by(F.struct(F.col("doc_id").alias("pivot"), F.col("comp").alias("pcomp")),
-                           F.struct(F.coalesce("degree", F.lit(0)), F.col("doc_id"))).alias("p"))
-             .select("token", "n", "p.pivot", "p.pcomp"))
-    met = cut_lineage(open_.join(lists, "token"))
-    heavy = met.groupBy("doc_id").agg(F.sum("n").alias("rows")).where(F.col("rows") > COSTLY).select("doc_id")
-    pairs = (met.where("comp <> pcomp").join(heavy, "doc_id", "left_semi")
-             .groupBy(F.col("doc_id").alias("x"), F.col("pivot").alias("y")).count())
-    best = pairs.groupBy("x").agg(F.max_by("y", F.struct("count", "y")).alias("y"))
-    if tried is not None:
-        best = best.join(tried.select("x", "y"), ["x", "y"], "left_anti")
-    best = cut_lineage(best)
-    if best.isEmpty():
-        return tried, links, comp
-    seen = _verified(texts, spare, best, sets_of)
-    tried = seen if tried is None else tried.union(seen)
-    return (tried, *_extend(links, seen.where("linked").select("x", "y"), sizes))
-
-
-def _open_lists(shared: DataFrame, comp: DataFrame, turn: int) -> DataFrame:
-    """Index rows of shingles whose list still spans components, with each
-    list's pivot: the smallest document, in a later round the largest, then
-    one by hash."""
-    tagged = shared.join(comp, "doc_id")
-    one = F.struct(F.col("doc_id").alias("pivot"), F.col("comp").alias("pcomp"))
-    pivot = (F.min_by(one, "doc_id"), F.max_by(one, "doc_id"),
-             F.min_by(one, F.xxhash64("doc_id", F.lit(turn))))[min(turn, 2)]
-    lists = (tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), pivot.alias("p"))
-             .where("lo < hi").select("token", "p.pivot", "p.pcomp"))
-    return tagged.join(lists, "token")
-
-
 def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
     for side in ("x", "y"):
-        pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("size").alias(f"s{side}"),
+        pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("size").alias(f"s{side}"),
                                         F.col("least").alias(f"m{side}")), side)
     return pairs
 
 
-def _extend(links: DataFrame | None, new: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    links = new if links is None else links.union(new)
-    named = components.connected(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    comp = (sizes.select("doc_id").join(named.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("doc_id", F.coalesce("component", "doc_id").alias("comp")))
-    return links, cut_lineage(comp)
+def _reachable(pairs: DataFrame) -> DataFrame:
+    return pairs.where(_possible(*[F.col(c) for c in ("matches", "sx", "mx", "sy", "my")]))
+
 
+def _enough(pairs: DataFrame, shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (x, y) that share as many prefix shingles as their prefixes require."""
+    some = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    tokens = cut_lineage(shared.join(some, "node", "left_semi").groupBy("node").agg(F.collect_set("token").alias("t")))
+    both = (_sized(pairs, sizes).join(tokens.toDF("x", "tx"), "x").join(tokens.toDF("y", "ty"), "y")
+            .withColumn("matches", F.size(F.array_intersect("tx", "ty"))))
+    return _reachable(both).select("x", "y")
 
-def join(docs: DataFrame, rounds: int = 3) -> DataFrame:
-    """doc_id, n_shingles, component_id of every input row."""
+
+def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFrame, rounds: int) -> DataFrame:
+    """(node, comp) of every node of the index lists."""
+    members = sizes.select("node")
+    comp, done = members.withColumn("comp", F.col("node")), None
+    for turn in range(rounds):
+        low = shared.groupBy("token").agg(F.min_by("node", F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("y"))
+        met = (shared.join(low, "token").where("node <> y")
+               .groupBy(F.col("node").alias("x"), "y").agg(F.count(F.lit(1)).alias("matches")))
+        # lists of other pivots may hold more matches: here the bound is a guess
+        met = _reachable(_sized(met, sizes))
+        if done is not None:
+            met = (_sides(met, comp).where("cx <> cy")
+                   .join(done.select("x", "y"), ["x", "y"], "left_anti"))
+        met = cut_lineage(met.groupBy("x").agg(F.max_by("y", F.struct("matches", -F.col("y"))).alias("y")))
+        seen = _compared(texts, nodes, met)
+        done = seen if done is None else done.unionByName(seen)
+        links = done.where("linked").select("x", "y")
+        comp = near_pairs.component_of(links, members)
+
+    # lists that span components, by the members of each component in them
+    parts = (shared.join(comp, "node").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")))
+    open_ = cut_lineage(parts.groupBy("token")
+                        .agg(F.sum("c").alias("k"), F.count(F.lit(1)).alias("spans"),
+                             F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"))
+                        .where("spans > 1").select("token", "k", "main"))
+    if open_.isEmpty():
+        return comp
+    few = (shared.join(open_.where(F.col("k") <= FEW), "token").join(comp, "node").join(sizes, "node")
+           .select("token", "node", "comp", "size"))
+    a, b = (few.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "size")]) for s in "ab")
+    pairs = (a.join(b, "token")
+             .where(f"node_a < node_b AND comp_a <> comp_b AND 100 * least(size_a, size_b) >= {PCT} * greatest(size_a, size_b)")
+             .select(F.col("node_a").alias("x"), F.col("node_b").alias("y")).distinct())
+
+    # each longer list's pivot (a component without links is one node)
+    hubs = (links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+            .join(comp, "node").groupBy("comp").agg(F.max_by("node", F.struct("c", -F.col("node"))).alias("hub")))
+    pivots = (open_.where(F.col("k") > FEW).join(hubs.withColumnRenamed("comp", "main"), "main", "left")
+              .select("token", F.coalesce("hub", "main").alias("y")))
+    wanted = cut_lineage(shared.join(pivots, "token").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
+    if not wanted.isEmpty():
+        away = _compared(texts, nodes, wanted.join(done.select("x", "y"), ["x", "y"], "left_anti"))
+        links = links.union(away.where("linked").select("x", "y"))
+        done = done.unionByName(away)
+        lists = (done.join(wanted, ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
+                 .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
+        apart, sized = near_pairs.differences(lists, comp, PCT)
+        # enough in common whatever they share of their differences
+        links = links.union(sized.where("needs <= 0 AND x <> y").select("x", "y"))
+        comp = near_pairs.component_of(links, members)
+        pairs = pairs.union(near_pairs.left_pairs(apart, sized, comp, PCT))
+    tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    pairs = cut_lineage(_sides(pairs, comp).where("cx <> cy").select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
+    near = cut_lineage(_enough(pairs, shared, sizes))
+    if near.isEmpty():
+        return comp
+    last = _compared(texts, nodes, near)
+    return near_pairs.component_of(links.union(last.where("linked").select("x", "y")), members)
+
+
+def _sides(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    return pairs.join(comp.toDF("x", "cx"), "x").join(comp.toDF("y", "cy"), "y")
+
+
+def _found(docs: DataFrame, rounds: int = 1) -> DataFrame:
+    """doc_id, key (a hash of id and text), n_shingles, component_id and the key of the
+    row that stands for the component, of every input row."""
     spark = docs.sparkSession
-    texts = common.columns(docs, doc_id="long", text="string")
+    texts = (common.columns(docs, doc_id="long", text="string")
+             .select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")))
     first = cut_lineage(texts.mapInArrow(
-        _first_pass, "doc_id long, n_shingles long, d1 long, d2 long, cells binary"))
+        _first_pass, "doc_id long, key long, n_shingles long, d1 long, d2 long, cells binary"))
     sketch = _sketch(first)
     rows = first.where("cells IS NULL").drop("cells")
-    live = rows.where("doc_id IS NOT NULL AND n_shingles > 0")
-    key = F.struct("n_shingles", "d1", "d2")
-    chosen = live.groupBy("doc_id").agg(F.max(key).alias("k"), F.min(key).alias("other"))
-    repeated = cut_lineage(chosen.where("k <> other").select("doc_id", "k"))
-    chosen = chosen.select("doc_id", "k.*")
-    spare = None
-    if not repeated.isEmpty():  # rows that do not stand for their doc_id
-        spare = cut_lineage(live.join(repeated, "doc_id").where(key != F.col("k"))
-                            .select("doc_id", "d1", "d2").distinct())
+    sets = ["n_shingles", "d1", "d2"]
+    # one node per set; its number is fixed by the checkpoint
+    nodes = cut_lineage(rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy(*sets)
+                        .agg(F.min(F.struct("doc_id", "key")).alias("r"))
+                        .select(*sets, "r.doc_id", "r.key", F.monotonically_increasing_id().alias("node")))
 
     cells = spark.sparkContext.broadcast(sketch)
     noise = float(sketch.mean() + 3 * np.sqrt(sketch.mean()) + 1)
-    full = texts.mapInArrow(_second_pass(cells, noise),
-                            "doc_id long, size long, d1 long, d2 long, least long, last long, tokens array<long>")
-    if spare is not None:
-        full = full.join(spare, ["doc_id", "d1", "d2"], "left_anti")
-    # one document per set, then its prefix
-    reps = (full.groupBy("d1", "d2", "size")
-            .agg(F.min_by(F.struct("doc_id", "least", "last", "tokens"), "doc_id").alias("r"))
-            .select("r.doc_id", "size", "r.least", "r.last", "r.tokens"))
-    index = reps.select("doc_id", F.explode("tokens").alias("token"), "size", "least", "last")
-    lists = (index.groupBy("token").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-             .where("low < high").select("token"))
-    shared = cut_lineage(index.join(lists, "token", "left_semi"))
-    sizes = cut_lineage(shared.select("doc_id", "size", "least", "last").distinct())
-    comp = _rounds(texts, spare, shared.select("token", "doc_id"), sizes, rounds, _sets(cells, noise))
-
-    sets = ["d1", "d2", "n_shingles"]
-    by_set = (chosen.groupBy(*sets).agg(F.min("doc_id").alias("rep"))
-              .join(comp.withColumnRenamed("doc_id", "rep"), "rep", "left")
-              .select(*sets, F.coalesce("comp", "rep").alias("found")))
-    by_id = chosen.join(by_set, sets).select("doc_id", "found")
-    return (rows.join(by_id, "doc_id", "left")
-            .select("doc_id", "n_shingles",
-                    F.expr("CASE WHEN n_shingles > 0 THEN coalesce(found, doc_id) ELSE doc_id END")
-                    .alias("component_id")))
+    named = texts.where("doc_id IS NOT NULL").select("doc_id", "text")
+    full = named.mapInArrow(_second_pass(cells, noise), "n_shingles long, d1 long, d2 long, least long, tokens array<long>")
+    index = (full.groupBy(*sets).agg(F.first(F.struct("least", "tokens")).alias("r"))
+             .join(nodes.select(*sets, "node"), sets)
+             .select("node", F.col("n_shingles").alias("size"), "r.least", F.explode("r.tokens").alias("token")))
+    several = index.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
+    shared = cut_lineage(index.join(several, "token", "left_semi"))
+    sizes = cut_lineage(shared.select("node", "size", "least").distinct())
+    comp = _linked(named, nodes, shared.select("token", "node"), sizes, rounds)
+
+    lone = (nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    least = lone.groupBy("comp").agg(F.min(F.struct("doc_id", "key")).alias("least"))
+    by_set = lone.join(least, "comp").select(*sets, "least")
+    return (rows.join(by_set, sets, "left")
+            .select("doc_id", "key", "n_shingles",
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("least.doc_id", "doc_id")).alias("component_id"),
+                    F.when(F.col("doc_id").isNotNull(), F.coalesce("least.key", "key")).alias("stays")))
+
+
+def join(docs: DataFrame, rounds: int = 1) -> DataFrame:
+    """doc_id, n_shingles, component_id of every input row; ``rounds`` (at least
+    one) of meetings with a pivot come first (speed only)."""
+    return _found(docs, rounds).select("doc_id", "n_shingles", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without near duplicates: of each component the row with
-    the smallest ``doc_id`` stays (of rows that repeat a ``doc_id``, one), with
-    all columns. Rows without a ``doc_id`` stay."""
-    found = cut_lineage(join(docs))
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    gone = cut_lineage(gone)
+    the smallest ``doc_id`` stays, with all columns; of rows equal in ``doc_id`` and
+    text one stays. Rows without a ``doc_id`` stay."""
+    found = cut_lineage(_found(docs).where("doc_id IS NOT NULL").select("doc_id", "key", "stays"))
+    gone = found.where("key <> stays").select("doc_id", "key")
+    repeated = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "key")
+    gone = cut_lineage(gone.distinct())
     # only rows that may be concerned are shuffled; the joins decide
-    concerned = cut_lineage(gone.union(repeated))
+    concerned = cut_lineage(gone.union(repeated).select("doc_id").distinct())
     named = docs.where("doc_id IS NOT NULL")
-    sure = near_ids(named, concerned, "left_anti").unionByName(docs.where("doc_id IS NULL"))
-    rest = near_ids(named, concerned, "left_semi")
-    rest = rest.join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return sure.unionByName(rest.select(*docs.columns))
+    sure = near_pairs.near_ids(named, concerned, "left_anti").unionByName(docs.where("doc_id IS NULL"))
+    rest = (near_pairs.near_ids(named, concerned, "left_semi")
+            .withColumn("__key", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+            .withColumn("__id", F.col("doc_id").cast("long")))
+    rest = (rest.join(gone.toDF("__id", "__key"), ["__id", "__key"], "left_anti")
+            .dropDuplicates(["__id", "__key"]))
+    return sure.unionByName(rest.select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
