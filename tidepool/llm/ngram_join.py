@@ -63,7 +63,7 @@ CELLS = 1 << 20
 #: Largest number of required prefix matches.
 MOST = 4
 #: Members of an open list up to which its pairs are emitted (speed only).
-FEW = 8
+FEW = 64
 
 
 def least_overlap(n, pct: int = PCT):
