@@ -106,7 +106,8 @@ def differences(met: DataFrame, comp: DataFrame, pct: int) -> tuple[DataFrame, D
     rows = cut_lineage(rows.join(lists, "list"))
     one = F.expr("explode(concat(transform(besides, t -> struct(t AS t, false AS inside)), "
                  "transform(lacks, t -> struct(t AS t, true AS inside))))")
-    apart = rows.select("list", "x", "k", one.alias("d")).select("list", "x", "k", "d.t", "d.inside")
+    # read three times below, so unpacked and written once
+    apart = cut_lineage(rows.select("list", "x", "k", one.alias("d")).select("list", "x", "k", "d.t", "d.inside"))
     flips = cut_lineage(apart.groupBy("list", "k", "t", "inside").agg(F.count(F.lit(1)).alias("c")).where("2 * c > k")
                         .select("list", "t", "inside"))
     added = (rows.select("list", "x").join(flips, "list").join(apart.select("list", "x", "t"), ["list", "x", "t"], "left_anti")
