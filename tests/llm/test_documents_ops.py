@@ -429,17 +429,72 @@ def test_line_dedup_edge(spark, docs):
 
 
 def test_line_dedup_shifted_passage(spark):
-    """A passage of 12 lines behind other lines: what follows its first chunk
-    border is found again."""
+    """A passage of 12 lines behind other lines goes but for its last line at most."""
     passage = [" ".join(f"p{i}q{j}" for j in range(12)) for i in range(12)]
-    rows = [(k, "\n".join([f"own line {k} {i} of this document alone" for i in range(k)] + passage)) for k in range(1, 6)]
+    rows = [(k, "\n".join([f"own line {k} {i} of this document alone" for i in range(k)] + passage
+                          + [f"end {k} of this document"] * (k % 2))) for k in range(1, 6)]
     got = {r.doc_id: r.text for r in
            line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1] == rows[0][1]
     for k in range(2, 6):
         left = got[k].split("\n")
-        assert [x for x in left if x.startswith("own")] == rows[k - 1][1].split("\n")[:k]
-        assert sum(x.startswith("p") for x in left) <= 6
+        assert [x for x in left if x[0] != "p"] == [x for x in rows[k - 1][1].split("\n") if x[0] != "p"]
+        assert sum(x.startswith("p") for x in left) <= 1
+
+
+def test_line_dedup_blank_and_short_lines(spark):
+    """Blank lines form no chunk, short runs stay, equal lines in a row are cut to bounded chunks."""
+    one = "a paragraph of one line that two documents share, well over forty characters"
+    two = one.replace("paragraph", "second piece")
+    rows = [(1, f"{one}\n\nfirst"), (2, f"{one}\n\nsecond"), (3, "yes\nno"), (4, "yes\nno"),
+            (5, "\n" * 50), (6, f"{one}\n{two}"), (7, f"x\n{one}\n\n \t\n{two}\n\ny"),
+            (8, "\n".join(["the same line many times"] * 5000))]
+    got = {r.doc_id: r for r in
+           line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"), counts=True).collect()}
+    for k, text in rows[:6]:
+        assert got[k].text == text and got[k].n_removed == 0
+    assert got[7].text in (rows[6][1], "x\n\ny") and got[7].n_lines == 7
+    assert got[8].n_lines == 5000 and got[8].n_removed >= 4990
+
+
+def _repeated_lines(raw):
+    """The lines, by document, of runs of two lines or more whose line pairs an
+    earlier document holds, with at least 40 characters besides blanks."""
+    seen, out = set(), {}
+    for i, text, _ in raw:
+        ls = (text or "").split("\n")
+        pairs = list(zip(ls, ls[1:]))
+        hit = [p in seen for p in pairs]
+        seen.update(pairs)
+        at, k = set(), 0
+        while k < len(hit):
+            if not hit[k]:
+                k += 1
+                continue
+            a = k
+            while k < len(hit) and hit[k]:
+                k += 1
+            if sum(len("".join(x.split())) for x in ls[a:k + 1]) >= 40:
+                at.update(range(a, k + 1))
+        out[i] = [ls[x] for x in sorted(at)]
+    return out
+
+
+def test_line_dedup_recall(spark, raw):
+    """At least 0.95 of the repeated lines go; every line's text survives somewhere."""
+    docs = spark.createDataFrame([(i, t) for i, t, _ in raw], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.dedup(docs).collect()}
+    wanted = found = 0
+    for i, lines in _repeated_lines(raw).items():
+        left = collections.Counter((got[i] or "").split("\n"))
+        for x in lines:
+            wanted += 1
+            found += left[x] == 0
+            left[x] -= left[x] > 0
+    print("repeated lines", wanted, "removed", found)
+    assert wanted and found >= 0.95 * wanted
+    assert ({x for _, t, _ in raw for x in (t or "").split("\n")} - {x for t in got.values() for x in (t or "").split("\n")}
+            <= {""})
 
 
 # --- op 10 --------------------------------------------------------------------

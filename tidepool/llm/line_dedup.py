@@ -1,22 +1,29 @@
 """Op 9, line dedup: content-defined line chunks (DataFrame functions only).
 
-Every text is split at ``\\n``; a polynomial rolling hash over the last
-``WINDOW`` line hashes decides where a chunk ends (about every 8/3 lines), so
-borders depend on nearby lines only and an insertion shifts none behind it.
-Chunks of two lines or more that occur again anywhere are removed, after
-their bytes have been compared with the first occurrence, which stays (the
-smallest ``doc_id``, then the earliest place).
-
-Plan: chunks are first grouped by a 64-bit hash alone, with map-side counting;
-only documents that hold a repeated one send these chunks' bytes to a
-comparison with the first one's; the confirmed chunk numbers go back to the
+Every text is split at ``\\n``. A polynomial rolling hash over the last two line
+hashes makes about 15 of 16 lines a chunk border. A chunk starts at every line and
+ends at the next border behind it (at most ``MOST_LINES`` lines on), so it has two
+lines or more and its bounds depend on its own lines alone: an insertion shifts
+none, and a passage is cut alike whatever stands around it. A chunk that occurs
+again anywhere is removed, after its bytes have been compared with the first
+occurrence, which stays (the smallest ``doc_id``, then the earliest place).
+Removed chunks overlap; together they form runs of lines, and a run with less than
+``MIN_CHARS`` characters besides blanks stays. Lines without a word belong to no
+chunk; those inside a removed run go with it.
+
+Not found: the last line of a passage where it is no border (about one in
+16), and with it the whole passage where that has two lines only.
+
+Plan: chunks are first counted by a 64-bit hash alone, with map-side sums; only
+those with a repeated hash go on. Documents that hold some send these chunks'
+bytes to a comparison with the first one's; the confirmed chunks go back to the
 documents. The texts are shuffled by document, once where no other columns hang
-on them; every join is a sort-merge join between plain exchanges, which AQE
-splits for a hot chunk, and no group is ever collected.
+on them (both joins then read the same exchange); every join is a sort-merge join
+between plain exchanges, which AQE splits for a hot chunk, and no group is ever
+collected but the chunks of one document.
 
 Defined cases: a null text stays null, an empty one empty; a document all of
-whose chunks are repeats becomes an empty text but stays a row; chunks with
-less than ``MIN_CHARS`` characters besides blanks are left alone; rows that
+whose lines are repeats becomes an empty text but stays a row; rows that
 agree in ``doc_id`` and text are one document and give equal results; a null
 ``doc_id`` sorts first; an empty table gives an empty result; other columns
 pass through unchanged (``n_chars`` is renewed where it exists).
@@ -30,22 +37,43 @@ from pyspark.sql import functions as F
 from tidepool.llm import common
 from tidepool.session import cut_lineage
 
-WINDOW = 2
-#: A chunk ends where rolling hash % 1000003 % 8 < 3.
-END_OF_8 = 3
-MIN_LINES = 2
+#: A line is a border unless rolling hash % 1000003 % 16 is 0.
+BORDER_MOD = 16
+#: A chunk without a border ends after so many lines.
+MOST_LINES = 8
 MIN_CHARS = 40
 
-# The chunks of a text: array<struct<pos, lines>>. Every step is bound to a
-# lambda variable (a one-element transform), so that it is computed once a text
-# and never inside the lambdas that read it.
-_HASHES = "transform(ls, x -> cast(conv(substr(md5(x), 1, 8), 16, 10) as bigint))"
-_ENDS = (f"filter(sequence(0, size(ls) - 1), i -> i = size(ls) - 1 OR "
-         f"((if(i > 0, hs[i - 1], 0L) * 31 + hs[i]) % 1000003) % 8 < {END_OF_8})")
-_PARTS = ("transform(es, (e, k) -> named_struct('pos', k, 'lines', "
-          "slice(ls, if(k > 0, es[k - 1] + 2, 1), e - if(k > 0, es[k - 1], -1))))")
-_CHUNKS = (f"flatten(flatten(flatten(transform(array(split(text, '\n', -1)), ls -> transform(array({_HASHES}), hs -> "
-           f"transform(array({_ENDS}), es -> {_PARTS}))))))")
+_BLANK = " \t\x0b\x0c\r"
+_SPLIT = "split(text, '\n', -1)"
+
+# The chunks of a text: array<struct<s, e, h>>, first and last line and the hash of
+# the bytes. Every step is bound to a lambda variable (a one-element transform), so
+# that it is computed once a text and never inside the lambdas that read it.
+_LINES = (f"filter(transform({_SPLIT}, (x, i) -> named_struct('i', i, 'x', x)), "
+          f"l -> translate(l.x, '{_BLANK}', '') <> '')")
+_HASHES = "transform(ls, l -> cast(conv(substr(md5(l.x), 1, 8), 16, 10) as bigint))"
+_ENDS = (f"filter(sequence(0, size(ls) - 1), i -> i > 0 AND (i = size(ls) - 1 OR "
+         f"((get(hs, i - 1) * 31 + get(hs, i)) % 1000003) % {BORDER_MOD} <> 0))")
+_SPANS = ("flatten(transform(es, (e, k) -> transform(sequence(if(k > 0, get(es, k - 1), 0), e - 1), "
+          f"s -> named_struct('s', s, 'e', least(e, s + {MOST_LINES - 1})))))")
+_HASHED = ("transform(cs, c -> named_struct('s', ls[c.s].i, 'e', ls[c.e].i, 'h', "
+           "xxhash64(array_join(transform(slice(ls, c.s + 1, c.e - c.s + 1), l -> l.x), '\n'))))")
+_CHUNKS = (f"flatten(flatten(flatten(flatten(transform(array({_LINES}), ls -> transform(array({_HASHES}), hs -> "
+           f"transform(array({_ENDS}), es -> transform(array({_SPANS}), cs -> {_HASHED}))))))))")
+# The chunks in __held with their bytes: the lines with a word from s to e.
+_BYTES = (f"flatten(transform(array({_SPLIT}), ls -> transform(__held, c -> named_struct('c', c, 'bytes', "
+          f"array_join(filter(slice(ls, c.s + 1, c.e - c.s + 1), x -> translate(x, '{_BLANK}', '') <> ''), '\n')))))")
+# Runs of lines covered by the chunks in __gone that have enough characters.
+_COVERED = "array_sort(array_distinct(flatten(transform(__gone, g -> sequence(g.s, g.e)))))"
+_RUNS = ("zip_with(filter(cov, (x, i) -> i = 0 OR get(cov, i - 1) <> x - 1), "
+         "filter(cov, (x, i) -> i = size(cov) - 1 OR get(cov, i + 1) <> x + 1), (s, e) -> named_struct('s', s, 'e', e))")
+_ENOUGH = (f"flatten(flatten(transform(array({_COVERED}), cov -> transform(array({_SPLIT}), ls -> "
+           f"filter({_RUNS}, r -> aggregate(slice(ls, r.s + 1, r.e - r.s + 1), 0, "
+           f"(n, x) -> n + length(translate(x, '{_BLANK}', ''))) >= {MIN_CHARS})))))")
+# The lines outside __runs, whose ends are in order.
+_LEFT = (f"array_join(flatten(flatten(transform(array({_SPLIT}), ls -> transform(sequence(0, size(__runs)), k -> "
+         "slice(ls, coalesce(get(__runs, k - 1).e, -1) + 2, "
+         "coalesce(get(__runs, k).s, size(ls)) - coalesce(get(__runs, k - 1).e, -1) - 1))))), '\n')")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -54,32 +82,24 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeats(keyed: DataFrame) -> DataFrame:
-    """(__id, __k, __gone): the chunk numbers to remove of each document."""
-    chunk = F.array_join("c.lines", "\n")
-    rows = cut_lineage(keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__key",
-                                    F.explode(F.expr(_CHUNKS)).alias("c"))
-                       .where(f"size(c.lines) >= {MIN_LINES}")
-                       .where(F.length(F.translate(chunk, " \t\n\x0b\x0c\r", "")) >= MIN_CHARS)
-                       .select("doc_id", "__key", F.col("c.pos").alias("pos"), F.xxhash64(chunk).alias("h")))
-    at = F.struct("doc_id", "__key", "pos")
-    again = cut_lineage(rows.groupBy("h").agg(F.min(at).alias("first"), F.max(at).alias("last"))
-                        .where("first <> last").select("h", "first"))
-    # per document: its chunks with a repeated hash, and which of them come first
-    held = (rows.join(again, "h").groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"))
-            .agg(F.collect_set("pos").alias("__held"),
-                 F.collect_set(F.when(at.eqNullSafe(F.col("first")), F.col("pos"))).alias("__first")))
-    # read twice below, so written once
+    """(__id, __k, __gone): the chunks to remove of each document, as structs
+    of their first and last line."""
+    rows = (keyed.select(F.col("doc_id").cast("long").alias("doc_id"), "__key", F.explode(F.expr(_CHUNKS)).alias("c"))
+            .select("doc_id", "__key", "c.s", "c.e", "c.h"))
+    again = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+    # only chunks with a repeated hash; read twice below
+    again = cut_lineage(rows.join(again, "h"))
+    at = F.struct("doc_id", "__key", "s")
+    first = again.groupBy("h").agg(F.min(at).alias("first"))
+    held = (again.join(first, "h").groupBy(F.col("doc_id").alias("__id"), F.col("__key").alias("__k"))
+            .agg(F.collect_set(F.struct("s", "e", "h", at.eqNullSafe(F.col("first")).alias("is_first"))).alias("__held")))
+    # a document that holds only first occurrences still gives their bytes
+    held = cut_lineage(held)
     found = (keyed.join(held, _same(), "inner")
-             .select("__id", "__k", "__first", F.explode(F.expr(f"filter({_CHUNKS}, c -> array_contains(__held, c.pos))"))
-                     .alias("c"))
-             .select("__id", "__k", F.col("c.pos").alias("pos"), chunk.alias("chunk"),
-                     F.expr("array_contains(__first, c.pos)").alias("is_first")))
-    found = cut_lineage(found)
-    kept = cut_lineage(found.where("is_first").select(F.xxhash64("chunk").alias("h"), F.col("chunk").alias("bytes"))
-                       .dropDuplicates(["h"]))
-    gone = (found.where("NOT is_first").withColumn("h", F.xxhash64("chunk"))
-            .join(kept, "h").where("chunk = bytes"))
-    return gone.groupBy("__id", "__k").agg(F.collect_set("pos").alias("__gone"))
+             .select("__id", "__k", F.explode(F.expr(_BYTES)).alias("f")).select("__id", "__k", "f.c.*", "f.bytes"))
+    kept = (found.where("is_first").groupBy("h").agg(F.first("bytes").alias("first_bytes")))
+    gone = found.where("NOT is_first").join(kept, "h").where("bytes = first_bytes")
+    return gone.groupBy("__id", "__k").agg(F.collect_set(F.struct("s", "e")).alias("__gone"))
 
 
 def _same():
@@ -88,20 +108,18 @@ def _same():
 
 def dedup(docs: DataFrame, counts: bool = False) -> DataFrame:
     """``docs`` without repeated chunks; with ``counts`` also n_lines
-    and n_removed (chunks) of every document."""
+    and n_removed (lines) of every document."""
     keyed = _keyed(docs)
-    full = keyed.join(repeats(keyed), _same(), "left")
-    left = F.expr(f"array_join(flatten(transform(filter({_CHUNKS}, c -> NOT array_contains(__gone, c.pos)), "
-                  "c -> c.lines)), '\n')")
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(left)
+    full = (keyed.join(repeats(keyed), _same(), "left")
+            .withColumn("__runs", F.when(F.col("__gone").isNotNull(), F.expr(_ENOUGH))))
+    changed = F.coalesce(F.size("__runs"), F.lit(0)) > 0
     if counts:
         full = (full.withColumn("n_lines", F.expr("cast(coalesce(length(text) - length(replace(text, '\n', '')) + 1, 0) as long)"))
-                .withColumn("n_removed", F.expr("coalesce(cast(size(__gone) as long), 0L)")))
-    full = full.withColumn("text", text)
+                .withColumn("n_removed", F.expr("coalesce(aggregate(__runs, 0L, (n, r) -> n + r.e - r.s + 1), 0L)")))
+    full = full.withColumn("text", F.when(changed, F.expr(_LEFT)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        full = full.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars"))
-                               .otherwise(F.length("text").cast(kind)))
+        full = full.withColumn("n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     extra = ["n_lines", "n_removed"] if counts else []
     return full.select(*[F.col(f"`{c}`") for c in docs.columns], *extra)
 
@@ -113,18 +131,24 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = rf"""
-WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
-l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
-h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
-e AS (SELECT *, i = max(i) OVER (PARTITION BY doc_id) OR ((coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)
-             * 31 + h) % 1000003) % 8 < {END_OF_8} AS ends FROM h),
-k AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM e),
-c AS (SELECT doc_id, pos, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n FROM k GROUP BY ALL),
-r AS (SELECT *, n >= {MIN_LINES} AND length(regexp_replace(chunk, '[\x20\x09-\x0D]', '', 'g')) >= {MIN_CHARS}
-             AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, pos) > 1 AS gone FROM c),
-t AS (SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text,
-             sum(n)::BIGINT AS n_lines, sum(gone::INT)::BIGINT AS n_removed FROM r GROUP BY doc_id)
-SELECT doc_id, t.text, coalesce(n_lines, 0) AS n_lines,
-       coalesce(n_removed, 0) AS n_removed
-FROM d LEFT JOIN t USING (doc_id)"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+                  generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+w AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h
+      FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+b AS (SELECT *, j > 1 AND (j = max(j) OVER (PARTITION BY doc_id) OR ((lag(h) OVER (PARTITION BY doc_id ORDER BY j)
+             * 31 + h) % 1000003) % {BORDER_MOD} <> 0) AS border FROM w),
+n AS (SELECT doc_id, i, j, min(CASE WHEN border THEN j END) OVER near AS next, max(j) OVER near AS far,
+             list(line) OVER upto AS ls, list(i) OVER upto AS places FROM b
+      WINDOW near AS (PARTITION BY doc_id ORDER BY j ROWS BETWEEN 1 FOLLOWING AND {MOST_LINES - 1} FOLLOWING),
+             upto AS (PARTITION BY doc_id ORDER BY j ROWS BETWEEN CURRENT ROW AND {MOST_LINES - 1} FOLLOWING)),
+c AS (SELECT doc_id, i AS s, places[coalesce(next, far) - j + 1] AS e,
+             array_to_string(ls[1:coalesce(next, far) - j + 1], chr(10)) AS chunk FROM n WHERE far IS NOT NULL),
+g AS (SELECT *, row_number() OVER (PARTITION BY chunk ORDER BY doc_id, s) > 1 AS gone FROM c),
+u AS (SELECT DISTINCT doc_id, unnest(generate_series(s, e)) AS i FROM g WHERE gone),
+v AS (SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM u),
+x AS (SELECT doc_id, i, sum(length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')))
+             OVER (PARTITION BY doc_id, run) >= {MIN_CHARS} AS gone FROM v JOIN l USING (doc_id, i)),
+t AS (SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT coalesce(gone, false)), '') AS text,
+             count(*) AS n_lines, count(*) FILTER (gone) AS n_removed FROM l LEFT JOIN x USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, t.text, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed
+FROM documents d LEFT JOIN t USING (doc_id)"""
