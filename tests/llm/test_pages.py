@@ -1,6 +1,7 @@
 """HTML extraction: templates written by hand, and the whole page table."""
 import html
 import re
+import time
 
 import duckdb
 from tidepool.llm import common, html_text, registry
@@ -35,6 +36,37 @@ def test_odd_pages():
     assert html_text.main_text("<p>" + "long " * 100000)[0] == ("long " * 100000).strip()
 
 
+def test_marks_and_quotes():
+    text = lambda page: html_text.main_text(page)[0]
+    assert text("<div class='content with-sidebar'><article><p>Own text</p></article></div>") == "Own text"
+    assert text("<div class='banner-page sidebar'><article><p>Own text</p></article></div><p>other</p>") == "Own text"
+    assert text("<p title=it's>Hello</p>") == "Hello"
+    assert text("<p title='a > b' class=x>Hello</p>") == "Hello"
+    assert text("<p>Let <math><mi>x</mi></math> be.</p>") == "Let x be."
+    assert text("<article><p class='notice-period'>Three months.</p><p class='site-notice'>No.</p><p class='notice-box'>No.</p></article>") == "Three months."
+    assert text("<article><p>Own</p><div class='page-main-left-sidebar-box'>no</div></article>") == "Own"
+    long = "sentence of the text " * 20
+    ad = "<div class='ad'>Buy this</div>"
+    assert text(f"<p>{long}</p>{ad}<h2>A heading</h2>{ad}<p>{long}</p>").split("\n\n")[1] == "A heading"
+
+
+def test_containers_inside_dropped_elements():
+    """Comments written as articles neither count nor unsettle the page's own one."""
+    page = ("<section class='comments'><article><p>a reader</p></article></section>"
+            "<article><p>Own text</p></article><div class='related'><article>more</article></div>")
+    assert html_text.main_text(page)[0] == "Own text"
+    assert "a reader" not in html_text.main_text("<p>Own</p><div class='comments'><article>a reader</article></div>")[0]
+
+
+def test_long_odd_pages_take_linear_time():
+    n = 20000
+    for page in ("<p>" * n + "</b>" * n, "<nav>" + "<i>" * n + "</b>" * n, "<b>" * n + "</p>" * n, "<a " * n,
+                 "<p>x" * n + "</p>" * n, "<p a='" * n, "<!-- " * n, "<div class='ad'><p>" * n + "</div>" * n):
+        at = time.perf_counter()
+        html_text.main_text(page)
+        assert time.perf_counter() - at < 2
+
+
 def test_density_without_container():
     """Without an article, sparse lines beside the dense ones go."""
     menu = "".join(f"<div>m{i}</div>" for i in range(4))

@@ -7,8 +7,10 @@ leave empty lines, and so do the borders of an article container. The text
 length is summed over a sliding window of lines: a surge is a line where the
 sum rises from nothing, a dive the line where it falls back; between them lies
 a block of text. Blocks inside an article container are kept when the page
-has one; otherwise those whose densest window reaches a fair share of the
-page's densest one. Every line of a kept block stays, however short.
+has one; otherwise all from the first to the last whose densest window reaches a
+fair share of the page's densest one. Every line of a kept block stays, however
+short. An element dropped for a layout mark (a sidebar, a banner ...) gives up
+the article container that it wraps where the page has no other.
 
 Character references are decoded, white space inside a line becomes one
 space, lines are trimmed and joined by an empty line. Extraction needs one
@@ -39,12 +41,13 @@ SCHEMA = "page_id long, url string, text string, n_chars long, n_lines long, n_b
 WINDOW = 3
 SHARE = 0.2
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+# A quote counts only behind "=", as in it's it belongs to the value.
+TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)>|<[!?][^>]*>", re.S)
+ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 SPACE = re.compile(r"\s+")
 
 # Elements whose content is raw text up to their own end tag.
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "canvas", "object"}
+RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "canvas", "object"}
 DROPPED = {"head", "nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "fieldset"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 CONTAINER = {"article", "main"}
@@ -59,61 +62,119 @@ MARKS = re.compile(
     r"copyright|adsense|adsbygoogle|outbrain|taboola|pagination|pager|complementary|contentinfo|search|login|toolbar|widget|skip-link)$")
 
 
+# Marks of page layout: an element may bear one and still wrap the whole article.
+LAYOUT = re.compile(r"^(banner|sidebar|side-bar|nav(bar|igation)?|menu(bar)?|notices?|alert|modal|overlay|toolbar|widget|"
+                    r"search|social|share|sharing|masthead|complementary)$")
+# Words that only qualify what follows, as in notice-period, unless that names a box
+# or place (notice-box); words that take the mark from what follows, as in with-sidebar.
+QUALIFIERS = {"notice", "notices", "alert", "search", "banner", "copyright"}
+BOXES = re.compile(r"^(box|bar|wrap(per)?|container|block|panel|area|section|top|bottom|left|right|main|inner|outer|list|items?|"
+                   r"message|form|text|content|strip|header|footer|\d*)$")
+RELATIONS = {"with", "has", "no", "without", "non", "not"}
 PAGE_HEAD = re.compile(r"^(site-|page-)?header$|^top-?bar$")
 
+#: What an open element is: nothing special, an article container, dropped for
+#: its layout mark, dropped in any case.
+PLAIN, HOLDS, LAYOUT_DROP, DROP = range(4)
 
-def _unwanted(tag: str, attributes: str, inside: bool) -> bool:
+
+def _mark(word: str, parted: bool) -> int:
+    """What a word of class, id or role makes of its element."""
+    parts = re.split(r"[-_]+", word) if parted else []
+    last = len(parts) - 1
+    marks = [p for i, p in enumerate(parts) if not (i and parts[i - 1] in RELATIONS)
+             and not (i < last and p in QUALIFIERS and not BOXES.match(parts[i + 1]))]
+    marks = [m for m in (word, *marks) if MARKS.match(m)]
+    if not marks:
+        return PLAIN
+    return LAYOUT_DROP if all(LAYOUT.match(m) for m in marks) else DROP
+
+
+def _unwanted(tag: str, attributes: str, inside: bool) -> int:
     """Does the element hold no main text? A header inside an article may
     carry its heading, one outside belongs to the page."""
     if tag in DROPPED or tag in RAW or (tag == "header" and not inside):
-        return True
+        return DROP
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return PLAIN
+    kind = PLAIN
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and (a or b or c) == "true"):
-            return True
+            return DROP
         if name == "style" and "display:none" in (a or b or c).replace(" ", "").lower():
-            return True
+            return DROP
         if name in ("class", "id", "role"):
             for word in (a or b or c).lower().split():
                 if not inside and PAGE_HEAD.match(word):
-                    return True
-                parts = [word, *re.split(r"[-_]+", word)] if name != "role" else [word]
-                if any(MARKS.match(p) for p in (parts if len(parts) <= 3 else parts[:2])):
-                    return True
-    return False
+                    return DROP
+                kind = max(kind, _mark(word, name != "role"))
+    return kind
 
 
-def strip(page: str) -> list[tuple[str, bool]]:
-    """The page as lines: (text, inside an article container); dropped
-    elements and container borders are runs of ``WINDOW`` empty lines."""
+def strip(page: str, unwrap: bool = False) -> tuple[list[tuple[str, bool]], bool]:
+    """The page as lines, (text, inside an article container), and whether an
+    element dropped for its layout mark holds a container. Dropped
+    elements and container borders are runs of ``WINDOW`` empty lines. With
+    ``unwrap`` such containers count."""
     lines: list[tuple[str, bool]] = []
     here: list[str] = []
-    opened: list[tuple[str, bool]] = []  # (tag, dropped) of open elements
-    dropped = inside = at = 0
+    opened: list[tuple[str, int]] = []  # (tag, kind) of open elements
+    places: dict[str, list[int]] = {}   # where each tag stands in it
+    drops: list[int] = []               # where the dropped elements stand
+    within: list[int] = []              # where the containers stand
+    firm = 0                            # open elements dropped in any case
+    wrapped, at = False, 0
+
+    def push(tag: str, kind: int) -> None:
+        nonlocal firm
+        where = len(opened)
+        opened.append((tag, kind))
+        places.setdefault(tag, []).append(where)
+        if kind == HOLDS:
+            within.append(where)
+        elif kind != PLAIN:
+            drops.append(where)
+            firm += kind == DROP
+
+    def pop() -> None:
+        nonlocal firm
+        tag, kind = opened.pop()
+        places[tag].pop()
+        if kind == HOLDS:
+            gap()
+            within.pop()
+        elif kind != PLAIN:
+            drops.pop()
+            firm -= kind == DROP
+
+    def dropped() -> bool:
+        # a container inside a wrapper takes its content out of the wrapper
+        return bool(drops) and not (within and within[-1] > drops[-1])
 
     def close_line() -> None:
         text = SPACE.sub(" ", entities.unescape("".join(here))).strip()
         here.clear()
         if text:
-            lines.append((text, inside > 0))
+            lines.append((text, bool(within)))
 
     def gap() -> None:
         close_line()
         lines.extend([("", False)] * WINDOW)
 
-    n = len(page)
+    n, last = len(page), page.rfind(">") + 1  # no tag ends behind `last`
     while at < n:
-        m = TAG.search(page, at)
+        m = TAG.search(page, at, last)
         if m is None:
-            if not dropped:
+            if not dropped():
                 here.append(page[at:])
             break
-        if not dropped:
+        if not dropped():
             here.append(page[at:m.start()])
         at = m.end()
         if m[2] is None:
+            if m[0].startswith("<!--") and at == last and not m[0].endswith("-->"):
+                break  # a comment left open ends with the page
             continue
         tag, attributes = m[2].lower(), m[3]
         if not m[1]:
@@ -121,48 +182,47 @@ def strip(page: str) -> list[tuple[str, bool]]:
                 here.append(" ")
             if tag in VOID:
                 continue
-            closed = attributes.endswith("/") and tag in ("svg", "math")
+            closed = attributes.endswith("/") and tag == "svg"
             if tag in RAW and not closed:
                 # raw text reaches to the element's own end tag, whatever it holds
-                if not dropped:
+                if not dropped():
                     gap()
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = n if end is None else end.end()
                 continue
-            if dropped:
-                opened.append((tag, False))
+            if dropped():
+                if tag in CONTAINER and not firm:
+                    wrapped = True
+                    if unwrap:
+                        push(tag, HOLDS)
+                        continue
+                push(tag, PLAIN)
                 continue
             if tag in CONTAINER:
                 gap()
-                inside += 1
-            elif _unwanted(tag, attributes, inside > 0):
-                gap()
-                dropped += 1
-                opened.append((tag, True))
+                push(tag, HOLDS)
                 continue
+            kind = _unwanted(tag, attributes, bool(within))
+            if kind != PLAIN:
+                gap()
             elif tag in BLOCK:
                 close_line()
-            opened.append((tag, False))
+            push(tag, kind)
             continue
-        where = next((i for i in range(len(opened) - 1, -1, -1) if opened[i][0] == tag), None)
+        where = places[tag][-1] if places.get(tag) else None
         if where is None:
-            if not dropped and tag in BLOCK:
+            if not dropped() and tag in BLOCK:
                 close_line()
             continue
-        if dropped:
-            start = next(i for i in range(len(opened) - 1, -1, -1) if opened[i][1])
-            if where < start and tag not in BLOCK and tag not in CONTAINER:
+        if dropped():
+            if where < drops[-1] and tag not in BLOCK and tag not in CONTAINER:
                 continue  # a stray inline end tag does not end the dropped element
         elif tag in BLOCK:
             close_line()
-        for t, gone in opened[where:]:
-            dropped -= gone
-            if t in CONTAINER:
-                gap()
-                inside -= 1
-        del opened[where:]
+        while len(opened) > where:
+            pop()
     close_line()
-    return lines
+    return lines, wrapped
 
 
 def blocks(lines: list[tuple[str, bool]]) -> list[tuple[int, int]]:
@@ -185,14 +245,17 @@ def main_text(page: str | None) -> tuple[str, int, int]:
     """(main text, its lines, its blocks) of one page."""
     if not page:
         return "", 0, 0
-    lines = strip(page)
+    lines, wrapped = strip(page)
+    if wrapped and not any(own for _, own in lines):
+        lines, _ = strip(page, unwrap=True)
     found = blocks(lines)
     chosen = [(a, b) for a, b in found if any(own for _, own in lines[a:b])]
     if not chosen and found:
         def density(a: int, b: int) -> int:
             return max(sum(len(t) for t, _ in lines[i:min(i + WINDOW, b)]) for i in range(a, b))
         dense = [density(a, b) for a, b in found]
-        chosen = [f for f, d in zip(found, dense) if d >= SHARE * max(dense)]
+        full = [i for i, d in enumerate(dense) if d >= SHARE * max(dense)]
+        chosen = found[full[0]:full[-1] + 1]
     kept = [t for a, b in chosen for t, _ in lines[a:b] if t]
     return "\n\n".join(kept), len(kept), len(chosen)
 
