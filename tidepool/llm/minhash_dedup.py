@@ -189,12 +189,12 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame) -> DataFrame
     done = done.unionByName(away)
     met = (done.join(wanted.select("x", "y"), ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
            .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
-    apart, sized = near_pairs.differences(met, comp, PCT)
+    sized = near_pairs.differences(met, comp, PCT)
     # enough in common whatever they share of their differences
     sure = sized.where("needs <= 0 AND x <> y").select("x", "y")
     links = links.union(away.where("linked").select("x", "y")).union(sure)
     comp = near_pairs.component_of(links, members)
-    pairs = near_pairs.left_pairs(apart, sized, comp, PCT)
+    pairs = near_pairs.left_pairs(sized, comp, PCT)
     tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     pairs = cut_lineage(pairs.join(tried, ["x", "y"], "left_anti"))
     sign = nodes.select("node", "sign")

@@ -94,55 +94,53 @@ def component_of(links: DataFrame, members: DataFrame) -> DataFrame:
     return cut_lineage(members.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
 
 
-def differences(met: DataFrame, comp: DataFrame, pct: int) -> tuple[DataFrame, DataFrame]:
-    """For the lists that span components: (list, x, t) of every member's
-    differences, and per member its size n, number of differences d, the least
-    member y and the differences (times 100 + pct) that any partner ``needs`` to share
-    with it. ``met`` holds list (the pivot), x, n, size (the pivot's), besides and
-    lacks; a list's pivot is no member of it."""
+def differences(met: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
+    """Per list that spans components and member x of it: list, x, its size n, its
+    ``own`` differences from the list's common text, its weight a, that text's size p,
+    the least member y and the differences (times 100 + pct) that any partner ``needs``
+    to share with it. ``met`` holds list (the pivot), x, n, size (the pivot's), besides
+    and lacks; a list's pivot is no member of it."""
     rows = met.join(comp.toDF("x", "cx"), "x")
     lists = (rows.groupBy("list").agg(F.count(F.lit(1)).alias("k"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
              .where("lo < hi").select("list", "k"))
-    rows = cut_lineage(rows.join(lists, "list"))
+    rows = cut_lineage(rows.drop("cx").join(lists, "list"))
     one = F.expr("explode(concat(transform(besides, t -> struct(t AS t, false AS inside)), "
                  "transform(lacks, t -> struct(t AS t, true AS inside))))")
-    # read three times below, so unpacked and written once
-    apart = cut_lineage(rows.select("list", "x", "k", one.alias("d")).select("list", "x", "k", "d.t", "d.inside"))
-    flips = cut_lineage(apart.groupBy("list", "k", "t", "inside").agg(F.count(F.lit(1)).alias("c")).where("2 * c > k")
-                        .select("list", "t", "inside"))
-    added = (rows.select("list", "x").join(flips, "list").join(apart.select("list", "x", "t"), ["list", "x", "t"], "left_anti")
-             .select("list", "x", "t", (~F.col("inside")).alias("inside")))
-    apart = cut_lineage(apart.drop("k").join(flips.select("list", "t"), ["list", "t"], "left_anti")
-                        .select("list", "x", "t", "inside").unionByName(added))
-
-    grown = flips.groupBy("list").agg(F.sum(F.when(F.col("inside"), -1).otherwise(1)).alias("grown"))
-    own = apart.groupBy("list", "x").agg(F.count(F.lit(1)).alias("d"), F.sum(F.col("inside").cast("int")).alias("m"))
-    sized = (rows.select("list", "x", "n", "size").join(grown, "list", "left").join(own, ["list", "x"], "left")
-             .select("list", "x", "n", F.coalesce("d", F.lit(0)).alias("d"),
-                     (F.col("size") + F.coalesce("grown", F.lit(0))).alias("p"),
-                     (F.col("n") * pct + F.coalesce("m", F.lit(0)) * (100 + pct)).alias("a")))
+    # what most members have besides the pivot or lack of it: fewer than twice a member's mean number
+    flips = (rows.select("list", "k", one.alias("d")).groupBy("list", "k", "d.t", "d.inside").agg(F.count(F.lit(1)).alias("c"))
+             .where("2 * c > k").groupBy("list")
+             .agg(F.collect_list(F.expr("if(inside, null, t)")).alias("more"), F.collect_list(F.expr("if(inside, t, null)")).alias("less")))
+    none = F.expr("cast(array() AS array<bigint>)")
+    sized = cut_lineage(
+        rows.join(flips, "list", "left").withColumns({c: F.coalesce(c, none) for c in ("more", "less")})
+        .withColumn("over", F.expr("concat(array_except(besides, more), array_except(less, lacks))"))
+        .withColumn("under", F.expr("concat(array_except(lacks, less), array_except(more, besides))"))
+        .select("list", "x", "n", F.concat("over", "under").alias("own"),
+                F.expr("size + size(more) - size(less)").alias("p"), F.expr(f"n * {pct} + size(under) * {100 + pct}").alias("a")))
     least = sized.groupBy("list").agg(F.min("a").alias("low"), F.min_by("x", F.struct("a", "x")).alias("y"))
-    return apart.drop("inside"), cut_lineage(sized.join(least, "list").withColumn("needs", F.expr(f"a + low - p * {100 + pct}")))
+    return sized.join(least, "list").withColumn("needs", F.expr(f"a + low - p * {100 + pct}"))
 
 
-def left_pairs(apart: DataFrame, sized: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
+def left_pairs(sized: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
     """(x, y) of members of one list and different components that share a
     difference which any two that link share."""
-    sized = sized.join(comp.toDF("x", "cx"), "x")
-    both = apart.join(sized.select("list", "x", "n", "cx", "d", "a", "p", "needs"), ["list", "x"])
-    seen = (both.groupBy("list", "t").agg(F.count(F.lit(1)).alias("c"), F.min("cx").alias("lo"), F.max("cx").alias("hi")))
-    place = F.row_number().over(Window.partitionBy("list", "x").orderBy("c", "t"))
     # a partner z has at least as many differences as it must share, which gives
     # a(z) >= a(x) - (100 - pct) |z|
     far = f"2 * a * {pct} - {(100 - pct) * 100} * n - p * {(100 + pct) * pct}"
     unit = (100 + pct) * pct
-    first = F.expr(f"d - greatest((greatest(needs * {pct}, {far}) + {unit - 1}) div {unit}, 1) + 1")
-    index = cut_lineage(both.join(seen, ["list", "t"]).withColumn("place", place)
-                        .where((F.col("place") <= first) & F.expr("lo < hi"))
-                        .select("list", "t", "x", "n", "cx", "a", "p", (F.col("d") - F.col("place") + 1).alias("rest")))
-    one, two = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "n", "cx", "a", "p", "rest")]) for s in "ab")
+    need = F.expr(f"greatest((greatest(needs * {pct}, {far}) + {unit - 1}) div {unit}, 1)")
+    # read twice below, so unpacked and written once
+    apart = cut_lineage(sized.withColumn("need", need).where("need <= size(own)").join(comp.toDF("x", "cx"), "x")
+                        .select("list", "x", "cx", "n", F.expr(f"2 * a - p * {100 + pct}").alias("w"), "need", F.explode("own").alias("t")))
+    # differences within one component come first in the order: no two that are left can share them
+    seen = (apart.groupBy("list", "t").agg(F.count(F.lit(1)).alias("c"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
+            .where("lo < hi").select("list", "t", "c"))
+    rest = F.row_number().over(Window.partitionBy("list", "x").orderBy(F.desc("c"), F.desc("t")))
+    index = cut_lineage(apart.join(seen, ["list", "t"]).withColumn("rest", rest).where("rest >= need")
+                        .select("list", "t", "x", "cx", "n", "w", "rest"))
+    one, two = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "cx", "n", "w", "rest")]) for s in "ab")
     # at the first shared difference, in their order, no more than the rest of both can be shared
     return (one.join(two, ["list", "t"])
             .where(f"x_a < x_b AND cx_a <> cx_b AND 100 * least(n_a, n_b) >= {pct} * greatest(n_a, n_b) "
-                   f"AND a_a + a_b - p_a * {100 + pct} <= least(rest_a, rest_b) * {100 + pct}")
+                   f"AND w_a + w_b <= 2 * least(rest_a, rest_b) * {100 + pct}")
             .select(F.col("x_a").alias("x"), F.col("x_b").alias("y")).distinct())

@@ -21,9 +21,11 @@ Plan:
    Links are verified on the whole sets and joined into components; most lists then
    hold one component only.
 5. A list that still spans components and has at most ``FEW`` members emits the pairs
-   between components (a bounded number per index row). A longer one is met through
-   one pivot, the node with most links in the component with most members in the
-   list: all members of a pivot's lists are compared with it and described by their
+   between components (a bounded number per index row). A longer one gets a pivot, the
+   node with most links in the component with most members in the list. The lists of
+   a pivot emit their pairs if these are no more than the shingles of their members
+   (texts that share a passage), so that the pairs grow with the input.
+   In all others all members are compared with the pivot and described by their
    differences from the members' common text, and two of them are met only over a
    difference that any two that link must share (``near_pairs.differences``,
    ``near_pairs.left_pairs``). So a group's badly changed members never meet all
@@ -62,8 +64,8 @@ PCT = 75
 CELLS = 1 << 20
 #: Largest number of required prefix matches.
 MOST = 4
-#: Members of an open list up to which its pairs are emitted (speed only).
-FEW = 64
+#: Members of an open list up to which its pairs are emitted in any case (speed only).
+FEW = 8
 
 
 def least_overlap(n, pct: int = PCT):
@@ -231,30 +233,32 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFr
                         .where("spans > 1").select("token", "k", "main"))
     if open_.isEmpty():
         return comp
-    few = (shared.join(open_.where(F.col("k") <= FEW), "token").join(comp, "node").join(sizes, "node")
-           .select("token", "node", "comp", "size"))
+    # each longer list's pivot (a component without links is one node)
+    hubs = (links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+            .join(comp, "node").groupBy("comp").agg(F.max_by("node", F.struct("c", -F.col("node"))).alias("hub")))
+    pivots = cut_lineage(open_.where(F.col("k") > FEW).join(hubs.withColumnRenamed("comp", "main"), "main", "left")
+                         .select("token", "k", F.coalesce("hub", "main").alias("y")))
+    around = cut_lineage(shared.join(pivots, "token").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
+    dear = _dear(pivots, around, sizes)
+    wanted = around.join(dear, "y", "left_semi")
+    short = open_.where(F.col("k") <= FEW).select("token").union(pivots.join(dear, "y", "left_anti").select("token"))
+    few = shared.join(short, "token").join(comp, "node").join(sizes, "node").select("token", "node", "comp", "size")
     a, b = (few.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "size")]) for s in "ab")
     pairs = (a.join(b, "token")
              .where(f"node_a < node_b AND comp_a <> comp_b AND 100 * least(size_a, size_b) >= {PCT} * greatest(size_a, size_b)")
              .select(F.col("node_a").alias("x"), F.col("node_b").alias("y")).distinct())
 
-    # each longer list's pivot (a component without links is one node)
-    hubs = (links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
-            .join(comp, "node").groupBy("comp").agg(F.max_by("node", F.struct("c", -F.col("node"))).alias("hub")))
-    pivots = (open_.where(F.col("k") > FEW).join(hubs.withColumnRenamed("comp", "main"), "main", "left")
-              .select("token", F.coalesce("hub", "main").alias("y")))
-    wanted = cut_lineage(shared.join(pivots, "token").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
-    if not wanted.isEmpty():
+    if not dear.isEmpty():
         away = _compared(texts, nodes, wanted.join(done.select("x", "y"), ["x", "y"], "left_anti"))
         links = links.union(away.where("linked").select("x", "y"))
         done = done.unionByName(away)
         lists = (done.join(wanted, ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
                  .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
-        apart, sized = near_pairs.differences(lists, comp, PCT)
+        sized = near_pairs.differences(lists, comp, PCT)
         # enough in common whatever they share of their differences
         links = links.union(sized.where("needs <= 0 AND x <> y").select("x", "y"))
         comp = near_pairs.component_of(links, members)
-        pairs = pairs.union(near_pairs.left_pairs(apart, sized, comp, PCT))
+        pairs = pairs.union(near_pairs.left_pairs(sized, comp, PCT))
     tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     pairs = cut_lineage(_sides(pairs, comp).where("cx <> cy").select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
     near = cut_lineage(_enough(pairs, shared, sizes))
@@ -264,6 +268,16 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFr
     return near_pairs.component_of(links.union(last.where("linked").select("x", "y")), members)
 
 
+def _dear(pivots: DataFrame, around: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pivots y whose lists hold more pairs than their members and the pivot, once
+    each, hold shingles: so neither way makes more rows than the members' sets."""
+    pairs = pivots.groupBy("y").agg(F.sum(F.expr("k * (k - 1) / 2")).alias("pairs"))
+    own = sizes.select(F.col("node").alias("y"), F.col("size").alias("sy"))
+    sets = around.join(sizes.select(F.col("node").alias("x"), "size"), "x").groupBy("y").agg(
+        F.count(F.lit(1)).alias("k"), F.sum("size").alias("sx"))
+    return cut_lineage(pairs.join(sets, "y").join(own, "y").where("pairs > sx + k * sy").select("y"))
+
+
 def _sides(pairs: DataFrame, comp: DataFrame) -> DataFrame:
     return pairs.join(comp.toDF("x", "cx"), "x").join(comp.toDF("y", "cy"), "y")
 
