@@ -182,6 +182,27 @@ def test_ngram_join_two_pivots(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == want
 
 
+def test_differences_from_the_common_text(spark):
+    """Members are described by one row each, whatever the pivot lacks of their common text."""
+    from tidepool.llm import near_pairs
+    pivot, common = set(range(20, 60)), set(range(0, 50))
+    sets = {x: common - {x} | {100 + x} for x in range(1, 8)}
+    rows = [(0, x, len(s), len(pivot), sorted(s - pivot), sorted(pivot - s)) for x, s in sets.items()]
+    met = spark.createDataFrame(rows, "list long, x long, n long, size long, besides array<long>, lacks array<long>")
+    comp = spark.createDataFrame([(x, x) for x in sets], "node long, comp long")
+    found = near_pairs.differences(met, comp, 75).collect()
+    assert {r.x: set(r.own) for r in found} == {x: s ^ common for x, s in sets.items()}
+    assert {(r.n, r.p, r.a) for r in found} == {(50, 50, 50 * 75 + 175)}
+
+
+def test_ngram_join_differences_by_cost(spark):
+    """A pivot with many lists of 40 members takes differences, one with a single list of long texts pairs."""
+    pivots = spark.createDataFrame([(t, 40, 1) for t in range(100)] + [(1000, 40, 2)], "token long, k long, y long")
+    around = spark.createDataFrame([(10 + i, y) for i in range(39) for y in (1, 2)], "x long, y long")
+    sizes = spark.createDataFrame([(n, 300, 1) for n in (1, 2, *range(10, 49))], "node long, size long, least long")
+    assert [r.y for r in ngram_join._dear(pivots, around, sizes).collect()] == [1]
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def brute_quality(text):
