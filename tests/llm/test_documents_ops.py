@@ -203,6 +203,39 @@ def test_ngram_join_differences_by_cost(spark):
     assert [r.y for r in ngram_join._dear(pivots, around, sizes).collect()] == [1]
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    """Links that are stars already cost one checkpoint, and a chain ends without a round that changes nothing."""
+    from tidepool.llm import components
+    made = []
+    monkeypatch.setattr(components, "cut_lineage", lambda df: made.append(1) or df.checkpoint())
+
+    def named(rows):
+        made.clear()
+        return {r.node: r.component for r in components.connected(spark.createDataFrame(rows, "a long, b long")).collect()}
+    assert named([(1, 5), (6, 1), (7, 1), (2, 9), (4, 4), (1, 5)]) == {1: 1, 5: 1, 6: 1, 7: 1, 2: 2, 9: 2, 4: 4}
+    assert len(made) == 1
+    assert named([(5, 1), (5, 2)]) == {1: 1, 2: 1, 5: 1} and len(made) == 2
+    assert named([(i, i + 1) for i in range(40)] + [(50, 60), (60, 55)]) == {**dict.fromkeys(range(41), 0), 50: 50, 55: 50, 60: 50}
+
+
+def test_joined_components(spark):
+    from tidepool.llm import near_pairs
+    comp = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 6)], "node long, comp long")
+    links = spark.createDataFrame([(1, 2), (4, 5), (5, 2)], "x long, y long")
+    assert {tuple(r) for r in near_pairs.joined(comp, links).collect()} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 1), (6, 6)}
+    assert near_pairs.joined(comp, links.where("x = 1")) is comp
+
+
+def test_ngram_join_passages_make_no_pairs(spark):
+    """Texts that share a passage too short for a link leave no pair to be joined; pairs that may share more
+    in other lists stay."""
+    few = [(t, n, n, 100, 1, False) for t in range(3) for n in range(6)]  # 3 common shingles of 100
+    few += [(t, n, n, 100, 1, False) for t in range(10, 30) for n in (10, 11)]  # 20 of 26
+    few += [(40, n, n, 100, 1, True) for n in (20, 21)] + [(41, n, n, 100, 1, n == 22) for n in (22, 23)]
+    rows = spark.createDataFrame(few, "token long, node long, comp long, size long, least long, inside boolean")
+    assert {tuple(r) for r in ngram_join._matched(rows).collect()} == {(10, 11, False), (20, 21, True)}
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def brute_quality(text):

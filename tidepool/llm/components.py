@@ -14,35 +14,35 @@ def connected(links: DataFrame) -> DataFrame:
 
     Each round hangs every node's neighbours under the smallest of them
     (large-star, then small-star), so a chain of n links needs about log n
-    rounds and a star none; every round is two aggregations over edges, cut
-    by a reliable checkpoint. Hot nodes are pre-aggregated (``min``) and the
+    rounds and a star under its smallest node none; every round is two
+    aggregations over edges, cut by a reliable checkpoint, and ends the work
+    once all edges are stars. Hot nodes are pre-aggregated (``min``) and the
     join back splits under AQE.
     """
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                         .where("a IS NOT NULL AND b IS NOT NULL").distinct())
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    edges, before = edges.where("a > b"), None
-    while True:
+    loops, edges = edges.where("a = b"), edges.where("a > b")
+    while not _stars(edges):
         # large-star: larger neighbours of u go under the smallest of u's neighbours and u
-        both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
-                                              F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("e")).select("e.*")
+        both = _ends(edges, "u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         # small-star: smaller neighbours of u, and u, go under the smallest
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (large.join(low, "a").select(F.col("b").alias("x"), "m").where("x > m")
-                 .union(low.select("a", "m")).distinct().toDF("a", "b"))
-        small = cut_lineage(small)
-        edges, state = small, _state(small)
-        if state == before:
-            break
-        before = state
-    return (nodes.join(edges.select(F.col("a").alias("node"), F.col("b").alias("component")), "node", "left")
-            .select("node", F.coalesce("component", "node").alias("component")))
-
-
-def _state(edges: DataFrame) -> tuple:
-    """Number, sum of the smaller ends and sum of hashes of the edges: equal
-    for equal sets, and different for different ones but for a chance of 2^-64."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.col("b").cast("decimal(38,0)")),
-                           F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        edges = cut_lineage(large.join(low, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
+                            .where("a > b").distinct())
+    return (_ends(edges, "node", "component").union(loops).toDF("node", "component")
+            .groupBy("node").agg(F.min(F.least("node", "component")).alias("component")))
+
+
+def _ends(edges: DataFrame, one: str, other: str) -> DataFrame:
+    """Both directions of every edge."""
+    return edges.select(F.explode(F.array(F.struct(F.col("a").alias(one), F.col("b").alias(other)),
+                                          F.struct(F.col("b").alias(one), F.col("a").alias(other)))).alias("e")).select("e.*")
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Does every larger end ``a`` have one edge only, and none to a node below it?"""
+    return (_ends(edges, "node", "other").groupBy("node")
+            .agg(F.sum(F.expr("int(node > other)")).alias("up"), F.max(F.expr("int(node < other)")).alias("down"))
+            .where("up > 1 OR up = 1 AND down = 1").isEmpty())

@@ -71,8 +71,9 @@ def compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, shingles: Cal
     pairs (x, y). ``shingles`` gives the sorted sets of a text column, ``digest``
     two numbers that name one (the first is a node's ``d1``)."""
     name = nodes.select("node", "doc_id", "d1")
-    named = (pairs.select("x", "y").join(name.toDF("x", "xid", "xd"), "x").join(name.toDF("y", "yid", "yd"), "y"))
-    texts = concerned(texts, nodes, pairs)
+    named = cut_lineage(pairs.select("x", "y").join(name.toDF("x", "xid", "xd"), "x").join(name.toDF("y", "yid", "yd"), "y"))
+    # a filter of bounded size, before any text is shuffled; the joins on the ids decide
+    texts = near_ids(texts, named.select(F.explode(F.array("xid", "yid")).alias("doc_id")), "left_semi")
     rows = (named.join(texts.select(F.col("doc_id").alias("xid"), F.col("text").alias("xt")), "xid")
             .join(texts.select(F.col("doc_id").alias("yid"), F.col("text").alias("yt")), "yid"))
     found = rows.select("x", "y", "xd", "yd", "xt", "yt").mapInArrow(
@@ -80,20 +81,22 @@ def compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, shingles: Cal
     return cut_lineage(found.withColumn("linked", F.expr(f"100 * both >= {pct} * (sx + sy - both)")))
 
 
-def concerned(texts: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The texts of the documents in ``pairs``, and perhaps some others: a filter of
-    bounded size, before any text is shuffled. The joins on the ids decide."""
-    ids = (pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct()
-           .join(nodes.select("node", "doc_id"), "node").select("doc_id"))
-    return near_ids(texts, ids, "left_semi")
-
-
 def component_of(links: DataFrame, members: DataFrame) -> DataFrame:
     """(node, comp) of every member; comp is the smallest node."""
     named = components.connected(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     return cut_lineage(members.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
 
 
+def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after ``links`` (x, y) between the components of ``comp``: only
+    these links are followed, not those that made the components."""
+    over = cut_lineage(links.join(comp.toDF("x", "a"), "x").join(comp.toDF("y", "b"), "y").where("a <> b").select("a", "b"))
+    if over.isEmpty():
+        return comp
+    named = components.connected(over).toDF("comp", "component")
+    return cut_lineage(comp.join(named, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")))
+
+
 def differences(met: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
     """Per list that spans components and member x of it: list, x, its size n, its
     ``own`` differences from the list's common text, its weight a, that text's size p,

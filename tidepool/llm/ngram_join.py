@@ -186,44 +186,42 @@ def _possible(matches: Column, sx: Column, mx: Column, sy: Column, my: Column) -
             & (F.least(sx, sy) * 100 >= F.greatest(sx, sy) * PCT))
 
 
-def _sized(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    for side in ("x", "y"):
-        pairs = pairs.join(sizes.select(F.col("node").alias(side), F.col("size").alias(f"s{side}"),
-                                        F.col("least").alias(f"m{side}")), side)
-    return pairs
-
-
 def _reachable(pairs: DataFrame) -> DataFrame:
     return pairs.where(_possible(*[F.col(c) for c in ("matches", "sx", "mx", "sy", "my")]))
 
 
-def _enough(pairs: DataFrame, shared: DataFrame, sizes: DataFrame) -> DataFrame:
+def _enough(pairs: DataFrame, shared: DataFrame) -> DataFrame:
     """The pairs (x, y) that share as many prefix shingles as their prefixes require."""
     some = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    tokens = cut_lineage(shared.join(some, "node", "left_semi").groupBy("node").agg(F.collect_set("token").alias("t")))
-    both = (_sized(pairs, sizes).join(tokens.toDF("x", "tx"), "x").join(tokens.toDF("y", "ty"), "y")
+    about = cut_lineage(shared.join(some, "node", "left_semi").groupBy("node")
+                        .agg(F.collect_set("token").alias("t"), F.first("size").alias("s"), F.first("least").alias("m")))
+    both = (pairs.join(about.toDF("x", "tx", "sx", "mx"), "x").join(about.toDF("y", "ty", "sy", "my"), "y")
             .withColumn("matches", F.size(F.array_intersect("tx", "ty"))))
     return _reachable(both).select("x", "y")
 
 
 def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFrame, rounds: int) -> DataFrame:
-    """(node, comp) of every node of the index lists."""
+    """(node, comp) of every node of the index lists (token, node, its size and least)."""
     members = sizes.select("node")
     comp, done = members.withColumn("comp", F.col("node")), None
     for turn in range(rounds):
-        low = shared.groupBy("token").agg(F.min_by("node", F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("y"))
-        met = (shared.join(low, "token").where("node <> y")
-               .groupBy(F.col("node").alias("x"), "y").agg(F.count(F.lit(1)).alias("matches")))
+        low = shared.groupBy("token").agg(
+            F.min_by(F.struct("node", "size", "least"), F.struct(F.xxhash64("node", F.lit(turn)), "node")).alias("y"))
+        # sizes come with the lists, so that no row per pair is joined with its nodes
+        met = (shared.join(low, "token").where("node <> y.node").groupBy(F.col("node").alias("x"), F.col("y.node").alias("y"))
+               .agg(F.count(F.lit(1)).alias("matches"), F.first("size").alias("sx"), F.first("least").alias("mx"),
+                    F.first("y.size").alias("sy"), F.first("y.least").alias("my")))
         # lists of other pivots may hold more matches: here the bound is a guess
-        met = _reachable(_sized(met, sizes))
+        met = _reachable(met)
         if done is not None:
             met = (_sides(met, comp).where("cx <> cy")
                    .join(done.select("x", "y"), ["x", "y"], "left_anti"))
         met = cut_lineage(met.groupBy("x").agg(F.max_by("y", F.struct("matches", -F.col("y"))).alias("y")))
         seen = _compared(texts, nodes, met)
+        new = seen.where("linked").select("x", "y")
+        comp = near_pairs.component_of(new, members) if done is None else near_pairs.joined(comp, new)
         done = seen if done is None else done.unionByName(seen)
-        links = done.where("linked").select("x", "y")
-        comp = near_pairs.component_of(links, members)
+    links = done.where("linked").select("x", "y")
 
     # lists that span components, by the members of each component in them
     parts = (shared.join(comp, "node").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")))
@@ -240,32 +238,50 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFr
                          .select("token", "k", F.coalesce("hub", "main").alias("y")))
     around = cut_lineage(shared.join(pivots, "token").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
     dear = _dear(pivots, around, sizes)
-    wanted = around.join(dear, "y", "left_semi")
+    apart = not dear.isEmpty()
     short = open_.where(F.col("k") <= FEW).select("token").union(pivots.join(dear, "y", "left_anti").select("token"))
-    few = shared.join(short, "token").join(comp, "node").join(sizes, "node").select("token", "node", "comp", "size")
-    a, b = (few.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "size")]) for s in "ab")
-    pairs = (a.join(b, "token")
-             .where(f"node_a < node_b AND comp_a <> comp_b AND 100 * least(size_a, size_b) >= {PCT} * greatest(size_a, size_b)")
-             .select(F.col("node_a").alias("x"), F.col("node_b").alias("y")).distinct())
+    few = shared.join(short, "token").join(comp, "node")
+    if apart:
+        wanted = cut_lineage(around.join(dear, "y", "left_semi").select("x", "y"))
+        inside = wanted.select(F.col("x").alias("node")).union(dear).distinct().withColumn("inside", F.lit(True))
+        few = few.join(inside, "node", "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
+    else:
+        few = few.withColumn("inside", F.lit(False))
+    pairs = cut_lineage(_matched(cut_lineage(few)))
+    near = pairs.where("NOT hidden").select("x", "y")
+    tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
-    if not dear.isEmpty():
+    if apart:
         away = _compared(texts, nodes, wanted.join(done.select("x", "y"), ["x", "y"], "left_anti"))
-        links = links.union(away.where("linked").select("x", "y"))
         done = done.unionByName(away)
+        tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         lists = (done.join(wanted, ["x", "y"], "left_semi").dropDuplicates(["x", "y"])
                  .select(F.col("y").alias("list"), "x", F.col("sx").alias("n"), F.col("sy").alias("size"), "besides", "lacks"))
         sized = near_pairs.differences(lists, comp, PCT)
         # enough in common whatever they share of their differences
-        links = links.union(sized.where("needs <= 0 AND x <> y").select("x", "y"))
-        comp = near_pairs.component_of(links, members)
-        pairs = pairs.union(near_pairs.left_pairs(sized, comp, PCT))
-    tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-    pairs = cut_lineage(_sides(pairs, comp).where("cx <> cy").select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
-    near = cut_lineage(_enough(pairs, shared, sizes))
+        comp = near_pairs.joined(comp, away.where("linked").select("x", "y")
+                                 .union(sized.where("needs <= 0 AND x <> y").select("x", "y")))
+        unsure = pairs.where("hidden").select("x", "y").union(near_pairs.left_pairs(sized, comp, PCT))
+        unsure = cut_lineage(_sides(unsure, comp).where("cx <> cy").select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
+        near = _sides(near, comp).where("cx <> cy").select("x", "y").union(_enough(unsure, shared)).distinct()
+    near = cut_lineage(near.join(tried, ["x", "y"], "left_anti"))
     if near.isEmpty():
         return comp
-    last = _compared(texts, nodes, near)
-    return near_pairs.component_of(links.union(last.where("linked").select("x", "y")), members)
+    return near_pairs.joined(comp, _compared(texts, nodes, near).where("linked").select("x", "y"))
+
+
+def _matched(few: DataFrame) -> DataFrame:
+    """The pairs (x, y) between components that lists hold (token, node, comp, size,
+    least, inside) and that can reach the threshold. All that a pair shares lies in
+    these lists unless both are ``inside`` other open lists as well; such a pair stays,
+    ``hidden``."""
+    a, b = (few.select("token", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "comp", "size", "least", "inside")]) for s in "ab")
+    pairs = (a.join(b, "token")
+             .where(f"node_a < node_b AND comp_a <> comp_b AND 100 * least(size_a, size_b) >= {PCT} * greatest(size_a, size_b)")
+             .groupBy(F.col("node_a").alias("x"), F.col("node_b").alias("y"))
+             .agg(F.count(F.lit(1)).alias("matches"), F.first("size_a").alias("sx"), F.first("least_a").alias("mx"),
+                  F.first("size_b").alias("sy"), F.first("least_b").alias("my"), F.first(F.expr("inside_a AND inside_b")).alias("hidden")))
+    return pairs.where(F.col("hidden") | _possible(*[F.col(c) for c in ("matches", "sx", "mx", "sy", "my")])).select("x", "y", "hidden")
 
 
 def _dear(pivots: DataFrame, around: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -286,6 +302,8 @@ def _found(docs: DataFrame, rounds: int = 1) -> DataFrame:
     """doc_id, key (a hash of id and text), n_shingles, component_id and the key of the
     row that stands for the component, of every input row."""
     spark = docs.sparkSession
+    # the many joins of short tables shuffle both sides: each broadcast is built and held on the driver
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     texts = (common.columns(docs, doc_id="long", text="string")
              .select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key")))
     first = cut_lineage(texts.mapInArrow(
@@ -308,7 +326,7 @@ def _found(docs: DataFrame, rounds: int = 1) -> DataFrame:
     several = index.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
     shared = cut_lineage(index.join(several, "token", "left_semi"))
     sizes = cut_lineage(shared.select("node", "size", "least").distinct())
-    comp = _linked(named, nodes, shared.select("token", "node"), sizes, rounds)
+    comp = _linked(named, nodes, shared, sizes, rounds)
 
     lone = (nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     least = lone.groupBy("comp").agg(F.min(F.struct("doc_id", "key")).alias("least"))
