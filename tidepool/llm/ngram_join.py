@@ -21,7 +21,9 @@ Plan:
    Links are verified on the whole sets and joined into components; most lists then
    hold one component only.
 5. A list that still spans components and has at most ``FEW`` members emits the pairs
-   between components (a bounded number per index row). A longer one gets a pivot, the
+   between components (a bounded number per index row), each once with the number of its
+   lists: all that it shares, unless both nodes are in lists of the kind below as well.
+   A longer one gets a pivot, the
    node with most links in the component with most members in the list. The lists of
    a pivot emit their pairs if these are no more than the shingles of their members
    (texts that share a passage), so that the pairs grow with the input.
