@@ -412,6 +412,44 @@ def test_language_mixture():
     assert abs(share[1][0] - 0.5) < 0.02 and abs(share[2][1] - 0.75) < 0.02
 
 
+def test_parts_keep_every_row():
+    import pyarrow as pa
+    texts = ["ab", None, "", "x" * 50, "é" * 6, "y", None, "z" * 9]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "i": list(range(len(texts)))})
+    for size in (1, 10, 20, 1000):
+        got = list(common.parts(iter([batch, batch.slice(2, 3), batch.slice(0, 0)]), size))
+        want = [*enumerate(texts), *enumerate(texts[2:5], 2)]
+        assert [(r["i"], r["text"]) for b in got for r in b.to_pylist()] == want
+        assert all(b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column("text").to_pylist()) <= size
+                   for b in got)
+    assert [b.num_rows for b in common.parts(iter([batch.slice(0, 0)]))] == [0]
+
+
+def test_workers_hold_a_part_of_a_batch():
+    """What counting, prediction and the rules allocate follows a part of the
+    texts, not the batch; the rows are those of the whole batch."""
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import numpy as np
+    import pyarrow as pa
+    texts = [" ".join(f"w{chr(97 + (i * j) % 26)}{chr(97 + j % 26)}{i % 9}" for j in range(900)) for i in range(600)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": [("de", "en")[i % 2] for i in range(len(texts))]})
+    table = np.log(np.random.default_rng(7).dirichlet(np.ones(language_id.CELLS), 4).T).astype(np.float32)
+    shares, sizes = language_id.infer(batch.column("text"), table)
+    ok = (sizes > 0) & (shares.max(axis=1) >= 0.5)
+    _, good = quality_rules.verdict(quality_rules.measure(batch.column("text")))
+    for run, want in ((language_id._count, None), (language_id._keep(SimpleNamespace(value=table), 0.5), ok),
+                      (quality_rules._keep, good)):
+        tracemalloc.start()
+        out = list(run(iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 10 * batch.column("text").nbytes
+        if want is not None:
+            assert [t for b in out for t in b.column("text").to_pylist()] == [t for t, w in zip(texts, want) if w]
+
+
 # --- op 8 ---------------------------------------------------------------------
 
 def test_lz_fingerprint_whole_table(spark, raw):

@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import RDD
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +19,8 @@ from pyspark.sql import functions as F
 #: are kept short (Spark also closes a batch at arrow.maxBytesPerBatch).
 BATCH_ROWS = "1000"
 BATCH_BYTES = str(16 << 20)
+#: Bytes of text that the numpy work of an operator holds arrays for at once.
+PART_BYTES = 256 << 10
 
 
 _SHIPPED: set[str] = set()
@@ -58,6 +63,22 @@ def columns(df: DataFrame, **kinds: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(kind).alias(c) for c, kind in kinds.items()])
 
 
+def parts(batches: Iterator[pa.RecordBatch], size: int = PART_BYTES) -> Iterator[pa.RecordBatch]:
+    """All rows in their order, in batches of about ``size`` bytes of ``text``
+    (a longer text alone in one): a worker's memory follows ``size``, not the
+    batch. Only for work on one text at a time. Empty batches stay."""
+    for batch in batches:
+        n = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        end, at = np.cumsum(n), 0
+        while True:
+            done = end[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(end, done + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+            if at >= len(n):
+                break
+
+
 def tree(parts: RDD, add: Callable[[Any, Any], Any]) -> Any:
     """All values joined by ``add``, pairwise in a tree on the executors; the
     driver gets the few last ones. None without values."""

@@ -84,7 +84,7 @@ class Grams:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     found: dict[str, np.ndarray] = {}
-    for batch in batches:
+    for batch in common.parts(batches):
         for lang in pc.unique(batch.column("lang")).to_pylist():
             own = batch.filter(pc.equal(batch.column("lang"), lang))
             n = np.bincount(Grams(own.column("text")).cell, minlength=CELLS)
@@ -101,7 +101,8 @@ def learn(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages by name, log probability per cell and language)."""
     rows = (common.columns(docs, doc_id="long", lang="string", text="string")
             .where(F.col("doc_id").isNotNull() & ~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    parts = rows.select("lang", "text").mapInArrow(_count, "lang string, n binary").rdd
+    # counting and adding up in stages of their own: never two Python workers for one task
+    parts = rows.select("lang", "text").mapInArrow(_count, "lang string, n binary").hint("rebalance").rdd
     total = common.tree(parts.map(lambda r: {r.lang: np.frombuffer(zlib.decompress(r.n), np.int64)}), _add) or {}
     names = sorted(k for k, n in total.items() if n.any())
     table = np.zeros((CELLS, len(names)), np.float32)
@@ -167,7 +168,7 @@ def infer(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _predict(names: list[str], at) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.parts(batches):
             shares, sizes = infer(batch.column("text"), at.value)
             pred, score, text = [], [], []
             for s, k in zip(shares, sizes):
@@ -190,17 +191,20 @@ def identify(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_predict(names, at), SCHEMA)
 
 
-def keep(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """The documents with a known main language, with all their columns."""
-    names, table = learn(docs)
-    at = docs.sparkSession.sparkContext.broadcast(table)
-
+def _keep(at, min_share: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.parts(batches):
             shares, sizes = infer(batch.column("text"), at.value)
             ok = (sizes > 0) & (shares.max(axis=1, initial=0.0) >= min_share)
             yield batch.filter(pa.array(ok))
-    return docs.mapInArrow(run, docs.schema)
+    return run
+
+
+def keep(docs: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+    """The documents with a known main language, with all their columns."""
+    names, table = learn(docs)
+    at = docs.sparkSession.sparkContext.broadcast(table)
+    return docs.mapInArrow(_keep(at, min_share), docs.schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -112,7 +112,7 @@ def verdict(m: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [c.split()[0] for c in SCHEMA.split(", ")]
-    for batch in batches:
+    for batch in common.parts(batches):
         m = measure(batch.column("text"))
         m["base_failed"], m["kept"] = verdict(m)
         cols = [batch.column("doc_id")] + [pa.array(m[c]) for c in names[1:]]
@@ -125,7 +125,7 @@ def score(docs: DataFrame) -> DataFrame:
 
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in common.parts(batches):
         yield batch.filter(pa.array(verdict(measure(batch.column("text")))[1]))
 
 
