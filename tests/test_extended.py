@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from conftest import SF001
 from tidepool.ml import least_squares
 from tidepool.operators import ranking, variant
 from tidepool.operators.aggregates import sliding_panes
@@ -147,3 +149,13 @@ def test_variant_keeps_malformed_rows(spark):
     got = {r.id: (r.malformed, r.k, r.o) for r in variant.fields(parsed, {"k": ("$.k", "int"), "o": ("$.other[1]", "int")}).collect()}
     assert got == {1: (False, 5, None), 2: (False, None, None), 3: (True, None, None), 4: (False, None, None), 5: (False, None, 2)}
     assert "other" in variant.schema(parsed).first()[0]
+
+
+def test_catalog_registered_beside_a_temporary_view(spark):
+    """Temporary views of the session are no tables of the database."""
+    spark.range(1).createOrReplaceTempView("customers")
+    try:
+        rows = E.queries()["catalog_registered"](spark, SF001).collect()
+    finally:
+        spark.catalog.dropTempView("customers")
+    assert rows and all(r.listed and r.dropped for r in rows)

@@ -347,10 +347,12 @@ def catalog_registered(spark: SparkSession, d: str) -> DataFrame:
     read_table(spark, d, "customer").select("c_custkey", "c_nationkey").write.parquet(f"{base}/customers")
     catalog.create_database(spark, db, f"{base}/db")
     catalog.register_location(spark, f"{db}.customers", f"{base}/customers")
-    listed = catalog.list_tables(spark, db).where("tableName = 'customers'").count() == 1
+    # SHOW TABLES also lists the session's temporary views
+    own = "tableName = 'customers' AND NOT isTemporary"
+    listed = catalog.list_tables(spark, db).where(own).count() == 1
     rows = spark.table(f"{db}.customers").count()
     catalog.drop_table(spark, f"{db}.customers")
-    dropped = catalog.list_tables(spark, db).count() == 0
+    dropped = catalog.list_tables(spark, db).where(own).count() == 0
     left = spark.read.parquet(f"{base}/customers")
     return (left.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("customers"))
             .withColumn("listed", F.lit(listed and rows == left.count())).withColumn("dropped", F.lit(dropped)))
