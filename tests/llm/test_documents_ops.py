@@ -236,6 +236,51 @@ def test_ngram_join_passages_make_no_pairs(spark):
     assert {tuple(r) for r in ngram_join._matched(rows).collect()} == {(10, 11, False), (20, 21, True)}
 
 
+def test_ngram_join_lists_of_far_sizes_stay_shut(spark, monkeypatch):
+    """A list of two components whose sizes no link spans is not read again; others are."""
+    rows = []
+    for i in range(20):  # a short and a long text share a passage, rarer than the rest of both
+        for j, n in enumerate((20, 80)):
+            tail = [f"t{i}y{j}z{k}" for k in range(n)]
+            rows.append((10 * i + j, " ".join([f"p{i}x{k}" for k in range(12)] + tail)))
+            rows += [(10 * i + c, " ".join([f"j{i}y{j}z{k}" for k in range(n)] + tail)) for c in (2 * j + 2, 2 * j + 3)]
+    given, matched = [], ngram_join._matched
+    monkeypatch.setattr(ngram_join, "_matched", lambda few: (given.append(few.count()), matched(few))[1])
+    found = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
+    assert sum(given) == 0
+    lists = [(1, 10, 30), (1, 11, 41), (2, 10, 30), (2, 11, 40), (3, 10, 30), (3, 12, 30),  # 30:41, 30:40, one component
+             (4, 10, 30), (4, 11, 90), (4, 13, 95), (5, 13, 95), (5, 14, 200), (5, 11, 90), (5, 15, 71)]
+    shared = spark.createDataFrame(lists, "token long, node long, size long")
+    comp = spark.createDataFrame([(10, 10), (11, 11), (12, 10), (13, 11), (14, 11), (15, 15)], "node long, comp long")
+    got = {(r.token, r.k, r.main) for r in ngram_join._open(shared, comp).collect()}
+    assert got == {(2, 2, 10), (5, 4, 11)}, got
+
+
+def test_settled_leaves_no_shuffle_files(spark):
+    """Same rows in few partitions; the exchanges before are gone, the setting is as it was."""
+    import time
+
+    from tidepool.session import settled
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {n for f in disk.getAllFiles().mkString("\n").split("\n") if (n := os.path.basename(f)).startswith("shuffle_")}
+    before, known = spark.conf.get(key, None), shuffles()
+    keys = spark.range(0, 3000, 1, 40).repartition(40, "id").groupBy("id").count()
+    short, wide = settled(keys), settled(keys, "20000")
+    assert sorted(r.id for r in short.collect()) == list(range(3000))
+    assert short.rdd.getNumPartitions() == 1 and len(wide.collect()) == 3000
+    assert settled(keys.where("id < 0")).collect() == []
+    assert spark.conf.get(key, None) == before
+    for _ in range(40):  # removed in the background
+        if not (left := {n for n in shuffles() - known if n.endswith(".data")}):
+            break
+        time.sleep(0.25)
+    assert not left, left
+
+
 # --- op 4 ---------------------------------------------------------------------
 
 def brute_quality(text):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.session import cut_lineage
+from tidepool.session import settled as cut_lineage
 
 
 def connected(links: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm import components
-from tidepool.session import cut_lineage
+from tidepool.session import settled
 
 #: Hash slots of the filter that picks the texts to verify: the bound of what
 #: it broadcasts (4 bytes each).
@@ -71,30 +71,31 @@ def compared(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, shingles: Cal
     pairs (x, y). ``shingles`` gives the sorted sets of a text column, ``digest``
     two numbers that name one (the first is a node's ``d1``)."""
     name = nodes.select("node", "doc_id", "d1")
-    named = cut_lineage(pairs.select("x", "y").join(name.toDF("x", "xid", "xd"), "x").join(name.toDF("y", "yid", "yd"), "y"))
+    named = settled(pairs.select("x", "y").join(name.toDF("x", "xid", "xd"), "x").join(name.toDF("y", "yid", "yd"), "y"))
     # a filter of bounded size, before any text is shuffled; the joins on the ids decide
     texts = near_ids(texts, named.select(F.explode(F.array("xid", "yid")).alias("doc_id")), "left_semi")
     rows = (named.join(texts.select(F.col("doc_id").alias("xid"), F.col("text").alias("xt")), "xid")
             .join(texts.select(F.col("doc_id").alias("yid"), F.col("text").alias("yt")), "yid"))
     found = rows.select("x", "y", "xd", "yd", "xt", "yt").mapInArrow(
         _overlap(shingles, digest), "x long, y long, sx long, sy long, both long, besides array<long>, lacks array<long>")
-    return cut_lineage(found.withColumn("linked", F.expr(f"100 * both >= {pct} * (sx + sy - both)")))
+    return settled(found.withColumn("linked", F.expr(f"100 * both >= {pct} * (sx + sy - both)")),
+                   "1 + size(besides) + size(lacks)")
 
 
 def component_of(links: DataFrame, members: DataFrame) -> DataFrame:
     """(node, comp) of every member; comp is the smallest node."""
     named = components.connected(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return cut_lineage(members.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
+    return settled(members.join(named, "node", "left").select("node", F.coalesce("component", "node").alias("comp")))
 
 
 def joined(comp: DataFrame, links: DataFrame) -> DataFrame:
     """(node, comp) after ``links`` (x, y) between the components of ``comp``: only
     these links are followed, not those that made the components."""
-    over = cut_lineage(links.join(comp.toDF("x", "a"), "x").join(comp.toDF("y", "b"), "y").where("a <> b").select("a", "b"))
+    over = settled(links.join(comp.toDF("x", "a"), "x").join(comp.toDF("y", "b"), "y").where("a <> b").select("a", "b"))
     if over.isEmpty():
         return comp
     named = components.connected(over).toDF("comp", "component")
-    return cut_lineage(comp.join(named, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")))
+    return settled(comp.join(named, "comp", "left").select("node", F.coalesce("component", "comp").alias("comp")))
 
 
 def differences(met: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
@@ -106,7 +107,7 @@ def differences(met: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
     rows = met.join(comp.toDF("x", "cx"), "x")
     lists = (rows.groupBy("list").agg(F.count(F.lit(1)).alias("k"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
              .where("lo < hi").select("list", "k"))
-    rows = cut_lineage(rows.drop("cx").join(lists, "list"))
+    rows = settled(rows.drop("cx").join(lists, "list"), "1 + size(besides) + size(lacks)")
     one = F.expr("explode(concat(transform(besides, t -> struct(t AS t, false AS inside)), "
                  "transform(lacks, t -> struct(t AS t, true AS inside))))")
     # what most members have besides the pivot or lack of it: fewer than twice a member's mean number
@@ -114,12 +115,12 @@ def differences(met: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
              .where("2 * c > k").groupBy("list")
              .agg(F.collect_list(F.expr("if(inside, null, t)")).alias("more"), F.collect_list(F.expr("if(inside, t, null)")).alias("less")))
     none = F.expr("cast(array() AS array<bigint>)")
-    sized = cut_lineage(
+    sized = settled(
         rows.join(flips, "list", "left").withColumns({c: F.coalesce(c, none) for c in ("more", "less")})
         .withColumn("over", F.expr("concat(array_except(besides, more), array_except(less, lacks))"))
         .withColumn("under", F.expr("concat(array_except(lacks, less), array_except(more, besides))"))
         .select("list", "x", "n", F.concat("over", "under").alias("own"),
-                F.expr("size + size(more) - size(less)").alias("p"), F.expr(f"n * {pct} + size(under) * {100 + pct}").alias("a")))
+                F.expr("size + size(more) - size(less)").alias("p"), F.expr(f"n * {pct} + size(under) * {100 + pct}").alias("a")), "1 + size(own)")
     least = sized.groupBy("list").agg(F.min("a").alias("low"), F.min_by("x", F.struct("a", "x")).alias("y"))
     return sized.join(least, "list").withColumn("needs", F.expr(f"a + low - p * {100 + pct}"))
 
@@ -133,13 +134,13 @@ def left_pairs(sized: DataFrame, comp: DataFrame, pct: int) -> DataFrame:
     unit = (100 + pct) * pct
     need = F.expr(f"greatest((greatest(needs * {pct}, {far}) + {unit - 1}) div {unit}, 1)")
     # read twice below, so unpacked and written once
-    apart = cut_lineage(sized.withColumn("need", need).where("need <= size(own)").join(comp.toDF("x", "cx"), "x")
+    apart = settled(sized.withColumn("need", need).where("need <= size(own)").join(comp.toDF("x", "cx"), "x")
                         .select("list", "x", "cx", "n", F.expr(f"2 * a - p * {100 + pct}").alias("w"), "need", F.explode("own").alias("t")))
     # differences within one component come first in the order: no two that are left can share them
     seen = (apart.groupBy("list", "t").agg(F.count(F.lit(1)).alias("c"), F.min("cx").alias("lo"), F.max("cx").alias("hi"))
             .where("lo < hi").select("list", "t", "c"))
     rest = F.row_number().over(Window.partitionBy("list", "x").orderBy(F.desc("c"), F.desc("t")))
-    index = cut_lineage(apart.join(seen, ["list", "t"]).withColumn("rest", rest).where("rest >= need")
+    index = settled(apart.join(seen, ["list", "t"]).withColumn("rest", rest).where("rest >= need")
                         .select("list", "t", "x", "cx", "n", "w", "rest"))
     one, two = (index.select("list", "t", *[F.col(c).alias(f"{c}_{s}") for c in ("x", "cx", "n", "w", "rest")]) for s in "ab")
     # at the first shared difference, in their order, no more than the rest of both can be shared

@@ -58,7 +58,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm import common, near_pairs
 from tidepool.llm.words import Words, mix, text_buffer, windows
-from tidepool.session import cut_lineage
+from tidepool.session import cut_lineage, settled
 
 SHINGLE = 5
 PCT = 75
@@ -195,7 +195,7 @@ def _reachable(pairs: DataFrame) -> DataFrame:
 def _enough(pairs: DataFrame, shared: DataFrame) -> DataFrame:
     """The pairs (x, y) that share as many prefix shingles as their prefixes require."""
     some = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-    about = cut_lineage(shared.join(some, "node", "left_semi").groupBy("node")
+    about = settled(shared.join(some, "node", "left_semi").groupBy("node")
                         .agg(F.collect_set("token").alias("t"), F.first("size").alias("s"), F.first("least").alias("m")))
     both = (pairs.join(about.toDF("x", "tx", "sx", "mx"), "x").join(about.toDF("y", "ty", "sy", "my"), "y")
             .withColumn("matches", F.size(F.array_intersect("tx", "ty"))))
@@ -218,38 +218,34 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFr
         if done is not None:
             met = (_sides(met, comp).where("cx <> cy")
                    .join(done.select("x", "y"), ["x", "y"], "left_anti"))
-        met = cut_lineage(met.groupBy("x").agg(F.max_by("y", F.struct("matches", -F.col("y"))).alias("y")))
+        met = settled(met.groupBy("x").agg(F.max_by("y", F.struct("matches", -F.col("y"))).alias("y")))
         seen = _compared(texts, nodes, met)
         new = seen.where("linked").select("x", "y")
         comp = near_pairs.component_of(new, members) if done is None else near_pairs.joined(comp, new)
         done = seen if done is None else done.unionByName(seen)
     links = done.where("linked").select("x", "y")
 
-    # lists that span components, by the members of each component in them
-    parts = (shared.join(comp, "node").groupBy("token", "comp").agg(F.count(F.lit(1)).alias("c")))
-    open_ = cut_lineage(parts.groupBy("token")
-                        .agg(F.sum("c").alias("k"), F.count(F.lit(1)).alias("spans"),
-                             F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"))
-                        .where("spans > 1").select("token", "k", "main"))
+    # lists that span components
+    open_ = settled(_open(shared, comp))
     if open_.isEmpty():
         return comp
     # each longer list's pivot (a component without links is one node)
     hubs = (links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
             .join(comp, "node").groupBy("comp").agg(F.max_by("node", F.struct("c", -F.col("node"))).alias("hub")))
-    pivots = cut_lineage(open_.where(F.col("k") > FEW).join(hubs.withColumnRenamed("comp", "main"), "main", "left")
+    pivots = settled(open_.where(F.col("k") > FEW).join(hubs.withColumnRenamed("comp", "main"), "main", "left")
                          .select("token", "k", F.coalesce("hub", "main").alias("y")))
-    around = cut_lineage(shared.join(pivots, "token").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
+    around = settled(shared.join(pivots, "token").where("node <> y").select(F.col("node").alias("x"), "y").distinct())
     dear = _dear(pivots, around, sizes)
     apart = not dear.isEmpty()
     short = open_.where(F.col("k") <= FEW).select("token").union(pivots.join(dear, "y", "left_anti").select("token"))
-    few = shared.join(short, "token").join(comp, "node")
     if apart:
-        wanted = cut_lineage(around.join(dear, "y", "left_semi").select("x", "y"))
+        wanted = settled(around.join(dear, "y", "left_semi").select("x", "y"))
         inside = wanted.select(F.col("x").alias("node")).union(dear).distinct().withColumn("inside", F.lit(True))
-        few = few.join(inside, "node", "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
+        # once per node, before any index row
+        about = comp.join(inside, "node", "left").withColumn("inside", F.coalesce("inside", F.lit(False)))
     else:
-        few = few.withColumn("inside", F.lit(False))
-    pairs = cut_lineage(_matched(cut_lineage(few)))
+        about = comp.withColumn("inside", F.lit(False))
+    pairs = settled(_matched(settled(shared.join(short, "token").join(about, "node"))))
     near = pairs.where("NOT hidden").select("x", "y")
     tried = done.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
 
@@ -264,14 +260,26 @@ def _linked(texts: DataFrame, nodes: DataFrame, shared: DataFrame, sizes: DataFr
         comp = near_pairs.joined(comp, away.where("linked").select("x", "y")
                                  .union(sized.where("needs <= 0 AND x <> y").select("x", "y")))
         unsure = pairs.where("hidden").select("x", "y").union(near_pairs.left_pairs(sized, comp, PCT))
-        unsure = cut_lineage(_sides(unsure, comp).where("cx <> cy").select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
+        unsure = settled(_sides(unsure, comp).where("cx <> cy").select("x", "y").distinct().join(tried, ["x", "y"], "left_anti"))
         near = _sides(near, comp).where("cx <> cy").select("x", "y").union(_enough(unsure, shared)).distinct()
-    near = cut_lineage(near.join(tried, ["x", "y"], "left_anti"))
+    near = settled(near.join(tried, ["x", "y"], "left_anti"))
     if near.isEmpty():
         return comp
     return near_pairs.joined(comp, _compared(texts, nodes, near).where("linked").select("x", "y"))
 
 
+def _open(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """(token, k, main) of the lists that span components: members, and the component
+    with most of them. Of two components whose sizes are too far apart no members
+    link, so that their common list stays shut."""
+    parts = (shared.join(comp, "node").groupBy("token", "comp")
+             .agg(F.count(F.lit(1)).alias("c"), F.min("size").alias("lo"), F.max("size").alias("hi")))
+    return (parts.groupBy("token")
+            .agg(F.sum("c").alias("k"), F.count(F.lit(1)).alias("spans"), F.max("lo").alias("top"),
+                 F.min_by("hi", F.struct("lo", "hi")).alias("reach"), F.max_by("comp", F.struct("c", -F.col("comp"))).alias("main"))
+            .where(f"spans > 2 OR spans = 2 AND {PCT} * top <= 100 * reach").select("token", "k", "main"))
+
+
 def _matched(few: DataFrame) -> DataFrame:
     """The pairs (x, y) between components that lists hold (token, node, comp, size,
     least, inside) and that can reach the threshold. All that a pair shares lies in
@@ -293,7 +301,7 @@ def _dear(pivots: DataFrame, around: DataFrame, sizes: DataFrame) -> DataFrame:
     own = sizes.select(F.col("node").alias("y"), F.col("size").alias("sy"))
     sets = around.join(sizes.select(F.col("node").alias("x"), "size"), "x").groupBy("y").agg(
         F.count(F.lit(1)).alias("k"), F.sum("size").alias("sx"))
-    return cut_lineage(pairs.join(sets, "y").join(own, "y").where("pairs > sx + k * sy").select("y"))
+    return settled(pairs.join(sets, "y").join(own, "y").where("pairs > sx + k * sy").select("y"))
 
 
 def _sides(pairs: DataFrame, comp: DataFrame) -> DataFrame:
@@ -314,7 +322,7 @@ def _found(docs: DataFrame, rounds: int = 1) -> DataFrame:
     rows = first.where("cells IS NULL").drop("cells")
     sets = ["n_shingles", "d1", "d2"]
     # one node per set; its number is fixed by the checkpoint
-    nodes = cut_lineage(rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy(*sets)
+    nodes = settled(rows.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy(*sets)
                         .agg(F.min(F.struct("doc_id", "key")).alias("r"))
                         .select(*sets, "r.doc_id", "r.key", F.monotonically_increasing_id().alias("node")))
 
@@ -326,8 +334,8 @@ def _found(docs: DataFrame, rounds: int = 1) -> DataFrame:
              .join(nodes.select(*sets, "node"), sets)
              .select("node", F.col("n_shingles").alias("size"), "r.least", F.explode("r.tokens").alias("token")))
     several = index.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("token")
-    shared = cut_lineage(index.join(several, "token", "left_semi"))
-    sizes = cut_lineage(shared.select("node", "size", "least").distinct())
+    shared = settled(index.join(several, "token", "left_semi"))
+    sizes = settled(shared.select("node", "size", "least").distinct())
     comp = _linked(named, nodes, shared, sizes, rounds)
 
     lone = (nodes.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
@@ -349,12 +357,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents without near duplicates: of each component the row with
     the smallest ``doc_id`` stays, with all columns; of rows equal in ``doc_id`` and
     text one stays. Rows without a ``doc_id`` stay."""
-    found = cut_lineage(_found(docs).where("doc_id IS NOT NULL").select("doc_id", "key", "stays"))
+    found = settled(_found(docs).where("doc_id IS NOT NULL").select("doc_id", "key", "stays"))
     gone = found.where("key <> stays").select("doc_id", "key")
     repeated = found.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "key")
-    gone = cut_lineage(gone.distinct())
+    gone = settled(gone.distinct())
     # only rows that may be concerned are shuffled; the joins decide
-    concerned = cut_lineage(gone.union(repeated).select("doc_id").distinct())
+    concerned = settled(gone.union(repeated).select("doc_id").distinct())
     named = docs.where("doc_id IS NOT NULL")
     sure = near_pairs.near_ids(named, concerned, "left_anti").unionByName(docs.where("doc_id IS NULL"))
     rest = (near_pairs.near_ids(named, concerned, "left_semi")

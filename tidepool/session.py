@@ -12,7 +12,8 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job in this library assumes. They are all defaults on
 # Spark 4 except timezone, Arrow and the skew/coalesce knobs; we set them
@@ -144,6 +145,25 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+#: Units (rows, by default) that a partition of a settled table holds at least.
+UNITS_A_PART = 20_000
+
+
+def settled(df: DataFrame, units: str = "1") -> DataFrame:
+    """``cut_lineage`` of one of many short tables: the shuffle files that led to it
+    go at once (its checkpoint replaces them), and it comes in no more partitions than
+    its measured ``units`` (an SQL expression per row) fill, so that each of the jobs
+    over it does not write one set of files for every empty partition."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, before = Observation(), conf.get(key, None)
+    conf.set(key, "true")
+    try:  # the setting is read when a frame is made; frames of others keep theirs
+        done = cut_lineage(df.observe(seen, F.sum(F.expr(units)).alias("units")))
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+    return done.coalesce(max(1, -(-(seen.get["units"] or 0) // UNITS_A_PART)))
+
+
 def local_test_session(cores: int = 8) -> SparkSession:
     """Session used by tests and bench: local[cores], small shuffle count."""
     return build(
