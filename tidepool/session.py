@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Settings every job in this library assumes. They are all defaults on
@@ -155,13 +155,15 @@ def settled(df: DataFrame, units: str = "1") -> DataFrame:
     its measured ``units`` (an SQL expression per row) fill, so that each of the jobs
     over it does not write one set of files for every empty partition."""
     conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    seen, before = Observation(), conf.get(key, None)
+    before = conf.get(key, None)
     conf.set(key, "true")
     try:  # the setting is read when a frame is made; frames of others keep theirs
-        done = cut_lineage(df.observe(seen, F.sum(F.expr(units)).alias("units")))
+        done = cut_lineage(df.select("*"))
+        # no Observation: it leaves the session with a part that ML models cannot ship
+        seen = done.agg(F.sum(F.expr(units)).alias("units")).first()
     finally:
         conf.unset(key) if before is None else conf.set(key, before)
-    return done.coalesce(max(1, -(-(seen.get["units"] or 0) // UNITS_A_PART)))
+    return done.coalesce(max(1, -(-(seen.units or 0) // UNITS_A_PART)))
 
 
 def local_test_session(cores: int = 8) -> SparkSession:
